@@ -11,6 +11,7 @@ from ..contracts import MONEY, RATE, RATE_COLUMNS, RAW, Rules
 from ..functions import feed_timestamp, norm_key, quote_month, round2, strip, to_eur
 from .dedup import first_per_key, nulls_last
 from .filters import currency_choice
+from .joins import join_unique
 
 
 def explode_feed(feed: DataFrame) -> DataFrame:
@@ -30,8 +31,8 @@ def unseen_rates(rows: DataFrame, history: DataFrame | None) -> DataFrame:
     """Rows whose (quote time, currency) the history does not hold yet."""
     if history is None:
         return rows
-    seen = history.select("quote_ts", "currency").distinct()
-    return rows.join(seen, ["quote_ts", "currency"], "left_anti").select(*rows.columns)
+    seen = history.select(F.col("quote_ts").alias("_q"), F.col("currency").alias("_c")).distinct()
+    return join_unique(rows, seen, [(F.col("quote_ts"), "_q"), (F.col("currency"), "_c")], "left_anti")
 
 
 def refresh_rates(feed: DataFrame, history: DataFrame | None = None,
@@ -58,15 +59,14 @@ def with_rate(df: DataFrame, rates: DataFrame, name: str = "rate") -> DataFrame:
     """Add the rate of the row's month and currency; null when there is none."""
     lookup = rates.select(F.col("month").alias("_m"), F.col("currency").alias("_c"),
                           F.col("rate").alias(name))
-    return (df.join(lookup, (strip(F.col("month")) == F.col("_m"))
-                    & (strip(F.col("currency")) == F.col("_c")), "left").drop("_m", "_c"))
+    return join_unique(df, lookup, [(strip(F.col("month")), "_m"), (strip(F.col("currency")), "_c")], "left")
 
 
 def with_fixed_rate(df: DataFrame, rates: DataFrame, currency: str, name: str) -> DataFrame:
     """Add the rate of one currency in the row's month."""
     lookup = (rates.where(F.col("currency") == currency)
                    .select(F.col("month").alias("_m"), F.col("rate").alias(name)))
-    return df.join(lookup, strip(F.col("month")) == F.col("_m"), "left").drop("_m")
+    return join_unique(df, lookup, [(strip(F.col("month")), "_m")], "left")
 
 
 def add_eur(df: DataFrame) -> DataFrame:
@@ -125,9 +125,8 @@ def mark_pending(df: DataFrame, rules: Rules) -> DataFrame:
 def resolve_pending_fx(df: DataFrame, late_rates: DataFrame) -> DataFrame:
     """Complete pending rows once their rate is known. `late_rates` has one rate per
     row_key. Amounts become EUR x rate, unrounded; other rows stay pending."""
-    late = (late_rates.select(F.col("row_key"), F.col("rate").cast(RATE).alias("_late"))
-                      .groupBy("row_key").agg(F.max("_late").alias("_late")))
-    df = df.join(late, "row_key", "left")
+    late = late_rates.groupBy(F.col("row_key").alias("_key")).agg(F.max(F.col("rate").cast(RATE)).alias("_late"))
+    df = join_unique(df, late, [(F.col("row_key"), "_key")], "left")
     done = F.col("pending_fx") & F.col("_late").isNotNull()
     for amount, eur in (("rs_amount", "rs_eur"), ("cpa_amount", "cpa_eur"),
                         ("total_amount", "total_eur")):

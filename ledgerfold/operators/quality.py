@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..contracts import DIVERGENCE_COLUMNS, Rules
 from ..functions import norm_key, platform_key, strip
+from .joins import join_unique
 from .reference import preferred_rows
 
 
@@ -37,15 +38,16 @@ def missing_accounts(sheet: DataFrame, accounts: DataFrame) -> DataFrame:
     sheet = sheet.select("*", norm_key(F.col("brand")).alias("_b"),
                          platform_key(F.col("platform")).alias("_p"),
                          norm_key(F.col("username")).alias("_u"))
-    logins = accounts.select(norm_key(F.col("brand")).alias("_b"),
-                             platform_key(F.col("platform")).alias("_p"),
-                             norm_key(F.col("username")).alias("_run")).distinct()
+    logins = accounts.select(norm_key(F.col("brand")).alias("_lb"),
+                             platform_key(F.col("platform")).alias("_lp"),
+                             norm_key(F.col("username")).alias("_lu")).distinct()
     # An empty run is a base of nothing: it may only meet a login for an empty username.
     runs = (sheet.select(*keys).distinct()
                  .select(*keys, F.explode(token_runs(F.col("_u"))).alias("_run"))
                  .where((F.col("_run") != "") | (F.col("_u") == "")))
-    known = runs.join(logins, ["_b", "_p", "_run"], "left_semi").select(*keys).distinct()
-    return sheet.join(known, keys, "left_anti").drop(*keys)
+    scope = [(F.col("_b"), "_lb"), (F.col("_p"), "_lp"), (F.col("_run"), "_lu")]
+    known = join_unique(runs, logins, scope, "left_semi").select(*[F.col(k).alias(f"_k{k}") for k in keys]).distinct()
+    return join_unique(sheet, known, [(F.col(k), f"_k{k}") for k in keys], "left_anti").drop(*keys)
 
 
 def missing_accounts_report(sheet: DataFrame, accounts: DataFrame,
@@ -62,13 +64,13 @@ def account_outcomes(accounts: DataFrame, reports: DataFrame, log: DataFrame | N
     """Per account: 'error' (extraction failed or nothing landed), 'no data' (an
     empty report landed) or 'data', with the number of report rows. `log` has one
     row per attempted account: account_id, ok."""
-    counts = reports.groupBy("account_id").agg(F.count(F.lit(1)).alias("n_rows"))
-    out = accounts.join(counts, "account_id", "left")
+    counts = reports.groupBy(F.col("account_id").alias("_a")).agg(F.count(F.lit(1)).alias("n_rows"))
+    out = join_unique(accounts, counts, [(F.col("account_id"), "_a")], "left")
     if log is None:
         ok = F.col("n_rows").isNotNull()
     else:
-        tried = log.groupBy("account_id").agg(F.max(F.col("ok").cast("boolean")).alias("_ok"))
-        out = out.join(tried, "account_id", "left")
+        tried = log.groupBy(F.col("account_id").alias("_a")).agg(F.max(F.col("ok").cast("boolean")).alias("_ok"))
+        out = join_unique(out, tried, [(F.col("account_id"), "_a")], "left")
         ok = F.coalesce(F.col("_ok"), F.lit(False))
     n = F.coalesce(F.col("n_rows"), F.lit(0))
     return (out.withColumn("outcome", F.when(n > 0, "data").when(ok, "no data").otherwise("error"))
@@ -104,5 +106,5 @@ def filter_by_ids(df: DataFrame, accounts: DataFrame, ids, require: bool = True)
     pairs = account_pairs(accounts, ids)
     if require and pairs.isEmpty():
         raise ValueError(f"none of the ids is in the account registry: {ids}")
-    return df.join(pairs, (norm_key(F.col("operator")) == F.col("_op"))
-                   & (norm_key(F.col("username")) == F.col("_un")), "left_semi")
+    return join_unique(df, pairs, [(norm_key(F.col("operator")), "_op"), (norm_key(F.col("username")), "_un")],
+                       "left_semi")

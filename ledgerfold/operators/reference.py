@@ -9,6 +9,7 @@ from ..contracts import COMMISSION_RANK, Rules
 from ..functions import is_blank, netting_default, norm_key, strip
 from .dedup import first_per_key
 from .filters import used_platform
+from .joins import join_unique
 
 
 def commission_rank(c: Column) -> Column:
@@ -33,13 +34,12 @@ def update_netting(reference: DataFrame, sheet: DataFrame) -> DataFrame:
     """Take the netting flag from the sheet where the row's (brand, username, ref)
     is there, keep it otherwise; empty means 'No'. Of several sheet rows with the
     same normalised key the last by `pos` counts."""
-    keys = ["_b", "_u", "_r"]
-    named = lambda df: [norm_key(F.col(c)).alias(k)                     # noqa: E731
-                        for c, k in zip(("brand", "username", "ref"), keys)]
-    lookup = first_per_key(sheet.select(*named(sheet), F.col("netting").alias("_sheet"), "pos"),
+    pairs = [(norm_key(F.col(c)), f"_{c}") for c in ("brand", "username", "ref")]
+    keys = [k for _, k in pairs]
+    lookup = first_per_key(sheet.select(*[c.alias(k) for c, k in pairs], F.col("netting").alias("_sheet"), "pos"),
                            keys, [F.col("pos")], last=True)
     lookup = lookup.select(*keys, "_sheet", F.lit(True).alias("_hit"))
-    joined = reference.select(*named(reference), "*").join(lookup, keys, "left")
+    joined = join_unique(reference, lookup, pairs, "left")
     value = F.when(F.col("_hit"), F.col("_sheet")).otherwise(F.col("netting"))
     return joined.select(*[netting_default(value, any_case=True).alias(c) if c == "netting"
                            else F.col(c) for c in reference.columns])
@@ -74,10 +74,8 @@ def reference_key(rules: Rules) -> Column:
 def enrich_reference(df: DataFrame, lookup: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """Add ref and netting from `reference_lookup`; both null without a match. The
     lookup has unique keys, so no row multiplies."""
-    keyed = df.select("*", reference_key(rules).alias("_k"),
-                      norm_key(F.col("username")).alias("_u"),
-                      norm_key(F.col("brand")).alias("_b"))
-    return keyed.join(lookup, ["_k", "_u", "_b"], "left").drop("_k", "_u", "_b")
+    return join_unique(df, lookup, [(reference_key(rules), "_k"), (norm_key(F.col("username")), "_u"),
+                                    (norm_key(F.col("brand")), "_b")], "left")
 
 
 def rename_accounts(df: DataFrame, rules: Rules) -> DataFrame:

@@ -13,6 +13,7 @@ from ..contracts import (DEFAULT_COMMISSION_TYPES, HEADER_MAP, MONEY, ZERO_ROW_T
 from ..functions import (detect_currency, lenient_number, merchant_username, round2, row_currency,
                          strip)
 from .filters import detail_only, drop_totals
+from .joins import join_unique
 
 ACCOUNT_COLUMNS = ["platform", "operator", "brand", "username"]
 BOM = "﻿"
@@ -144,7 +145,8 @@ def standardize_long(raw: DataFrame, shown: DataFrame, accounts: DataFrame, mont
     sums = sum_by_type(df, "account_id", kind="Commission Type", amount="Amount")
     if empty_accounts is not None:
         sums = sums.unionByName(default_rows(empty_accounts))
-    coded = sums.join(bounded_currency(shown, "account_id"), "account_id", "left")
+    seen = bounded_currency(shown, "account_id").withColumnRenamed("account_id", "_a")
+    coded = join_unique(sums, seen, [(F.col("account_id"), "_a")], "left")
     return tag_accounts(coded, accounts, month, F.col("currency"))
 
 
@@ -153,20 +155,22 @@ def standardize_vendor(raw: DataFrame, scraped: DataFrame, accounts: DataFrame,
     else from the export itself; rows from the export."""
     df = clean_headers(raw)
     headers = [c for c in df.columns if c not in ("account_id", "row_no")]
-    own = df.groupBy("account_id").agg(
-        F.coalesce(*[F.min(F.when(detect_currency(F.col(f"`{c}`")).isNotNull(),
-                                  F.struct(F.col("row_no"), detect_currency(F.col(f"`{c}`")).alias("code"))))["code"]
-                     for c in headers]).alias("_own"))
-    coded = (df.drop("row_no")
-               .join(table_currency(scraped, "account_id").withColumnRenamed("currency", "_seen"), "account_id", "left")
-               .join(own, "account_id", "left"))
+    first_row = lambda c: F.min(F.when(detect_currency(c).isNotNull(), F.struct(            # noqa: E731
+        F.col("row_no"), detect_currency(c).alias("code"))))["code"]
+    own = df.groupBy(F.col("account_id").alias("_a")).agg(
+        F.coalesce(*[first_row(F.col(f"`{c}`")) for c in headers]).alias("_own"))
+    seen = table_currency(scraped, "account_id").select(F.col("account_id").alias("_a"),
+                                                        F.col("currency").alias("_seen"))
+    coded = join_unique(df.drop("row_no"), seen, [(F.col("account_id"), "_a")], "left")
+    coded = join_unique(coded, own, [(F.col("account_id"), "_a")], "left")
     tagged = tag_accounts(coded, accounts, month, F.coalesce(F.col("_seen"), F.col("_own")))
     return tagged.drop("_seen", "_own")
 
 
 def with_fallback(primary: DataFrame, secondary: DataFrame) -> DataFrame:
     """Rows of the primary source, and of accounts it lacks those of the secondary."""
-    gaps = secondary.join(primary.select("account_id").distinct(), "account_id", "left_anti")
+    read = primary.select(F.col("account_id").alias("_a")).distinct()
+    gaps = join_unique(secondary, read, [(F.col("account_id"), "_a")], "left_anti")
     return primary.unionByName(gaps, allowMissingColumns=True)
 
 

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .joins import join_unique
+
 
 def text_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Distinct keys compared as text; null and empty are the same key."""
@@ -16,9 +18,8 @@ def text_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def without_keys(df: DataFrame, keys: Sequence[str], removed: DataFrame) -> DataFrame:
     """Rows whose key is not among the removed ones."""
-    match = [F.coalesce(F.col(k).cast("string"), F.lit("")) == F.col(f"_k{i}")
-             for i, k in enumerate(keys)]
-    return df.join(text_keys(removed, keys), match, "left_anti")
+    match = [(F.coalesce(F.col(k).cast("string"), F.lit("")), f"_k{i}") for i, k in enumerate(keys)]
+    return join_unique(df, text_keys(removed, keys), match, "left_anti")
 
 
 def upsert(old: DataFrame | None, new: DataFrame, keys: Sequence[str],
