@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-__all__ = ["strip", "norm_key", "platform_key", "is_blank", "canonical_operator",
+__all__ = ["bind", "strip", "norm_key", "platform_key", "is_blank", "canonical_operator",
            "normalize_login", "safe_name", "sanitize", "base_url", "is_base_login",
            "merchant_username", "row_key", "origin", "BLANKS"]
 
@@ -18,9 +18,17 @@ WHITESPACE = (" \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0"
 BLANKS = ["", "nan", "NaN", "None"]
 
 
+def bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), computing `value` once per row. Inside a higher-order function an
+    outer expression would otherwise be computed anew for every element."""
+    return F.transform(F.array(value), use)[0]
+
+
 def strip(c: Column) -> Column:
-    """Trim every kind of white space (Spark's own trim removes blanks only)."""
-    return F.trim(c, F.lit(WHITESPACE))
+    """Trim every kind of white space (Spark's own trim removes blanks only). Texts
+    that begin and end with a printable ASCII character, nearly all, skip the work."""
+    needed = c.rlike(r"^[^!-~]|[^!-~]$")
+    return F.when(needed, F.trim(c, F.lit(WHITESPACE))).otherwise(c)
 
 
 def norm_key(c: Column) -> Column:

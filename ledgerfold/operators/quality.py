@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..contracts import DIVERGENCE_COLUMNS, Rules
-from ..functions import norm_key, platform_key, strip
+from ..functions import bind, norm_key, platform_key, strip
 from .joins import join_unique
 from .reference import preferred_rows
 
@@ -20,12 +20,11 @@ def divergences(enriched: DataFrame) -> DataFrame:
 def token_runs(c: Column) -> Column:
     """Every contiguous run of '_'-separated parts of a text, joined again. A login
     is a delimited part of a username exactly when it is one of these runs."""
-    parts = F.split(c, "_")
-    n = F.size(parts)
-    return F.array_distinct(F.flatten(F.transform(
-        F.sequence(F.lit(1), n),
-        lambda i: F.transform(F.sequence(F.lit(1), n - i + F.lit(1)),
-                              lambda k: F.array_join(F.slice(parts, i, k), "_")))))
+    runs = lambda parts: F.flatten(F.transform(                          # noqa: E731
+        F.sequence(F.lit(1), F.size(parts)),
+        lambda i: F.transform(F.sequence(F.lit(1), F.size(parts) - i + F.lit(1)),
+                              lambda k: F.array_join(F.slice(parts, i, k), "_"))))
+    return F.array_distinct(bind(F.split(c, "_"), runs))
 
 
 def missing_accounts(sheet: DataFrame, accounts: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..contracts import (DEFAULT_COMMISSION_TYPES, HEADER_MAP, MONEY, ZERO_ROW_TEXT)
-from ..functions import (detect_currency, lenient_number, merchant_username, round2, row_currency,
+from ..functions import (bind, detect_currency, lenient_number, merchant_username, round2, row_currency,
                          strip)
 from .filters import detail_only, drop_totals
 from .joins import join_unique
@@ -178,10 +178,13 @@ def with_fallback(primary: DataFrame, secondary: DataFrame) -> DataFrame:
 def pad_rows(rows: Column, headers: Column | None = None) -> Column:
     """Rows of one scraped table (array of cell arrays) padded with '' to the widest
     of its rows and its header."""
-    width = F.array_max(F.transform(rows, F.size))
-    if headers is not None:
-        width = F.greatest(width, F.size(headers))
-    return F.transform(rows, lambda r: F.concat(r, F.array_repeat(F.lit(""), width - F.size(r))))
+    def pad(table: Column) -> Column:
+        widest = F.array_max(F.transform(table, F.size))
+        if headers is not None:
+            widest = F.greatest(widest, F.size(headers))
+        return bind(widest, lambda width: F.transform(
+            table, lambda r: F.concat(r, F.array_repeat(F.lit(""), width - F.size(r)))))
+    return bind(rows, pad)
 
 
 def pad_headers(headers: Column, width: Column) -> Column:

@@ -731,5 +731,6 @@ def unified_reference(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def unified_billing(spark: SparkSession, sf: str) -> DataFrame:
     """The whole unified table, as published text."""
-    built = build_unified(unified_reports(spark, sf), day_quotes(spark, sf), unified_reference(spark, sf), UNIFIED_RULES)
+    built = build_unified(unified_reports(spark, sf), day_quotes(spark, sf), unified_reference(spark, sf), UNIFIED_RULES,
+                          store_enriched=False)
     return published(built.unified)

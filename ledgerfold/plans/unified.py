@@ -54,12 +54,14 @@ def convert(union: DataFrame, rates: DataFrame, rules: Rules) -> DataFrame:
 
 def build_unified(reports: Mapping[str, DataFrame], rates: DataFrame, reference: DataFrame,
                   rules: Rules = Rules(), accounts: DataFrame | None = None, ids=None,
-                  store_steps: bool = True) -> UnifiedResult:
+                  store_lookups: bool = True, store_enriched: bool = True) -> UnifiedResult:
     """Standard reports (keyed by shape: wide, vendor, long, multilingual) to the
     unified table and its side reports.
 
-    The enriched rows feed four outputs; with `store_steps` they are written once to
-    the shared scratch folder instead of being computed four times."""
+    With `store_lookups` the rates and the reference are written to the shared scratch
+    folder first, so that the planner knows their size. The enriched rows feed three
+    outputs; with `store_enriched` they are written there too instead of being computed
+    once per output."""
     union = normalise_union(union_reports([ADAPTERS[k](df, rules) for k, df in reports.items()]), rules)
     by_account_id = ids is not None and "account_id" in union.columns
     if by_account_id:
@@ -68,12 +70,12 @@ def build_unified(reports: Mapping[str, DataFrame], rates: DataFrame, reference:
         union = union.join(listed.toDF("account_id").distinct(), "account_id", "left_semi")
     month_rates = monthly_rates(rates)
     lookup = reference_lookup(reference)
-    if store_steps:
+    if store_lookups:
         month_rates, lookup = settle(month_rates), settle(lookup)
     enriched = enrich_reference(convert(union, month_rates, rules), lookup, rules)
     if ids is not None and not by_account_id:
         enriched = filter_by_ids(enriched, accounts, ids)
-    if store_steps:
+    if store_enriched:
         enriched = settle(enriched)
     return UnifiedResult(finish(enriched, rules), divergences(enriched),
                          missing_rates(union, month_rates),
