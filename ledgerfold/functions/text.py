@@ -17,6 +17,9 @@ WHITESPACE = (" \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0"
               "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
 BLANKS = ["", "nan", "NaN", "None"]
 
+# Local part, then the domain name up to its first dot unless it is gmail.
+EMAIL = r"(?s)^([^@]*)@(?:(?i:gmail)(?=\.|\z)|([^.]*)).*\z"
+
 
 def bind(value: Column, use: Callable[[Column], Column]) -> Column:
     """use(value), computing `value` once per row. Inside a higher-order function an
@@ -25,10 +28,8 @@ def bind(value: Column, use: Callable[[Column], Column]) -> Column:
 
 
 def strip(c: Column) -> Column:
-    """Trim every kind of white space (Spark's own trim removes blanks only). Texts
-    that begin and end with a printable ASCII character, nearly all, skip the work."""
-    needed = c.rlike(r"^[^!-~]|[^!-~]$")
-    return F.when(needed, F.trim(c, F.lit(WHITESPACE))).otherwise(c)
+    """Trim every kind of white space (Spark's own trim removes blanks only)."""
+    return F.trim(c, F.lit(WHITESPACE))
 
 
 def norm_key(c: Column) -> Column:
@@ -62,13 +63,7 @@ def canonical_operator(c: Column, aliases: Mapping[str, str]) -> Column:
 def normalize_login(c: Column) -> Column:
     """An e-mail becomes local part + domain name up to its first dot (nothing for
     gmail); any other login is only trimmed."""
-    login = strip(F.coalesce(c, F.lit("")))
-    at = F.instr(login, "@")
-    local = F.substring_index(login, "@", 1)
-    domain = F.substring_index(F.substring(login, at + F.lit(1), F.length(login)), ".", 1)
-    return (F.when(at == 0, login)
-            .when(F.lower(domain) == "gmail", local)
-            .otherwise(F.concat(local, domain)))
+    return F.regexp_replace(strip(F.coalesce(c, F.lit(""))), EMAIL, "$1$2")
 
 
 def safe_name(c: Column) -> Column:

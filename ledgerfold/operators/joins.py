@@ -19,8 +19,10 @@ def join_unique(left: DataFrame, right: DataFrame, on: Sequence[tuple[Column, st
     a shuffle; a right side still partitioned by its own aggregation would prevent
     that. Matching on a hash of the keys as well makes it shuffle for the join."""
     names = [name for _, name in on]
+    mine = [f"_l{name}" for name in names]
+    # Keys are columns before the join, so each expression is computed once.
+    keyed = left.withColumns({m: expr for m, (expr, _) in zip(mine, on)})
+    keyed = keyed.withColumn("_lhash", F.xxhash64(*mine))
     hashed = right.withColumn("_hash", F.xxhash64(*names))
-    match = [expr == F.col(name) for expr, name in on]
-    match.append(F.xxhash64(*[expr for expr, _ in on]) == F.col("_hash"))
-    out = left.join(hashed, match, how)
-    return out if how in ("left_semi", "left_anti") else out.drop("_hash", *names)
+    match = [F.col(m) == F.col(n) for m, n in zip([*mine, "_lhash"], [*names, "_hash"])]
+    return keyed.join(hashed, match, how).drop(*mine, *names, "_lhash", "_hash")

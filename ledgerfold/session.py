@@ -16,6 +16,8 @@ DEFAULTS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # The JVM does not compile methods beyond this size: rather no whole-stage code.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Whole HTML pages pass through Arrow: bound a batch by rows of that size.
