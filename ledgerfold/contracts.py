@@ -132,6 +132,16 @@ HEADER_NAMES = {
 }
 HEADER_MAP = {h: canon for canon, headers in HEADER_NAMES.items() for h in headers}
 
+# Measure headers of the platform exports and their report columns.
+MEASURE_HEADERS = {
+    "Revenue Share Reward": "rs_reward",
+    "CPA Reward": "cpa_reward",
+    "Reward Due": "reward_due",
+    "Vendor Name": "vendor_name",
+    "RevShare Commission": "revshare_commission",
+    "CPA Commission": "cpa_commission",
+}
+
 # Text columns left empty in a zero row (lower-case raw headers).
 ZERO_ROW_TEXT = ["rowid", "currency symbol", "affiliate id", "username", "country"]
 

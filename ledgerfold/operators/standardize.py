@@ -9,7 +9,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..contracts import (DEFAULT_COMMISSION_TYPES, HEADER_MAP, MONEY, ZERO_ROW_TEXT)
+from ..contracts import (DEFAULT_COMMISSION_TYPES, HEADER_MAP, MEASURE_HEADERS, MONEY, ZERO_ROW_TEXT)
 from ..functions import (bind, detect_currency, lenient_number, merchant_username, round2, row_currency,
                          strip)
 from .filters import detail_only, drop_totals
@@ -39,6 +39,11 @@ def canonical_headers(df: DataFrame, keep: Sequence[str] = ("account_id",)) -> D
                        for name, cols in groups.items()])
 
 
+def report_columns(df: DataFrame) -> DataFrame:
+    """Measure headers to the column names of the standard reports."""
+    return df.withColumnsRenamed(MEASURE_HEADERS)
+
+
 # --- identification --------------------------------------------------------
 def tag_accounts(df: DataFrame, accounts: DataFrame, month: str | Column,
                  currency: Column | None = None, stamp: bool = True) -> DataFrame:
@@ -52,7 +57,9 @@ def tag_accounts(df: DataFrame, accounts: DataFrame, month: str | Column,
     if currency is not None:
         columns.append(F.coalesce(currency, F.lit("")).alias("currency"))
     taken = {*front, "month", *(["currency"] if currency is not None else [])}
-    columns += [F.col(f"`{c}`") for c in df.columns if c not in taken]
+    # A report column that differs from one of these by case only becomes row_<name>.
+    columns += [F.col(f"`{c}`").alias(f"row_{c.lower()}" if c.lower() in taken else c)
+                for c in df.columns if c not in taken]
     if stamp:
         columns.append(F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss").alias("extracted_at"))
     return out.select(*columns)
@@ -121,8 +128,9 @@ def standardize_wide(raw: DataFrame, accounts: DataFrame, month: str) -> DataFra
     df = clean_headers(raw)
     headers = [c for c in df.columns if c != "account_id"]
     df = drop_totals(df, headers[0])
-    values = [F.col(f"`{c}`") for c in headers if c.lower() not in ("month", "row_month")]
-    return tag_accounts(df, accounts, month, row_currency(values))
+    values = [F.col(f"`{c}`") for c in headers if c.lower() != "month"]
+    coded = report_columns(df.withColumn("currency", row_currency(values)))
+    return tag_accounts(coded, accounts, month, F.col("currency"))
 
 
 def standardize_multilingual(raw: DataFrame, accounts: DataFrame, month: str) -> DataFrame:
@@ -163,7 +171,7 @@ def standardize_vendor(raw: DataFrame, scraped: DataFrame, accounts: DataFrame,
                                                         F.col("currency").alias("_seen"))
     coded = join_unique(df.drop("row_no"), seen, [(F.col("account_id"), "_a")], "left")
     coded = join_unique(coded, own, [(F.col("account_id"), "_a")], "left")
-    tagged = tag_accounts(coded, accounts, month, F.coalesce(F.col("_seen"), F.col("_own")))
+    tagged = tag_accounts(report_columns(coded), accounts, month, F.coalesce(F.col("_seen"), F.col("_own")))
     return tagged.drop("_seen", "_own")
 
 
