@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import csv
 from collections.abc import Iterator
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,7 +48,7 @@ def read_exports(spark: SparkSession, path: str, separator: str = ",") -> Iterat
     never rows."""
     groups: dict[str, list[str]] = {}
     for row in header_lines(spark, path).toLocalIterator():
-        groups.setdefault(row.header, []).append(row.file)
+        groups.setdefault(row.header, []).append(unquote(row.file))
     for header, files in sorted(groups.items()):
         names = distinct_names(next(csv.reader([header], delimiter=separator)))
         schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
