@@ -46,11 +46,13 @@ def is_month_label(c: Column) -> Column:
 def feed_timestamp(c: Column) -> Column:
     """Wall clock of a feed time such as 'Mon, 01 Jun 2026 00:00:01 +0000', as a
     zone-less timestamp; null when the text has another form."""
-    part = lambda i: F.regexp_extract(c, FEED_TIME, i)      # noqa: E731
+    # One pass of the pattern; a text of another form has no parts and casts to null.
+    text = F.regexp_replace(c, FEED_TIME, "$1\u0001$2\u0001$3\u0001$4")
+    part = lambda i: F.split_part(text, F.lit("\u0001"), F.lit(i))      # noqa: E731
     month = F.floor((F.instr(F.lit(MONTHS), F.lower(part(2))) + F.lit(2)) / F.lit(3))
     iso = F.concat(part(3), F.lit("-"), F.lpad(month.cast("string"), 2, "0"), F.lit("-"),
                    F.lpad(part(1), 2, "0"), F.lit(" "), part(4))
-    return F.when(c.rlike(FEED_TIME), iso.try_cast("timestamp_ntz"))
+    return iso.try_cast("timestamp_ntz")
 
 
 def quote_month(ts: Column) -> Column:

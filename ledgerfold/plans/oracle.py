@@ -233,13 +233,13 @@ UNION ALL SELECT 'one_operator', account_id, active FROM a
 UNION ALL SELECT 'by_ids', account_id, active FROM a WHERE platform = 'HOUSEHOLD' AND trim(active) IN ('1', '4', '5')
   AND account_id IN (SELECT {txt('o_custkey')} FROM orders WHERE o_orderpriority = '1-URGENT' AND o_totalprice > 300000)"""
 
-ORACLE["tag_account_rows"] = f"""
+ORACLE["tag_accounts"] = f"""
 WITH {ACCOUNTS}
 SELECT account_id, platform, operator, brand, username, {month('o_orderdate')} AS month,
        CASE WHEN o_orderkey > 100 THEN 'EUR' ELSE '' END AS currency, o_orderkey, {month('o_orderdate')} AS row_month
 FROM orders JOIN accounts ON o_custkey = c_custkey"""
 
-ORACLE["one_brand"] = f"""
+ORACLE["brand_slice"] = f"""
 WITH {ACCOUNTS} SELECT account_id, platform, operator, brand FROM accounts WHERE brand = 'EUROPE'"""
 
 ORACLE["drop_totals_rows"] = f"""
@@ -251,11 +251,11 @@ SELECT {txt('o_orderkey')} AS rowid, o_orderpriority AS currency,
        {cents_text('o_totalprice')} AS cpa_commission, {txt('o_custkey')} AS affiliate_id,
        o_orderstatus AS "Custom Field" FROM orders"""
 
-ORACLE["conditional_sum"] = f"""
+ORACLE["conditional_sums"] = f"""
 WITH {COMMISSION}, {CONDITIONAL}
 SELECT user_id, month, CAST(cpa AS DOUBLE) AS cpa_amount, CAST(rs AS DOUBLE) AS rs_amount FROM sums"""
 
-ORACLE["sum_by_commission_type"] = f"""
+ORACLE["sum_by_type"] = f"""
 WITH {COMMISSION}
 SELECT {txt('user_id')} AS account_id, coalesce(trim(commission_type), '') AS commission_type,
        CAST(sum(amount) AS DOUBLE) AS amount FROM commissions GROUP BY user_id, commission_type
@@ -277,7 +277,7 @@ SELECT operator, brand, username, month,
        CASE WHEN operator = '1-URGENT' THEN -CAST(price AS DOUBLE) ELSE CAST(o_orderkey AS DOUBLE) END AS cpa_amount
 FROM wide"""
 
-ORACLE["union_of_reports"] = f"""
+ORACLE["union_reports"] = f"""
 WITH {WIDE}, {VENDOR}, {COMMISSION}, {CONDITIONAL}, u AS (
   SELECT 'Wide' AS platform, 'EUR' AS currency, brand, username, price::DECIMAL(38,2) AS rs, o_orderkey::DECIMAL(38,2) AS cpa FROM wide
   UNION ALL SELECT 'Vendors', currency, brand, username, rs, cpa FROM vendor
@@ -314,7 +314,7 @@ SELECT o_orderkey, CASE WHEN hit THEN 'purchase' ELSE currency END AS currency,
        {money(f"CASE WHEN hit THEN {half_up('cpa_eur * local', '100')} ELSE cpa END")} AS cpa_amount,
        {money('rs_eur')} AS rs_eur, {money('cpa_eur')} AS cpa_eur FROM t"""
 
-ORACLE["rates_missing"] = f"""
+ORACLE["missing_rates"] = f"""
 WITH {DAY_RATES}, {ORDER_AMOUNTS}
 SELECT DISTINCT month, currency FROM amounts
 WHERE (month, currency) NOT IN (SELECT (month, currency) FROM rates WHERE currency <> 'click')"""
@@ -333,12 +333,12 @@ ORACLE["unknown_currencies"] = """
 SELECT currency FROM (VALUES ('view'), ('click'), ('ZZZ')) w(currency)
 WHERE currency NOT IN (SELECT event_type FROM events)"""
 
-ORACLE["reference_enrich"] = f"""
+ORACLE["ref_enrich"] = f"""
 WITH {ACCOUNTS}, {REFERENCE}, {UNION_ROWS}
 SELECT o_orderkey, ref, netting FROM union_rows
 JOIN refs ON lower(operator) = k AND lower(username) = u AND lower(brand) = b WHERE ref IS NOT NULL"""
 
-ORACLE["divergence_rows"] = f"""
+ORACLE["divergences"] = f"""
 WITH {ACCOUNTS}, {UNION_ROWS}
 SELECT platform, operator, username, brand FROM union_rows WHERE platform = 'FURNITURE'"""
 
@@ -354,7 +354,7 @@ SELECT r.operator, r.username, r.brand, r.ref,
             WHEN r.netting = 'None' THEN 'No' ELSE r.netting END AS netting
 FROM ref r LEFT JOIN preferred p ON p.username = r.username AND lower(p.ref) = lower(r.ref)"""
 
-ORACLE["accounts_missing"] = f"""
+ORACLE["missing_accounts"] = f"""
 WITH s AS (SELECT c_custkey, c_nationkey, c_name, {SHEET_LOGIN} AS username FROM customer)
 SELECT c_custkey, username FROM s
 WHERE NOT EXISTS (SELECT 1 FROM customer l WHERE l.c_nationkey = s.c_nationkey AND l.c_acctbal < 6000
@@ -384,7 +384,7 @@ def billing(netting: str, cpa: str, rs: str) -> str:
             f"WHEN {netting} = 'Sí' THEN greatest({cpa} + {rs}, 0) ELSE {cpa} + {rs} END")
 
 
-ORACLE["billing_totals"] = f"""
+ORACLE["billing_total"] = f"""
 WITH t AS (
   SELECT l_orderkey, l_linenumber, l_partkey, CASE l_returnflag WHEN 'A' THEN 'No' WHEN 'R' THEN 'Sí' ELSE 'other' END AS netting,
          CASE WHEN l_discount > 0.02 THEN {whole('l_extendedprice')} ELSE 0 END AS cpa,
@@ -392,7 +392,7 @@ WITH t AS (
   FROM lineitem)
 SELECT l_orderkey, l_linenumber, l_partkey, {money(billing('netting', 'cpa', 'rs'))} AS total FROM t"""
 
-ORACLE["currency_defaults"] = f"""
+ORACLE["currency_default"] = f"""
 WITH {ACCOUNTS}, t AS (
   SELECT account_id, operator, username, platform <> 'FURNITURE' AS was_blank,
          CASE WHEN platform = 'FURNITURE' THEN 'USD' WHEN brand = 'ASIA' THEN 'BRL' ELSE 'EUR' END AS currency FROM accounts)
@@ -419,7 +419,7 @@ SELECT {txt('o_orderkey')} AS o_orderkey, replace({cents_text('o_totalprice')},
        CASE WHEN o_orderstatus = 'F' THEN '-' || replace({cents_text('o_totalprice')}, '.', ',') ELSE '' END AS note,
        'v1.2' AS label FROM orders"""
 
-ORACLE["load_counter"] = f"""
+ORACLE["load_counters"] = f"""
 WITH {ACCOUNTS}, {REFERENCE}, {UNION_ROWS}, {DAY_RATES}, {ORDER_AMOUNTS}
 SELECT platform, count(*) AS n_rows, count(*) FILTER (ref IS NULL) AS n_without_ref,
        count(*) FILTER (cents IS NULL) AS n_without_rate, count(*) FILTER (ref IS NOT NULL) AS n_kept
@@ -456,7 +456,7 @@ e AS (SELECT doc_id, width, unnest(rows) AS cells, unnest(range(len(rows))) AS r
 SELECT doc_id, CAST(row_no AS INTEGER) AS row_no, CAST(width AS INTEGER) AS width,
        array_to_string(cells, '|') || repeat('|', CAST(width - len(cells) AS BIGINT)) AS cells FROM e"""
 
-ORACLE["html_list_rows"] = r"""
+ORACLE["html_rows"] = r"""
 WITH l AS (SELECT page_id, regexp_extract_all(html, '(?s)<li>(.*?)</li>', 1) AS items FROM pages),
 e AS (SELECT page_id, unnest(range(len(items))) AS row_no, unnest(items) AS item FROM l)
 SELECT page_id, CAST(row_no AS INTEGER) AS row_no, replace(trim(regexp_replace(item, '<[^>]*>', '', 'g')), '&amp;', '&') AS text

@@ -41,9 +41,16 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 
+def named(name: str) -> Callable[[Query], Query]:
+    """Register a query under a name that an operator already has here."""
+    def register(fn: Query) -> Query:
+        QUERIES[name] = fn
+        return fn
+    return register
+
+
 def query(fn: Query) -> Query:
-    QUERIES[fn.__name__] = fn
-    return fn
+    return named(fn.__name__)(fn)
 
 
 def dbl(name: str):
@@ -198,7 +205,7 @@ def account_filters(spark: SparkSession, sf: str) -> DataFrame:
                           for name, df in picks.items()])
 
 
-@query
+@named("tag_accounts")
 def tag_account_rows(spark: SparkSession, sf: str) -> DataFrame:
     """Identification columns in front of report rows."""
     o = table(spark, sf, "orders").select(text("o_custkey").alias("account_id"), "o_orderkey",
@@ -207,7 +214,7 @@ def tag_account_rows(spark: SparkSession, sf: str) -> DataFrame:
                         F.when(F.col("o_orderkey") > 100, F.lit("EUR")), stamp=False)
 
 
-@query
+@named("brand_slice")
 def one_brand(spark: SparkSession, sf: str) -> DataFrame:
     """One brand's slice of the accounts."""
     return brand_slice(accounts(spark, sf), "EUROPE").select("account_id", "platform", "operator", "brand")
@@ -254,7 +261,7 @@ def commission_rows(spark: SparkSession, sf: str) -> DataFrame:
                     F.concat(F.lit("€"), cents_text("value")).alias("amount"))
 
 
-@query
+@named("conditional_sums")
 def conditional_sum(spark: SparkSession, sf: str) -> DataFrame:
     """CPA and revenue-share sums per user and day."""
     out = conditional_sums(commission_rows(spark, sf), ["user_id", "month"], F.col("commission_type"),
@@ -262,7 +269,7 @@ def conditional_sum(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("user_id", "month", dbl("cpa_amount"), dbl("rs_amount"))
 
 
-@query
+@named("sum_by_type")
 def sum_by_commission_type(spark: SparkSession, sf: str) -> DataFrame:
     """Sums per account and type; accounts without rows get the default zero rows."""
     rows = commission_rows(spark, sf).select(text("user_id").alias("account_id"), "commission_type",
@@ -322,7 +329,7 @@ def operator_override(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("operator", "brand", "username", "month", dbl("rs_amount"), dbl("cpa_amount"))
 
 
-@query
+@named("union_reports")
 def union_of_reports(spark: SparkSession, sf: str) -> DataFrame:
     """Four report shapes in one column set, counted and summed per platform."""
     long = commission_rows(spark, sf).select(
@@ -376,7 +383,7 @@ def fx_rebase(spark: SparkSession, sf: str) -> DataFrame:
                       dbl("rs_eur"), dbl("cpa_eur"))
 
 
-@query
+@named("missing_rates")
 def rates_missing(spark: SparkSession, sf: str) -> DataFrame:
     """Day and currency pairs in use without a rate."""
     quotes = day_quotes(spark, sf).where(F.col("currency") != "click")
@@ -432,14 +439,14 @@ def union_rows(spark: SparkSession, sf: str) -> DataFrame:
     return o.join(a, "account_id")
 
 
-@query
+@named("ref_enrich")
 def reference_enrich(spark: SparkSession, sf: str) -> DataFrame:
     """Rows with their ref and netting flag; rows without a ref drop."""
     out = enrich_reference(union_rows(spark, sf), settle(reference_lookup(reference_rows(spark, sf))))
     return out.where(F.col("ref").isNotNull()).select("o_orderkey", "ref", netting_default(F.col("netting")).alias("netting"))
 
 
-@query
+@named("divergences")
 def divergence_rows(spark: SparkSession, sf: str) -> DataFrame:
     """Rows without a ref."""
     return divergences(enrich_reference(union_rows(spark, sf), settle(reference_lookup(reference_rows(spark, sf)))))
@@ -472,7 +479,7 @@ def netting_update(spark: SparkSession, sf: str) -> DataFrame:
     return refresh_reference(sheet_rows(spark, sf), ref, Rules(used_platforms=("wide",)))
 
 
-@query
+@named("missing_accounts")
 def accounts_missing(spark: SparkSession, sf: str) -> DataFrame:
     """Sheet usernames whose base login is not registered in their scope."""
     c = table(spark, sf, "customer")
@@ -517,7 +524,7 @@ def upsert_purge(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # --- billing ---------------------------------------------------------------
-@query
+@named("billing_total")
 def billing_totals(spark: SparkSession, sf: str) -> DataFrame:
     """Billing totals of signed amounts under the three netting rules."""
     li = table(spark, sf, "lineitem").select(
@@ -530,7 +537,7 @@ def billing_totals(spark: SparkSession, sf: str) -> DataFrame:
                      billing_total(F.col("netting"), F.col("cpa"), F.col("rs")).cast("double").alias("total"))
 
 
-@query
+@named("currency_default")
 def currency_defaults(spark: SparkSession, sf: str) -> DataFrame:
     """Empty currencies filled by brand, then an account rename by currency."""
     from ..operators.reference import rename_accounts
@@ -581,7 +588,7 @@ def publish_text(spark: SparkSession, sf: str) -> DataFrame:
     return comma_text(o)
 
 
-@query
+@named("load_counters")
 def load_counter(spark: SparkSession, sf: str) -> DataFrame:
     """Rows seen, without ref, without rate and kept, per platform."""
     rates = settle(monthly_rates(day_quotes(spark, sf).where(F.col("currency") != "click")))
@@ -654,7 +661,7 @@ def ragged_rows(spark: SparkSession, sf: str) -> DataFrame:
                        F.array_join("cells", "|").alias("cells"))
 
 
-@query
+@named("html_rows")
 def html_list_rows(spark: SparkSession, sf: str) -> DataFrame:
     """Rows of the largest list of each page."""
     rows = html_rows(table(spark, sf, "pages"), "list")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..operators.fx import unseen_rates
 from ..operators.upsert import upsert
+from ..session import settle
 
 
 def _fs(spark: SparkSession, path: str):
@@ -39,12 +40,15 @@ def write_upsert(spark: SparkSession, path: str, new: DataFrame, keys: Sequence[
                  purge_keys: DataFrame | None = None, partition: str = "month") -> list:
     """Upsert into a table partitioned by `partition`; returns the touched partitions.
 
-    Only touched partitions are read and rewritten. Rows are rebalanced by partition
+    The batch is used several times, so it is first written to the shared scratch
+    folder. Only touched partitions are read and rewritten. Rows are rebalanced by partition
     value first, so a very large month is written by many tasks and a small one into
-    few files. A touched partition that ends up empty is removed: dynamic overwrite
+    few files; within a file they are sorted by key, so a reader of one account skips
+    most of it. A touched partition that ends up empty is removed: dynamic overwrite
     alone would leave its old rows. The partition column must be one of the keys."""
     if partition not in keys:
         raise ValueError(f"{partition} must be one of the keys {list(keys)}")
+    new = settle(new)
     old = read_table(spark, path)
     if old is not None and any(k not in old.columns for k in keys):
         replace_table(spark, path, new, partition)
@@ -57,6 +61,7 @@ def write_upsert(spark: SparkSession, path: str, new: DataFrame, keys: Sequence[
     seen = Observation()
     (merged.observe(seen, F.collect_set(F.col(partition).cast("string")).alias("filled"))
            .hint("rebalance", partition)
+           .sortWithinPartitions(partition, *[k for k in keys if k != partition])
            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
            .partitionBy(partition).parquet(path))
     filled = set(seen.get["filled"] or [])

@@ -13,14 +13,16 @@ from ..contracts import (ACCOUNTS, RATE_FEED, RATE_HISTORY, REFERENCE, AccountRe
 from ..sinks.tables import table_exists
 
 
-def read_report(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_report(spark: SparkSession, path: str, schema: T.StructType,
+                multi_line: bool = True) -> DataFrame:
     """All-text CSV report with a header line. Columns are taken by position, so
     headers that differ only in case keep separate names. A missing path is an empty
-    report."""
+    report. Cells may hold line breaks, which keeps a file in one task; without them
+    (`multi_line` off) a large file is split."""
     if not table_exists(spark, path):
         return spark.createDataFrame([], schema)
     return (spark.read.schema(schema).option("header", True).option("encoding", "UTF-8")
-            .option("quote", '"').option("escape", '"').option("multiLine", True).csv(path))
+            .option("quote", '"').option("escape", '"').option("multiLine", multi_line).csv(path))
 
 
 def read_stored(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
