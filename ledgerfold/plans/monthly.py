@@ -94,8 +94,7 @@ def unified_step(spark: SparkSession, p: MonthParams) -> None:
 
 def publish_step(spark: SparkSession, p: MonthParams) -> None:
     rows = only_month(spark.read.parquet(p.table_path("unified")), p.month)
-    publish(spark, published(rows), p.table_path("published"),
-            accounts=read_accounts(spark, p.table_path("accounts")), ids=p.ids or None)
+    publish(spark, published(rows), p.table_path("published"))
 
 
 def run_month(spark: SparkSession, params: MonthParams,
@@ -108,12 +107,11 @@ def run_month(spark: SparkSession, params: MonthParams,
     steps = [("rates", rates_step)]
     steps += [(shape, report_step(shape, df)) for shape, df in standardised.items() if shape in params.shapes]
     steps += [("reference", reference_step), ("unified", unified_step), ("publish", publish_step)]
-    if "unified" in params.skip:
-        params.skip = params.skip | {"publish"}
+    skip = set(params.skip) | ({"publish"} if "unified" in params.skip else set())
     log = []
     run_at = dt.datetime.now().isoformat(timespec="seconds")
     for name, step in steps:
-        if name in params.skip:
+        if name in skip:
             continue
         start, code = time.monotonic(), 0
         try:
