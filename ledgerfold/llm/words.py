@@ -131,3 +131,17 @@ def chunks(batches: Iterator[pa.RecordBatch], column: str = "text", size: int =
             stop = max(row + 1, int(np.searchsorted(offsets, offsets[row] + size, "right")) - 1)
             yield batch.slice(row, min(stop, batch.num_rows) - row)
             row = stop
+
+
+def joined(words: Words, keep: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """All (kept) words, each followed by one space, and where each word begins in that; one offset more at the end."""
+    start, end = (words.start, words.end) if keep is None else (words.start[keep], words.end[keep])
+    size = end - start + 1
+    offsets = np.zeros(len(size) + 1, np.int64)
+    np.cumsum(size, out=offsets[1:])
+    from_ = np.arange(offsets[-1]) + np.repeat(start - offsets[:-1], size)
+    if len(from_):
+        from_[-1] = 0  # may lie behind the buffer
+    out = words.buf[from_]
+    out[offsets[1:] - 1] = 0x20
+    return out, offsets
