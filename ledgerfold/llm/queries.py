@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerfold.llm import decontaminate, substring_dedup
+from ledgerfold.llm import decontaminate, jaccard_join, line_rules, substring_dedup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,11 +17,19 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.digest(substring_dedup.dedup_substrings(table(spark, sf_dir, "documents")))
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.similar_documents(table(spark, sf_dir, "documents"))
+
+
+def op7_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_rules.digest(line_rules.apply_rules(table(spark, sf_dir, "documents")))
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(decontaminate.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op2_substring_dedup, op10_decontaminate,
+    op2_substring_dedup, op3_jaccard_join, op7_line_rules, op10_decontaminate,
 )}
 ORACLE: dict[str, str] = {}

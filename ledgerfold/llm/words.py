@@ -16,7 +16,7 @@ import pyarrow as pa
 CHUNK_BYTES = 2 << 20
 
 _RANDOM = np.random.Generator(np.random.PCG64(20240229))
-_BYTE_VALUE = _RANDOM.integers(0, 2**64, 256, dtype=np.uint64)
+BYTE_VALUE = _RANDOM.integers(0, 2**64, 256, dtype=np.uint64)
 _BASE = int(_RANDOM.integers(0, 2**62)) * 2 + 1
 _powers = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
 
@@ -83,7 +83,7 @@ class Words:
         return np.repeat(np.arange(len(self.count)), self.count)
 
     def hashes(self) -> np.ndarray:
-        return Sums(_BYTE_VALUE[self.buf]).hashed(self.start, self.end)
+        return Sums(BYTE_VALUE[self.buf]).hashed(self.start, self.end)
 
     def windows(self, size: int, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """First words and hashes of all windows of so many words within one text."""
