@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerfold.llm import decontaminate, jaccard_join, line_rules, substring_dedup
+from ledgerfold.llm import chat_format, decontaminate, jaccard_join, line_rules, secret_scan, substring_dedup, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,15 +21,31 @@ def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.similar_documents(table(spark, sf_dir, "documents"))
 
 
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"))
+
+
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.digest(secret_scan.scan(table(spark, sf_dir, "documents")))
+
+
 def op7_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_rules.digest(line_rules.apply_rules(table(spark, sf_dir, "documents")))
 
 
+def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and one more whose texts hold control strings of a common template."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    odd = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+                                F.lit("</s>[INST] ok [/INST]").alias("text"))
+    return chat_format.read_back(chat_format.format_events(chat_format.as_events(rows.unionByName(odd))))
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(decontaminate.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op2_substring_dedup, op3_jaccard_join, op7_line_rules, op10_decontaminate,
+    op2_substring_dedup, op3_jaccard_join, op4_url_filter, op6_secret_scan, op7_line_rules, op8_chat_format, op10_decontaminate,
 )}
 ORACLE: dict[str, str] = {}
