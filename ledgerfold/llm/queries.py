@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerfold.llm import chat_format, decontaminate, jaccard_join, line_rules, secret_scan, substring_dedup, url_filter
+from ledgerfold.llm import chat_format, decontaminate, jaccard_join, line_dedup, line_rules, secret_scan, substring_dedup, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +25,10 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"))
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.digest(table(spark, sf_dir, "documents"))
+
+
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.scan(table(spark, sf_dir, "documents")))
 
@@ -46,6 +50,6 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op2_substring_dedup, op3_jaccard_join, op4_url_filter, op6_secret_scan, op7_line_rules, op8_chat_format, op10_decontaminate,
+    op2_substring_dedup, op3_jaccard_join, op4_url_filter, op5_line_dedup, op6_secret_scan, op7_line_rules, op8_chat_format, op10_decontaminate,
 )}
 ORACLE: dict[str, str] = {}
