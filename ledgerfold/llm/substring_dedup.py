@@ -29,10 +29,10 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from ledgerfold.llm.words import Sums, Words, chunks, joined, mix, split_bytes, split_words
+from ledgerfold.llm.words import CHUNK_BYTES, Sums, Words, chunks, joined, mix, split_bytes, split_words
 
 SIZE = 20
-GRAM = 3
+GRAM = 2
 BUCKET_WINDOWS = 400_000
 #: Text bytes whose super-k-mers a task gathers before it sends blocks.
 FLUSH_BYTES = 12 << 20
@@ -83,7 +83,7 @@ def super_kmers(words: Words, size: int, gram: int) -> Runs:
 
 
 def _squeezed(raw: bytes) -> bytes:
-    return pa.Codec("zstd", compression_level=1).compress(raw, asbytes=True)
+    return pa.Codec("zstd", compression_level=3).compress(raw, asbytes=True)
 
 
 def _expanded(block: bytes, size: int) -> bytes:
@@ -273,9 +273,27 @@ def _lister():
     return lambda batches: _groups(batches, lists)
 
 
+def _squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts as compressed bytes: they are shuffled once more, to meet the list of what stays."""
+    for batch in chunks(batches):
+        texts = [x or b"" for x in batch.column(2).cast(pa.binary()).to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(map(len, texts), pa.int32()), pa.array(map(_squeezed, texts), pa.binary())], names=["doc", "digest", "size", "packed"])
+
+
+def _opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of bounded numbers of text bytes, with the text in place of its compressed bytes."""
+    for batch in batches:
+        size = batch.column(1).to_numpy()
+        cut = np.flatnonzero(np.diff(np.cumsum(size, dtype=np.int64) // CHUNK_BYTES, prepend=-1))
+        for a, b in zip(cut.tolist(), [*cut[1:].tolist(), batch.num_rows], strict=True):
+            part = batch.slice(a, b - a)
+            texts = [_expanded(x, n) for x, n in zip(part.column(2).to_pylist(), size[a:b].tolist(), strict=True)]
+            yield part.set_column(2, "text", pa.array(texts, pa.binary()).cast(pa.string()))
+
+
 def _remover(size: int, text: str, keep: list[str]):
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches, text):
+        for batch in _opened(batches):
             get = lambda name: batch.column(batch.schema.get_field_index(name))
             words = split_words(get(text))
             starts, ends = get("start"), get("end")
@@ -319,10 +337,11 @@ def dedup_substrings(docs: DataFrame, *, id: str = "doc_id", text: str = "text",
     blocks = source.mapInArrow(_packer(size, gram, n_buckets, spark.sparkContext.broadcast(hot)), BLOCKS)
     firsts = _by_bucket(blocks).mapInArrow(_resolver(size, n_buckets, bucket_windows), BLOCKS)
     ranges = _by_bucket(firsts).mapInArrow(_lister(), "doc long, digest long, start array<int>, end array<int>")
-    joined_docs = source.join(ranges.select(F.col("doc").alias("doc_r"), F.col("digest").alias("digest_r"), "start", "end"),
+    texts = source.mapInArrow(_squeeze, "doc long, digest long, size int, packed binary")
+    joined_docs = texts.join(ranges.select(F.col("doc").alias("doc_r"), F.col("digest").alias("digest_r"), "start", "end"),
                               (F.coalesce("doc", F.lit(int(LAST))) == F.col("doc_r")) & (F.col("digest") == F.col("digest_r")), "left")
     schema = T.StructType([T.StructField("doc", T.LongType()), T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept_text", T.StringType())])
-    return joined_docs.select("doc", "text", "start", "end").mapInArrow(_remover(size, "text", ["doc"]), schema).withColumnRenamed("doc", id)
+    return joined_docs.select("doc", "size", "packed", "start", "end").mapInArrow(_remover(size, "text", ["doc"]), schema).withColumnRenamed("doc", id)
 
 
 def digest(deduped: DataFrame) -> DataFrame:
