@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerfold.llm import chat_format, decontaminate, jaccard_join, line_dedup, line_rules, secret_scan, substring_dedup, url_filter
+from ledgerfold.llm import chat_format, decontaminate, jaccard_join, line_dedup, line_rules, ordinal_quality, secret_scan, substring_dedup, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,11 +45,17 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.read_back(chat_format.format_events(chat_format.as_events(rows.unionByName(odd))))
 
 
+def op9_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = ordinal_quality.train(docs, ordinal_quality.ratings(table(spark, sf_dir, "labels")))
+    return ordinal_quality.grade(docs, model)
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(decontaminate.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op2_substring_dedup, op3_jaccard_join, op4_url_filter, op5_line_dedup, op6_secret_scan, op7_line_rules, op8_chat_format, op10_decontaminate,
+    op2_substring_dedup, op3_jaccard_join, op4_url_filter, op5_line_dedup, op6_secret_scan, op7_line_rules, op8_chat_format, op9_ordinal_quality, op10_decontaminate,
 )}
 ORACLE: dict[str, str] = {}
