@@ -7,7 +7,8 @@ order: a character's chance after its last `order` characters is smoothed by the
 one character less (Witten-Bell: n + t in the denominator, t distinct followers), down to an
 even chance. The difference of both log chances, summed over the url and divided by its number of
 characters, is held against a threshold, which is the value that best separates the allowed
-from the blocked urls (largest sum of both hit rates; the smallest such value).
+from the blocked urls: the cut with the largest sum of both hit rates (the lowest such cut), half
+way between the mean scores on its two sides.
 
 Defined cases: a null url, or one without `://`, has an empty host and path and is judged by
 the chance of an empty url; without allowed or without blocked urls every undecided url is
@@ -24,6 +25,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ledgerfold.llm.store import stored
+
 ORDER = 4
 START, STOP = "\x02", "\x03"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -73,22 +76,23 @@ def _grams(urls: DataFrame, order: int) -> DataFrame:
 
 def gram_scores(urls: DataFrame, order: int = ORDER) -> DataFrame:
     """gram, score: the difference of log chances in millionths, from said, n_allow, n_block."""
-    counts = _grams(urls, order).groupBy("gram").agg(F.sum("n_allow").alias("n_allow"), F.sum("n_block").alias("n_block"))
-    out = counts.select("gram")
-    size = counts.select(F.substring("gram", order + 1, 1).alias("c")).distinct().agg(F.count(F.lit(1)).alias("n")).first()["n"]
-    chance = {side: F.lit(1.0) / F.lit(float(max(size, 1))) for side in ("allow", "block")}
-    for k in range(order + 1):
-        tail = F.substring("gram", order + 1 - k, k + 1)
-        seen = counts.groupBy(tail.alias("tail")).agg(*(F.sum(f"n_{s}").alias(f"n_{s}") for s in chance))
-        after = seen.groupBy(F.substring("tail", 1, k).alias("context")).agg(
-            *(F.sum(f"n_{s}").alias(f"all_{s}") for s in chance), *(F.sum((F.col(f"n_{s}") > 0).cast("long")).alias(f"kinds_{s}") for s in chance))
-        known = seen.join(after, F.substring("tail", 1, k) == F.col("context")).select("tail", *(f"n_{s}" for s in chance), *(f"all_{s}" for s in chance), *(f"kinds_{s}" for s in chance))
-        out = out.withColumn("tail", tail).join(known, "tail")
-        out = out.select("gram", *(c for c in out.columns if c.startswith("chance_")), *(
-            F.when(F.col(f"all_{s}") > 0, (F.col(f"n_{s}") + F.col(f"kinds_{s}") * chance[s]) / (F.col(f"all_{s}") + F.col(f"kinds_{s}"))).otherwise(chance[s]).alias(f"next_{s}") for s in chance))
-        out = out.select("gram", *(F.col(f"next_{s}").alias(f"chance_{s}") for s in chance))
-        chance = {s: F.col(f"chance_{s}") for s in chance}
-    return out.select("gram", F.round((F.log("chance_allow") - F.log("chance_block")) * 1_000_000).cast("long").alias("score"))
+    sides = ("allow", "block")
+    counts = stored(_grams(urls, order).groupBy("gram").agg(*(F.sum(f"n_{s}").alias(f"n_{s}") for s in sides)))
+    size = counts.select(F.substring("gram", order + 1, 1).alias("c")).distinct().count()
+    # Every gram stands under its last 1 to order + 1 characters; what precedes the last one is the context.
+    tails = counts.withColumn("tail", F.explode(F.transform(F.sequence(F.lit(1), F.lit(order + 1)), lambda k: F.substring("gram", -k, k))))
+    context = F.substring("tail", 1, F.length("tail") - 1).alias("context")
+    seen = tails.groupBy("tail").agg(*(F.sum(f"n_{s}").alias(f"n_{s}") for s in sides)).select("*", context)
+    after = seen.groupBy("context").agg(*(F.sum(f"n_{s}").alias(f"all_{s}") for s in sides), *(F.sum((F.col(f"n_{s}") > 0).cast("long")).alias(f"kinds_{s}") for s in sides))
+    known = seen.join(after, "context")
+    steps = tails.select("gram", "tail").join(known, "tail").groupBy("gram").agg(F.array_sort(F.collect_list(
+        F.struct(F.length("tail").alias("k"), *(f"{what}_{s}" for s in sides for what in ("n", "all", "kinds"))))).alias("steps"))
+
+    def chance(side: str) -> Column:
+        return F.aggregate("steps", F.lit(1.0 / max(size, 1)), lambda p, x: F.when(
+            x[f"all_{side}"] > 0, (x[f"n_{side}"] + x[f"kinds_{side}"] * p) / (x[f"all_{side}"] + x[f"kinds_{side}"])).otherwise(p))
+
+    return steps.select("gram", F.round((F.log(chance("allow")) - F.log(chance("block"))) * 1_000_000).cast("long").alias("score"))
 
 
 def threshold(scored: DataFrame) -> int | None:
@@ -98,12 +102,12 @@ def threshold(scored: DataFrame) -> int | None:
     steps = scored.where("n_allow + n_block > 0").groupBy(step.alias("step")).agg(F.sum("n_allow").alias("n_allow"), F.sum("n_block").alias("n_block"))
     both = steps.agg(F.sum("n_allow").alias("a"), F.sum("n_block").alias("b"), F.array_sort(F.collect_list(F.struct("step", "n_allow", "n_block"))).alias("steps"))
     # Blocked urls below a step, and allowed ones from it on.
-    below = F.aggregate("steps", F.struct(F.lit(0).cast("long").alias("a"), F.lit(0).cast("long").alias("b"), F.lit(None).cast("long").alias("step"), F.lit(-1.0).alias("best")),
-                        lambda s, x: F.struct(
-                            (s.a + x.n_allow).alias("a"), (s.b + x.n_block).alias("b"),
-                            F.when(s.b / F.col("b") + (F.col("a") - s.a) / F.col("a") > s.best, x.step).otherwise(s.step).alias("step"),
-                            F.greatest(s.best, s.b / F.col("b") + (F.col("a") - s.a) / F.col("a")).alias("best")))
-    row = both.where("a > 0 AND b > 0").select(below.step.alias("step")).first()
+    rates = lambda s: s.b / F.col("b") + (F.col("a") - s.a) / F.col("a")
+    start = F.struct(F.lit(0).cast("long").alias("a"), F.lit(0).cast("long").alias("b"), F.lit(None).cast("long").alias("last"), F.lit(None).cast("long").alias("cut"), F.lit(-1.0).alias("best"))
+    swept = F.aggregate("steps", start, lambda s, x: F.struct(
+        (s.a + x.n_allow).alias("a"), (s.b + x.n_block).alias("b"), x.step.alias("last"),
+        F.when(rates(s) > s.best, F.floor((F.coalesce(s.last, x.step) + x.step) / 2)).otherwise(s.cut).alias("cut"), F.greatest(s.best, rates(s)).alias("best")))
+    row = both.where("a > 0 AND b > 0").select(swept.cut.alias("step")).first()
     return None if row is None else row["step"]
 
 
@@ -114,11 +118,10 @@ def judge(pages: DataFrame, *, rules: tuple[Rule, ...] = RULES, order: int = ORD
     name, allow = apply_rules(F.col("host"), F.col("path"), rules)
     ruled = parts.select(id, "host", "path", name.alias("rule"), allow.alias("allow"))
     # What a model is told or asked about: each distinct host and path once, with its number of rows.
-    urls = ruled.groupBy(F.concat("host", "path").alias("said")).agg(
-        F.sum(F.coalesce(F.col("allow").cast("long"), F.lit(0))).alias("n_allow"), F.sum(F.coalesce((~F.col("allow")).cast("long"), F.lit(0))).alias("n_block"))
-    scores = gram_scores(urls, order)
-    scored = _grams(urls, order).join(scores, "gram").groupBy("said").agg(
-        F.sum("score").alias("score"), F.count(F.lit(1)).alias("chars"), F.first("n_allow").alias("n_allow"), F.first("n_block").alias("n_block"))
+    urls = stored(ruled.groupBy(F.concat("host", "path").alias("said")).agg(
+        F.sum(F.coalesce(F.col("allow").cast("long"), F.lit(0))).alias("n_allow"), F.sum(F.coalesce((~F.col("allow")).cast("long"), F.lit(0))).alias("n_block")))
+    scores = stored(gram_scores(urls, order))
+    scored = stored(_grams(urls, order).join(scores, "gram").groupBy("said", "n_allow", "n_block").agg(F.sum("score").alias("score"), F.count(F.lit(1)).alias("chars")))
     least = threshold(scored)
     mean = F.floor(F.col("score") / (F.col("chars") * 1000)).cast("long")
     said = F.lit(True) if least is None else F.coalesce(mean >= least, F.lit(True))
