@@ -6,13 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerfold.llm import chat_format, decontaminate, jaccard_join, line_dedup, line_rules, ordinal_quality, secret_scan, substring_dedup, url_filter
+from ledgerfold.llm import chat_format, decontaminate, jaccard_join, line_dedup, line_rules, ordinal_quality, sampled_pieces, secret_scan, substring_dedup, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_sampled_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sampled_pieces.encode(table(spark, sf_dir, "documents"), sampled_pieces.load_pieces())
+
+
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.digest(substring_dedup.dedup_substrings(table(spark, sf_dir, "documents")))
 
@@ -56,6 +60,6 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op2_substring_dedup, op3_jaccard_join, op4_url_filter, op5_line_dedup, op6_secret_scan, op7_line_rules, op8_chat_format, op9_ordinal_quality, op10_decontaminate,
+    op1_sampled_pieces, op2_substring_dedup, op3_jaccard_join, op4_url_filter, op5_line_dedup, op6_secret_scan, op7_line_rules, op8_chat_format, op9_ordinal_quality, op10_decontaminate,
 )}
 ORACLE: dict[str, str] = {}

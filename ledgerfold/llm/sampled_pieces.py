@@ -25,7 +25,6 @@ together in arrays. The vocabulary (its size is fixed by the file) is broadcast.
 
 from __future__ import annotations
 
-import bisect
 import heapq
 import math
 from collections.abc import Iterator
@@ -55,6 +54,7 @@ class Pieces:
     weight: np.ndarray
     first_byte: int
     tables: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]
+    short: dict[int, np.ndarray]  # pieces of one and two bytes by those bytes
     alone: np.ndarray  # bytes that no longer piece holds
 
 
@@ -88,11 +88,15 @@ def load_pieces(path: str = MODEL, alpha: float = ALPHA) -> Pieces:
         near = np.zeros(1 << _SLOTS, bool)
         near[hashes[mine] >> np.uint64(64 - _SLOTS)] = True
         tables[n] = (hashes[mine][order], ids[mine][order], near)
+    short = {1: np.full(1 << 8, -1), 2: np.full(1 << 16, -1)}
+    for i in whole:
+        if len(raw[i]) <= 2:
+            short[len(raw[i])][int.from_bytes(raw[i])] = i
     alone = np.ones(256, bool)
     alone[0x20:] = False
     alone[np.concatenate([np.frombuffer(raw[i], np.uint8) for i in whole if len(raw[i]) > 1])] = False
     alone[0x7F] = not any(b"\x7f" in raw[i] for i in whole)
-    return Pieces(flat, offsets, weight, model.piece_to_id("<0x00>"), tables, alone)
+    return Pieces(flat, offsets, weight, model.piece_to_id("<0x00>"), tables, short, alone)
 
 
 # -- runs and lattices -----------------------------------------------------------------------
@@ -108,73 +112,95 @@ def _runs(offsets: np.ndarray, buf: np.ndarray, alone: np.ndarray) -> np.ndarray
 
 @dataclass
 class Lattice:
-    """Edges sorted by the byte where they start. `place` is that byte plus the running chance."""
+    """Edges sorted by the byte where they start, those of one byte by falling chance."""
 
     start: np.ndarray
     end: np.ndarray
     piece: np.ndarray
     chance: np.ndarray
     log_chance: np.ndarray
-    place: np.ndarray
+    upto: np.ndarray  # chances of a byte's edges up to this one; above 1 at the last one
+    first: np.ndarray  # each byte's first edge
+    degree: np.ndarray  # edges that start where this one does
     run_end: np.ndarray  # for each byte, where its run ends
 
 
-def _lattice(buf: np.ndarray, offsets: np.ndarray, pieces: Pieces) -> Lattice:
-    run_end = np.repeat(offsets[1:], np.diff(offsets))
+def _matches(buf: np.ndarray, run_end: np.ndarray, pieces: Pieces) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and number of every piece at every place, in the order of starts."""
     left = run_end - np.arange(len(buf))
     sums = Sums(BYTE_VALUE[buf])
-    starts, ends, ids = [], [], []
+    starts, sizes, ids = [], [], []
     for n, (known, piece, near) in pieces.tables.items():
-        at = np.flatnonzero(left >= n)
-        h = sums.hashed(at, at + n)
-        hit = near[h >> np.uint64(64 - _SLOTS)]
-        at, h = at[hit], h[hit]
-        spot = np.minimum(np.searchsorted(known, h), len(known) - 1)
-        same = known[spot] == h
-        starts.append(at[same])
-        ends.append(at[same] + n)
-        ids.append(piece[spot[same]])
+        if n <= 2:
+            at = np.arange(len(buf)) if n == 1 else np.flatnonzero(left >= 2)
+            found = pieces.short[n][buf[at] if n == 1 else buf[at].astype(np.int64) << 8 | buf[at + 1]]
+            at, found = at[found >= 0], found[found >= 0]
+        else:
+            at = np.flatnonzero(left >= n)
+            h = sums.hashed(at, at + n)
+            hit = near[h >> np.uint64(64 - _SLOTS)]
+            at, h = at[hit], h[hit]
+            spot = np.minimum(np.searchsorted(known, h), len(known) - 1)
+            same = known[spot] == h
+            at, found = at[same], piece[spot[same]]
+        starts.append(at)
+        sizes.append(np.full(len(at), n))
+        ids.append(found)
     # Characters without a piece of their own: bytes one by one.
     head = np.flatnonzero((buf & 0xC0) != 0x80)
     size = np.diff(np.append(head, len(buf)))
-    whole = np.zeros(len(buf) + 1, np.int64)
-    for s, e in zip(starts, ends, strict=True):
-        np.maximum.at(whole, s, 0)
-        single = (e - s) == _char_size(buf[s])
-        whole[s[single]] = 1
-    missing = whole[head] == 0
-    spread = np.repeat(head[missing], size[missing]) + np.arange(size[missing].sum()) - np.repeat(np.cumsum(size[missing]) - size[missing], size[missing])
+    whole = np.zeros(len(buf), bool)
+    for at, n in zip(starts, pieces.tables, strict=True):
+        if n <= 4:
+            whole[at[_char_size(buf[at]) == n]] = True
+    missing = np.zeros(len(buf) + 1, np.int64)
+    missing[head[~whole[head]]] = 1
+    missing[(head + size)[~whole[head]]] -= 1
+    spread = np.flatnonzero(np.cumsum(missing)[:-1] > 0)
     start = np.concatenate([*starts, spread])
-    end = np.concatenate([*ends, spread + 1])
+    order = np.argsort(start, kind="stable")
+    end = start + np.concatenate([*sizes, np.ones(len(spread), np.int64)])
     piece = np.concatenate([*ids, pieces.first_byte + buf[spread].astype(np.int64)])
-    # Backward sums of weights, all runs at once, from their ends on.
-    far = run_end[start] - start if len(start) else start
-    order = np.lexsort((start, far))
-    start, end, piece, far = start[order], end[order], piece[order], far[order]
-    total = np.zeros(len(buf) + 1)
-    value = np.zeros(len(start))
-    weight = pieces.weight[piece]
-    cuts = np.flatnonzero(np.diff(far, prepend=-1, append=-1))
-    for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-        e = end[a:b]
-        x = weight[a:b] + np.where(e == run_end[start[a:b]], 0.0, total[np.minimum(e, len(buf))])
-        s = start[a:b]
+    return start[order], end[order], piece[order]
+
+
+def _log_chances(start: np.ndarray, end: np.ndarray, weight: np.ndarray, run_end: np.ndarray) -> np.ndarray:
+    """Log chance of each edge at its start: backward sums of weights, all runs at once, from their ends on."""
+    far = run_end[start] - start
+    order = np.argsort(far.astype(np.uint16) if len(far) and far.max() < 1 << 16 else far, kind="stable")
+    start, end, far, weight = start[order], end[order], far[order], weight[order]
+    total = np.zeros(len(run_end) + 1)
+    value = np.empty(len(start))
+    last = np.append(run_end, 0)
+    cuts = np.flatnonzero(np.diff(far, prepend=-1, append=-1)).tolist()
+    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+        s, e = start[a:b], end[a:b]
+        x = weight[a:b] + np.where(e == last[s], 0.0, total[e])
         group = np.flatnonzero(np.diff(s, prepend=-1))
-        top = np.maximum.reduceat(x, group)
         reps = np.diff(np.append(group, b - a))
+        top = np.maximum.reduceat(x, group)
         z = top + np.log(np.add.reduceat(np.exp(x - np.repeat(top, reps)), group))
         total[s[group]] = z
         value[a:b] = x - np.repeat(z, reps)
-    order = np.argsort(start, kind="stable")
+    out = np.empty(len(start))
+    out[order] = value
+    return out
+
+
+def _lattice(buf: np.ndarray, offsets: np.ndarray, pieces: Pieces) -> Lattice:
+    run_end = np.repeat(offsets[1:], np.diff(offsets))
+    start, end, piece = _matches(buf, run_end, pieces)
+    value = _log_chances(start, end, pieces.weight[piece], run_end)
+    order = np.argsort(start + 0.5 * (1.0 - np.exp(value)))  # the likeliest edge of a place first
     start, end, piece, value = start[order], end[order], piece[order], value[order]
     chance = np.exp(value)
+    first = np.searchsorted(start, np.arange(len(buf) + 1))
     group = np.flatnonzero(np.diff(start, prepend=-1))
+    degree = np.repeat(np.diff(np.append(group, len(start))), np.diff(np.append(group, len(start))))
     running = np.cumsum(chance)
-    base = np.repeat(running[group] - chance[group], np.diff(np.append(group, len(start)))) if len(start) else running
-    upto = running - base
-    if len(start):
-        upto[np.append(group[1:], len(start)) - 1] = 1.0
-    return Lattice(start, end, piece, chance, value, start + np.minimum(upto, 1.0), run_end)
+    upto = running - np.repeat(running[group] - chance[group], np.diff(np.append(group, len(start))))
+    upto[np.append(group[1:], len(start))[: len(group)] - 1] = 2.0
+    return Lattice(start, end, piece, chance, value, upto, first, degree, run_end)
 
 
 def _char_size(lead: np.ndarray) -> np.ndarray:
@@ -192,12 +218,24 @@ def _uniform(*parts: np.ndarray | int) -> np.ndarray:
     return ((h >> np.uint64(12)).astype(np.float64) + 0.5) / float(1 << 52)
 
 
+_ALL = (1 << 64) - 1
+
+
+def _seed(*parts: int) -> int:
+    """One number from several, in plain integers."""
+    h = 0
+    for p in parts:
+        h = (h + p + 0x9E3779B97F4A7C15) & _ALL
+        h = ((h ^ h >> 30) * 0xBF58476D1CE4E5B9) & _ALL
+        h = ((h ^ h >> 27) * 0x94D049BB133111EB) & _ALL
+        h ^= h >> 31
+    return h
+
+
 def _below(mean: np.ndarray, limit: float, u: np.ndarray) -> np.ndarray:
     """Gumbel values of the given log masses, each the largest of its region, cut off at the limit."""
     wait = -np.log(u)
-    with np.errstate(over="ignore"):
-        out = mean - np.log(np.exp(mean - limit) + wait)
-    return np.minimum(out, limit)
+    return np.minimum(mean - np.log(np.exp(np.minimum(mean - limit, 700.0)) + wait), limit)
 
 
 def _walk(lattice: Lattice, begin: np.ndarray, end: np.ndarray, key: np.ndarray, sample: int) -> tuple[np.ndarray, np.ndarray]:
@@ -205,8 +243,12 @@ def _walk(lattice: Lattice, begin: np.ndarray, end: np.ndarray, key: np.ndarray,
     active, node, depth = np.arange(len(begin)), begin.copy(), 0
     who, what = [], []
     while len(active):
-        u = np.minimum(_uniform(key[active], sample, depth), 1 - 1e-8)
-        edge = np.searchsorted(lattice.place, node + u, "right")
+        u = _uniform(key[active], sample, depth)
+        edge = lattice.first[node]
+        open_ = np.flatnonzero(lattice.upto[edge] <= u)
+        while len(open_):
+            edge[open_] += 1
+            open_ = open_[lattice.upto[edge[open_]] <= u[open_]]
         who.append(active)
         what.append(edge)
         node = lattice.end[edge]
@@ -244,15 +286,15 @@ class _Search:
         rest = 1.0 - lattice.chance[part]
         if len(part):
             rest[0] -= sum(lattice.chance[e] for e in taken)
-            node = lattice.start[part]
-            left = np.searchsorted(lattice.start, node, "right") - np.searchsorted(lattice.start, node, "left") - 1
+            left = lattice.degree[part] - 1
             left[0] -= len(taken)
-            branch = np.flatnonzero((left > 0) & (rest > 0) & (ahead > LEAST))
+            branch = np.flatnonzero((left > 0) & (rest > 0) & (ahead > LEAST)).astype(np.uint64)
             if len(branch):
                 self.serial += 1
-                values = _below(ahead[branch] + np.log(rest[branch]), value, _uniform(self.key, 1 << 20, self.serial, branch))
+                at_branch = branch.view(np.int64)
+                values = _below(ahead[at_branch] + np.log(rest[at_branch]), value, _uniform(branch + np.uint64(_seed(self.key, 1, self.serial))))
                 for i in np.argsort(-values)[: self.samples].tolist():
-                    step = int(branch[i])
+                    step = int(at_branch[i])
                     gone = (*taken, int(part[0])) if step == 0 else (int(part[step]),)
                     heapq.heappush(self.agenda, (-float(values[i]), self.serial, step, path, at + step, gone, float(ahead[step])))
 
@@ -263,14 +305,16 @@ class _Search:
         value, serial, _, path, at, taken, before = heapq.heappop(self.agenda)
         lattice = self.lattice
         node = int(lattice.start[path[at]])
-        low, high = bisect.bisect_left(lattice.start, node), bisect.bisect_right(lattice.start, node)
-        free = [e for e in range(low, high) if e not in taken]
+        low = int(lattice.first[node])
+        free = [e for e in range(low, low + int(lattice.degree[low])) if e not in taken]
         chances = lattice.chance[free]
-        u = _uniform(self.key, 2 << 20, serial, np.arange(at, at + 1 + int(lattice.run_end[node]) - node))
+        u = _uniform(np.arange(1 + int(lattice.run_end[node]) - node, dtype=np.uint64) + np.uint64(_seed(self.key, 2, serial, at)))
         edge = free[min(int(np.searchsorted(np.cumsum(chances), u[0] * chances.sum(), "right")), len(free) - 1)]
         branch, stop = [edge], int(lattice.run_end[node])
         while (node := int(lattice.end[edge])) != stop:
-            edge = int(np.searchsorted(lattice.place, node + min(u[len(branch)], 1 - 1e-8), "right"))
+            edge = int(lattice.first[node])
+            while lattice.upto[edge] <= u[len(branch)]:
+                edge += 1
             branch.append(edge)
         run = int(np.count_nonzero(lattice.end[path[:at]] == lattice.run_end[lattice.start[path[:at]]]))
         new = np.concatenate([path[:at], branch, fresh[fresh_first[run + 1] - fresh_first[0] :]]).astype(np.int64)
@@ -304,7 +348,7 @@ def sample_batch(text: pa.Array, keys: np.ndarray, pieces: Pieces, samples: int)
         for j, (fresh, first) in enumerate(paths):
             own = fresh[first[a] : first[b]]
             if j == 0:
-                value = float(-np.log(-np.log(_uniform(int(keys[r]), 3 << 20)))[0])
+                value = float(-math.log(-math.log((_seed(int(keys[r]), 3) >> 12) / (1 << 52) + 2.0**-54)))
                 got.append((value, own))
                 search.split(own, 0, (), 0.0, value)
             elif (found := search.pop(own, first[a : b + 1])) is not None:
