@@ -62,4 +62,3 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_sampled_pieces, op2_substring_dedup, op3_jaccard_join, op4_url_filter, op5_line_dedup, op6_secret_scan, op7_line_rules, op8_chat_format, op9_ordinal_quality, op10_decontaminate,
 )}
-ORACLE: dict[str, str] = {}
