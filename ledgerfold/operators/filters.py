@@ -7,7 +7,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import is_blank, norm_key, platform_key, strip
+from ..functions import is_blank, norm_key, strip
 
 ACTIVE = ("1",)
 ACTIVE_MULTILINGUAL = ("1", "4", "5")
@@ -56,6 +56,12 @@ def only_month(df: DataFrame, month: str, column: str = "month") -> DataFrame:
     return df.where(F.col(column) == month)
 
 
+def in_month(df: DataFrame, month: str, column: str) -> DataFrame:
+    """Rows whose timestamp lies in a month (yyyy-MM); a range that scans can use."""
+    start = F.to_timestamp(F.lit(f"{month}-01"))
+    return df.where((F.col(column) >= start) & (F.col(column) < F.add_months(F.lit(f"{month}-01").cast("date"), 1).cast("timestamp")))
+
+
 def brand_slice(df: DataFrame, brand: str) -> DataFrame:
     return df.where(F.col("brand") == brand)
 
@@ -77,8 +83,4 @@ def currency_choice(feed: DataFrame, wanted: Sequence[str]) -> tuple[DataFrame,
     if not wanted:
         return feed, names
     return (feed.where(F.col("currency").isin(list(wanted))),
-            names.join(feed.select("currency"), "currency", "left_anti"))
-
-
-def platform_equals(c: Column, name: str) -> Column:
-    return platform_key(c) == name.strip().lower().replace(" ", "")
+            names.join(feed.where(F.col("currency").isin(list(wanted))).select("currency").distinct(), "currency", "left_anti"))

@@ -28,7 +28,9 @@ def explode_feed(feed: DataFrame) -> DataFrame:
 
 
 def unseen_rates(rows: DataFrame, history: DataFrame | None) -> DataFrame:
-    """Rows whose (quote time, currency) the history does not hold yet."""
+    """Rows whose (quote time, currency) the history does not hold yet, one for each of
+    them: of copies inside the batch the smallest stays."""
+    rows = first_per_key(rows, ["quote_ts", "currency"], [])
     if history is None:
         return rows
     seen = history.select(F.col("quote_ts").alias("_q"), F.col("currency").alias("_c")).distinct()

@@ -9,7 +9,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..contracts import (DEFAULT_COMMISSION_TYPES, HEADER_MAP, MEASURE_HEADERS, MONEY, ZERO_ROW_TEXT)
+from ..contracts import (CURRENCY_MARKERS, DEFAULT_COMMISSION_TYPES, HEADER_MAP, MEASURE_HEADERS, MONEY, ZERO_ROW_TEXT)
 from ..functions import (bind, detect_currency, lenient_number, merchant_username, round2, row_currency,
                          strip)
 from .filters import detail_only, drop_totals
@@ -66,11 +66,20 @@ def tag_accounts(df: DataFrame, accounts: DataFrame, month: str | Column,
 
 
 # --- currencies ------------------------------------------------------------
+CODES = sorted({code for _, code in CURRENCY_MARKERS})
+
+
 def first_found(row: Column, col: Column, text: Column) -> Column:
-    """Aggregate: currency of the first cell that has one, columns before rows."""
-    code = detect_currency(text)
-    entry = F.when(code.isNotNull(), F.struct(col.alias("c"), row.alias("r"), code.alias("code")))
-    return F.min(entry)["code"]
+    """Aggregate: currency of the first cell that has one, columns before rows.
+
+    Column, row (10 and 19 digits) and currency go into one decimal, whose minimum is a
+    fixed-width value: it is reduced by hash, without sorting cells."""
+    codes = F.array(*[F.lit(c) for c in CODES])
+    code = F.array_position(codes, detect_currency(text)).cast("decimal(2,0)")
+    entry = (col.cast("decimal(10,0)") * F.lit(str(10 ** 21)).cast("decimal(22,0)")
+             + row.cast("decimal(19,0)") * F.lit(100).cast("decimal(3,0)") + code).cast("decimal(38,0)")
+    least = F.min(entry)
+    return F.when(least.isNotNull(), F.element_at(codes, F.pmod(least, F.lit(100)).cast("int")))
 
 
 def table_currency(cells: DataFrame, *groups: str) -> DataFrame:
@@ -80,10 +89,10 @@ def table_currency(cells: DataFrame, *groups: str) -> DataFrame:
         first_found(F.col("row_no"), F.col("col_no"), F.col("text")).alias("currency"))
 
 
-def bounded_currency(cells: DataFrame, *groups: str, bound: int = 10) -> DataFrame:
-    """First currency in the first `bound` rows (row_no from 1), else in the totals
-    cells. `cells` has the group columns, row_no, text and is_total."""
-    shown = F.when(~F.col("is_total") & (F.col("row_no") <= bound), F.col("text"))
+def shown_currency(cells: DataFrame, *groups: str) -> DataFrame:
+    """First currency in the rows, else in the totals cells. `cells` has the group
+    columns, row_no, text and is_total."""
+    shown = F.when(~F.col("is_total"), F.col("text"))
     total = F.when(F.col("is_total"), F.col("text"))
     at = F.col("row_no")
     return cells.groupBy(*groups).agg(
@@ -153,7 +162,7 @@ def standardize_long(raw: DataFrame, shown: DataFrame, accounts: DataFrame, mont
     sums = sum_by_type(df, "account_id", kind="Commission Type", amount="Amount")
     if empty_accounts is not None:
         sums = sums.unionByName(default_rows(empty_accounts))
-    seen = bounded_currency(shown, "account_id").withColumnRenamed("account_id", "_a")
+    seen = shown_currency(shown, "account_id").withColumnRenamed("account_id", "_a")
     coded = join_unique(sums, seen, [(F.col("account_id"), "_a")], "left")
     return tag_accounts(coded, accounts, month, F.col("currency"))
 

@@ -131,7 +131,8 @@ PREFERRED = """preferred AS (
     FROM sheet WHERE lower(trim(platform)) = 'wide' AND lower(trim(commission)) IN ('rs', 'cpa')) WHERE rn = 1)"""
 
 STORED = f"""stored AS (
-  SELECT o_custkey, {month('o_orderdate')} AS month, o_orderkey, o_orderstatus, {cents('o_totalprice')} AS amount
+  SELECT o_custkey, CASE year(o_orderdate) WHEN 1995 THEN strftime(o_orderdate, '%m') WHEN 1996 THEN NULL
+         ELSE {month('o_orderdate')} END AS month, o_orderkey, o_orderstatus, {cents('o_totalprice')} AS amount
   FROM orders)"""
 
 WIDE = f"""wide AS (
@@ -187,7 +188,7 @@ ORACLE["first_currency"] = f"""
 WITH {SYMBOL_CELLS}, t AS (
   SELECT o_custkey, {month('o_orderdate')} AS month, day(o_orderdate) AS r, {detect('cell_a')} AS a, {detect('cell_b')} AS b
   FROM cells)
-SELECT o_custkey, month, coalesce(arg_min(a, (r, a)) FILTER (a IS NOT NULL AND r <= 10),
+SELECT o_custkey, month, coalesce(arg_min(a, (r, a)) FILTER (a IS NOT NULL),
                                   arg_min(b, (r, b)) FILTER (b IS NOT NULL)) AS currency
 FROM t GROUP BY ALL"""
 
@@ -326,8 +327,9 @@ WITH f AS (
          event_type AS base_code, CAST(json_extract(props, '$.k') AS DOUBLE) AS k, value AS v FROM events),
 flat AS (SELECT month, quote_ts, base_code, 'k' AS currency, k AS rate FROM f WHERE k IS NOT NULL
          UNION ALL SELECT month, quote_ts, base_code, 'v', v FROM f)
-SELECT * FROM flat WHERE NOT (currency = 'v' AND quote_ts IN (
-  SELECT strftime(ts, '%Y-%m-%d %H:%M:%S') FROM events WHERE event_type = 'view'))"""
+SELECT month, quote_ts, base_code, currency, rate FROM flat WHERE NOT (currency = 'v' AND quote_ts IN (
+  SELECT strftime(ts, '%Y-%m-%d %H:%M:%S') FROM events WHERE event_type = 'view'))
+QUALIFY row_number() OVER (PARTITION BY quote_ts, currency ORDER BY month, base_code, rate) = 1"""
 
 ORACLE["unknown_currencies"] = """
 SELECT currency FROM (VALUES ('view'), ('click'), ('ZZZ')) w(currency)
@@ -367,13 +369,13 @@ SELECT o_orderkey, operator, username FROM union_rows WHERE platform = 'BUILDING
 ORACLE["upsert_replace"] = f"""
 WITH {STORED}
 SELECT o_custkey, month, o_orderkey, o_orderstatus, CAST(amount AS DOUBLE) AS amount FROM stored
-WHERE (o_custkey, month) NOT IN (SELECT (o_custkey, month) FROM stored WHERE o_orderstatus = 'F')
+WHERE (o_custkey, coalesce(month, '')) NOT IN (SELECT (o_custkey, coalesce(month, '')) FROM stored WHERE o_orderstatus = 'F')
 UNION ALL SELECT o_custkey, month, o_orderkey, NULL, CAST(amount + 10 AS DOUBLE) FROM stored WHERE o_orderstatus = 'F'"""
 
 ORACLE["upsert_purge"] = f"""
 WITH {STORED}
 SELECT o_custkey, month, o_orderkey, o_orderstatus, CAST(amount AS DOUBLE) AS amount FROM stored
-WHERE (o_custkey, month) NOT IN (SELECT (o_custkey, month) FROM stored WHERE o_orderstatus <> 'P')
+WHERE (o_custkey, coalesce(month, '')) NOT IN (SELECT (o_custkey, coalesce(month, '')) FROM stored WHERE o_orderstatus <> 'P')
 UNION ALL SELECT o_custkey, month, o_orderkey, o_orderstatus, CAST(amount + 10 AS DOUBLE) FROM stored WHERE o_orderstatus = 'F'"""
 
 

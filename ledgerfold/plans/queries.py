@@ -16,7 +16,7 @@ from ..functions import (base_url, billing_total, canonical_operator, currency_d
 from ..operators.adapters import (adapt_long, adapt_multilingual, adapt_vendor, adapt_wide,
                                   conditional_sums, union_reports)
 from ..operators.billing import published
-from ..operators.filters import (brand_slice, detail_only, drop_totals, only_month, same_month,
+from ..operators.filters import (brand_slice, detail_only, drop_totals, in_month, same_month,
                                  select_accounts)
 from ..operators.fx import (add_eur, mark_pending, missing_rates, monthly_rates, rebase,
                             refresh_rates, resolve_pending_fx, with_rate)
@@ -24,11 +24,10 @@ from ..operators.quality import (account_outcomes, divergences, filter_by_ids, l
                                  missing_accounts)
 from ..operators.reference import (enrich_reference, preferred_rows, reference_lookup,
                                    refresh_reference)
-from ..operators.standardize import (bounded_currency, canonical_headers, clean_headers,
+from ..operators.standardize import (shown_currency, canonical_headers, clean_headers,
                                      default_rows, pad_rows, row_cells, sum_by_type,
                                      table_currency, tag_accounts)
 from ..operators.upsert import upsert
-from ..session import settle
 from ..sinks.publish import comma_text
 from ..sinks.run_log import render_steps, run_summary
 from ..sources.html_rows import html_rows
@@ -98,8 +97,8 @@ def table_currency_scan(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def first_currency(spark: SparkSession, sf: str) -> DataFrame:
-    """First currency in the first 10 rows of a customer's monthly table, else in its
-    totals cells. Here the day is the row number and cell_b the totals cell."""
+    """First currency in the rows of a customer's monthly table, else in its totals
+    cells. Here the day is the row number and cell_b the totals cell."""
     rows = symbol_cells(spark, sf).select(
         "o_custkey", month_of(F.col("o_orderdate")).alias("month"),
         F.dayofmonth("o_orderdate").alias("row_no"), "cell_a", "cell_b")
@@ -107,7 +106,7 @@ def first_currency(spark: SparkSession, sf: str) -> DataFrame:
         F.struct(F.col("cell_a").alias("text"), F.lit(False).alias("is_total")),
         F.struct(F.col("cell_b").alias("text"), F.lit(True).alias("is_total")))).alias("x")).select(
         "o_custkey", "month", "row_no", "x.text", "x.is_total")
-    return bounded_currency(cells, "o_custkey", "month")
+    return shown_currency(cells, "o_custkey", "month")
 
 
 @query
@@ -176,10 +175,9 @@ def period_filter(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def target_month(spark: SparkSession, sf: str) -> DataFrame:
-    """One month of the orders."""
-    o = table(spark, sf, "orders").select("o_orderkey", month_of(F.col("o_orderdate")).alias("month"),
-                                          dbl("o_totalprice"))
-    return only_month(o, "1998-05")
+    """One month of the orders; the range reaches the scan."""
+    o = in_month(table(spark, sf, "orders"), "1998-05", "o_orderdate")
+    return o.select("o_orderkey", month_of(F.col("o_orderdate")).alias("month"), dbl("o_totalprice"))
 
 
 @query
@@ -365,7 +363,7 @@ def earliest_quote(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def fx_convert(spark: SparkSession, sf: str) -> DataFrame:
     """Orders in EUR at the first quote of their day; null where there is no rate."""
-    rates = settle(monthly_rates(day_quotes(spark, sf)))
+    rates = monthly_rates(day_quotes(spark, sf))
     rows = order_amounts(spark, sf).withColumns({"rs_amount": F.col("amount").cast(MONEY),
                                                  "cpa_amount": -F.col("amount").cast(MONEY)})
     return add_eur(with_rate(rows, rates)).select("o_orderkey", dbl("rate"), dbl("rs_eur"), dbl("cpa_eur"))
@@ -374,7 +372,7 @@ def fx_convert(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def fx_rebase(spark: SparkSession, sf: str) -> DataFrame:
     """A brand reported in one currency and restated in another."""
-    rates = settle(monthly_rates(day_quotes(spark, sf)))
+    rates = monthly_rates(day_quotes(spark, sf))
     rows = order_amounts(spark, sf).select(
         "o_orderkey", "month", F.col("o_orderstatus").alias("brand"), "currency",
         F.col("amount").cast(MONEY).alias("rs_amount"), F.lit(25).cast(MONEY).alias("cpa_amount"))
@@ -387,7 +385,7 @@ def fx_rebase(spark: SparkSession, sf: str) -> DataFrame:
 def rates_missing(spark: SparkSession, sf: str) -> DataFrame:
     """Day and currency pairs in use without a rate."""
     quotes = day_quotes(spark, sf).where(F.col("currency") != "click")
-    return missing_rates(order_amounts(spark, sf), settle(monthly_rates(quotes)))
+    return missing_rates(order_amounts(spark, sf), monthly_rates(quotes))
 
 
 @query
@@ -442,14 +440,14 @@ def union_rows(spark: SparkSession, sf: str) -> DataFrame:
 @named("ref_enrich")
 def reference_enrich(spark: SparkSession, sf: str) -> DataFrame:
     """Rows with their ref and netting flag; rows without a ref drop."""
-    out = enrich_reference(union_rows(spark, sf), settle(reference_lookup(reference_rows(spark, sf))))
+    out = enrich_reference(union_rows(spark, sf), reference_lookup(reference_rows(spark, sf)))
     return out.where(F.col("ref").isNotNull()).select("o_orderkey", "ref", netting_default(F.col("netting")).alias("netting"))
 
 
 @named("divergences")
 def divergence_rows(spark: SparkSession, sf: str) -> DataFrame:
     """Rows without a ref."""
-    return divergences(enrich_reference(union_rows(spark, sf), settle(reference_lookup(reference_rows(spark, sf)))))
+    return divergences(enrich_reference(union_rows(spark, sf), reference_lookup(reference_rows(spark, sf))))
 
 
 def sheet_rows(spark: SparkSession, sf: str) -> DataFrame:
@@ -500,7 +498,10 @@ def id_filter(spark: SparkSession, sf: str) -> DataFrame:
 
 # --- upserts ---------------------------------------------------------------
 def stored_orders(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "orders").select("o_custkey", month_of(F.col("o_orderdate")).alias("month"),
+    """Months as stored texts: zero-padded ones of a year, and none for one year's."""
+    month = (F.when(F.year("o_orderdate") == 1995, F.date_format("o_orderdate", "MM"))
+             .when(F.year("o_orderdate") != 1996, month_of(F.col("o_orderdate"))))
+    return table(spark, sf, "orders").select("o_custkey", month.alias("month"),
                                              "o_orderkey", "o_orderstatus", cents("o_totalprice").alias("amount"))
 
 
@@ -591,9 +592,9 @@ def publish_text(spark: SparkSession, sf: str) -> DataFrame:
 @named("load_counters")
 def load_counter(spark: SparkSession, sf: str) -> DataFrame:
     """Rows seen, without ref, without rate and kept, per platform."""
-    rates = settle(monthly_rates(day_quotes(spark, sf).where(F.col("currency") != "click")))
+    rates = monthly_rates(day_quotes(spark, sf).where(F.col("currency") != "click"))
     rows = union_rows(spark, sf).join(order_amounts(spark, sf), "o_orderkey")
-    enriched = enrich_reference(with_rate(rows, rates), settle(reference_lookup(reference_rows(spark, sf))))
+    enriched = enrich_reference(with_rate(rows, rates), reference_lookup(reference_rows(spark, sf)))
     return load_counters(enriched, "platform")
 
 
@@ -739,5 +740,5 @@ def unified_reference(spark: SparkSession, sf: str) -> DataFrame:
 def unified_billing(spark: SparkSession, sf: str) -> DataFrame:
     """The whole unified table, as published text."""
     built = build_unified(unified_reports(spark, sf), day_quotes(spark, sf), unified_reference(spark, sf), UNIFIED_RULES,
-                          store_enriched=False)
+                          store_lookups=False, store_enriched=False)
     return published(built.unified)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,26 +33,22 @@ def build_session(app: str = "ledgerfold", master: str | None = None, **conf) ->
     return builder.getOrCreate()
 
 
-def scratch_folder(spark: SparkSession) -> str | None:
-    """A fresh path below spark.checkpoint.dir. Where that is unset, a temporary
-    folder serves a local master only; on a cluster there is then no scratch."""
+def scratch_folder(spark: SparkSession) -> str:
+    """A fresh path below spark.checkpoint.dir, which all executors must share. There is
+    no other place for it: without the setting this raises, on any master."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            return None
-        base = tempfile.mkdtemp(prefix="ledgerfold-")
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return f"{base.rstrip('/')}/ledgerfold-{uuid.uuid4().hex}"
 
 
 def settle(df: DataFrame) -> DataFrame:
     """Write a result once to shared storage and read it back.
 
-    Used for frames that feed several outputs, and for lookup sides derived from
-    large inputs: read back, their size is the true file size, so the planner
+    Used by writers for frames that feed several outputs, and for lookup sides derived
+    from large inputs: read back, their size is the true file size, so the planner
     broadcasts them only while they fit under its threshold and otherwise joins by
     shuffle. The written table also survives the loss of executors."""
     path = scratch_folder(df.sparkSession)
-    if path is None:
-        return df
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

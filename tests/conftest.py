@@ -9,8 +9,10 @@ from ledgerfold.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = build_session("tests", "local[4]", **{"spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false"})
+def spark(tmp_path_factory):
+    session = build_session("tests", "local[4]", **{
+        "spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false",
+        "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared"))})
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

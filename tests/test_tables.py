@@ -3,6 +3,7 @@
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerfold.contracts import ACCOUNTS, RATE_HISTORY, WIDE_REPORT, PendingFx, Rebase, Rules
@@ -103,6 +104,76 @@ def test_partition_upsert(spark, tmp_path, rows):
     assert rows(tb.read_table(spark, path).select("operator", "month", "v")) == [("A", "2026-04", 1), ("A", "2026-05", 9), ("C", "2026-05", 4)]
 
 
+KEYS = ["operator", "month"]
+TABLE = "operator string, month string, v int"
+
+
+def stored_rows(spark, path):
+    table = tb.read_partitioned(spark, path, "month")
+    return [] if table is None else sorted(((r.operator, r.month, r.v) for r in table.collect()), key=repr)
+
+
+@pytest.mark.parametrize(("first", "batch", "purge", "left"), [
+    # every touched month is purged, and the batch is empty
+    ([("a", "2026-05", 1), ("b", "2026-04", 2)], [], [("a", "2026-05")], [("b", "2026-04", 2)]),
+    ([("a", "2026-05", 1)], [], [("a", "2026-05")], []),
+    # other keys of a null or empty month stay; both are one partition
+    ([("a", None, 1), ("b", None, 2)], [("a", None, 9)], None, [("a", None, 9), ("b", None, 2)]),
+    ([("a", "", 1), ("b", None, 2)], [("a", None, 9)], None, [("a", None, 9), ("b", None, 2)]),
+    ([("a", None, 1), ("b", "2026-04", 2)], [], [("a", "")], [("b", "2026-04", 2)]),
+    # a text month is no number
+    ([("a", "01", 1), ("b", "01", 2), ("c", "1", 3)], [("a", "01", 9)], None, [("a", "01", 9), ("b", "01", 2), ("c", "1", 3)]),
+    # names that a folder cannot have as they are
+    ([("a", "x:1/%", 1), ("b", "y", 2)], [("b", "y", 3)], [("a", "x:1/%"), ("b", "y")], [("b", "y", 3)]),
+    ([("a", "x:1", 1), ("b", "x:1", 2)], [], [("a", "x:1")], [("b", "x:1", 2)]),
+    # keys that the store lacks; batch and purge in different months
+    ([("a", "m1", 1)], [("a", "m2", 2)], [("z", "m1"), ("z", "m9")], [("a", "m1", 1), ("a", "m2", 2)]),
+    ([("a", "m1", 1), ("b", "m1", 5)], [("a", "m2", 2)], [("a", "m1")], [("a", "m2", 2), ("b", "m1", 5)])])
+def test_upsert_loses_nothing(spark, tmp_path, first, batch, purge, left):
+    path = f"{tmp_path}/t"
+    tb.write_upsert(spark, path, spark.createDataFrame(first, TABLE), KEYS)
+    keys = None if purge is None else spark.createDataFrame(purge, "operator string, month string")
+    tb.write_upsert(spark, path, spark.createDataFrame(batch, TABLE), KEYS, keys)
+    assert stored_rows(spark, path) == sorted(left, key=repr)
+
+
+def test_scratch_needs_a_shared_folder(spark, monkeypatch):
+    monkeypatch.setattr(type(spark.conf), "get", lambda self, key, default=None: default)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        settle(spark.range(1))
+
+
+def test_failed_replacement_leaves_the_table(spark, tmp_path, rows, monkeypatch):
+    path = f"{tmp_path}/t"
+    tb.replace_table(spark, path, spark.range(2).toDF("v"))
+    moved, calls = tb._moved, []
+
+    def fails_at(n):
+        def move(fs, source, target):
+            calls.append(1)
+            return False if len(calls) == n else moved(fs, source, target)
+        return move
+
+    for n in (1, 2):
+        calls.clear()
+        monkeypatch.setattr(tb, "_moved", fails_at(n))
+        with pytest.raises(RuntimeError, match="as before"):
+            tb.replace_table(spark, path, spark.range(5).toDF("v"))
+        assert rows(spark.read.parquet(path)) == [(0,), (1,)]
+    monkeypatch.undo()
+    os.rename(path, f"{path}__old_crash")
+    tb.recover_table(spark, path)
+    assert rows(spark.read.parquet(path)) == [(0,), (1,)]
+
+
+def test_copies_in_a_batch_of_rates_are_one_row(spark, tmp_path):
+    rate = spark.createDataFrame([("2026-05", "t1", "EUR", "BRL", "5"), ("2026-05", "t1", "EUR", "BRL", "5"), ("2026-05", "t1", "EUR", "USD", "2")], RATE_HISTORY)
+    tb.append_rates(spark, f"{tmp_path}/rates", rate)
+    files = sorted(os.listdir(f"{tmp_path}/rates"))
+    tb.append_rates(spark, f"{tmp_path}/rates", rate)
+    assert tb.read_table(spark, f"{tmp_path}/rates").count() == 2 and sorted(os.listdir(f"{tmp_path}/rates")) == files
+
+
 def test_replace_and_append(spark, tmp_path, rows):
     path = f"{tmp_path}/t"
     tb.replace_table(spark, path, spark.range(3).toDF("v"))
