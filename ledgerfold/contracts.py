@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import types as T
 
 # --- numeric types ---------------------------------------------------------
-RAW = T.DecimalType(30, 10)     # a parsed amount before rounding
+RAW = T.DecimalType(38, 10)     # a parsed amount before rounding
 MONEY = T.DecimalType(20, 2)    # a rounded amount
 RATE = T.DecimalType(18, 8)     # an exchange rate, 1 EUR = rate
 
@@ -18,7 +18,6 @@ UNION_KEYS = ["platform", "operator", "username", "month"]
 RATE_COLUMNS = ["month", "quote_ts", "base_code", "currency", "rate"]
 RUN_LOG_COLUMNS = ["run_at", "month", "step", "returncode", "status", "duration"]
 DIVERGENCE_COLUMNS = ["platform", "operator", "username", "brand"]
-REF_KEY = ["operator", "username", "brand"]
 
 
 def strings(*names: str) -> T.StructType:
@@ -154,6 +153,7 @@ SHEET_COLUMNS = {
     "commission": "RS / CPA / Fijo",
     "netting": "Resta",
 }
+# Order of the worksheet's commission kinds, and its platforms.
 COMMISSION_RANK = {"rs": 0, "cpa": 1}
 # The sheet spells platforms with spaces; compare after trimming and lower-casing.
 USED_PLATFORMS = ["netrefer", "income access", "cellxpert", "raventrack"]
@@ -201,12 +201,12 @@ class PendingFx:
 class Rules:
     """Every deployment-specific rule. Rows naming the owner's own brands and
     logins have no default: they come from the rule file (see sources.tables)."""
-    operator_aliases: dict = field(default_factory=lambda: {"sportium": "SportiumBet"})
+    operator_aliases: dict = field(default_factory=dict)
     default_currency: str = "EUR"
-    brand_currency: dict = field(default_factory=lambda: {"brasil": "BRL"})
-    measure_overrides: tuple = (MeasureOverride("22Bet", "reward_due"),)
+    brand_currency: dict = field(default_factory=dict)
+    measure_overrides: tuple = ()
     account_renames: tuple = ()
-    rebases: tuple = (Rebase("brasil", "EUR", "BRL"),)
+    rebases: tuple = ()
     vendor_keys: tuple = ()
     pending: tuple = ()
     sheet_tabs: dict = field(default_factory=dict)      # worksheet tab -> brand

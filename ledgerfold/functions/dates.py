@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
-import re
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-__all__ = ["month_of", "previous_month", "resolve_month", "is_month_label",
+__all__ = ["month_of", "previous_month", "closed_month", "is_month_label",
            "feed_timestamp", "quote_month", "duration_text", "step_status"]
 
 # The feed's time format and the month label format.
@@ -29,14 +28,10 @@ def previous_month(c: Column) -> Column:
     return month_of(F.add_months(F.trunc(c, "month"), -1))
 
 
-def resolve_month(today: dt.date | None = None, override: str | None = None) -> str:
-    """The month a run is for: a given day decides; else a well-formed override;
-    else the month before the current day."""
-    if today is None:
-        if override and re.fullmatch(r"\d{4}-\d{2}", override.strip()):
-            return override.strip()
-        today = dt.date.today()
-    return (today.replace(day=1) - dt.timedelta(days=1)).strftime("%Y-%m")
+def closed_month(day: dt.date) -> str:
+    """yyyy-MM of the last month that is over on a day."""
+    years, month = divmod(12 * day.year + day.month - 2, 12)
+    return f"{years:04d}-{month + 1:02d}"
 
 
 def is_month_label(c: Column) -> Column:

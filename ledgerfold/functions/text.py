@@ -87,12 +87,8 @@ def base_url(c: Column) -> Column:
 
 def is_base_login(sheet_user: Column, login: Column) -> Column:
     """True when `login` is `sheet_user`, or a part of it delimited by '_'."""
-    glue = F.lit("_")
-    return (login != "") & (
-        (sheet_user == login)
-        | F.startswith(sheet_user, F.concat(login, glue))
-        | F.endswith(sheet_user, F.concat(glue, login))
-        | F.contains(sheet_user, F.concat(glue, login, glue)))
+    padded = lambda c: F.concat(F.lit("_"), c, F.lit("_"))               # noqa: E731
+    return (login != "") & F.contains(padded(sheet_user), padded(login))
 
 
 def merchant_username(merchant: Column, username: Column) -> Column:

@@ -17,13 +17,18 @@ def divergences(enriched: DataFrame) -> DataFrame:
     return enriched.where(F.col("ref").isNull()).select(*DIVERGENCE_COLUMNS)
 
 
-def token_runs(c: Column) -> Column:
-    """Every contiguous run of '_'-separated parts of a text, joined again. A login
-    is a delimited part of a username exactly when it is one of these runs."""
+def n_parts(c: Column) -> Column:
+    return F.size(F.split(c, "_"))
+
+
+def token_runs(c: Column, lengths: Column) -> Column:
+    """Contiguous runs of '_'-separated parts of a text, joined again, of the given
+    numbers of parts. A login is a delimited part of a username exactly when it is one
+    of the runs with as many parts as the login has."""
     runs = lambda parts: F.flatten(F.transform(                          # noqa: E731
-        F.sequence(F.lit(1), F.size(parts)),
-        lambda i: F.transform(F.sequence(F.lit(1), F.size(parts) - i + F.lit(1)),
-                              lambda k: F.array_join(F.slice(parts, i, k), "_"))))
+        F.filter(lengths, lambda k: k <= F.size(parts)),
+        lambda k: F.transform(F.sequence(F.lit(1), F.size(parts) - k + F.lit(1)),
+                              lambda i: F.array_join(F.slice(parts, i, k), "_"))))
     return F.array_distinct(bind(F.split(c, "_"), runs))
 
 
@@ -32,7 +37,9 @@ def missing_accounts(sheet: DataFrame, accounts: DataFrame) -> DataFrame:
     the sheet's username or a delimited base of it.
 
     The base test is turned into an equi-join on token runs: comparing every
-    username with every login of its scope would be quadratic in the scope."""
+    username with every login of its scope would be quadratic in the scope. Only runs as
+    long as some login of the brand and platform are made, so a username of many parts
+    stays linear in its parts."""
     keys = ["_b", "_p", "_u"]
     sheet = sheet.select("*", norm_key(F.col("brand")).alias("_b"),
                          platform_key(F.col("platform")).alias("_p"),
@@ -40,9 +47,10 @@ def missing_accounts(sheet: DataFrame, accounts: DataFrame) -> DataFrame:
     logins = accounts.select(norm_key(F.col("brand")).alias("_lb"),
                              platform_key(F.col("platform")).alias("_lp"),
                              norm_key(F.col("username")).alias("_lu")).distinct()
+    lengths = logins.groupBy("_lb", "_lp").agg(F.collect_set(n_parts(F.col("_lu"))).alias("_lengths"))
     # An empty run is a base of nothing: it may only meet a login for an empty username.
-    runs = (sheet.select(*keys).distinct()
-                 .select(*keys, F.explode(token_runs(F.col("_u"))).alias("_run"))
+    scoped = join_unique(sheet.select(*keys).distinct(), lengths, [(F.col("_b"), "_lb"), (F.col("_p"), "_lp")], "inner")
+    runs = (scoped.select(*keys, F.explode(token_runs(F.col("_u"), F.col("_lengths"))).alias("_run"))
                  .where((F.col("_run") != "") | (F.col("_u") == "")))
     scope = [(F.col("_b"), "_lb"), (F.col("_p"), "_lp"), (F.col("_run"), "_lu")]
     known = join_unique(runs, logins, scope, "left_semi").select(*[F.col(k).alias(f"_k{k}") for k in keys]).distinct()
@@ -76,10 +84,6 @@ def account_outcomes(accounts: DataFrame, reports: DataFrame, log: DataFrame | N
                .withColumn("n_rows", n).drop("_ok"))
 
 
-def counts_by(df: DataFrame, *keys: str) -> DataFrame:
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
-
-
 def load_counters(df: DataFrame, *keys: str) -> DataFrame:
     """Rows seen, without ref, without rate and kept, in one pass."""
     return df.groupBy(*keys).agg(
@@ -100,6 +104,23 @@ def account_pairs(accounts: DataFrame, ids) -> DataFrame:
                        norm_key(F.col("username")).alias("_un")).distinct()
 
 
+def filter_union_by_ids(df: DataFrame, accounts: DataFrame | None, ids) -> DataFrame:
+    """Rows of the wanted accounts in a union of report shapes: rows that carry an
+    account id are matched by it, the others by operator and username. Ids of which none is
+    in the registry are an error, whatever the rows carry."""
+    if accounts is None:
+        raise ValueError("account ids need the account registry")
+    named = filter_by_ids(df.where(F.col("account_id").isNull()) if "account_id" in df.columns else df, accounts, ids)
+    if "account_id" not in df.columns:
+        return named
+    if isinstance(ids, DataFrame):
+        wanted = ids.select(strip(F.col(ids.columns[0]).cast("string")).alias("_id")).distinct()
+    else:
+        wanted = df.sparkSession.createDataFrame([(str(i).strip(),) for i in ids], "_id string").distinct()
+    own = join_unique(df.where(F.col("account_id").isNotNull()), wanted, [(strip(F.col("account_id")), "_id")], "left_semi")
+    return own.unionByName(named)
+
+
 def filter_by_ids(df: DataFrame, accounts: DataFrame, ids, require: bool = True) -> DataFrame:
     """Rows of the accounts with the given ids. Unknown ids only are an error."""
     pairs = account_pairs(accounts, ids)

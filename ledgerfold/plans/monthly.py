@@ -1,4 +1,9 @@
-"""The monthly job: rates, reports, reference, unified table, publication."""
+"""The monthly job: rates, landed exports, reports, reference, unified table, publication.
+
+Stored tables below the root: accounts, reference, rates, rate_feed, sheet_cells; landing_<shape> (folders
+of exports), shown_long and scraped_vendor (cells of pages read beside an export), extraction_log
+(account_id, ok); report_<shape>, outcomes_<shape>, unregistered_<shape>, unified, load_counters,
+divergences, missing_rates, missing_accounts, published, run_log."""
 
 from __future__ import annotations
 
@@ -12,14 +17,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..contracts import UNION_KEYS, Rules
+from ..functions import closed_month, norm_key, strip
 from ..operators.billing import published
-from ..operators.filters import only_month
+from ..operators.filters import ACTIVE, ACTIVE_MULTILINGUAL, only_month, select_accounts
 from ..operators.fx import refresh_rates
-from ..operators.quality import filter_by_ids, missing_accounts_report
+from ..operators.quality import account_outcomes, filter_by_ids, load_counters, missing_accounts_report
 from ..operators.reference import refresh_reference
+from ..operators.standardize import (clean_headers, standardize_long, standardize_multilingual, standardize_vendor,
+                                     standardize_wide, zero_rows)
+from ..session import settle
 from ..sinks.publish import publish
 from ..sinks.run_log import append_run_log
-from ..sinks.tables import append_rows, read_table, replace_table, write_upsert
+from ..sinks.tables import append_rates, read_partitioned, read_table, replace_table, table_exists, write_upsert
+from ..sources.exports import export_frames, read_landing, unregistered_files, with_account
 from ..sources.tables import read_accounts, read_rate_feed, read_rates, read_reference
 from ..sources.worksheet import read_reference_sheet
 from .unified import build_unified
@@ -30,12 +40,16 @@ REPORT_KEYS = {
     "vendor": ["operator", "username", "month"],
     "multilingual": ["operator", "account_username", "month"],
 }
+# Platform of each report shape, and the active flags that take part.
+PLATFORMS = {"wide": "netrefer", "long": "cellxpert", "vendor": "raventrack", "multilingual": "incomeaccess"}
+ACTIVE_FLAGS = {"multilingual": ACTIVE_MULTILINGUAL}
 
 
 @dataclass
 class MonthParams:
-    """What to run. `root` is the folder of stored tables; see `table_path`."""
-    month: str
+    """What to run. `root` is the folder of stored tables; see `table_path`. Without a month it is the
+    last one that is over."""
+    month: str | None
     root: str
     shapes: Sequence[str] = tuple(REPORT_KEYS)
     operator: str | None = None
@@ -44,6 +58,9 @@ class MonthParams:
     rules: Rules = field(default_factory=Rules)
     skip: frozenset = frozenset()       # of: rates, reference, unified, publish
 
+    def __post_init__(self) -> None:
+        self.month = (self.month or "").strip() or closed_month(dt.date.today())
+
     def table_path(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
 
@@ -51,11 +68,11 @@ class MonthParams:
 def chosen(df: DataFrame, params: MonthParams, accounts: DataFrame) -> DataFrame:
     """Report rows of the wanted operator and account ids."""
     if params.operator:
-        df = df.where(F.lower(F.trim("operator")) == params.operator.strip().lower())
+        df = df.where(norm_key(F.col("operator")) == params.operator.strip().lower())
     if not params.ids:
         return df
     if "account_id" in df.columns:
-        return df.where(F.trim("account_id").isin([str(i).strip() for i in params.ids]))
+        return df.where(strip(F.col("account_id")).isin([str(i).strip() for i in params.ids]))
     named = df if "username" in df.columns else df.withColumn("username", F.col("account_username"))
     return filter_by_ids(named, accounts, params.ids).select(*df.columns)
 
@@ -63,7 +80,61 @@ def chosen(df: DataFrame, params: MonthParams, accounts: DataFrame) -> DataFrame
 def rates_step(spark: SparkSession, p: MonthParams) -> None:
     history = read_table(spark, p.table_path("rates"))
     rows, _ = refresh_rates(read_rate_feed(spark, p.table_path("rate_feed")), history, p.currencies)
-    append_rows(rows.withColumn("rate", F.col("rate").cast("string")), p.table_path("rates"))
+    append_rates(spark, p.table_path("rates"), rows.withColumn("rate", F.col("rate").cast("string")))
+
+
+def stacked(frames: Sequence[DataFrame]) -> DataFrame:
+    out = frames[0]
+    for frame in frames[1:]:
+        out = out.unionByName(frame, allowMissingColumns=True)
+    return out
+
+
+def side_table(spark: SparkSession, p: MonthParams, name: str, schema: str) -> DataFrame:
+    found = read_table(spark, p.table_path(name))
+    return spark.createDataFrame([], schema) if found is None else found
+
+
+def standardise_landed(spark: SparkSession, p: MonthParams, shape: str, raw: Sequence[DataFrame],
+                       accounts: DataFrame, empty: DataFrame) -> DataFrame:
+    """Raw frames (one per header) of a shape to its standard report. `empty` holds the accounts
+    whose export has a header only."""
+    if shape == "wide":
+        return stacked([standardize_wide(f.drop("row_no"), accounts, p.month) for f in raw])
+    if shape == "multilingual":
+        named = [f.drop("row_no") for f in raw]
+        zeros = zero_rows(empty, [c for c in named[0].columns if c != "account_id"])
+        return stacked([standardize_multilingual(f, accounts, p.month) for f in [named[0].unionByName(zeros), *named[1:]]])
+    if shape == "long":
+        shown = side_table(spark, p, "shown_long", "account_id string, row_no int, text string, is_total boolean")
+        rows = stacked([clean_headers(f).select("account_id", "Commission Type", "Amount") for f in raw])
+        return standardize_long(rows, shown, accounts, p.month, empty)
+    scraped = side_table(spark, p, "scraped_vendor", "account_id string, row_no int, col_no int, text string")
+    return stacked([standardize_vendor(f, scraped, accounts, p.month) for f in raw])
+
+
+def landed_step(shape: str) -> Callable[[SparkSession, MonthParams], None]:
+    """Landed exports of the shape's active accounts to its stored report, with the outcome of every
+    account and the files that belong to none."""
+    def run(spark: SparkSession, p: MonthParams) -> None:
+        folder = p.table_path(f"landing_{shape}")
+        registry = read_accounts(spark, p.table_path("accounts"))
+        accounts = select_accounts(registry, PLATFORMS[shape], p.operator, p.ids or None, ACTIVE_FLAGS.get(shape, ACTIVE))
+        if not table_exists(spark, folder):
+            return
+        landing = read_landing(spark, folder)
+        replace_table(spark, p.table_path(f"unregistered_{shape}"), unregistered_files(landing, registry))
+        raw = [with_account(f, accounts) for f in export_frames(landing)]
+        landed = with_account(landing.headers, accounts).select("account_id").distinct()
+        filled = stacked([f.select("account_id") for f in raw])
+        empty = landed.join(filled.distinct(), "account_id", "left_anti")
+        rows = settle(standardise_landed(spark, p, shape, raw, accounts, empty))
+        log = read_table(spark, p.table_path("extraction_log"))
+        log = landed.withColumn("ok", F.lit(True)) if log is None else log
+        outcomes = account_outcomes(accounts.select("account_id", "platform", "operator", "username"), filled, log)
+        replace_table(spark, p.table_path(f"outcomes_{shape}"), outcomes)
+        write_upsert(spark, p.table_path(f"report_{shape}"), rows, REPORT_KEYS[shape])
+    return run
 
 
 def report_step(shape: str, standardised: DataFrame) -> Callable[[SparkSession, MonthParams], None]:
@@ -82,30 +153,35 @@ def reference_step(spark: SparkSession, p: MonthParams) -> None:
 
 
 def unified_step(spark: SparkSession, p: MonthParams) -> None:
-    stored = {shape: read_table(spark, p.table_path(f"report_{shape}")) for shape in REPORT_KEYS}
+    stored = {shape: read_partitioned(spark, p.table_path(f"report_{shape}"), "month") for shape in REPORT_KEYS}
     reports = {k: only_month(v, p.month) for k, v in stored.items() if v is not None}
     built = build_unified(reports, read_rates(spark, p.table_path("rates")),
                           read_reference(spark, p.table_path("reference")), p.rules,
                           read_accounts(spark, p.table_path("accounts")), p.ids)
     replace_table(spark, p.table_path("divergences"), built.divergences)
+    replace_table(spark, p.table_path("load_counters"), load_counters(built.enriched, "platform"))
     replace_table(spark, p.table_path("missing_rates"), built.missing_rates)
     write_upsert(spark, p.table_path("unified"), built.unified, UNION_KEYS, built.processed_keys)
 
 
 def publish_step(spark: SparkSession, p: MonthParams) -> None:
-    rows = only_month(spark.read.parquet(p.table_path("unified")), p.month)
+    rows = only_month(read_partitioned(spark, p.table_path("unified"), "month"), p.month)
     publish(spark, published(rows), p.table_path("published"))
 
 
 def run_month(spark: SparkSession, params: MonthParams,
-              standardised: Mapping[str, DataFrame]) -> list[tuple]:
-    """Run the month's steps in order. `standardised` holds this run's standard
-    reports by shape. A failed step is logged and later steps still run, as each
-    reads stored tables. Returns the run-log rows; raises nothing."""
+              standardised: Mapping[str, DataFrame] | None = None) -> list[tuple]:
+    """Run the month's steps in order. Reports come from the landing folders, or from
+    `standardised` (by shape) where it is given. A failed step is logged and later steps still
+    run, as each reads stored tables; only publication needs a unified table of this run.
+    Returns the run-log rows; raises nothing once the parameters are right."""
     if not re.fullmatch(r"\d{4}-\d{2}", params.month):
         raise ValueError("month must look like 2026-05")
     steps = [("rates", rates_step)]
-    steps += [(shape, report_step(shape, df)) for shape, df in standardised.items() if shape in params.shapes]
+    if standardised is None:
+        steps += [(shape, landed_step(shape)) for shape in REPORT_KEYS if shape in params.shapes]
+    else:
+        steps += [(shape, report_step(shape, df)) for shape, df in standardised.items() if shape in params.shapes]
     steps += [("reference", reference_step), ("unified", unified_step), ("publish", publish_step)]
     skip = set(params.skip) | ({"publish"} if "unified" in params.skip else set())
     log = []
@@ -119,6 +195,7 @@ def run_month(spark: SparkSession, params: MonthParams,
         except Exception as error:      # one failed step must not hide the others
             print(f"[{name}] failed: {error}")
             code = 1
+            skip |= {"publish"} if name == "unified" else set()
         log.append((run_at, params.month, name, code, time.monotonic() - start))
     append_run_log(spark, params.table_path("run_log"), log)
     return log

@@ -13,7 +13,7 @@ from ..functions import canonical_operator, currency_default, round2
 from ..operators.adapters import ADAPTERS, union_reports
 from ..operators.billing import add_keys, add_totals
 from ..operators.fx import add_eur, mark_pending, missing_rates, monthly_rates, rebase, with_rate
-from ..operators.quality import divergences, filter_by_ids
+from ..operators.quality import divergences, filter_union_by_ids
 from ..operators.reference import enrich_reference, reference_lookup, rename_accounts
 from ..session import settle
 
@@ -28,6 +28,7 @@ class UnifiedResult:
     divergences: DataFrame      # rows without one
     missing_rates: DataFrame    # (month, currency) without a rate
     processed_keys: DataFrame   # keys to purge from the store, removed rows included
+    enriched: DataFrame         # all rows, before those without a reference go
 
 
 def normalise_union(union: DataFrame, rules: Rules) -> DataFrame:
@@ -63,20 +64,15 @@ def build_unified(reports: Mapping[str, DataFrame], rates: DataFrame, reference:
     outputs; with `store_enriched` they are written there too instead of being computed
     once per output."""
     union = normalise_union(union_reports([ADAPTERS[k](df, rules) for k, df in reports.items()]), rules)
-    by_account_id = ids is not None and "account_id" in union.columns
-    if by_account_id:
-        listed = ids if isinstance(ids, DataFrame) else union.sparkSession.createDataFrame(
-            [(str(i).strip(),) for i in ids], "account_id string")
-        union = union.join(listed.toDF("account_id").distinct(), "account_id", "left_semi")
+    if ids is not None:
+        union = filter_union_by_ids(union, accounts, ids)
     month_rates = monthly_rates(rates)
     lookup = reference_lookup(reference)
     if store_lookups:
         month_rates, lookup = settle(month_rates), settle(lookup)
     enriched = enrich_reference(convert(union, month_rates, rules), lookup, rules)
-    if ids is not None and not by_account_id:
-        enriched = filter_by_ids(enriched, accounts, ids)
     if store_enriched:
         enriched = settle(enriched)
     return UnifiedResult(finish(enriched, rules), divergences(enriched),
                          missing_rates(union, month_rates),
-                         enriched.select(*UNION_KEYS).distinct())
+                         enriched.select(*UNION_KEYS).distinct(), enriched)

@@ -2,28 +2,48 @@
 
 from __future__ import annotations
 
-import csv
-from collections.abc import Iterator
-from urllib.parse import unquote
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.dedup import first_per_key
+from ..operators.joins import join_unique
 from ..operators.standardize import BOM
 
+#: Cells that are read of a line, and different headers that one folder may hold.
+MAX_COLUMNS = 256
+MAX_HEADERS = 1000
 
-def header_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(file, header): the first line of every file. Only blocks at offset 0 hold one,
-    and the smallest running id among their lines is it."""
-    lines = (spark.read.option("recursiveFileLookup", True).text(path)
-             .select(F.col("_metadata.file_path").alias("file"),
-                     F.col("_metadata.file_block_start").alias("block"),
-                     F.monotonically_increasing_id().alias("line"),
-                     F.ltrim(F.col("value"), F.lit(BOM)).alias("header"))
-             .where((F.col("block") == 0) & (F.trim("header") != "")))
-    return first_per_key(lines, ["file"], [F.col("line")]).select("file", "header")
+
+@dataclass
+class Landing:
+    """Exports as data: (`_file`, `header`) for each file, and (`_file`, `row_no`, `header`, `cells`) for
+    each line below a header. `row_no` only orders lines of a file."""
+    headers: DataFrame
+    lines: DataFrame
+
+
+def read_landing(spark: SparkSession, path: str, separator: str = ",", line_breaks: bool = True) -> Landing:
+    """Read all files of a folder with one scan schema; each file's first line is its header.
+
+    Cells may hold line breaks, which keeps a file in one task; without them
+    (`line_breaks` off) a large file is split. Values belong to names by position, so the
+    headers are data that is joined by file; the driver sees no file names."""
+    schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(MAX_COLUMNS)])
+    cells = F.array(*schema.fieldNames())
+    scan = (spark.read.schema(schema).option("header", False).option("sep", separator).option("escape", '"')
+            .option("multiLine", line_breaks).option("recursiveFileLookup", True).csv(path)
+            .select(F.col("_metadata.file_path").alias("_file"),
+                    F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row")).alias("row_no"),
+                    # Only what is filled: cells behind the last one are padding.
+                    F.slice(cells, 1, F.greatest(F.lit(1), F.array_max(F.transform(cells, lambda c, i: F.when(c.isNotNull(), i + 1))))).alias("cells")))
+    first = first_per_key(scan, ["_file"], [F.col("row_no")])
+    names = F.transform("cells", lambda c: F.trim(F.ltrim(F.coalesce(c, F.lit("")), F.lit(BOM))))
+    headers = first.select("_file", F.col("row_no").alias("_first"), names.alias("header"))
+    lines = join_unique(scan, headers.withColumnRenamed("_file", "_of"), [(F.col("_file"), "_of")], "inner")
+    return Landing(headers.select("_file", "header"), lines.where(F.col("row_no") > F.col("_first")).drop("_first"))
 
 
 def distinct_names(header: list[str]) -> list[str]:
@@ -40,25 +60,36 @@ def distinct_names(header: list[str]) -> list[str]:
     return out
 
 
-def read_exports(spark: SparkSession, path: str, separator: str = ",") -> Iterator[DataFrame]:
-    """One all-text frame per distinct header, each with `_file`. Reading such a folder
-    in one scan would assign values by position and swap columns between files.
+def export_frames(landing: Landing) -> list[DataFrame]:
+    """One all-text frame per distinct header, each with `_file` and `row_no`. The driver sees the
+    distinct headers: as many as the platforms have report layouts."""
+    found = [r.header for r in landing.headers.select("header").distinct().limit(MAX_HEADERS + 1).collect()]
+    if len(found) > MAX_HEADERS:
+        raise ValueError(f"more than {MAX_HEADERS} different headers")
+    return [landing.lines.where(F.col("header") == F.array(*[F.lit(h) for h in header])).select(
+        *[F.get("cells", F.lit(i)).alias(name) for i, name in enumerate(distinct_names(header))], "_file", "row_no")
+        for header in sorted(found)]
+
+
+def read_exports(spark: SparkSession, path: str, separator: str = ",") -> list[DataFrame]:
+    """The frames of a folder, without the order of lines."""
+    return [f.drop("row_no") for f in export_frames(read_landing(spark, path, separator))]
 
-    The driver sees header texts and file names (which it lists for any scan anyway),
-    never rows."""
-    groups: dict[str, list[str]] = {}
-    for row in header_lines(spark, path).toLocalIterator():
-        groups.setdefault(row.header, []).append(unquote(row.file))
-    for header, files in sorted(groups.items()):
-        names = distinct_names(next(csv.reader([header], delimiter=separator)))
-        schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-        yield (spark.read.schema(schema).option("header", True).option("sep", separator)
-               .option("escape", '"').option("multiLine", True).csv(sorted(files))
-               .select("*", F.col("_metadata.file_path").alias("_file")))
+
+def _owners(accounts: DataFrame) -> DataFrame:
+    return accounts.select("account_id", F.col("file_name").alias("_name"))
+
+
+def _file_name():
+    return F.url_decode(F.regexp_replace(F.element_at(F.split(F.col("_file"), "/"), -1), r"\.[A-Za-z]+$", ""))
 
 
 def with_account(df: DataFrame, accounts: DataFrame) -> DataFrame:
     """Replace `_file` by the id of the account whose file name it carries."""
-    name = F.regexp_replace(F.element_at(F.split(F.col("_file"), "/"), -1), r"\.[A-Za-z]+$", "")
-    owners = accounts.select("account_id", F.col("file_name").alias("_name"))
-    return (df.withColumn("_name", F.url_decode(name)).join(owners, "_name").drop("_name", "_file"))
+    return df.withColumn("_name", _file_name()).join(_owners(accounts), "_name").drop("_name", "_file")
+
+
+def unregistered_files(landing: Landing, accounts: DataFrame) -> DataFrame:
+    """Files whose name no account carries; their rows go nowhere."""
+    return (landing.headers.withColumn("_name", _file_name()).join(_owners(accounts), "_name", "left_anti")
+            .select(F.col("_name").alias("file_name")).distinct())

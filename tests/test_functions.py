@@ -113,9 +113,7 @@ def test_to_eur(spark, value, rate, expected):
 def test_previous_month(spark):
     check(spark, fn.previous_month, {dt.date(2026, 6, 11): "2026-05", dt.date(2026, 1, 5): "2025-12",
                                      dt.date(2026, 3, 1): "2026-02"}, "date")
-    assert fn.resolve_month(dt.date(2026, 6, 11), "2026-03") == "2026-05"
-    assert fn.resolve_month(None, "2026-03") == "2026-03"
-    assert fn.resolve_month(None, "2026-3") == fn.resolve_month(dt.date.today())
+    assert [fn.closed_month(dt.date(*d)) for d in ((2026, 6, 11), (2026, 1, 5), (2026, 3, 1))] == ["2026-05", "2025-12", "2026-02"]
     check(spark, fn.is_month_label, {"2026-05": True, "2026-5": False, "2026-05-01": False})
 
 

@@ -2,13 +2,14 @@
 
 from decimal import Decimal as D
 
-from ledgerfold.contracts import (ACCOUNTS, RATE_FEED, REFERENCE, AccountRename, MeasureOverride, PendingFx, Rules, VendorKey)
+from ledgerfold.contracts import (ACCOUNTS, RATE_FEED, REFERENCE, AccountRename, MeasureOverride, PendingFx, Rebase, Rules, VendorKey)
 from ledgerfold.operators import standardize as st
 from ledgerfold.plans.monthly import MonthParams, run_month
 from ledgerfold.sinks.tables import replace_table
 
 MONTH = "2026-05"
 RULES = Rules(
+    operator_aliases={"sportium": "SportiumBet"}, brand_currency={"brasil": "BRL"}, rebases=(Rebase("brasil", "EUR", "BRL"),),
     measure_overrides=(MeasureOverride("OpOver", "reward_due"),),
     account_renames=(AccountRename("SportiumBet", "USD", "sport_panama"),),
     vendor_keys=(VendorKey("novi", "branda"),), pending=(PendingFx("Raventrack", "wait@example.com"),),
@@ -113,3 +114,57 @@ def test_bad_month_is_refused(spark, tmp_path):
         raise AssertionError("must fail")
     except ValueError:
         pass
+
+
+def put(path, text):
+    path.parent.mkdir(parents=True, exist_ok=True)
+    path.write_text(text, encoding="utf-8")
+
+
+def test_from_landed_files_to_published_rows(spark, tmp_path, rows):
+    root = str(tmp_path)
+    inactive = ("8", "Netrefer", "OpZ", "BrandA", "userZ", "http://x", "f8", "0")
+    prepare(spark, root)
+    replace_table(spark, f"{root}/accounts", spark.createDataFrame([*ACCOUNT_ROWS, inactive], ACCOUNTS))
+    put(tmp_path / "landing_wide/f1.csv", "\ufeffMonth,Revenue Share Reward,CPA Reward,Reward Due\n2026-05,€10.50,€-2.25,€9\n2026-04,€99,€99,€99\nTotal,€1,€1,€1\n")
+    put(tmp_path / "landing_wide/f2.csv", 'Month,Reward Due,CPA Reward,Revenue Share Reward\n2026-05,"€1,300.10",€200,€100\n')
+    put(tmp_path / "landing_wide/f8.csv", "Month,Revenue Share Reward,CPA Reward,Reward Due\n2026-05,€5,€5,€5\n")
+    put(tmp_path / "landing_wide/stranger.csv", "Month,Revenue Share Reward,CPA Reward,Reward Due\n2026-05,€7,€7,€7\n")
+    put(tmp_path / "landing_long/f3.csv", "Commission Type,Amount\nCPA (x),40\nRevshare y,-50.5\nFee,7\n")
+    put(tmp_path / "landing_long/f4.csv", "Commission Type,Amount\n")
+    put(tmp_path / "landing_vendor/f5.csv", "Currency,Vendor Name,RevShare Commission,CPA Commission\nUSD,Novi Mexico,11,0\nUSD,Novi Peru,5,0\n")
+    put(tmp_path / "landing_vendor/f6.csv", "Currency,Vendor Name,RevShare Commission,CPA Commission\nEUR,V,3,4\n")
+    put(tmp_path / "landing_multilingual/f7.csv", "RowID,Currency Symbol,% Commission,CPA Commission,Merchant\n1,,8,2,Some CABA\n2,,8,2,Some CABA\n")
+    replace_table(spark, f"{root}/shown_long", spark.createDataFrame([("3", 1, "$40", False)], "account_id string, row_no int, text string, is_total boolean"))
+    replace_table(spark, f"{root}/scraped_vendor", spark.createDataFrame([("5", 1, 0, "€1")], "account_id string, row_no int, col_no int, text string"))
+    log = run_month(spark, MonthParams(MONTH, root, rules=RULES))
+    assert {(step, code) for _, _, step, code, _ in log} == {(s, 0) for s in ("rates", "wide", "long", "vendor", "multilingual", "reference", "unified", "publish")}
+    read = lambda name: spark.read.parquet(f"{root}/{name}")
+    got = {r.ReferenciaFacturacion: (r.RS_Operador, r.CPA_Operador, r.TotalFacturacion_EUR) for r in read("published").collect()}
+    assert sorted(got) == ["REF A", "REF B", "REF E", "REF I", "REF N", "REF S", "REF W"]
+    assert got["REF A"] == ("10,50", "-2,25", "8,25") and got["REF B"][1] == "1300,10" and got["REF E"][2] == "0,00"
+    assert rows(read("unregistered_wide")) == [("stranger",)]
+    outcomes = {r.account_id: (r.outcome, r.n_rows) for shape in ("wide", "long", "vendor", "multilingual") for r in read(f"outcomes_{shape}").collect()}
+    assert outcomes == {"1": ("data", 3), "2": ("data", 1), "3": ("data", 3), "4": ("no data", 0), "5": ("data", 2), "6": ("data", 1), "7": ("data", 2)}
+    assert {r.platform: r.n_rows for r in read("load_counters").collect()} == {"Netrefer": 2, "Cellxpert": 2, "Raventrack": 3, "IncomeAccess": 1}
+
+    # A unified step that fails leaves the published rows alone.
+    before = read("published").count()
+    replace_table(spark, f"{root}/accounts", spark.createDataFrame([], ACCOUNTS))
+    log = run_month(spark, MonthParams(MONTH, root, rules=RULES, ids=["404"], skip=frozenset({"rates", "reference"})))
+    assert {step: code for _, _, step, code, _ in log}["unified"] == 1 and "publish" not in {step for _, _, step, _, _ in log}
+    assert read("published").count() == before
+
+
+def test_empty_multilingual_export_gives_a_zero_row(spark, tmp_path):
+    prepare(spark, str(tmp_path))
+    put(tmp_path / "landing_multilingual/f7.csv", "RowID,Currency Symbol,% Commission,CPA Commission\n")
+    run_month(spark, MonthParams(MONTH, str(tmp_path), rules=RULES, shapes=("multilingual",), skip=frozenset({"reference", "unified"})))
+    (row,) = spark.read.parquet(f"{tmp_path}/report_multilingual").collect()
+    assert (row.account_username, row.pct_commission, row.cpa_commission) == ("multi", "0", "0")
+
+
+def test_the_month_defaults_to_the_last_closed_one():
+    from ledgerfold.functions import closed_month
+    import datetime as dt
+    assert MonthParams(None, "x").month == closed_month(dt.date.today()) and MonthParams(" 2026-05 ", "x").month == "2026-05"
