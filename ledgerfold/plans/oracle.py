@@ -240,6 +240,41 @@ SELECT account_id, platform, operator, brand, username, {month('o_orderdate')} A
        CASE WHEN o_orderkey > 100 THEN 'EUR' ELSE '' END AS currency, o_orderkey, {month('o_orderdate')} AS row_month
 FROM orders JOIN accounts ON o_custkey = c_custkey"""
 
+TAGS = "account_id, platform, operator, brand, username"
+
+ORACLE["standard_wide"] = f"""
+WITH {ACCOUNTS}, {SYMBOL_CELLS}
+SELECT {TAGS}, '2000-01' AS month, coalesce({detect('cell_a')}, {detect('cell_b')}, '') AS currency, {month('orders.o_orderdate')} AS row_month,
+       cell_a AS rs_reward, cell_b AS cpa_reward, {cents_text('o_totalprice')} AS reward_due
+FROM orders JOIN cells USING (o_orderkey) JOIN accounts ON orders.o_custkey = c_custkey WHERE o_orderpriority <> '5-LOW'"""
+
+ORACLE["standard_multilingual"] = f"""
+WITH {ACCOUNTS}
+SELECT account_id, platform, operator, brand, CASE WHEN c_acctbal < 9000 AND c_nationkey > 4 THEN platform || '_' || username
+       WHEN c_acctbal >= 9000 THEN '0_' || username ELSE username END AS account_username, '2000-01' AS month,
+       CASE WHEN c_acctbal < 9000 THEN ' 1' ELSE '1' END AS rowid,
+       CASE WHEN c_acctbal >= 9000 THEN '0' WHEN c_nationkey < 9 THEN '€' END AS currency,
+       CASE WHEN c_acctbal < 9000 THEN {cents_text('c_acctbal')} ELSE '0' END AS pct_commission,
+       CASE WHEN c_acctbal < 9000 THEN {txt('c_nationkey')} ELSE '0' END AS cpa_commission
+FROM accounts WHERE c_acctbal >= 0"""
+
+ORACLE["standard_long"] = f"""
+WITH {ACCOUNTS}, {SYMBOL_CELLS}, shown AS (
+  SELECT o_custkey, arg_min({detect('cell_b')}, o_orderkey) FILTER ({detect('cell_b')} IS NOT NULL AND o_orderkey % 2 <> 0) AS a,
+         arg_min({detect('cell_b')}, o_orderkey) FILTER ({detect('cell_b')} IS NOT NULL AND o_orderkey % 2 = 0) AS b FROM cells GROUP BY 1),
+sums AS (SELECT user_id AS id, event_type AS commission_type, CAST(sum({cents('value')}) AS DOUBLE) AS amount FROM events GROUP BY ALL
+  UNION ALL SELECT c_custkey, unnest(['CPA', 'Revshare Ongoing PL']), 0.0::DOUBLE FROM customer WHERE c_custkey NOT IN (SELECT user_id FROM events))
+SELECT {TAGS}, '2000-01' AS month, coalesce(a, b, '') AS currency, commission_type, amount
+FROM sums JOIN accounts ON id = c_custkey LEFT JOIN shown ON id = o_custkey"""
+
+ORACLE["standard_vendor"] = f"""
+WITH {ACCOUNTS}, {SYMBOL_CELLS}, own AS (
+  SELECT o_custkey, arg_min({detect('cell_a')}, o_orderkey) FILTER ({detect('cell_a')} IS NOT NULL) AS a,
+         arg_min({detect('cell_b')}, o_orderkey) FILTER ({detect('cell_b')} IS NOT NULL) AS b FROM cells GROUP BY 1)
+SELECT {TAGS}, '2000-01' AS month, CASE WHEN c_nationkey < 9 THEN 'GBP' ELSE coalesce(a, b, '') END AS currency, 'V' AS vendor_name,
+       cell_a AS revshare_commission, cell_b AS cpa_commission
+FROM cells JOIN accounts ON o_custkey = c_custkey LEFT JOIN own USING (o_custkey)"""
+
 ORACLE["brand_slice"] = f"""
 WITH {ACCOUNTS} SELECT account_id, platform, operator, brand FROM accounts WHERE brand = 'EUROPE'"""
 

@@ -24,9 +24,12 @@ from ..operators.quality import (account_outcomes, divergences, filter_by_ids, l
                                  missing_accounts)
 from ..operators.reference import (enrich_reference, preferred_rows, reference_lookup,
                                    refresh_reference)
-from ..operators.standardize import (shown_currency, canonical_headers, clean_headers,
-                                     default_rows, pad_rows, row_cells, sum_by_type,
-                                     table_currency, tag_accounts)
+from ..operators.standardize import (canonical_headers, clean_headers, default_rows, pad_rows, row_cells,
+                                      shown_currency, standardize_long,
+                                      standardize_multilingual,
+                                      standardize_vendor, standardize_wide,
+                                      sum_by_type, table_currency, tag_accounts,
+                                      zero_rows)
 from ..operators.upsert import upsert
 from ..sinks.publish import comma_text
 from ..sinks.run_log import render_steps, run_summary
@@ -212,6 +215,55 @@ def tag_account_rows(spark: SparkSession, sf: str) -> DataFrame:
                         F.when(F.col("o_orderkey") > 100, F.lit("EUR")), stamp=False)
 
 
+# One standardiser per report shape, over raw exports of all accounts.
+@query
+def standard_wide(spark: SparkSession, sf: str) -> DataFrame:
+    """Monthly tables with totals rows; the currency stands in the value cells."""
+    cells = symbol_cells(spark, sf).select("o_orderkey", "cell_a", "cell_b")
+    o = table(spark, sf, "orders").join(cells, "o_orderkey")
+    raw = o.select(text("o_custkey").alias("account_id"),
+                   F.when(F.col("o_orderpriority") == "5-LOW", " Total").otherwise(month_of(F.col("o_orderdate"))).alias("\ufeffMonth "),
+                   F.col("cell_a").alias("Revenue Share Reward"), F.col("cell_b").alias("CPA Reward"), cents_text("o_totalprice").alias("Reward Due"))
+    return standardize_wide(raw, accounts(spark, sf), "2000-01").drop("extracted_at")
+
+
+@query
+def standard_multilingual(spark: SparkSession, sf: str) -> DataFrame:
+    """Portuguese headers, detail and summary rows, merchants, and a zero row for every
+    account whose export is empty."""
+    c = table(spark, sf, "customer")
+    raw = c.where("c_acctbal < 9000").select(
+        text("c_custkey").alias("account_id"), F.when(F.col("c_acctbal") < 0, "2").otherwise(" 1").alias("RowID"),
+        F.when(F.col("c_nationkey") < 9, "€").alias("Símbolo da moeda"), cents_text("c_acctbal").alias("% de comissão"),
+        text("c_nationkey").alias("Comissão CPA"), F.when(F.col("c_nationkey") > 4, F.concat(F.lit("Some "), "c_mktsegment")).alias("Merchant"))
+    empty = c.where("c_acctbal >= 9000").select(text("c_custkey").alias("account_id"))
+    rows = raw.unionByName(zero_rows(empty, raw.columns[1:]))
+    return standardize_multilingual(rows, accounts(spark, sf), "2000-01").drop("extracted_at")
+
+
+@query
+def standard_long(spark: SparkSession, sf: str) -> DataFrame:
+    """Commission lists summed by type, the currency as shown beside them, default rows for
+    accounts without results."""
+    e = table(spark, sf, "events")
+    raw = e.select(text("user_id").alias("account_id"), F.concat(F.lit(" "), "event_type").alias("Commission Type "), cents_text("value").alias("Amount"))
+    shown = symbol_cells(spark, sf).select(text("o_custkey").alias("account_id"), F.col("o_orderkey").alias("row_no"), F.col("cell_b").alias("text"),
+                                           (F.col("o_orderkey") % 2 == 0).alias("is_total"))
+    empty = table(spark, sf, "customer").join(e, F.col("c_custkey") == F.col("user_id"), "left_anti").select(text("c_custkey").alias("account_id"))
+    out = standardize_long(raw, shown, accounts(spark, sf), "2000-01", empty)
+    return out.drop("extracted_at").withColumn("amount", dbl("amount"))
+
+
+@query
+def standard_vendor(spark: SparkSession, sf: str) -> DataFrame:
+    """Vendor rows; the currency from the scraped page, else from the export itself."""
+    raw = symbol_cells(spark, sf).select(text("o_custkey").alias("account_id"), F.col("o_orderkey").alias("row_no"), F.lit("V").alias("Vendor Name"),
+                                         F.col("cell_a").alias("RevShare Commission"), F.col("cell_b").alias("CPA Commission"))
+    scraped = table(spark, sf, "customer").select(text("c_custkey").alias("account_id"), F.lit(1).alias("row_no"), F.lit(0).alias("col_no"),
+                                                  F.when(F.col("c_nationkey") < 9, F.concat(F.lit("£"), cents_text("c_acctbal"))).alias("text"))
+    return standardize_vendor(raw, scraped, accounts(spark, sf), "2000-01").drop("extracted_at")
+
+
 @named("brand_slice")
 def one_brand(spark: SparkSession, sf: str) -> DataFrame:
     """One brand's slice of the accounts."""
