@@ -456,6 +456,11 @@ SELECT {txt('o_orderkey')} AS o_orderkey, replace({cents_text('o_totalprice')},
        CASE WHEN o_orderstatus = 'F' THEN '-' || replace({cents_text('o_totalprice')}, '.', ',') ELSE '' END AS note,
        'v1.2' AS label FROM orders"""
 
+ORACLE["replaced_text"] = f"""
+SELECT {txt('o_orderkey')} AS o_orderkey, {cents_text('o_totalprice')} AS price,
+       CASE WHEN o_orderstatus <> 'P' THEN o_orderpriority ELSE '' END AS priority, CASE WHEN o_orderkey % 2 = 0 THEN 'true' ELSE 'false' END AS even
+FROM orders"""
+
 ORACLE["load_counters"] = f"""
 WITH {ACCOUNTS}, {REFERENCE}, {UNION_ROWS}, {DAY_RATES}, {ORDER_AMOUNTS}
 SELECT platform, count(*) AS n_rows, count(*) FILTER (ref IS NULL) AS n_without_ref,
@@ -486,6 +491,12 @@ SELECT c_mktsegment AS tab, CAST(c_custkey + 10 AS INTEGER) AS row_no,
        CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN c_name ELSE {txt('c_nationkey')} END AS nation, '' AS gone
 FROM customer WHERE c_acctbal > 0"""
 
+ORACLE["reference_tabs"] = f"""
+SELECT CASE c_mktsegment WHEN 'MACHINERY' THEN 'Brand M' ELSE 'Brand B' END AS brand, '' AS platform, c_name AS username,
+       {cents_text('c_acctbal')} AS ref, CASE WHEN c_acctbal > 0 THEN 'RS' ELSE 'CPA' END AS commission, {txt('c_nationkey')} AS netting,
+       CASE c_mktsegment WHEN 'MACHINERY' THEN 0 ELSE 1 END AS tab_no, CAST(c_custkey + 9 AS INTEGER) AS row_no
+FROM customer WHERE c_mktsegment IN ('MACHINERY', 'BUILDING')"""
+
 ORACLE["ragged_rows"] = """
 WITH d AS (SELECT doc_id, [string_split(x, ' ') for x in string_split(text, chr(10))] AS rows FROM documents),
 w AS (SELECT doc_id, rows, list_max([len(r) for r in rows]) AS width FROM d),

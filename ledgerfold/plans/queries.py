@@ -31,10 +31,10 @@ from ..operators.standardize import (canonical_headers, clean_headers, default_r
                                       sum_by_type, table_currency, tag_accounts,
                                       zero_rows)
 from ..operators.upsert import upsert
-from ..sinks.publish import comma_text
+from ..sinks.publish import as_text, comma_text
 from ..sinks.run_log import render_steps, run_summary
 from ..sources.html_rows import html_rows
-from ..sources.worksheet import read_offset_header
+from ..sources.worksheet import read_offset_header, read_reference_sheet
 from .tables import (SYMBOLS, accounts, cents, cents_text, day_quotes, order_amounts, pick, table,
                      text)
 from .unified import build_unified
@@ -641,6 +641,14 @@ def publish_text(spark: SparkSession, sf: str) -> DataFrame:
     return comma_text(o)
 
 
+@query
+def replaced_text(spark: SparkSession, sf: str) -> DataFrame:
+    """The rendering of a full replace: plain text, null as ''."""
+    return as_text(table(spark, sf, "orders").select(
+        "o_orderkey", cents("o_totalprice").alias("price"), F.when(F.col("o_orderstatus") != "P", F.col("o_orderpriority")).alias("priority"),
+        (F.col("o_orderkey") % 2 == 0).alias("even")))
+
+
 @named("load_counters")
 def load_counter(spark: SparkSession, sf: str) -> DataFrame:
     """Rows seen, without ref, without rate and kept, per platform."""
@@ -704,6 +712,18 @@ def offset_header_scan(spark: SparkSession, sf: str) -> DataFrame:
     return read_offset_header(sheet_cells(spark, sf), 9, {"name": "Name", "nation": "Nation", "gone": "Gone"})
 
 
+@query
+def reference_tabs(spark: SparkSession, sf: str) -> DataFrame:
+    """Reference rows of two of the worksheet's tabs, with the brand and order of the tab."""
+    c = table(spark, sf, "customer")
+    rows = c.select(F.col("c_mktsegment").alias("tab"), (F.col("c_custkey") + 9).cast("int").alias("row_no"), F.array(
+        text("c_nationkey"), F.lit("x"), F.col("c_name"), F.when(F.col("c_acctbal") > 0, "RS").otherwise("CPA"), cents_text("c_acctbal")).alias("cells"))
+    head = c.select(F.col("c_mktsegment").alias("tab")).distinct().select("tab", F.lit(9).alias("row_no"), F.array(*[
+        F.lit(h) for h in ("Resta", "-", " Usuario Referencia", "RS / CPA / Fijo", "Operador Referencia ")]).alias("cells"))
+    out = read_reference_sheet(rows.unionByName(head), Rules(sheet_tabs={"MACHINERY": "Brand M", "BUILDING": "Brand B"}))
+    return out.select("brand", "platform", "username", "ref", "commission", "netting", F.col("pos.tab").alias("tab_no"), F.col("pos.row_no").alias("row_no"))
+
+
 @query
 def ragged_rows(spark: SparkSession, sf: str) -> DataFrame:
     """Lines of a document as ragged rows of words, padded to the widest line."""
