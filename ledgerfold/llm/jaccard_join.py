@@ -6,11 +6,12 @@ whole sequence). Two documents link when 100 * |A and B| >= percent * |A or B|.
 Documents with equal sets form one class. A class puts its rarest-first prefix, of which two
 linking classes must share a shingle, into tiles: a tile is one prefix shingle, sorted by
 size bands. First each class is held against the smallest class of its tile and band (a star, so
-a group of g costs g comparisons); links found join classes to components. Then every
-tile that still holds several components is scanned by size: bitmaps of one parity bit per
-hashed shingle bound the overlap from above (bits that differ are shingles that
-differ), and pairs from different components that pass go to exact intersection. Pairs inside a
-component need no look, as they cannot change it; no other pair is left out.
+a group of g costs g comparisons); links found join classes to components. Then tiles that still
+hold several components are scanned by size. In the first rounds each class tries its few
+closest partners of other components, which joins what belongs together; the last round tries
+all that are left. Bitmaps of one parity bit per hashed shingle bound the overlap from above
+(bits that differ are shingles that differ); pairs that pass go to exact intersection. Pairs
+inside a component need no look, as they cannot change it; no other pair is left out.
 
 Defined cases: null or empty text has an empty set and links with nothing; equal rows are in
 one class; a row without id belongs to its class, but texts are fetched by id only, so a
@@ -35,7 +36,9 @@ from ledgerfold.llm.words import LOWER, SPACES, Sums, Words, chunks, mix, split_
 
 K = 5
 PERCENT = 80
-CELL_BITS = 20
+CELL_BITS = 22
+#: Partners that a class tries in each round before the last one, which tries all that are left.
+ROUNDS = (3, 3, None)
 #: Bits of the filter that picks candidate documents before their texts are shuffled.
 FILTER_BITS = 23
 SEEN = 1 << 20
@@ -104,7 +107,7 @@ def _counter(k: int):
         for _, hashes, first in _sets(batches, k):
             new = _unseen(class_hashes(hashes, first), seen)
             cells += np.bincount((hashes[np.repeat(new, np.diff(first))] >> np.uint64(64 - CELL_BITS)).astype(np.int64), minlength=len(cells))
-        full = np.flatnonzero(cells >= max(4, 4 * cells.mean()))
+        full = np.flatnonzero(cells >= max(4, 2 * cells.mean()))
         yield pa.RecordBatch.from_arrays([pa.array(np.append(full, -1)), pa.array(np.append(cells[full], cells.sum()))], names=["cell", "n"])
 
     return count
@@ -190,42 +193,49 @@ def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
 
-def _tiles(percent: int):
+def _passes(n_a: np.ndarray, n_b: np.ndarray, differ: np.ndarray, percent: int) -> np.ndarray:
+    """|A or B| - |A and B| is `differ` at least, which leaves this much in common at most."""
+    common = (n_a + n_b - differ) // 2
+    return (100 * common >= percent * (n_a + n_b - common)) & (100 * np.minimum(n_a, n_b) >= percent * np.maximum(n_a, n_b))
+
+
+def _tiles(percent: int, limit: int | None):
     """Of rows (shingle, n, cls, component, bits) sorted by shingle and n: pairs of different components
-    whose sizes and bitmaps let them link."""
+    whose sizes and bitmaps let them link; of each row the `limit` closest ones."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, held, done = None, [], set()
+        now, held, done = None, {}, set()
         for batch in batches:
-            out: list[tuple[int, int]] = []
+            out: set[tuple[int, int]] = set()
             for shingle, n, cls, component, bits in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if shingle != now:
-                    now, held = shingle, []
-                # One block of rows for each bitmap width: sizes, classes, components, bitmaps.
+                    now, held = shingle, {}
                 row = np.frombuffer(bits, np.uint64)[None, :]
-                for block in held:
+                near: list[tuple[int, int]] = []
+                # One block of rows for each bitmap width.
+                for width, block in held.items():
                     size = block["n"][: block["used"]]
-                    low = np.searchsorted(size, (percent * n + 99) // 100)
+                    low = int(np.searchsorted(size, (percent * n + 99) // 100))
                     if low == block["used"]:
                         continue
                     part = slice(low, block["used"])
-                    other = block["bits"][part]
-                    width = min(other.shape[1], row.shape[1])
-                    differ = np.bitwise_count(folded(other, width) ^ folded(row, width)).sum(1).astype(np.int64)
-                    # |A or B| - |A and B| >= differ, so at most this many are common:
-                    common = (size[low:] + n - differ) // 2
-                    good = (block["component"][part] != component) & (100 * common >= percent * (size[low:] + n - common))
-                    out += [(min(x, cls), max(x, cls)) for x in block["cls"][part][good].tolist()]
-                block = next((b for b in held if b["bits"].shape[1] == row.shape[1]), None)
+                    least = min(width, row.shape[1])
+                    differ = np.bitwise_count(folded(block["bits"][part], least) ^ folded(row, least)).sum(1).astype(np.int64)
+                    good = np.flatnonzero((block["component"][part] != component) & _passes(size[low:], np.int64(n), differ, percent))
+                    if limit is not None and len(good) > limit:
+                        good = good[np.argsort(differ[good], kind="stable")[:limit]]
+                    near += zip(differ[good].tolist(), block["cls"][part][good].tolist(), strict=True)
+                out |= {(min(x, cls), max(x, cls)) for _, x in (near if limit is None else sorted(near)[:limit])}
+                block = held.get(row.shape[1])
                 if block is None:
-                    held.append(block := {"used": 0, "n": np.zeros(4, np.int64), "cls": np.zeros(4, np.int64), "component": np.zeros(4, np.int64), "bits": np.zeros((4, row.shape[1]), np.uint64)})
+                    block = held[row.shape[1]] = {"used": 0, "n": np.zeros(4, np.int64), "cls": np.zeros(4, np.int64), "component": np.zeros(4, np.int64), "bits": np.zeros((4, row.shape[1]), np.uint64)}
                 if block["used"] == len(block["n"]):
                     for c in ("n", "cls", "component", "bits"):
                         block[c] = np.concatenate([block[c], np.zeros_like(block[c])])
                 for c, value in (("n", n), ("cls", cls), ("component", component), ("bits", row[0])):
                     block[c][block["used"]] = value
                 block["used"] += 1
-            pairs = set(out) - done
+            pairs = out - done
             if len(done) > SEEN:
                 done.clear()
             done |= pairs
@@ -235,6 +245,21 @@ def _tiles(percent: int):
     return scan
 
 
+def _bounder(percent: int):
+    """Of pairs (a, n_a, bits_a, b, n_b, bits_b): those whose sizes and bitmaps let them link."""
+
+    def bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            differ = np.zeros(batch.num_rows, np.int64)
+            for i, (x, y) in enumerate(zip(batch.column(2).to_pylist(), batch.column(5).to_pylist(), strict=True)):
+                x, y = np.frombuffer(x, np.uint64)[None, :], np.frombuffer(y, np.uint64)[None, :]
+                width = min(x.shape[1], y.shape[1])
+                differ[i] = np.bitwise_count(folded(x, width) ^ folded(y, width)).sum()
+            yield batch.select(["a", "b"]).filter(pa.array(_passes(batch.column(1).to_numpy(), batch.column(4).to_numpy(), differ, percent)))
+
+    return bound
+
+
 def _chooser(bits):
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -295,23 +320,29 @@ def similar_classes(docs: DataFrame, *, id: str = "doc_id", text: str = "text",
     counted = source.mapInArrow(_counter(k), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
     total = counted.where("cell = -1").first()
     common = np.zeros(1 << CELL_BITS, bool)
-    common[[r.cell for r in counted.where(f"cell >= 0 AND n > {max(64, 8 * (total.n if total else 0) >> CELL_BITS)}").collect()]] = True
+    common[[r.cell for r in counted.where(f"cell >= 0 AND n > {max(32, 4 * (total.n if total else 0) >> CELL_BITS)}").collect()]] = True
     classes = stored(source.mapInArrow(_classifier(k, percent, spark.sparkContext.broadcast(common)), CLASSES))
     reps = stored(classes.where("n > 0").groupBy("cls").agg(F.min("doc").alias("rep"), F.max("n").alias("n"), F.max("bits").alias("bits")))
     band = F.floor(F.log(F.col("n")) / F.log(F.lit(100 / percent))).cast("int")
     postings = classes.where("prefix IS NOT NULL").select(F.explode("prefix").alias("shingle"), band.alias("band"), "cls")
     shared = stored(postings.repartition("shingle").sortWithinPartitions("shingle", "band", "cls").mapInArrow(_runs, "shingle long, band int, cls long"))
     stars = shared.repartition("shingle").sortWithinPartitions("shingle", "band", "cls").mapInArrow(_stars, "a long, b long").distinct()
-    links = stored(_linked(stars, reps, source, k, percent))
-    joined = stored(components(links))
-    # Tiles with several components are scanned pair by pair.
-    member = joined.select(F.col("vertex").alias("cls"), "component")
-    open_ = shared.select("shingle", "cls").join(member, "cls", "left").withColumn("component", F.coalesce("component", "cls"))
-    mixed = open_.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("shingle")
-    rows = open_.join(mixed, "shingle", "left_semi").join(reps.select("cls", "n", "bits"), "cls").select("shingle", "n", "cls", "component", "bits")
-    rest = rows.repartition("shingle").sortWithinPartitions("shingle", "n", "cls").mapInArrow(_tiles(percent), "a long, b long").distinct()
-    more = _linked(rest, reps, source, k, percent)
-    final = components(stored(links.unionByName(more)))
+    side = lambda x: reps.select(F.col("cls").alias(x), F.col("n").alias(f"n_{x}"), F.col("bits").alias(f"bits_{x}"))
+    bounded = stars.join(side("a"), "a").join(side("b"), "b").select("a", "n_a", "bits_a", "b", "n_b", "bits_b").mapInArrow(_bounder(percent), "a long, b long")
+    tried = stored(bounded)
+    links = stored(_linked(tried, reps, source, k, percent))
+    for limit in ROUNDS:
+        member = stored(components(links).select(F.col("vertex").alias("cls"), "component"))
+        open_ = shared.select("shingle", "cls").join(member, "cls", "left").withColumn("component", F.coalesce("component", "cls"))
+        mixed = open_.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("shingle")
+        rows = open_.join(mixed, "shingle", "left_semi").join(reps.select("cls", "n", "bits"), "cls").select("shingle", "n", "cls", "component", "bits")
+        found = rows.repartition("shingle").sortWithinPartitions("shingle", "n", "cls").mapInArrow(_tiles(percent, limit), "a long, b long").distinct()
+        new = stored(found.join(tried, ["a", "b"], "left_anti"))
+        if new.isEmpty():
+            continue
+        tried = tried.unionByName(new)
+        links = links.unionByName(stored(_linked(new, reps, source, k, percent)))
+    final = components(links)
     return classes.select("doc", "n", "cls"), final.select(F.col("vertex").alias("cls"), "component")
 
 
