@@ -8,8 +8,8 @@ linking classes must share a shingle, into tiles: a tile is one prefix shingle,
 size bands. First each class is held against the smallest class of its tile and band (a star, so
 a group of g costs g comparisons); links found join classes to components. Then tiles that still
 hold several components are scanned by size. In the first rounds each class tries its few
-closest partners of other components, which joins what belongs together; the last round tries
-all that are left. Bitmaps of one parity bit per hashed shingle bound the overlap from above
+closest partners of other components, which joins what belongs together; tiles where that left
+partners over are scanned again, and the last round tries all. Bitmaps of one parity bit per hashed shingle bound the overlap from above
 (bits that differ are shingles that differ); pairs that pass go to exact intersection. Pairs
 inside a component need no look, as they cannot change it; no other pair is left out.
 
@@ -201,12 +201,14 @@ def _passes(n_a: np.ndarray, n_b: np.ndarray, differ: np.ndarray, percent: int)
 
 def _tiles(percent: int, limit: int | None):
     """Of rows (shingle, n, cls, component, bits) sorted by shingle and n: pairs of different components
-    whose sizes and bitmaps let them link; of each row the `limit` closest ones."""
+    whose sizes and bitmaps let them link; of each row the `limit` closest ones. Tiles in which a row
+    had more of them are named in column `more`, once for each batch."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, held, done = None, {}, set()
         for batch in batches:
             out: set[tuple[int, int]] = set()
+            more: set[int] = set()
             for shingle, n, cls, component, bits in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if shingle != now:
                     now, held = shingle, {}
@@ -223,9 +225,13 @@ def _tiles(percent: int, limit: int | None):
                     differ = np.bitwise_count(folded(block["bits"][part], least) ^ folded(row, least)).sum(1).astype(np.int64)
                     good = np.flatnonzero((block["component"][part] != component) & _passes(size[low:], np.int64(n), differ, percent))
                     if limit is not None and len(good) > limit:
+                        more.add(shingle)
                         good = good[np.argsort(differ[good], kind="stable")[:limit]]
                     near += zip(differ[good].tolist(), block["cls"][part][good].tolist(), strict=True)
-                out |= {(min(x, cls), max(x, cls)) for _, x in (near if limit is None else sorted(near)[:limit])}
+                if limit is not None and len(near) > limit:
+                    more.add(shingle)
+                    near = sorted(near)[:limit]
+                out |= {(min(x, cls), max(x, cls)) for _, x in near}
                 block = held.get(row.shape[1])
                 if block is None:
                     block = held[row.shape[1]] = {"used": 0, "n": np.zeros(4, np.int64), "cls": np.zeros(4, np.int64), "component": np.zeros(4, np.int64), "bits": np.zeros((4, row.shape[1]), np.uint64)}
@@ -235,12 +241,13 @@ def _tiles(percent: int, limit: int | None):
                 for c, value in (("n", n), ("cls", cls), ("component", component), ("bits", row[0])):
                     block[c][block["used"]] = value
                 block["used"] += 1
-            pairs = out - done
+            pairs = sorted(out - done)
             if len(done) > SEEN:
                 done.clear()
-            done |= pairs
-            a, b = zip(*pairs, strict=True) if pairs else ((), ())
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+            done.update(pairs)
+            none = [None] * len(more)
+            columns = ([x for x, _ in pairs] + none, [x for _, x in pairs] + none, [None] * len(pairs) + sorted(more))
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["a", "b", "more"])
 
     return scan
 
@@ -331,19 +338,23 @@ def similar_classes(docs: DataFrame, *, id: str = "doc_id", text: str = "text",
     bounded = stars.join(side("a"), "a").join(side("b"), "b").select("a", "n_a", "bits_a", "b", "n_b", "bits_b").mapInArrow(_bounder(percent), "a long, b long")
     tried = stored(bounded)
     links = stored(_linked(tried, reps, source, k, percent))
+    joined = lambda: stored(components(links).select(F.col("vertex").alias("cls"), "component"))
+    member, tiles = joined(), shared.select("shingle", "cls")
     for limit in ROUNDS:
-        member = stored(components(links).select(F.col("vertex").alias("cls"), "component"))
-        open_ = shared.select("shingle", "cls").join(member, "cls", "left").withColumn("component", F.coalesce("component", "cls"))
-        mixed = open_.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("shingle")
-        rows = open_.join(mixed, "shingle", "left_semi").join(reps.select("cls", "n", "bits"), "cls").select("shingle", "n", "cls", "component", "bits")
-        found = rows.repartition("shingle").sortWithinPartitions("shingle", "n", "cls").mapInArrow(_tiles(percent, limit), "a long, b long").distinct()
-        new = stored(found.join(tried, ["a", "b"], "left_anti"))
-        if new.isEmpty():
-            continue
+        known = reps.select("cls", "n", "bits").join(member, "cls", "left").withColumn("component", F.coalesce("component", "cls"))
+        rows = tiles.join(known, "cls").select("shingle", "n", "cls", "component", "bits")
+        found = stored(rows.repartition("shingle").sortWithinPartitions("shingle", "n", "cls").mapInArrow(_tiles(percent, limit), "a long, b long, more long"))
+        new = stored(found.where("more IS NULL").select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"))
+        # What later rounds still have to look at: tiles with more partners than were tried.
+        tiles = tiles.join(found.where("more IS NOT NULL").select(F.col("more").alias("shingle")).distinct(), "shingle", "left_semi")
         tried = tried.unionByName(new)
-        links = links.unionByName(stored(_linked(new, reps, source, k, percent)))
-    final = components(links)
-    return classes.select("doc", "n", "cls"), final.select(F.col("vertex").alias("cls"), "component")
+        more = stored(_linked(new, reps, source, k, percent))
+        if not more.isEmpty():
+            links = links.unionByName(more)
+            member = joined()
+        if found.where("more IS NOT NULL").isEmpty():
+            break
+    return classes.select("doc", "n", "cls"), member
 
 
 def similar_documents(docs: DataFrame, *, id: str = "doc_id", text: str = "text", k: int = K, percent: int = PERCENT) -> DataFrame:
