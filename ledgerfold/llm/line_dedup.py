@@ -1,11 +1,11 @@
 """Line dedup over fuzzy lines, in DataFrame functions only.
 
-Lines (split at \\n) are normalised: lower case, words of letters and digits, one blank
-between. Lines of `min_words` words or more take part. Each gets a 64-bit SimHash of its words; two
-lines are linked when their SimHashes differ in `distance` (2) bits at most and their edit
-similarity, 1 - edits / length of the longer, is `percent` % or more. Of all occurrences of the
-lines in one connected group, the first (smallest document id, then line) stays, the others
-are removed.
+Lines (split at \\n) are normalised: lower case, words between blanks without `PUNCTUATION` at
+their ends, one blank between. Lines of `min_words` words or more take part. Each gets a 64-bit SimHash
+of its words; two lines are linked when their SimHashes differ in `DISTANCE` (2) bits at most
+and their edit similarity, 1 - edits / length of the longer, is `percent` % or more. Of all
+occurrences of the lines in one connected group, the first (smallest document id, then line)
+stays, the others are removed.
 
 With four blocks of 16 bits, two differing bits leave two blocks alone at least: lines meet under
 each of the six pairs of blocks (32-bit keys). Under each key all lines are held against the
@@ -17,10 +17,11 @@ document, so their lines stay or go together; rows that share an id but not the
 ordered by a hash of the text; a null id sorts first; lines with fewer words always stay; an
 empty table gives no rows.
 
-Scale: only hashes and places of lines are shuffled, distinct lines once for each block pair;
-normalised text of candidate lines is fetched once, picked by a bitmap of fixed size. Equal
-lines fold into one before anything is joined. Documents are shuffled once, to meet their lists
-of lines to remove; those lists hang on unique keys, so a hot line's join can be split."""
+Scale: words are counted into SimHashes where they are read (sums in lanes of a few longs),
+so only hashes and places of lines are shuffled, distinct lines once for each block pair; texts of
+candidate lines are fetched once, picked by a bitmap of fixed size. Equal lines fold into one
+before anything is joined. Documents are shuffled once, to meet their lists of lines to remove;
+those lists hang on unique keys, so a hot line's join can be split."""
 
 from __future__ import annotations
 
@@ -38,41 +39,51 @@ BLOCKS, BLOCK_BITS = 4, 16
 #: Four lanes of 16 bits in one long, and the words that are counted in lanes at once.
 LANES, LANE_WORDS = 0x0001000100010001, 0x3FFF
 FILTER_WORDS = 1 << 16
+#: What is cut off both ends of a word.
+PUNCTUATION = ".,;:!?\"'()"
 
 
-def normal_words(line: Column) -> Column:
-    return F.filter(F.split(F.lower(line), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+def _counted() -> list[Column]:
+    """Aggregates over word hashes v: how many have each bit. Lane j of counter i counts bit 16 j + i."""
+    return [F.sum(F.shiftrightunsigned("v", i).bitwiseAND(F.lit(LANES))).alias(f"c{i}") for i in range(16)]
 
 
-def _majority(hashes: Column, n: Column) -> Column:
-    """Bits that more than half of the hashes have; up to LANE_WORDS of them. Lane j of counter i counts bit 16 j + i."""
-    zero = F.struct(*(F.lit(0).cast("long").alias(f"c{i}") for i in range(16)))
-    add = lambda s, h: F.struct(*((s[f"c{i}"] + F.shiftrightunsigned(h, i).bitwiseAND(F.lit(LANES))).alias(f"c{i}") for i in range(16)))
+def _majority(n: Column) -> Column:
+    """The bits that more than half of n counted hashes have; n is LANE_WORDS at most."""
     # A lane reaches bit 14 if it counts more than half.
     lift = (F.lit(LANE_WORDS).cast("long") - F.floor(n / 2).cast("long")) * F.lit(LANES)
+    out = None
+    for i in range(16):
+        part = F.shiftleft(F.shiftrightunsigned(F.col(f"c{i}") + lift, 14).bitwiseAND(F.lit(LANES)), i)
+        out = part if out is None else out.bitwiseOR(part)
+    return out
 
-    def bits(s: Column) -> Column:
-        out = None
-        for i in range(16):
-            part = F.shiftleft(F.shiftrightunsigned(s[f"c{i}"] + lift, 14).bitwiseAND(F.lit(LANES)), i)
-            out = part if out is None else out.bitwiseOR(part)
-        return out
 
-    return F.aggregate(hashes, zero, add, bits)
+def _lines(docs: DataFrame) -> DataFrame:
+    """doc, digest, line, said, k: every line in lower case, and one number for its place."""
+    each = docs.select("doc", "digest", F.posexplode(F.split(F.lower("text"), "\n")).alias("line", "said"))
+    return each.withColumn("k", F.xxhash64("doc", "digest", "line"))
 
 
-def simhash(hashes: Column) -> Column:
-    """SimHash of word hashes. Longer lines than counters hold are cut into parts, whose SimHashes are counted."""
-    n = F.size(hashes)
-    parts = F.transform(F.sequence(F.lit(0), F.floor((n - 1) / LANE_WORDS).cast("int")), lambda k: F.slice(hashes, k * LANE_WORDS + 1, F.lit(LANE_WORDS)))
-    several = F.transform(parts, lambda p: _majority(p, F.size(p)))
-    return F.when(n <= LANE_WORDS, _majority(hashes, n)).otherwise(_majority(several, F.size(several)))
+def line_hashes(docs: DataFrame, min_words: int) -> DataFrame:
+    """doc, digest, line, k, h (of the line in lower case) and sig (SimHash of its words) of all lines that
+    take part.
 
+    Lines longer than the lanes can count are cut into parts, whose SimHashes are counted in turn."""
+    place = ["doc", "digest", "line", "h"]
+    split = _lines(docs).select("k", "doc", "digest", "line", F.xxhash64("said").alias("h"), F.split("said", " ").alias("words"))
+    cut = F.transform(F.sequence(F.lit(0), F.floor((F.size("words") - 1) / LANE_WORDS).cast("int")), lambda i: F.slice("words", i * LANE_WORDS + 1, F.lit(LANE_WORDS)))
+    parted = split.select("k", *place, F.posexplode(F.when(F.size("words") <= LANE_WORDS, F.array("words")).otherwise(cut)).alias("part", "words"))
+    words = parted.select("k", "part", *place, F.explode("words").alias("word")).select("k", "part", *place, F.btrim("word", F.lit(PUNCTUATION)).alias("word")).where("word != ''")
+    parts = words.withColumn("v", F.xxhash64("word")).groupBy("k", "part", *place).agg(F.count(F.lit(1)).alias("n"), *_counted())
+    parts = parts.select("k", "n", *place, _majority(F.col("n")).alias("v"))
+    whole = parts.groupBy("k", *place).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("parts"), *_counted())
+    return whole.where(F.col("n") >= min_words).select("doc", "digest", "line", "k", "h", _majority(F.col("parts")).alias("sig"))
 
-def _lines(docs: DataFrame, min_words: int) -> DataFrame:
-    """doc, digest, line, words of all lines that take part."""
-    each = docs.select("doc", "digest", F.posexplode(F.split("text", "\n")).alias("line", "said"))
-    return each.select("doc", "digest", "line", normal_words(F.col("said")).alias("words")).where(F.size("words") >= min_words)
+
+def normalised(line: Column) -> Column:
+    """The words of a line in lower case, one blank between."""
+    return F.array_join(F.filter(F.transform(F.split(line, " "), lambda w: F.btrim(w, F.lit(PUNCTUATION))), lambda w: w != ""), " ")
 
 
 def _keys(sig: Column) -> Column:
@@ -81,20 +92,23 @@ def _keys(sig: Column) -> Column:
     return F.array(*(F.shiftleft(F.lit(k).cast("long"), 2 * BLOCK_BITS).bitwiseOR(F.shiftleft(block[a], BLOCK_BITS)).bitwiseOR(block[b]) for k, (a, b) in enumerate(combinations(range(BLOCKS), BLOCKS - DISTANCE))))
 
 
-def _alike(pairs: DataFrame, docs: DataFrame, min_words: int, percent: int) -> DataFrame:
-    """Those pairs of lines (their hashes a, b) whose normalised texts are similar."""
+def _alike(pairs: DataFrame, docs: DataFrame, places: DataFrame, percent: int) -> DataFrame:
+    """Those pairs of lines (their hashes a, b) whose normalised texts are similar. places: h and where
+    the line first stands (doc, digest, line)."""
     spark = docs.sparkSession
     pairs = stored(pairs)
+    if pairs.isEmpty():
+        return pairs
     ends = pairs.select(F.col("a").alias("h")).unionByName(pairs.select(F.col("b").alias("h"))).distinct()
-    # A bitmap of fixed size over the wanted lines, as one value.
-    cell, bit = F.shiftrightunsigned(F.pmod("h", F.lit(64 * FILTER_WORDS)), 6), F.pmod("h", F.lit(64)).cast("int")
-    cells = ends.select(cell.alias("cell"), F.call_function("shiftleft", F.lit(1).cast("long"), bit).alias("bits")).groupBy("cell").agg(F.bit_or("bits").alias("bits"))
+    wanted = stored(places.join(ends, "h", "left_semi").select("h", "doc", "digest", "line", F.xxhash64("doc", "digest", "line").alias("k")))
+    # A bitmap of fixed size over the wanted places, as one value.
+    cell, bit = F.shiftrightunsigned(F.pmod("k", F.lit(64 * FILTER_WORDS)), 6), F.pmod("k", F.lit(64)).cast("int")
+    cells = wanted.select(cell.alias("cell"), F.call_function("shiftleft", F.lit(1).cast("long"), bit).alias("bits")).groupBy("cell").agg(F.bit_or("bits").alias("bits"))
     dense = spark.range(FILTER_WORDS).join(cells, F.col("id") == F.col("cell"), "left").select(F.struct("id", F.coalesce("bits", F.lit(0).cast("long")).alias("bits")).alias("c"))
-    bitmap = dense.agg(F.transform(F.array_sort(F.collect_list("c")), lambda c: c.bits).alias("bitmap"))
-    lines = _lines(docs, min_words).select(F.array_join("words", " ").alias("said")).withColumn("h", F.xxhash64("said"))
-    wanted = F.get(bitmap.scalar(), cell.cast("int"))
-    near = lines.where(F.call_function("shiftrightunsigned", wanted, bit).bitwiseAND(F.lit(1).cast("long")) == 1)
-    texts = stored(near.join(ends, "h", "left_semi").groupBy("h").agg(F.min("said").alias("said")))
+    bitmap = stored(dense.agg(F.transform(F.array_sort(F.collect_list("c")), lambda c: c.bits).alias("bitmap")))
+    near = _lines(docs).where(F.call_function("shiftrightunsigned", F.get(bitmap.scalar(), cell.cast("int")), bit).bitwiseAND(F.lit(1).cast("long")) == 1)
+    same = near["doc"].eqNullSafe(wanted["doc"]) & (near["digest"] == wanted["digest"]) & (near["line"] == wanted["line"]) & (near["k"] == wanted["k"])
+    texts = stored(near.join(wanted, same).groupBy("h").agg(F.min("said").alias("said")).select("h", normalised(F.col("said")).alias("said")))
     both = pairs.join(texts.select(F.col("h").alias("a"), F.col("said").alias("said_a")), "a").join(texts.select(F.col("h").alias("b"), F.col("said").alias("said_b")), "b")
     longer = F.greatest(F.length("said_a"), F.length("said_b"))
     allowed = F.floor(longer * (100 - percent) / 100).cast("int")
@@ -109,15 +123,16 @@ def _named(docs: DataFrame, id: str, text: str) -> DataFrame:
 def lines_to_remove(docs: DataFrame, *, id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS, percent: int = PERCENT) -> DataFrame:
     """doc, digest and the sorted numbers of the `lines` that go, for documents that lose any."""
     source = _named(docs, id, text)
-    worded = _lines(source, min_words).withColumn("h", F.xxhash64(F.array_join("words", " "))).withColumn("hashes", F.transform("words", lambda w: F.xxhash64(w)))
-    lines = stored(worded.select("doc", "digest", "line", "h", simhash(F.col("hashes")).alias("sig")))
-    distinct = lines.groupBy("h").agg(F.min("sig").alias("sig"))
-    keyed = distinct.select(F.explode(_keys(F.col("sig"))).alias("key"), "h", "sig")
+    place = F.struct("doc", "digest", "line")
+    lines = stored(line_hashes(source, min_words))
+    classes = stored(lines.groupBy("h").agg(F.min("sig").alias("sig"), F.min(place).alias("first"), F.max(place).alias("last")))
+    places = classes.select("h", "first.*")
+    keyed = classes.select(F.explode(_keys(F.col("sig"))).alias("key"), "h", "sig")
     same = Window.partitionBy("key")
     shared = stored(keyed.withColumn("lead", F.min(F.struct("h", "sig")).over(same)).withColumn("last", F.max("h").over(same)).where("lead.h < last").select("key", "h", "sig", "lead"))
     close = lambda x, y: F.bit_count(x.bitwiseXOR(y)) <= DISTANCE
     stars = shared.where((F.col("h") != F.col("lead.h")) & close(F.col("sig"), F.col("lead.sig"))).select(F.col("lead.h").alias("a"), F.col("h").alias("b")).distinct()
-    links = stored(_alike(stars, source, min_words, percent))
+    links = stored(_alike(stars, source, places, percent))
     member = stored(components(links))
     # Keys that hold several components: all pairs within the distance that no path joins yet.
     placed = shared.select("key", "h", "sig").join(member.select(F.col("vertex").alias("h"), "component"), "h", "left").withColumn("component", F.coalesce("component", "h"))
@@ -126,11 +141,9 @@ def lines_to_remove(docs: DataFrame, *, id: str = "doc_id", text: str = "text",
     one, two = open_.alias("x"), open_.alias("y")
     rest = one.join(two, (F.col("x.key") == F.col("y.key")) & (F.col("x.h") < F.col("y.h")) & (F.col("x.component") != F.col("y.component")) & close(F.col("x.sig"), F.col("y.sig")))
     rest = rest.select(F.col("x.h").alias("a"), F.col("y.h").alias("b")).distinct()
-    more = _alike(rest, source, min_words, percent)
+    more = _alike(rest, source, places, percent)
     member = components(stored(links.unionByName(more))).select(F.col("vertex").alias("h"), "component")
     # The first place of every group; a group of one line in one place removes nothing.
-    place = F.struct("doc", "digest", "line")
-    classes = lines.groupBy("h").agg(F.min(place).alias("first"), F.max(place).alias("last"))
     groups = classes.join(member, "h", "left").withColumn("component", F.coalesce("component", "h"))
     first = groups.groupBy("component").agg(F.min("first").alias("first"), F.max("last").alias("last")).where("first < last").select("component", "first")
     keep = groups.select("h", "component").join(first, "component").select("h", "first")

@@ -1,13 +1,14 @@
 import random
-import re
 from collections import defaultdict
 
 from pyspark.sql import functions as F
 
-from ledgerfold.llm.line_dedup import LANE_WORDS, dedup_lines, simhash
+from ledgerfold.llm.line_dedup import LANE_WORDS, PUNCTUATION, dedup_lines, line_hashes
 from tests.llm.cases import documents, odd_rows, sentence
 
-WORD = re.compile(r"[^\W_]+")
+
+def worded(line):
+    return [x for w in line.split(" ") if (x := w.strip(PUNCTUATION))]
 
 
 def majority(hashes):
@@ -42,12 +43,12 @@ def test_removed_lines_against_brute_force(spark):
     digests = {r.text: r.d for r in docs.select("text", F.xxhash64("text").alias("d")).collect()}
     for i, t in rows:
         for n, line in enumerate((t or "").split("\n")):
-            words = WORD.findall(line.lower())
-            if len(words) >= 5:
-                lines[" ".join(words)].append((i is not None, i or 0, digests[t], n))
-    every = sorted({w for s in lines for w in s.split(" ")})
+            if len(worded(line.lower())) >= 5:
+                lines[line.lower()].append((i is not None, i or 0, digests[t], n))
+    every = sorted({w for s in lines for w in worded(s)})
     hashes = {r.w: r.h for r in spark.createDataFrame([(w,) for w in every], "w string").select("w", F.xxhash64("w").alias("h")).collect()}
-    sims = {s: majority([hashes[w] for w in s.split(" ")]) for s in lines}
+    sims = {s: majority([hashes[w] for w in worded(s)]) for s in lines}
+    text = {s: " ".join(worded(s)) for s in lines}
     group = {s: s for s in lines}
     def root(s):
         while group[s] != s:
@@ -57,7 +58,7 @@ def test_removed_lines_against_brute_force(spark):
     links = 0
     for x, a in enumerate(said):
         for b in said[:x]:
-            if (sims[a] ^ sims[b]).bit_count() <= 2 and edits(a, b) <= max(len(a), len(b)) * 20 // 100:
+            if (sims[a] ^ sims[b]).bit_count() <= 2 and edits(text[a], text[b]) <= max(len(text[a]), len(text[b])) * 20 // 100:
                 group[root(a)] = root(b)
                 links += 1
     places = defaultdict(set)
@@ -74,9 +75,10 @@ def test_removed_lines_against_brute_force(spark):
 
 def test_simhash_of_lines_longer_than_the_counters(spark):
     n = LANE_WORDS + 7
-    row = spark.range(1).select(F.transform(F.sequence(F.lit(1), F.lit(n)), lambda i: F.xxhash64(i)).alias("h"), simhash(F.transform(F.sequence(F.lit(1), F.lit(n)), lambda i: F.xxhash64(i))).alias("s")).first()
-    parts = [majority(row.h[:LANE_WORDS]), majority(row.h[LANE_WORDS:])]
-    assert row.s & (1 << 64) - 1 == majority(parts)
+    words = [f"w{k}" for k in range(n)]
+    row = line_hashes(spark.createDataFrame([(1, 2, " ".join(words))], "doc long, digest long, text string"), 5).first()
+    hashes = [r.h for r in spark.createDataFrame([(k, w) for k, w in enumerate(words)], "k int, w string").orderBy("k").select(F.xxhash64("w").alias("h")).collect()]
+    assert row.sig & (1 << 64) - 1 == majority([majority(hashes[:LANE_WORDS]), majority(hashes[LANE_WORDS:])])
 
 
 def test_empty_table_and_columns(spark):
