@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from ledgerfold.llm.words import CHUNK_BYTES, Sums, Words, chunks, joined, mix, split_bytes, split_words
 
 SIZE = 20
-GRAM = 2
+GRAM = 3
 BUCKET_WINDOWS = 400_000
 #: Text bytes whose super-k-mers a task gathers before it sends blocks.
 FLUSH_BYTES = 12 << 20
@@ -82,8 +82,8 @@ def super_kmers(words: Words, size: int, gram: int) -> Runs:
 # -- blocks ----------------------------------------------------------------------------------
 
 
-def _squeezed(raw: bytes) -> bytes:
-    return pa.Codec("zstd", compression_level=3).compress(raw, asbytes=True)
+def _squeezed(raw: bytes, level: int = 6) -> bytes:
+    return pa.Codec("zstd", compression_level=level).compress(raw, asbytes=True)
 
 
 def _expanded(block: bytes, size: int) -> bytes:
@@ -277,7 +277,7 @@ def _squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts as compressed bytes: they are shuffled once more, to meet the list of what stays."""
     for batch in chunks(batches):
         texts = [x or b"" for x in batch.column(2).cast(pa.binary()).to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(map(len, texts), pa.int32()), pa.array(map(_squeezed, texts), pa.binary())], names=["doc", "digest", "size", "packed"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(map(len, texts), pa.int32()), pa.array((_squeezed(x, 3) for x in texts), pa.binary())], names=["doc", "digest", "size", "packed"])
 
 
 def _opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
