@@ -17,7 +17,7 @@ samples depend neither on partitions nor on retries. `decode` gives back the tex
 Defined cases: null and empty text have one segmentation, without pieces; texts with fewer
 segmentations than asked give all of them, with inclusion 1; a null key counts as 0, and rows
 with equal keys and texts get equal samples; other columns are not read. Branches whose
-probability is below e**-60 of the lattice are not followed.
+probability is below e**-40 of the lattice are not followed.
 
 Scale: one pass without a shuffle. Pieces never cross a blank that follows something else,
 so lattices are built once for each distinct run of a chunk, and all runs of a chunk are walked
@@ -39,10 +39,10 @@ from ledgerfold.llm.words import BYTE_VALUE, Sums, buffers, chunks, mix
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SAMPLES = 3
 ALPHA = 1.0
-CHUNK = 4 << 20
+CHUNK = 1 << 19
 MARK = "▁"
 _SLOTS = 20
-LEAST = -60.0
+LEAST = -40.0
 
 
 @dataclass
@@ -112,7 +112,7 @@ def _runs(offsets: np.ndarray, buf: np.ndarray, alone: np.ndarray) -> np.ndarray
 
 @dataclass
 class Lattice:
-    """Edges sorted by the byte where they start, those of one byte by falling chance."""
+    """Edges sorted by the byte where they start, those of one byte by falling length."""
 
     start: np.ndarray
     end: np.ndarray
@@ -127,19 +127,18 @@ class Lattice:
 
 def _matches(buf: np.ndarray, run_end: np.ndarray, pieces: Pieces) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start, end and number of every piece at every place, in the order of starts."""
-    left = run_end - np.arange(len(buf))
     sums = Sums(BYTE_VALUE[buf])
     starts, sizes, ids = [], [], []
+    room = np.arange(len(buf))  # places with enough bytes behind them
     for n, (known, piece, near) in pieces.tables.items():
+        room = room[run_end[room] - room >= n]
         if n <= 2:
-            at = np.arange(len(buf)) if n == 1 else np.flatnonzero(left >= 2)
-            found = pieces.short[n][buf[at] if n == 1 else buf[at].astype(np.int64) << 8 | buf[at + 1]]
-            at, found = at[found >= 0], found[found >= 0]
+            found = pieces.short[n][buf[room] if n == 1 else buf[room].astype(np.int64) << 8 | buf[room + 1]]
+            at, found = room[found >= 0], found[found >= 0]
         else:
-            at = np.flatnonzero(left >= n)
-            h = sums.hashed(at, at + n)
+            h = sums.hashed(room, room + n)
             hit = near[h >> np.uint64(64 - _SLOTS)]
-            at, h = at[hit], h[hit]
+            at, h = room[hit], h[hit]
             spot = np.minimum(np.searchsorted(known, h), len(known) - 1)
             same = known[spot] == h
             at, found = at[same], piece[spot[same]]
@@ -157,10 +156,10 @@ def _matches(buf: np.ndarray, run_end: np.ndarray, pieces: Pieces) -> tuple[np.n
     missing[head[~whole[head]]] = 1
     missing[(head + size)[~whole[head]]] -= 1
     spread = np.flatnonzero(np.cumsum(missing)[:-1] > 0)
-    start = np.concatenate([*starts, spread])
-    order = np.argsort(start, kind="stable")
-    end = start + np.concatenate([*sizes, np.ones(len(spread), np.int64)])
-    piece = np.concatenate([*ids, pieces.first_byte + buf[spread].astype(np.int64)])
+    start = np.concatenate([spread, *starts[::-1]])
+    order = np.argsort(start, kind="stable")  # of one place the longest first, which is mostly the likeliest
+    end = start + np.concatenate([np.ones(len(spread), np.int64), *sizes[::-1]])
+    piece = np.concatenate([pieces.first_byte + buf[spread].astype(np.int64), *ids[::-1]])
     return start[order], end[order], piece[order]
 
 
@@ -191,8 +190,6 @@ def _lattice(buf: np.ndarray, offsets: np.ndarray, pieces: Pieces) -> Lattice:
     run_end = np.repeat(offsets[1:], np.diff(offsets))
     start, end, piece = _matches(buf, run_end, pieces)
     value = _log_chances(start, end, pieces.weight[piece], run_end)
-    order = np.argsort(start + 0.5 * (1.0 - np.exp(value)))  # the likeliest edge of a place first
-    start, end, piece, value = start[order], end[order], piece[order], value[order]
     chance = np.exp(value)
     first = np.searchsorted(start, np.arange(len(buf) + 1))
     group = np.flatnonzero(np.diff(start, prepend=-1))
@@ -210,12 +207,9 @@ def _char_size(lead: np.ndarray) -> np.ndarray:
 # -- sampling --------------------------------------------------------------------------------
 
 
-def _uniform(*parts: np.ndarray | int) -> np.ndarray:
-    """Numbers in (0, 1) that depend on all parts."""
-    h = np.uint64(0)
-    for p in parts:
-        h = mix(np.atleast_1d(np.asarray(p).astype(np.uint64)) + h * np.uint64(0x9E3779B97F4A7C15) + np.uint64(0x2545F491))
-    return ((h >> np.uint64(12)).astype(np.float64) + 0.5) / float(1 << 52)
+def _uniform(number: np.ndarray) -> np.ndarray:
+    """Numbers in (0, 1) from 64-bit ones."""
+    return ((mix(number) >> np.uint64(12)).astype(np.float64) + 0.5) / float(1 << 52)
 
 
 _ALL = (1 << 64) - 1
@@ -243,7 +237,7 @@ def _walk(lattice: Lattice, begin: np.ndarray, end: np.ndarray, key: np.ndarray,
     active, node, depth = np.arange(len(begin)), begin.copy(), 0
     who, what = [], []
     while len(active):
-        u = _uniform(key[active], sample, depth)
+        u = _uniform(key[active] + np.uint64(_seed(4, sample, depth)))
         edge = lattice.first[node]
         open_ = np.flatnonzero(lattice.upto[edge] <= u)
         while len(open_):
@@ -275,7 +269,7 @@ class _Search:
 
     def split(self, path: np.ndarray, at: int, taken: tuple[int, ...], before: float, value: float) -> None:
         """What branches off the path from step `at` on; there the edges `taken` are gone already."""
-        lattice, size = self.lattice, 64
+        lattice, size = self.lattice, 256
         while True:
             part = path[at : at + size]
             log_chance = lattice.log_chance[part]
