@@ -22,7 +22,7 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated lines go, and documents of which nothing is left."""
     spoken = F.rlike("text", F.lit(r"[^\x20\x09-\x0D]"))
     (gone,) = fresh(docs, "gone")
-    left = line_dedup.dedup_lines(docs, removed=gone).where(spoken | (F.size(gone) == 0))
+    left = line_dedup.dedup_lines(docs, distance=None, removed=gone).where(spoken | (F.size(gone) == 0))
     return left.select(*(F.length("text").cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else c for c in docs.columns))
 
 

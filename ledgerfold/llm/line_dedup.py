@@ -1,24 +1,29 @@
 """Line dedup over fuzzy lines, in DataFrame functions only.
 
 Lines (split at \\n) are normalised: lower case, words between blanks without `PUNCTUATION` at
-their ends, one blank between. Lines of `min_words` words or more take part. Each gets a 64-bit SimHash
-of its words; two lines are linked when their SimHashes differ in `DISTANCE` (2) bits at most
-and their edit similarity, 1 - edits / length of the longer, is `percent` % or more. Of all
+their ends, one blank between. Lines of `min_words` words or more take part. Two lines are linked when
+their edit similarity, 1 - edits / length of the longer, is `percent` % or more. Of all
 occurrences of the lines in one connected group, the first (smallest document id, then line)
 stays, the others are removed.
 
-With four blocks of 16 bits, two differing bits leave two blocks alone at least: lines meet under
+Candidates (`distance=None`, as in the query and the pipeline) are lines that meet under one of `BANDS`
+keys, each made of `ROWS` out of `HASHES` weighted min-hashes of the words. A word that stands in n places
+weighs about 1 / sqrt(n), so that lines meet by the rare words they share; a word that stands
+nowhere else cannot be shared and weighs little. This finds pairs by chance: nearly all that differ in whole
+words, fewer of those whose edits are spread over most words (shares in the README). With a `distance` (2 bits
+at most) lines are linked only if besides their 64-bit SimHashes of words differ in so many bits at most: with four
+blocks of 16 bits, two differing bits leave two blocks alone at least, and lines meet under
 each of the six pairs of blocks (32-bit keys). Under each key all lines are held against the
 smallest one first, which costs one comparison a line; links found there join most groups. Keys
-that still hold several components are then joined in full, within the distance, so no pair is lost.
+that still hold several components are then joined in full, so no pair that meets is lost.
 
 Defined cases: null text stays null and has no lines; rows equal in id and text count as one
 document, so their lines stay or go together; rows that share an id but not the text are
 ordered by a hash of the text; a null id sorts first; lines with fewer words always stay; an
 empty table gives no rows.
 
-Scale: words are counted into SimHashes where they are read (sums in lanes of a few longs),
-so only hashes and places of lines are shuffled, distinct lines once for each block pair; texts of
+Scale: words are counted into min-hashes or SimHashes where they are read (minima, or sums in lanes of a few
+longs), their weights come from a table of fixed size, so only hashes and places of lines are shuffled, distinct lines once for each key; texts of
 candidate lines are fetched once, picked by a bitmap of fixed size. Equal lines fold into one
 before anything is joined. Documents are shuffled once, to meet their lists of lines to remove;
 those lists hang on unique keys, so a hot line's join can be split."""
@@ -39,6 +44,11 @@ BLOCKS, BLOCK_BITS = 4, 16
 #: Four lanes of 16 bits in one long, and the words that are counted in lanes at once.
 LANES, LANE_WORDS = 0x0001000100010001, 0x3FFF
 FILTER_WORDS = 1 << 16
+#: Min-hashes of a line, how many make a key, and the keys: three ways to deal the hashes out.
+HASHES, ROWS = 24, 4
+BANDS = [[ROWS * j + t for t in range(ROWS)] for j in range(HASHES // ROWS)] + [[HASHES // ROWS * t + (j + s * t) % (HASHES // ROWS) for t in range(ROWS)] for s in (0, 1) for j in range(HASHES // ROWS)]
+#: Weights of words are 2 ** -level, one of four bits for each cell of words; the level of a word that stands alone.
+LEVELS, ALONE = 16, 6
 #: What is cut off both ends of a word.
 PUNCTUATION = ".,;:!?\"'()"
 
@@ -81,6 +91,35 @@ def line_hashes(docs: DataFrame, min_words: int) -> DataFrame:
     return whole.where(F.col("n") >= min_words).select("doc", "digest", "line", "k", "h", _majority(F.col("parts")).alias("sig"))
 
 
+def _dense(cells: DataFrame) -> DataFrame:
+    """cell and bits as one value, an array of `FILTER_WORDS` longs."""
+    full = cells.sparkSession.range(FILTER_WORDS).join(cells.groupBy("cell").agg(F.bit_or("bits").alias("bits")), F.col("id") == F.col("cell"), "left")
+    return stored(full.select(F.struct("id", F.coalesce("bits", F.lit(0).cast("long")).alias("bits")).alias("c")).agg(F.transform(F.array_sort(F.collect_list("c")), lambda c: c.bits).alias("bitmap")))
+
+
+def _level(v: Column) -> tuple[Column, Column]:
+    """Of a word's hash: which long holds its level, and at which bit."""
+    cell = F.pmod(v, F.lit(LEVELS * FILTER_WORDS))
+    return F.shiftrightunsigned(cell, 4), F.shiftleft(cell.bitwiseAND(F.lit(LEVELS - 1)), 2).cast("int")
+
+
+def line_keys(docs: DataFrame, min_words: int) -> DataFrame:
+    """doc, digest, line, k, h as in `line_hashes`, chars (of the normalised line) and keys of all lines that take part."""
+    place = ["doc", "digest", "line", "h"]
+    split = _lines(docs).select("k", "doc", "digest", "line", F.xxhash64("said").alias("h"), F.explode(F.split("said", " ")).alias("word"))
+    words = split.withColumn("word", F.btrim("word", F.lit(PUNCTUATION))).where("word != ''").select("k", *place, F.length("word").alias("size"), F.xxhash64("word").alias("v"))
+    at, bit = _level(F.col("v"))
+    counted = words.select(at.alias("cell"), bit.alias("bit")).groupBy("cell", "bit").agg(F.count(F.lit(1)).alias("n"))
+    level = F.when(F.col("n") == 1, ALONE).otherwise(F.least(F.floor(F.log2("n") / 2), F.lit(LEVELS - 1))).cast("long")
+    levels = _dense(counted.select("cell", F.call_function("shiftleft", level, F.col("bit")).alias("bits")))
+    weighed = words.withColumn("level", F.call_function("shiftrightunsigned", F.get(levels.scalar(), at.cast("int")), bit).bitwiseAND(F.lit(LEVELS - 1).cast("long")).cast("int"))
+    # 44 bits of a hash, made larger the less the word weighs.
+    least = [F.min(F.call_function("shiftleft", F.shiftrightunsigned(F.xxhash64("v", F.lit(i)), 20), F.col("level"))).alias(f"m{i}") for i in range(HASHES)]
+    lines = weighed.groupBy("k", *place).agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("chars"), *least).where(F.col("n") >= min_words)
+    keys = F.array(*(F.hash(*(f"m{i}" for i in band)) for band in BANDS))
+    return lines.select("doc", "digest", "line", "k", "h", (F.col("chars") + F.col("n") - 1).alias("chars"), keys.alias("keys"))
+
+
 def normalised(line: Column) -> Column:
     """The words of a line in lower case, one blank between."""
     return F.array_join(F.filter(F.transform(F.split(line, " "), lambda w: F.btrim(w, F.lit(PUNCTUATION))), lambda w: w != ""), " ")
@@ -95,7 +134,6 @@ def _keys(sig: Column) -> Column:
 def _alike(pairs: DataFrame, docs: DataFrame, places: DataFrame, percent: int) -> DataFrame:
     """Those pairs of lines (their hashes a, b) whose normalised texts are similar. places: h and where
     the line first stands (doc, digest, line)."""
-    spark = docs.sparkSession
     pairs = stored(pairs)
     if pairs.isEmpty():
         return pairs
@@ -103,9 +141,8 @@ def _alike(pairs: DataFrame, docs: DataFrame, places: DataFrame, percent: int) -
     wanted = stored(places.join(ends, "h", "left_semi").select("h", "doc", "digest", "line", F.xxhash64("doc", "digest", "line").alias("k")))
     # A bitmap of fixed size over the wanted places, as one value.
     cell, bit = F.shiftrightunsigned(F.pmod("k", F.lit(64 * FILTER_WORDS)), 6), F.pmod("k", F.lit(64)).cast("int")
-    cells = wanted.select(cell.alias("cell"), F.call_function("shiftleft", F.lit(1).cast("long"), bit).alias("bits")).groupBy("cell").agg(F.bit_or("bits").alias("bits"))
-    dense = spark.range(FILTER_WORDS).join(cells, F.col("id") == F.col("cell"), "left").select(F.struct("id", F.coalesce("bits", F.lit(0).cast("long")).alias("bits")).alias("c"))
-    bitmap = stored(dense.agg(F.transform(F.array_sort(F.collect_list("c")), lambda c: c.bits).alias("bitmap")))
+    cells = wanted.select(cell.alias("cell"), F.call_function("shiftleft", F.lit(1).cast("long"), bit).alias("bits"))
+    bitmap = _dense(cells)
     near = _lines(docs).where(F.call_function("shiftrightunsigned", F.get(bitmap.scalar(), cell.cast("int")), bit).bitwiseAND(F.lit(1).cast("long")) == 1)
     same = near["doc"].eqNullSafe(wanted["doc"]) & (near["digest"] == wanted["digest"]) & (near["line"] == wanted["line"]) & (near["k"] == wanted["k"])
     texts = stored(near.join(wanted, same).groupBy("h").agg(F.min("said").alias("said")).select("h", normalised(F.col("said")).alias("said")))
@@ -120,26 +157,35 @@ def _named(docs: DataFrame, id: str, text: str) -> DataFrame:
     return docs.select(F.col(id).alias("doc"), F.xxhash64(text).alias("digest"), F.col(text).alias("text"))
 
 
-def lines_to_remove(docs: DataFrame, *, id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS, percent: int = PERCENT) -> DataFrame:
+def lines_to_remove(docs: DataFrame, *, id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS, percent: int = PERCENT, distance: int | None = DISTANCE) -> DataFrame:
     """doc, digest and the sorted numbers of the `lines` that go, for documents that lose any."""
     source = _named(docs, id, text)
     place = F.struct("doc", "digest", "line")
-    lines = stored(line_hashes(source, min_words))
-    classes = stored(lines.groupBy("h").agg(F.min("sig").alias("sig"), F.min(place).alias("first"), F.max(place).alias("last")))
+    if distance is None:
+        lines = stored(line_keys(source, min_words))
+        close = lambda x, y: F.abs(x - y) <= F.floor(F.greatest(x, y) * (100 - percent) / 100)
+        mark, keys = "chars", F.transform("keys", lambda key, i: F.shiftleft(i.cast("long"), 32).bitwiseOR(key.cast("long").bitwiseAND(F.lit((1 << 32) - 1))))
+    else:
+        lines = stored(line_hashes(source, min_words))
+        close = lambda x, y: F.bit_count(x.bitwiseXOR(y)) <= distance
+        mark, keys = "sig", _keys(F.col("mark"))
+    # Of equal lines, one stands for all: their marks and keys are the same.
+    lines = lines.withColumnRenamed(mark, "mark")
+    one = [F.min("mark").alias("mark"), *([F.min("keys").alias("keys")] if distance is None else [])]
+    classes = stored(lines.groupBy("h").agg(*one, F.min(place).alias("first"), F.max(place).alias("last")))
     places = classes.select("h", "first.*")
-    keyed = classes.select(F.explode(_keys(F.col("sig"))).alias("key"), "h", "sig")
+    keyed = classes.select(F.explode(keys).alias("key"), "h", "mark")
     same = Window.partitionBy("key")
-    shared = stored(keyed.withColumn("lead", F.min(F.struct("h", "sig")).over(same)).withColumn("last", F.max("h").over(same)).where("lead.h < last").select("key", "h", "sig", "lead"))
-    close = lambda x, y: F.bit_count(x.bitwiseXOR(y)) <= DISTANCE
-    stars = shared.where((F.col("h") != F.col("lead.h")) & close(F.col("sig"), F.col("lead.sig"))).select(F.col("lead.h").alias("a"), F.col("h").alias("b")).distinct()
+    shared = stored(keyed.withColumn("lead", F.min(F.struct("h", "mark")).over(same)).withColumn("last", F.max("h").over(same)).where("lead.h < last").select("key", "h", "mark", "lead"))
+    stars = shared.where((F.col("h") != F.col("lead.h")) & close(F.col("mark"), F.col("lead.mark"))).select(F.col("lead.h").alias("a"), F.col("h").alias("b")).distinct()
     links = stored(_alike(stars, source, places, percent))
     member = stored(components(links))
-    # Keys that hold several components: all pairs within the distance that no path joins yet.
-    placed = shared.select("key", "h", "sig").join(member.select(F.col("vertex").alias("h"), "component"), "h", "left").withColumn("component", F.coalesce("component", "h"))
+    # Keys that hold several components: all close pairs that no path joins yet.
+    placed = shared.select("key", "h", "mark").join(member.select(F.col("vertex").alias("h"), "component"), "h", "left").withColumn("component", F.coalesce("component", "h"))
     mixed = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("key")
     open_ = stored(placed.join(mixed, "key", "left_semi"))
     one, two = open_.alias("x"), open_.alias("y")
-    rest = one.join(two, (F.col("x.key") == F.col("y.key")) & (F.col("x.h") < F.col("y.h")) & (F.col("x.component") != F.col("y.component")) & close(F.col("x.sig"), F.col("y.sig")))
+    rest = one.join(two, (F.col("x.key") == F.col("y.key")) & (F.col("x.h") < F.col("y.h")) & (F.col("x.component") != F.col("y.component")) & close(F.col("x.mark"), F.col("y.mark")))
     rest = rest.select(F.col("x.h").alias("a"), F.col("y.h").alias("b")).distinct()
     more = _alike(rest, source, places, percent)
     member = components(stored(links.unionByName(more))).select(F.col("vertex").alias("h"), "component")
@@ -151,9 +197,9 @@ def lines_to_remove(docs: DataFrame, *, id: str = "doc_id", text: str = "text",
     return gone.groupBy("doc", "digest").agg(F.array_sort(F.collect_set("line")).alias("lines"))
 
 
-def dedup_lines(docs: DataFrame, *, id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS, percent: int = PERCENT, removed: str | None = None) -> DataFrame:
+def dedup_lines(docs: DataFrame, *, id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS, percent: int = PERCENT, distance: int | None = DISTANCE, removed: str | None = None) -> DataFrame:
     """The documents with only the remaining lines in their text; `removed` names a column for the numbers of those that went."""
-    gone = lines_to_remove(docs, id=id, text=text, min_words=min_words, percent=percent)
+    gone = lines_to_remove(docs, id=id, text=text, min_words=min_words, percent=percent, distance=distance)
     digest, doc_r, digest_r, lines = fresh(docs, "digest", "doc_r", "digest_r", "lines")
     lists = gone.select(F.col("doc").alias(doc_r), F.col("digest").alias(digest_r), F.col("lines").alias(lines))
     both = docs.withColumn(digest, F.xxhash64(text)).join(lists, F.col(id).eqNullSafe(F.col(doc_r)) & (F.col(digest) == F.col(digest_r)), "left")
@@ -166,6 +212,6 @@ def dedup_lines(docs: DataFrame, *, id: str = "doc_id", text: str = "text", min_
 
 def digest(docs: DataFrame) -> DataFrame:
     """Counts and a digest of what stays, for each document."""
-    gone = dedup_lines(docs.select("doc_id", "text"), removed="gone")
+    gone = dedup_lines(docs.select("doc_id", "text"), distance=None, removed="gone")
     return gone.select("doc_id", (F.size(F.split(F.coalesce("text", F.lit("")), "\n")) + F.when(F.size("gone") > 0, F.size("gone")).otherwise(0)).cast("long").alias("n_lines"),
                        F.size("gone").cast("long").alias("n_removed"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))

@@ -84,3 +84,25 @@ def test_simhash_of_lines_longer_than_the_counters(spark):
 def test_empty_table_and_columns(spark):
     none = documents(spark, [])
     assert dedup_lines(none).columns == none.columns and dedup_lines(none).collect() == []
+
+
+def test_pairs_are_found_by_edit_similarity_alone(spark):
+    rng = random.Random(8)
+    words = [sentence(rng, 1) + sentence(rng, 1) for _ in range(3000)]
+    rows = []
+    for k in range(120):
+        line = [rng.choice(words) for _ in range(rng.choice([6, 10, 20, 40]))]
+        copy, left = line.copy(), len(" ".join(line)) // 6
+        for at in rng.sample(range(len(line)), len(line)):
+            # A word of as many other letters.
+            if len(copy[at]) > left:
+                break
+            left -= len(copy[at])
+            copy[at] = "".join(rng.choice("fghij") for _ in copy[at])
+        rows += [(2 * k, " ".join(line)), (2 * k + 1, " ".join(copy))]
+    text = {i: t for i, t in rows}
+    similar = lambda a, b: edits(a, b) <= max(len(a), len(b)) * 20 // 100
+    pairs = [(k, k + 1) for k in range(0, 240, 2) if text[k] != text[k + 1] and similar(text[k], text[k + 1])]
+    gone = {r.doc_id for r in dedup_lines(documents(spark, rows), distance=None, removed="gone").where("size(gone) > 0").collect()}
+    assert len(pairs) > 80 and sum(b in gone for _, b in pairs) >= 0.95 * len(pairs)
+    assert gone <= {b for _, b in pairs} | {k + 1 for k in range(0, 240, 2) if text[k] == text[k + 1]}
