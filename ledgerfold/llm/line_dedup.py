@@ -51,6 +51,8 @@ BANDS = [[ROWS * j + t for t in range(ROWS)] for j in range(HASHES // ROWS)] + [
 LEVELS, ALONE = 16, 6
 #: What is cut off both ends of a word.
 PUNCTUATION = ".,;:!?\"'()"
+#: What stands between words, a carriage return before the end of a line too.
+BLANKS = r"[\x20\x09-\x0D]+"
 
 
 def _counted() -> list[Column]:
@@ -81,7 +83,7 @@ def line_hashes(docs: DataFrame, min_words: int) -> DataFrame:
 
     Lines longer than the lanes can count are cut into parts, whose SimHashes are counted in turn."""
     place = ["doc", "digest", "line", "h"]
-    split = _lines(docs).select("k", "doc", "digest", "line", F.xxhash64("said").alias("h"), F.split("said", " ").alias("words"))
+    split = _lines(docs).select("k", "doc", "digest", "line", F.xxhash64("said").alias("h"), F.split("said", BLANKS).alias("words"))
     cut = F.transform(F.sequence(F.lit(0), F.floor((F.size("words") - 1) / LANE_WORDS).cast("int")), lambda i: F.slice("words", i * LANE_WORDS + 1, F.lit(LANE_WORDS)))
     parted = split.select("k", *place, F.posexplode(F.when(F.size("words") <= LANE_WORDS, F.array("words")).otherwise(cut)).alias("part", "words"))
     words = parted.select("k", "part", *place, F.explode("words").alias("word")).select("k", "part", *place, F.btrim("word", F.lit(PUNCTUATION)).alias("word")).where("word != ''")
@@ -106,7 +108,7 @@ def _level(v: Column) -> tuple[Column, Column]:
 def line_keys(docs: DataFrame, min_words: int) -> DataFrame:
     """doc, digest, line, k, h as in `line_hashes`, chars (of the normalised line) and keys of all lines that take part."""
     place = ["doc", "digest", "line", "h"]
-    split = _lines(docs).select("k", "doc", "digest", "line", F.xxhash64("said").alias("h"), F.explode(F.split("said", " ")).alias("word"))
+    split = _lines(docs).select("k", "doc", "digest", "line", F.xxhash64("said").alias("h"), F.explode(F.split("said", BLANKS)).alias("word"))
     words = split.withColumn("word", F.btrim("word", F.lit(PUNCTUATION))).where("word != ''").select("k", *place, F.length("word").alias("size"), F.xxhash64("word").alias("v"))
     at, bit = _level(F.col("v"))
     counted = words.select(at.alias("cell"), bit.alias("bit")).groupBy("cell", "bit").agg(F.count(F.lit(1)).alias("n"))
@@ -122,7 +124,7 @@ def line_keys(docs: DataFrame, min_words: int) -> DataFrame:
 
 def normalised(line: Column) -> Column:
     """The words of a line in lower case, one blank between."""
-    return F.array_join(F.filter(F.transform(F.split(line, " "), lambda w: F.btrim(w, F.lit(PUNCTUATION))), lambda w: w != ""), " ")
+    return F.array_join(F.filter(F.transform(F.split(line, BLANKS), lambda w: F.btrim(w, F.lit(PUNCTUATION))), lambda w: w != ""), " ")
 
 
 def _keys(sig: Column) -> Column:

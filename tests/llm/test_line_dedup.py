@@ -81,6 +81,16 @@ def test_simhash_of_lines_longer_than_the_counters(spark):
     assert row.sig & (1 << 64) - 1 == majority([majority(hashes[:LANE_WORDS]), majority(hashes[LANE_WORDS:])])
 
 
+def test_line_ends_and_tabs_stand_between_words(spark):
+    said = "Some words, of a line that stands twice."
+    rows = [(1, said + "\nx"), (2, said + "\r\nx\r"), (3, said.replace(" ", "\t")), (4, "\x0b" + said.replace(" ", " \x0c "))]
+    docs = documents(spark, rows)
+    hashed = line_hashes(docs.select(F.col("doc_id").alias("doc"), F.lit(0).alias("digest"), "text"), 5).collect()
+    assert sorted(r.doc for r in hashed) == [1, 2, 3, 4] and len({r.sig for r in hashed}) == 1
+    got = {r.doc_id: r.gone for r in dedup_lines(docs, distance=None, removed="gone").collect()}
+    assert got == {1: [], 2: [0], 3: [0], 4: [0]}
+
+
 def test_empty_table_and_columns(spark):
     none = documents(spark, [])
     assert dedup_lines(none).columns == none.columns and dedup_lines(none).collect() == []
