@@ -15,7 +15,8 @@ at most) lines are linked only if besides their 64-bit SimHashes of words differ
 blocks of 16 bits, two differing bits leave two blocks alone at least, and lines meet under
 each of the six pairs of blocks (32-bit keys). Under each key all lines are held against the
 smallest one first, which costs one comparison a line; links found there join most groups. Keys
-that still hold several components are then joined in full, so no pair that meets is lost.
+that still hold several components are then joined in full, in blocks of `BLOCK` lines, so no pair that meets is
+lost and no task holds a whole key.
 
 Defined cases: null text stays null and has no lines; rows equal in id and text count as one
 document, so their lines stay or go together; rows that share an id but not the text are
@@ -32,7 +33,7 @@ from __future__ import annotations
 
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerfold.llm.components import components
 from ledgerfold.llm.store import fresh, stored
@@ -44,6 +45,8 @@ BLOCKS, BLOCK_BITS = 4, 16
 #: Four lanes of 16 bits in one long, and the words that are counted in lanes at once.
 LANES, LANE_WORDS = 0x0001000100010001, 0x3FFF
 FILTER_WORDS = 1 << 16
+#: Lines of a key that are compared in one group at most, on either side.
+BLOCK = 1024
 #: Min-hashes of a line, how many make a key, and the keys: three ways to deal the hashes out.
 HASHES, ROWS = 24, 4
 BANDS = [[ROWS * j + t for t in range(ROWS)] for j in range(HASHES // ROWS)] + [[HASHES // ROWS * t + (j + s * t) % (HASHES // ROWS) for t in range(ROWS)] for s in (0, 1) for j in range(HASHES // ROWS)]
@@ -133,6 +136,20 @@ def _keys(sig: Column) -> Column:
     return F.array(*(F.shiftleft(F.lit(k).cast("long"), 2 * BLOCK_BITS).bitwiseOR(F.shiftleft(block[a], BLOCK_BITS)).bitwiseOR(block[b]) for k, (a, b) in enumerate(combinations(range(BLOCKS), BLOCKS - DISTANCE))))
 
 
+def _pairs(placed: DataFrame, close) -> DataFrame:
+    """Of rows key, h, mark, component: all close pairs a, b under a key that holds several components, where these differ.
+
+    Lines of a key are dealt to blocks, and each two blocks are joined as a group of their own."""
+    mixed = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks")).where("low < high").select("key", "blocks")
+    dealt = stored(placed.join(mixed, "key").withColumn("block", F.pmod(F.xxhash64("h"), "blocks").cast("int")))
+    one = dealt.select("key", "h", "mark", "component", F.col("block").alias("i"), F.explode(F.sequence("block", F.col("blocks") - 1)).alias("j")).alias("x")
+    two = dealt.select("key", "h", "mark", "component", F.explode(F.sequence(F.lit(0), "block")).alias("i"), F.col("block").alias("j")).alias("y")
+    same = (F.col("x.key") == F.col("y.key")) & (F.col("x.i") == F.col("y.i")) & (F.col("x.j") == F.col("y.j"))
+    once = (F.col("x.i") < F.col("x.j")) | (F.col("x.h") < F.col("y.h"))
+    both = one.join(two, same & once & (F.col("x.component") != F.col("y.component")) & close(F.col("x.mark"), F.col("y.mark")))
+    return both.select(F.least("x.h", "y.h").alias("a"), F.greatest("x.h", "y.h").alias("b")).distinct()
+
+
 def _alike(pairs: DataFrame, docs: DataFrame, places: DataFrame, percent: int) -> DataFrame:
     """Those pairs of lines (their hashes a, b) whose normalised texts are similar. places: h and where
     the line first stands (doc, digest, line)."""
@@ -177,18 +194,14 @@ def lines_to_remove(docs: DataFrame, *, id: str = "doc_id", text: str = "text",
     classes = stored(lines.groupBy("h").agg(*one, F.min(place).alias("first"), F.max(place).alias("last")))
     places = classes.select("h", "first.*")
     keyed = classes.select(F.explode(keys).alias("key"), "h", "mark")
-    same = Window.partitionBy("key")
-    shared = stored(keyed.withColumn("lead", F.min(F.struct("h", "mark")).over(same)).withColumn("last", F.max("h").over(same)).where("lead.h < last").select("key", "h", "mark", "lead"))
+    leads = keyed.groupBy("key").agg(F.min(F.struct("h", "mark")).alias("lead"), F.max("h").alias("last")).where("lead.h < last").select("key", "lead")
+    shared = stored(keyed.join(leads, "key").select("key", "h", "mark", "lead"))
     stars = shared.where((F.col("h") != F.col("lead.h")) & close(F.col("mark"), F.col("lead.mark"))).select(F.col("lead.h").alias("a"), F.col("h").alias("b")).distinct()
     links = stored(_alike(stars, source, places, percent))
     member = stored(components(links))
     # Keys that hold several components: all close pairs that no path joins yet.
     placed = shared.select("key", "h", "mark").join(member.select(F.col("vertex").alias("h"), "component"), "h", "left").withColumn("component", F.coalesce("component", "h"))
-    mixed = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("key")
-    open_ = stored(placed.join(mixed, "key", "left_semi"))
-    one, two = open_.alias("x"), open_.alias("y")
-    rest = one.join(two, (F.col("x.key") == F.col("y.key")) & (F.col("x.h") < F.col("y.h")) & (F.col("x.component") != F.col("y.component")) & close(F.col("x.mark"), F.col("y.mark")))
-    rest = rest.select(F.col("x.h").alias("a"), F.col("y.h").alias("b")).distinct()
+    rest = _pairs(placed, close)
     more = _alike(rest, source, places, percent)
     member = components(stored(links.unionByName(more))).select(F.col("vertex").alias("h"), "component")
     # The first place of every group; a group of one line in one place removes nothing.

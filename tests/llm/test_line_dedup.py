@@ -3,6 +3,7 @@ from collections import defaultdict
 
 from pyspark.sql import functions as F
 
+from ledgerfold.llm import line_dedup
 from ledgerfold.llm.line_dedup import LANE_WORDS, PUNCTUATION, dedup_lines, line_hashes
 from tests.llm.cases import documents, odd_rows, sentence
 
@@ -91,6 +92,24 @@ def test_line_ends_and_tabs_stand_between_words(spark):
     assert got == {1: [], 2: [0], 3: [0], 4: [0]}
 
 
+def test_a_key_is_compared_in_blocks(spark, monkeypatch):
+    rng = random.Random(3)
+    placed = [(key, h, 10 + h % 3, h % 4) for key in range(3) for h in rng.sample(range(100), 20)] + [(9, h, 10, 7) for h in range(5)]
+    frame = spark.createDataFrame(placed, "key long, h long, mark long, component long")
+    want = {(a, b) for k, a, m, c in placed for x, b, n, d in placed if k == x and a < b and c != d and abs(m - n) <= 1}
+    for block in (4, 1024):
+        monkeypatch.setattr(line_dedup, "BLOCK", block)
+        assert {tuple(r) for r in line_dedup._pairs(frame, lambda x, y: F.abs(x - y) <= 1).collect()} == want
+
+
+def test_no_window_over_a_key(spark, monkeypatch):
+    plans, write = [], line_dedup.stored
+    monkeypatch.setattr(line_dedup, "stored", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or write(df))
+    rows = [(k, "the same words in every line here " + str(k % 2)) for k in range(6)]
+    assert line_dedup.lines_to_remove(documents(spark, rows), distance=None).count() >= 4
+    assert plans and not any("Window" in p for p in plans)
+
+
 def test_empty_table_and_columns(spark):
     none = documents(spark, [])
     assert dedup_lines(none).columns == none.columns and dedup_lines(none).collect() == []
