@@ -320,6 +320,13 @@ def _linked(pairs: DataFrame, reps: DataFrame, docs: DataFrame, k: int, percent:
     return both.select("a", "b", "text_a", "text_b").mapInArrow(_verifier(k, percent), "a long, b long")
 
 
+def _open_tiles(tiles: DataFrame, known: DataFrame) -> DataFrame:
+    """shingle, n, cls, component, bits of the tiles that hold several components."""
+    placed = tiles.join(known.select("cls", "component"), "cls")
+    mixed = placed.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("shingle")
+    return tiles.join(mixed, "shingle", "left_semi").join(known, "cls").select("shingle", "n", "cls", "component", "bits")
+
+
 def similar_classes(docs: DataFrame, *, id: str = "doc_id", text: str = "text", k: int = K, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
     """(doc, n, cls) for each document, and (cls, component) for each class that links to another."""
     spark = docs.sparkSession
@@ -342,7 +349,7 @@ def similar_classes(docs: DataFrame, *, id: str = "doc_id", text: str = "text",
     member, tiles = joined(), shared.select("shingle", "cls")
     for limit in ROUNDS:
         known = reps.select("cls", "n", "bits").join(member, "cls", "left").withColumn("component", F.coalesce("component", "cls"))
-        rows = tiles.join(known, "cls").select("shingle", "n", "cls", "component", "bits")
+        rows = _open_tiles(tiles, known)
         found = stored(rows.repartition("shingle").sortWithinPartitions("shingle", "n", "cls").mapInArrow(_tiles(percent, limit), "a long, b long, more long"))
         new = stored(found.where("more IS NULL").select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"))
         # What later rounds still have to look at: tiles with more partners than were tried.

@@ -3,7 +3,7 @@ import re
 
 import pytest
 
-from ledgerfold.llm.jaccard_join import keep_one, similar_documents
+from ledgerfold.llm.jaccard_join import _open_tiles, keep_one, similar_documents
 from tests.llm.cases import documents, odd_rows, sentence
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -47,6 +47,13 @@ def near_copies(seed):
     return rows
 
 
+def test_tiles_of_one_component_are_not_scanned(spark):
+    tiles = spark.createDataFrame([(1, 10), (1, 11), (2, 10), (2, 12), (3, 12), (3, 13), (3, 10), (4, 13)], "shingle long, cls long")
+    known = spark.createDataFrame([(10, 5, b"a", 10), (11, 5, b"b", 10), (12, 6, b"c", 12), (13, 6, b"d", 12)], "cls long, n long, bits binary, component long")
+    got = sorted((r.shingle, r.n, r.cls, r.component, bytes(r.bits)) for r in _open_tiles(tiles, known).collect())
+    assert got == [(2, 5, 10, 10, b"a"), (2, 6, 12, 12, b"c"), (3, 5, 10, 10, b"a"), (3, 6, 12, 12, b"c"), (3, 6, 13, 12, b"d")]
+
+
 @pytest.mark.parametrize("seed", [1, 2])
 def test_components_against_brute_force(spark, seed):
     rows = near_copies(seed)
