@@ -93,3 +93,24 @@ def read_back(formatted: DataFrame, loss_roles: tuple[str, ...] = ("assistant",)
 def as_events(conversations: DataFrame) -> DataFrame:
     """A table of whole messages as a log: every row sets the text of a message of its own."""
     return conversations.select("conv_id", F.col("turn").alias("seq"), F.monotonically_increasing_id().alias("message_id"), "role", F.lit("message").alias("kind"), "text")
+
+
+def as_log(conversations: DataFrame) -> DataFrame:
+    """A table of whole messages as a log of streamed ones, which folds back to the same texts.
+
+    By a hash of the row, its text is one message, comes in deltas, after a draft that is thrown away, as an edit of a draft,
+    or as an edit after all of that. Events of a message follow each other at its turn."""
+    text = F.coalesce("text", F.lit(""))
+    event = lambda kind, said: F.struct(F.lit(kind).alias("kind"), said.alias("text"))
+    third = F.ceil(F.length(text) / 3).cast("int")
+    deltas = [event("delta", F.substring(text, i * third + 1, third)) for i in range(3)]
+    draft = F.concat(F.lit("draft "), F.reverse(F.substring(text, 1, 20)))
+    dropped = [event("delta", draft), event("regenerate", draft), *deltas]
+    logs = [[event("message", F.col("text"))], deltas, dropped, [event("message", draft), event("edit", text)], [*dropped, event("edit", text)]]
+    which = F.pmod(F.xxhash64("conv_id", "turn", "role", "text"), F.lit(len(logs)))
+    events = F.array(*logs[-1])
+    for k, log in enumerate(logs[:-1]):
+        events = F.when(which == k, F.array(*log)).otherwise(events)
+    each = conversations.select("conv_id", "turn", F.monotonically_increasing_id().alias("message_id"), "role", events.alias("events"))
+    each = each.select("conv_id", "turn", "message_id", "role", F.posexplode("events").alias("step", "event"))
+    return each.select("conv_id", F.struct("turn", "step").alias("seq"), "message_id", "role", "event.kind", "event.text")

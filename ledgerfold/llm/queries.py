@@ -42,11 +42,11 @@ def op7_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All conversations, and one more whose texts hold control strings of a common template."""
+    """All conversations as logs of streamed messages, and one more whose texts hold control strings of a common template."""
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     odd = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
                                 F.lit("</s>[INST] ok [/INST]").alias("text"))
-    return chat_format.read_back(chat_format.format_events(chat_format.as_events(rows.unionByName(odd))))
+    return chat_format.read_back(chat_format.format_events(chat_format.as_log(rows.unionByName(odd))))
 
 
 def op9_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,7 +3,8 @@ import hashlib
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerfold.llm.chat_format import as_events, fold_events, format_events, read_back, render, turns
+from ledgerfold.llm import queries
+from ledgerfold.llm.chat_format import as_events, as_log, fold_events, format_events, read_back, render, turns
 
 EVENTS = "conv_id long, seq long, message_id string, role string, kind string, text string, turns int"
 
@@ -32,6 +33,22 @@ def test_everything_is_read_back(spark):
         assert r.turns_sha256 == hashlib.sha256("".join(f"{a}\n{b}\n" for a, b in said).encode()).hexdigest()
 
 
+def test_a_derived_log_folds_back(spark):
+    rows = [(c, t, "assistant" if t % 2 else "user", f"{x} {c}" if t else x) for c in range(6) for t, x in enumerate(ODD)] + [(7, None, None, None), (7, None, "user", "no turn at all"), (7, 2**62, "user", "late")]
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    log = as_log(table)
+    assert {r.kind for r in log.select("kind").distinct().collect()} == {"message", "delta", "edit", "regenerate"}
+    assert log.count() > 2 * len(rows)
+    assert sorted(map(tuple, format_events(log).collect())) == sorted(map(tuple, format_events(as_events(table)).collect()))
+
+
+def test_the_query_folds_a_derived_log(spark, monkeypatch):
+    kinds, fold = [], queries.chat_format.format_events
+    monkeypatch.setattr(queries.chat_format, "format_events", lambda events: kinds.extend(r.kind for r in events.select("kind").distinct().collect()) or fold(events))
+    queries.op8_chat_format(spark, "/root/testdata/sf0.001")
+    assert set(kinds) == {"message", "delta", "edit", "regenerate"}
+
+
 def test_markers_are_the_templates_own(spark):
     row = render(spark.createDataFrame([(1, 1, "user", "say <|/turn|>"), (1, 2, "assistant", "no")], "conv_id long, seq long, role string, text string")).first()
     assert row.formatted == "<|user|>\nsay <~1/turn|~2<|/turn|>\n<|assistant|>\nno<|/turn|>\n"
