@@ -131,6 +131,49 @@ it AS (SELECT doc_id, count(*) AS n, string_agg(item_id, ',' ORDER BY item_id) A
 SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(hw.n, 0)::BIGINT AS n_hit, coalesce(it.n, 0)::BIGINT AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(hw.n, 0) > 0 AS contaminated
 FROM d LEFT JOIN hw USING (doc_id) LEFT JOIN it USING (doc_id)"""
 
+def _round(k: int) -> str:
+    """Assignment of all parts to the codebooks c{k}, and the codebooks after it."""
+    return f"""
+a{k} AS MATERIALIZED (SELECT id, x.p, min(struct_pack(d := list_dot_product(c.v, c.v) - 2 * list_dot_product(x.v, c.v), e := e)) AS m FROM x JOIN c{k} AS c USING (p) GROUP BY ALL),
+m{k} AS (SELECT p, e, list(y ORDER BY i) AS v FROM (SELECT p, m.e AS e, i, floor(sum(v[i]) / count(*)) AS y FROM a{k} JOIN x USING (id, p), unnest(range(1, len(v) + 1)) AS t(i) GROUP BY ALL) GROUP BY ALL),
+c{k + 1} AS MATERIALIZED (SELECT p, e, coalesce(m.v, c.v) AS v FROM c{k} AS c LEFT JOIN m{k} AS m USING (p, e)),"""
+
+
+VECTOR_CODES = f"""
+WITH kept AS MATERIALIZED (SELECT row_number() OVER (ORDER BY vec_id) AS id, vec_id, label, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v
+    FROM embeddings WHERE len(list_filter(embedding, lambda x: isfinite(x))) = len(embedding)),
+x AS MATERIALIZED (SELECT id, p, v[p * len(v) // 4 + 1:(p + 1) * len(v) // 4] AS v FROM kept, unnest(range(4)) AS t(p)),
+c0 AS (SELECT p, id - 1 AS e, v FROM x WHERE id <= 256),{"".join(map(_round, range(4)))}
+final AS (SELECT id, x.p, min(struct_pack(d := list_dot_product(c.v, c.v) - 2 * list_dot_product(x.v, c.v), e := e)) AS m, any_value(list_dot_product(x.v, x.v)) AS n FROM x JOIN c4 AS c USING (p) GROUP BY ALL),
+coded AS (SELECT id, string_agg(format('{{:02x}}', m.e), '' ORDER BY p) AS code, sum(n + m.d)::BIGINT AS error FROM final GROUP BY id),
+books AS (SELECT sha256(string_agg(v[i]::BIGINT, ',' ORDER BY p, e, i)) AS codebooks_sha256 FROM c4, unnest(range(1, len(v) + 1)) AS t(i))
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, codebooks_sha256 FROM kept JOIN coded USING (id), books"""
+
+_TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
+SOURCE_DIVERGENCE = f"""
+WITH d AS (SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, {words(LOWER.format("coalesce(text, '')"), _TERM)} AS w FROM documents),
+t AS MATERIALIZED (SELECT lang, source, id, term, count(*) AS n FROM (SELECT *, unnest(w) AS term FROM d) GROUP BY ALL),
+kept AS (SELECT lang, term, sum(n) AS total FROM t GROUP BY ALL HAVING count(*) >= 30),
+langs AS (SELECT lang, count(*) AS v, sum(total) AS n FROM kept GROUP BY 1),
+c AS (SELECT lang, source, term, sum(n) AS n, any_value(total) AS total FROM t JOIN kept USING (lang, term) GROUP BY ALL),
+g AS (SELECT lang, source, coalesce(langs.v, 0) AS v, langs.n AS lang_n, coalesce(c.n, 0) AS n FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN langs USING (lang)
+    LEFT JOIN (SELECT lang, source, sum(n) AS n FROM c GROUP BY ALL) AS c USING (lang, source)),
+p AS MATERIALIZED (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, 1 + 1000000000::HUGEINT * (coalesce(c.n, 0) + 5) // (g.n + 5 * g.v) AS p, 1 + 1000000000::HUGEINT * (k.total + 5) // (g.lang_n + 5 * g.v) AS q
+    FROM g JOIN kept AS k USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+pairs AS (SELECT x.lang, x.source, 'pair' AS part, y.source AS item, coalesce(s.value, 0) AS value FROM g AS x JOIN g AS y ON x.lang = y.lang AND x.source <> y.source
+    LEFT JOIN (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value FROM p AS a JOIN p AS b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL) AS s
+    ON s.lang = x.lang AND s.source = x.source AND s.item = y.source),
+own AS (SELECT lang, source, 'term' AS part, term AS item, p - q AS value FROM p WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, value::BIGINT AS value, (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INT AS rank FROM (FROM pairs UNION ALL FROM own)
+QUALIFY part = 'pair' OR rank <= 50"""
+
+TOPK_SEARCH = """
+WITH v AS MATERIALIZED (SELECT row_number() OVER () AS id, vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v FROM embeddings
+    WHERE len(list_filter(embedding, lambda x: isfinite(x))) = len(embedding)),
+s AS (SELECT q.id, q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score FROM v AS q JOIN v AS c ON q.id <> c.id WHERE q.vec_id % 100 = 0)
+SELECT query_id, (row_number() OVER (PARTITION BY id ORDER BY score DESC, vec_id))::INT AS rank, vec_id, score FROM s QUALIFY rank <= 10"""
+
 ORACLE = {
     "op2_substring_dedup": SUBSTRING_DEDUP, "op3_jaccard_join": JACCARD_JOIN, "op4_url_filter": URL_FILTER, "op6_secret_scan": SECRET_SCAN,
-    "op7_line_rules": LINE_RULES, "op8_chat_format": CHAT_FORMAT, "op10_decontaminate": DECONTAMINATE}
+    "op7_line_rules": LINE_RULES, "op8_chat_format": CHAT_FORMAT, "op10_decontaminate": DECONTAMINATE,
+    "op11_vector_codes": VECTOR_CODES, "op12_source_divergence": SOURCE_DIVERGENCE, "op13_topk_search": TOPK_SEARCH}

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerfold.llm import chat_format, decontaminate, jaccard_join, line_dedup, line_rules, ordinal_quality, sampled_pieces, secret_scan, substring_dedup, url_filter
+from ledgerfold.llm import chat_format, decontaminate, jaccard_join, line_dedup, line_rules, ordinal_quality, sampled_pieces, secret_scan, source_divergence, substring_dedup, topk_search, url_filter, vector_codes
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -59,6 +59,21 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(decontaminate.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return vector_codes.digest(vectors, vector_codes.train(vectors))
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op13_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return topk_search.search(vectors, topk_search.hundredth(vectors))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_sampled_pieces, op2_substring_dedup, op3_jaccard_join, op4_url_filter, op5_line_dedup, op6_secret_scan, op7_line_rules, op8_chat_format, op9_ordinal_quality, op10_decontaminate,
+    op11_vector_codes, op12_source_divergence, op13_topk_search,
 )}
