@@ -14,9 +14,9 @@ from ..functions import (bind, detect_currency, lenient_number, merchant_usernam
                          strip)
 from .filters import detail_only, drop_totals
 from .joins import join_unique
+from .layouts import BOM, value_currency
 
 ACCOUNT_COLUMNS = ["platform", "operator", "brand", "username"]
-BOM = "﻿"
 
 
 # --- headers ---------------------------------------------------------------
@@ -91,7 +91,8 @@ def table_currency(cells: DataFrame, *groups: str) -> DataFrame:
 
 def shown_currency(cells: DataFrame, *groups: str) -> DataFrame:
     """First currency in the rows, else in the totals cells. `cells` has the group
-    columns, row_no, text and is_total."""
+    columns, row_no, text and is_total. All rows count: a page reader looks at the first ten
+    only because it asks a browser for each one."""
     shown = F.when(~F.col("is_total"), F.col("text"))
     total = F.when(F.col("is_total"), F.col("text"))
     at = F.col("row_no")
@@ -184,11 +185,60 @@ def standardize_vendor(raw: DataFrame, scraped: DataFrame, accounts: DataFrame,
     return tagged.drop("_seen", "_own")
 
 
-def with_fallback(primary: DataFrame, secondary: DataFrame) -> DataFrame:
-    """Rows of the primary source, and of accounts it lacks those of the secondary."""
-    read = primary.select(F.col("account_id").alias("_a")).distinct()
-    gaps = join_unique(secondary, read, [(F.col("account_id"), "_a")], "left_anti")
-    return primary.unionByName(gaps, allowMissingColumns=True)
+# --- the same from landed reports of any layout ------------------------------
+# Frames of `sources.exports.account_reports`: a column for each name of any layout, beside account_id,
+# row_no, and each line's cells, its header and the names its layout has.
+INNER_COLUMNS = ("row_no", "layout", "cells", "header", "names", "source")
+
+
+def _report_rows(df: DataFrame) -> DataFrame:
+    """Without totals rows: their first cell starts with 'total'."""
+    first = F.lower(strip(F.coalesce(F.get("cells", F.lit(0)), F.lit(""))))
+    return df.where(~F.startswith(first, F.lit("total")))
+
+
+def _without_inner(df: DataFrame) -> DataFrame:
+    return df.drop(*INNER_COLUMNS)
+
+
+def landed_wide(reports: DataFrame, accounts: DataFrame, month: str) -> DataFrame:
+    df = _report_rows(reports).withColumn("_currency", value_currency(F.col("cells"), F.col("header")))
+    return tag_accounts(_without_inner(df), accounts, month, F.col("_currency")).drop("_currency")
+
+
+def landed_multilingual(reports: DataFrame, accounts: DataFrame, month: str, files: DataFrame | None = None) -> DataFrame:
+    """Detail rows of layouts that number their sections, all rows of others. `files` (account_id, header) of
+    accounts whose export has a header only give a zero row in its shape."""
+    df = _report_rows(reports)
+    if "rowid" in df.columns:
+        df = df.where(~F.array_contains("names", "rowid") | (strip(F.col("rowid")) == "1"))
+    out = tag_accounts(_without_inner(df), accounts, month)
+    if "merchant" in out.columns:
+        out = out.withColumn("username", merchant_username(F.col("merchant"), F.col("username"))).drop("merchant")
+    return out.withColumnRenamed("username", "account_username")
+
+
+def zero_cells(header: Column) -> Column:
+    """The cells of a zero row under a multilingual header."""
+    return F.transform(header, lambda h: F.when(F.lower(h) == "rowid", "1").when(F.lower(h).isin(ZERO_ROW_TEXT), "").otherwise("0"))
+
+
+def landed_long(reports: DataFrame, shown: DataFrame, accounts: DataFrame, month: str, empty_accounts: DataFrame) -> DataFrame:
+    for name in ("Commission Type", "Amount"):
+        if name not in reports.columns:
+            reports = reports.withColumn(name, F.lit(None).cast("string"))
+    return standardize_long(reports.select("account_id", "Commission Type", "Amount"), shown, accounts, month, empty_accounts)
+
+
+def landed_vendor(reports: DataFrame, scraped: DataFrame, accounts: DataFrame, month: str) -> DataFrame:
+    """Currency from the scraped table, else the first one of the export's cells, columns before rows."""
+    codes = F.posexplode(F.transform("cells", detect_currency)).alias("at", "code")
+    own = (reports.select(F.col("account_id").alias("_a"), "row_no", codes).where("code is not null")
+           .groupBy("_a").agg(F.min(F.struct("at", "row_no", "code"))["code"].alias("_own")))
+    seen = table_currency(scraped, "account_id").select(F.col("account_id").alias("_a"), F.col("currency").alias("_seen"))
+    coded = join_unique(_without_inner(reports), seen, [(F.col("account_id"), "_a")], "left")
+    coded = join_unique(coded, own, [(F.col("account_id"), "_a")], "left")
+    return tag_accounts(coded, accounts, month, F.coalesce("_seen", "_own")).drop("_seen", "_own")
 
 
 # --- ragged tables ---------------------------------------------------------

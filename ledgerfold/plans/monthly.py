@@ -1,8 +1,9 @@
 """The monthly job: rates, landed exports, reports, reference, unified table, publication.
 
 Stored tables below the root: accounts, reference, rates, rate_feed, sheet_cells; landing_<shape> (folders
-of exports), shown_long and scraped_vendor (cells of pages read beside an export), extraction_log
-(account_id, ok); report_<shape>, outcomes_<shape>, unregistered_<shape>, unified, load_counters,
+of exports), scraped_tables_<shape> (account_id, headers, rows: pages of accounts that landed no export),
+shown_long and scraped_vendor (cells of pages read beside an export), extraction_log
+(account_id, ok); report_<shape>, outcomes_<shape>, unregistered_<shape>, rejected_<shape>, unified, load_counters,
 divergences, missing_rates, missing_accounts, published, run_log."""
 
 from __future__ import annotations
@@ -16,20 +17,19 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..contracts import UNION_KEYS, Rules
+from ..contracts import HEADER_MAP, MEASURE_HEADERS, UNION_KEYS, Rules
 from ..functions import closed_month, norm_key, strip
 from ..operators.billing import published
 from ..operators.filters import ACTIVE, ACTIVE_MULTILINGUAL, only_month, select_accounts
 from ..operators.fx import refresh_rates
+from ..operators.joins import join_unique
 from ..operators.quality import account_outcomes, filter_by_ids, load_counters, missing_accounts_report
 from ..operators.reference import refresh_reference
-from ..operators.standardize import (clean_headers, standardize_long, standardize_multilingual, standardize_vendor,
-                                     standardize_wide, zero_rows)
-from ..session import settle
+from ..operators.standardize import landed_long, landed_multilingual, landed_vendor, landed_wide, scraped_table, zero_cells
 from ..sinks.publish import publish
 from ..sinks.run_log import append_run_log
 from ..sinks.tables import append_rates, read_partitioned, read_table, replace_table, table_exists, write_upsert
-from ..sources.exports import export_frames, read_landing, unregistered_files, with_account
+from ..sources.exports import Reports, account_reports, no_landing, read_landing
 from ..sources.tables import read_accounts, read_rate_feed, read_rates, read_reference
 from ..sources.worksheet import read_reference_sheet
 from .unified import build_unified
@@ -43,6 +43,9 @@ REPORT_KEYS = {
 # Platform of each report shape, and the active flags that take part.
 PLATFORMS = {"wide": "netrefer", "long": "cellxpert", "vendor": "raventrack", "multilingual": "incomeaccess"}
 ACTIVE_FLAGS = {"multilingual": ACTIVE_MULTILINGUAL}
+# Header names of each shape, whether headers that meet in one share its cells, and columns a file cannot lack.
+HEADERS = {"wide": (MEASURE_HEADERS, False), "long": ({}, False), "vendor": (MEASURE_HEADERS, False), "multilingual": (HEADER_MAP, True)}
+REQUIRED = {"long": ("Commission Type", "Amount")}
 
 
 @dataclass
@@ -83,56 +86,53 @@ def rates_step(spark: SparkSession, p: MonthParams) -> None:
     append_rates(spark, p.table_path("rates"), rows.withColumn("rate", F.col("rate").cast("string")))
 
 
-def stacked(frames: Sequence[DataFrame]) -> DataFrame:
-    out = frames[0]
-    for frame in frames[1:]:
-        out = out.unionByName(frame, allowMissingColumns=True)
-    return out
-
-
 def side_table(spark: SparkSession, p: MonthParams, name: str, schema: str) -> DataFrame:
     found = read_table(spark, p.table_path(name))
     return spark.createDataFrame([], schema) if found is None else found
 
 
-def standardise_landed(spark: SparkSession, p: MonthParams, shape: str, raw: Sequence[DataFrame],
-                       accounts: DataFrame, empty: DataFrame) -> DataFrame:
-    """Raw frames (one per header) of a shape to its standard report. `empty` holds the accounts
-    whose export has a header only."""
+def standardise_landed(spark: SparkSession, p: MonthParams, shape: str, reports: Reports, accounts: DataFrame) -> DataFrame:
+    """Landed reports of a shape, whatever their layouts, to its standard report."""
+    empty = reports.empty_files()
     if shape == "wide":
-        return stacked([standardize_wide(f.drop("row_no"), accounts, p.month) for f in raw])
+        return landed_wide(reports.rows, accounts, p.month)
     if shape == "multilingual":
-        named = [f.drop("row_no") for f in raw]
-        zeros = zero_rows(empty, [c for c in named[0].columns if c != "account_id"])
-        return stacked([standardize_multilingual(f, accounts, p.month) for f in [named[0].unionByName(zeros), *named[1:]]])
+        zeros = empty.select("account_id", "layout", zero_cells(F.col("header")).alias("cells"))
+        return landed_multilingual(reports.with_lines(zeros), accounts, p.month)
     if shape == "long":
         shown = side_table(spark, p, "shown_long", "account_id string, row_no int, text string, is_total boolean")
-        rows = stacked([clean_headers(f).select("account_id", "Commission Type", "Amount") for f in raw])
-        return standardize_long(rows, shown, accounts, p.month, empty)
-    scraped = side_table(spark, p, "scraped_vendor", "account_id string, row_no int, col_no int, text string")
-    return stacked([standardize_vendor(f, scraped, accounts, p.month) for f in raw])
+        return landed_long(reports.rows, shown, accounts, p.month, empty.select("account_id").distinct())
+    seen = side_table(spark, p, "scraped_vendor", "account_id string, row_no int, col_no int, text string")
+    tables = side_table(spark, p, "scraped_tables_vendor", "account_id string, headers array<string>, rows array<array<string>>")
+    cells = scraped_table(tables).select("account_id", "row_no", "col_no", "text").unionByName(seen)
+    return landed_vendor(reports.rows, cells, accounts, p.month)
+
+
+def landed_outcomes(spark: SparkSession, p: MonthParams, reports: Reports, accounts: DataFrame) -> DataFrame:
+    """Outcome of every account. One whose file was rejected failed, whatever the extraction log says."""
+    failed = reports.rejected.where("account_id is not null").select("account_id", F.lit(False).alias("ok"))
+    log = read_table(spark, p.table_path("extraction_log"))
+    log = reports.files.select("account_id", F.lit(True).alias("ok")) if log is None else log.select("account_id", "ok")
+    log = join_unique(log, failed.select(F.col("account_id").alias("_a")).distinct(), [(F.col("account_id"), "_a")], "left_anti").unionByName(failed)
+    return account_outcomes(accounts.select("account_id", "platform", "operator", "username"), reports.rows.select("account_id"), log)
 
 
 def landed_step(shape: str) -> Callable[[SparkSession, MonthParams], None]:
     """Landed exports of the shape's active accounts to its stored report, with the outcome of every
-    account and the files that belong to none."""
+    account, the files that belong to none and those that cannot be used."""
     def run(spark: SparkSession, p: MonthParams) -> None:
         folder = p.table_path(f"landing_{shape}")
         registry = read_accounts(spark, p.table_path("accounts"))
         accounts = select_accounts(registry, PLATFORMS[shape], p.operator, p.ids or None, ACTIVE_FLAGS.get(shape, ACTIVE))
-        if not table_exists(spark, folder):
+        scraped = read_table(spark, p.table_path(f"scraped_tables_{shape}"))
+        if not table_exists(spark, folder) and scraped is None:
             return
-        landing = read_landing(spark, folder)
-        replace_table(spark, p.table_path(f"unregistered_{shape}"), unregistered_files(landing, registry))
-        raw = [with_account(f, accounts) for f in export_frames(landing)]
-        landed = with_account(landing.headers, accounts).select("account_id").distinct()
-        filled = stacked([f.select("account_id") for f in raw])
-        empty = landed.join(filled.distinct(), "account_id", "left_anti")
-        rows = settle(standardise_landed(spark, p, shape, raw, accounts, empty))
-        log = read_table(spark, p.table_path("extraction_log"))
-        log = landed.withColumn("ok", F.lit(True)) if log is None else log
-        outcomes = account_outcomes(accounts.select("account_id", "platform", "operator", "username"), filled, log)
-        replace_table(spark, p.table_path(f"outcomes_{shape}"), outcomes)
+        landing = read_landing(spark, folder) if table_exists(spark, folder) else no_landing(spark)
+        reports = account_reports(landing, accounts, registry, *HEADERS[shape], REQUIRED.get(shape, ()), scraped)
+        replace_table(spark, p.table_path(f"unregistered_{shape}"), reports.unregistered)
+        replace_table(spark, p.table_path(f"rejected_{shape}"), reports.rejected)
+        rows = standardise_landed(spark, p, shape, reports, accounts)
+        replace_table(spark, p.table_path(f"outcomes_{shape}"), landed_outcomes(spark, p, reports, accounts))
         write_upsert(spark, p.table_path(f"report_{shape}"), rows, REPORT_KEYS[shape])
     return run
 

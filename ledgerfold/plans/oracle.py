@@ -287,6 +287,22 @@ SELECT {txt('o_orderkey')} AS rowid, o_orderpriority AS currency,
        {cents_text('o_totalprice')} AS cpa_commission, {txt('o_custkey')} AS affiliate_id,
        o_orderstatus AS "Custom Field" FROM orders"""
 
+ORACLE["record_cells_split"] = f"""
+SELECT p_partkey, CAST(6 + p_partkey % 400 AS INTEGER) AS n_cells, {txt('p_partkey')} AS cell_0,
+       p_name || ', "' || p_type || '"' || chr(10) AS cell_1, CAST(NULL AS VARCHAR) AS cell_2, CAST(NULL AS VARCHAR) AS cell_3, p_type AS last_cell FROM part"""
+
+ORACLE["landed_layouts"] = f"""
+SELECT {txt('o_orderkey')} AS account_id,
+       CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN o_orderstatus END AS "Custom",
+       CASE WHEN o_orderpriority NOT IN ('1-URGENT', '2-HIGH') THEN CASE WHEN o_orderstatus = 'F' THEN {cents_text('o_totalprice')} ELSE {txt('o_custkey')} END END AS cpa_commission,
+       CASE WHEN o_orderpriority = '2-HIGH' THEN {txt('o_custkey')} END AS custom__3,
+       CASE WHEN o_orderpriority = '2-HIGH' THEN {cents_text('o_totalprice')} WHEN o_orderpriority = '1-URGENT' THEN CASE o_orderstatus WHEN 'F' THEN {cents_text('o_totalprice')} WHEN 'O' THEN 'x' END END AS net_revenue,
+       CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN {txt('o_orderkey')} END AS rowid FROM orders"""
+
+ORACLE["ranked_sources"] = f"""
+WITH files AS (SELECT {txt('o_custkey')} AS account_id, CASE o_orderstatus WHEN 'F' THEN 0 WHEN 'O' THEN 1 ELSE 2 END AS source, {txt('o_orderkey')} AS file_name FROM orders)
+SELECT account_id, CAST(source AS INTEGER) AS source, file_name FROM files QUALIFY source = min(source) OVER (PARTITION BY account_id)"""
+
 ORACLE["conditional_sums"] = f"""
 WITH {COMMISSION}, {CONDITIONAL}
 SELECT user_id, month, CAST(cpa AS DOUBLE) AS cpa_amount, CAST(rs AS DOUBLE) AS rs_amount FROM sums"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..contracts import (MONEY, AccountRename, MeasureOverride, PendingFx, Rebase, Rules, VendorKey)
+from ..contracts import (HEADER_MAP, MONEY, AccountRename, MeasureOverride, PendingFx, Rebase, Rules, VendorKey)
 from ..functions import (base_url, billing_total, canonical_operator, currency_default, decimal_comma,
                          detect_currency, duration_text, is_base_login, is_blank, is_month_label,
                          lenient_number, merchant_username, month_of, netting_default, norm_key,
@@ -20,6 +20,8 @@ from ..operators.filters import (brand_slice, detail_only, drop_totals, in_month
                                  select_accounts)
 from ..operators.fx import (add_eur, mark_pending, missing_rates, monthly_rates, rebase,
                             refresh_rates, resolve_pending_fx, with_rate)
+from ..operators.layouts import (best_source, by_name, canonical_slots, clean_names, column_names, column_plan,
+                                 header_mapping, layout_id, record_cells)
 from ..operators.quality import (account_outcomes, divergences, filter_by_ids, load_counters,
                                  missing_accounts)
 from ..operators.reference import (enrich_reference, preferred_rows, reference_lookup,
@@ -300,6 +302,47 @@ def header_canonicalise(spark: SparkSession, sf: str) -> DataFrame:
     return canonical_headers(clean_headers(raw))
 
 
+@query
+def record_cells_split(spark: SparkSession, sf: str) -> DataFrame:
+    """CSV records of any width cut into cells: quoted separators, doubled quotes, line breaks, empty cells."""
+    p = table(spark, sf, "part")
+    quote = lambda c: F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))
+    said = F.concat(F.col("p_name"), F.lit(', "'), F.col("p_type"), F.lit('"\n'))
+    record = F.concat_ws(",", text("p_partkey"), quote(said), F.lit(""), F.lit('""'), F.repeat(F.lit("x,"), F.pmod("p_partkey", F.lit(400)).cast("int")), F.col("p_type"))
+    cells = p.select("p_partkey", record_cells(record).alias("c"))
+    return cells.select("p_partkey", F.size("c").alias("n_cells"), *[F.get("c", F.lit(i)).alias(f"cell_{i}") for i in range(4)], F.element_at("c", -1).alias("last_cell"))
+
+
+@query
+def landed_layouts(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders as lines of three landed layouts: another order and language, headers that meet in one
+    name, repeated, unnamed and unknown ones."""
+    o = table(spark, sf, "orders")
+    price, status = cents_text("o_totalprice"), F.col("o_orderstatus")
+    first = F.col("o_orderpriority") == "1-URGENT"
+    second = F.col("o_orderpriority") == "2-HIGH"
+    header = (F.when(first, F.array(*map(F.lit, ("﻿RowID ", "Net Revenue", " Ingresos de red", "7", "Custom"))))
+              .when(second, F.array(*map(F.lit, ("Custom", "NetRev", "rowid", "custom", ""))))
+              .otherwise(F.array(*map(F.lit, ("Comissão CPA", "CPA Commission", "RowId")))))
+    cells = (F.when(first, F.array(text("o_orderkey"), F.when(status == "F", price), F.when(status != "P", F.lit("x")), F.lit("unnamed"), status))
+             .when(second, F.array(status, price, text("o_orderkey"), text("o_custkey"), F.lit("unnamed"), F.lit("behind")))
+             .otherwise(F.array(F.when(status == "F", price), text("o_custkey"))))
+    lines = o.select(text("o_orderkey").alias("account_id"), clean_names(header).alias("header"), cells.alias("cells"))
+    lines = lines.withColumn("layout", layout_id(F.col("header")))
+    layouts = lines.select("layout", "header").distinct()
+    slots = canonical_slots(layouts, header_mapping(spark, HEADER_MAP))
+    names = column_names(slots)
+    return by_name(lines.drop("header"), column_plan(layouts, slots, names), names).select("account_id", *names)
+
+
+@query
+def ranked_sources(spark: SparkSession, sf: str) -> DataFrame:
+    """Reports of the best source of every customer: here the export is an order of status F, the page one of status O."""
+    o = table(spark, sf, "orders")
+    files = o.select(text("o_custkey").alias("account_id"), pick(F.col("o_orderstatus"), {"F": 0, "O": 1}, 2).alias("source"), text("o_orderkey").alias("file_name"))
+    return best_source(files)
+
+
 # --- aggregations ----------------------------------------------------------
 def commission_rows(spark: SparkSession, sf: str) -> DataFrame:
     """Events as a commission list; the type's spelling varies."""

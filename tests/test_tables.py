@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from ledgerfold.contracts import ACCOUNTS, RATE_HISTORY, WIDE_REPORT, PendingFx, Rebase, Rules
 from ledgerfold.operators.billing import published
-from ledgerfold.operators.standardize import clean_headers
 from ledgerfold.session import settle
 from ledgerfold.sinks import publish as pub
 from ledgerfold.sinks import tables as tb
@@ -33,16 +32,64 @@ def test_report_with_colliding_headers(spark, tmp_path, rows):
     assert src.read_report(spark, f"{tmp_path}/none.csv", WIDE_REPORT).count() == 0
 
 
+def reports(spark, folder, accounts, names=None, merge=False, required=(), scraped=None):
+    registry = spark.createDataFrame(accounts, "account_id string, file_name string")
+    return ex.account_reports(ex.read_landing(spark, folder), registry, registry, names or {}, merge, required, scraped)
+
+
 def test_exports_with_different_headers(spark, tmp_path, rows):
     folder = f"{tmp_path}/landing"
     put(f"{folder}/acc one.csv", "﻿Month,Reward\nMay,1\n")
     put(f"{folder}/two.csv", 'Reward,Month,month\n"5,0",Jun,x\n7,"a\nb",y\n')
     put(f"{folder}/three.csv", "Month,Reward\n")
-    accounts = spark.createDataFrame([("1", "acc one"), ("2", "two")], "account_id string, file_name string")
-    frames = [ex.with_account(clean_headers(f), accounts) for f in ex.read_exports(spark, folder)]
-    got = {tuple(f.columns): rows(f) for f in frames}
-    assert got == {("Month", "Reward", "account_id"): [("May", "1", "1")],
-                   ("Reward", "Month", "month__2", "account_id"): [("5,0", "Jun", "x", "2"), ("7", "a\nb", "y", "2")]}
+    put(f"{folder}/four.csv", "Account_ID\nv\n\n")
+    got = reports(spark, folder, [("1", "acc one"), ("2", "two"), ("3", "three"), ("4", "four")])
+    assert got.columns == ["Account_ID", "Month", "Reward", "month__2"]
+    assert rows(got.rows, "account_id", "Month", "Reward", "month__2", "row_account_id") == [
+        ("1", "May", "1", None, None), ("2", "Jun", "5,0", "x", None), ("2", "a\nb", "7", "y", None), ("4", None, None, None, "v")]
+    assert rows(got.empty_files(), "account_id") == [("3",)]
+    # Files are read once: what follows comes from the written records, whatever the number of layouts.
+    assert "csv" not in got.rows._jdf.queryExecution().toString().lower()
+
+
+def test_no_cell_is_lost_in_a_wide_file(spark, tmp_path):
+    folder = f"{tmp_path}/landing"
+    put(f"{folder}/w.csv", ",".join(f"h{i}" for i in range(3000)) + "\n" + ",".join(f"v{i}" for i in range(3000)) + "\n" + '"q""q",' * 2999 + "\n")
+    got = reports(spark, folder, [("1", "w")])
+    first, second = got.rows.orderBy("row_no").collect()
+    assert len(got.columns) == 3000 and (first["h0"], first["h299"], first["h2999"]) == ("v0", "v299", "v2999")
+    assert second["h2998"] == 'q"q' and second["h2999"] is None
+
+
+def test_a_bad_file_costs_its_account_only(spark, tmp_path, rows):
+    folder = f"{tmp_path}/landing"
+    put(f"{folder}/good.csv", "Amount,Kind\n1,a\n")
+    put(f"{folder}/bad.csv", "Sum,Kind\n2,b\n")
+    put(f"{folder}/shared.csv", "Amount,Kind\n3,c\n")
+    put(f"{folder}/stranger.csv", "Amount,Kind\n4,d\n")
+    got = reports(spark, folder, [("1", "good"), ("2", "bad"), ("3", "shared"), ("4", "shared")], required=("Kind", "Amount"))
+    assert rows(got.rows, "account_id", "Amount") == [("1", "1")]
+    assert rows(got.rejected, "file_name", "account_id", "reason") == [("bad", "2", "lacks amount"), ("shared", None, "several accounts")]
+    assert rows(got.unregistered) == [("stranger",)] and got.empty_files().count() == 0
+
+
+def test_scraped_tables_stand_in_for_missing_exports(spark, tmp_path, rows):
+    folder = f"{tmp_path}/landing"
+    put(f"{folder}/a.csv", "Kind,Amount\nx,1\n")
+    put(f"{folder}/b.csv", "Kind,Amount\n")
+    scraped = spark.createDataFrame([("1", ["Kind", "Amount"], [["page", "9"]]), ("2", ["Kind", "Amount"], [["page", "9"]]),
+                                     ("3", [" Amount", "Kind"], [["5", "y", "more"], ["6"]]), ("4", ["Kind"], []), ("9", ["Kind"], [["z"]])],
+                                    "account_id string, headers array<string>, rows array<array<string>>")
+    got = reports(spark, folder, [("1", "a"), ("2", "b"), ("3", "c"), ("4", "d"), ("5", "e")], scraped=scraped)
+    assert rows(got.rows, "account_id", "Kind", "Amount", "col_2") == [("1", "x", "1", None), ("3", "y", "5", "more"), ("3", None, "6", None)]
+    assert rows(got.files, "account_id", "source") == [("1", 0), ("2", 0), ("3", 1), ("4", 1)]
+    assert rows(got.empty_files(), "account_id") == [("2",), ("4",)]
+
+
+def test_empty_landing(spark, tmp_path):
+    folder = f"{tmp_path}/landing"
+    put(f"{folder}/none.csv", "")
+    assert reports(spark, folder, [("1", "none")]).rows.count() == 0
 
 
 def test_rate_feed_and_rules(spark, tmp_path, rows):
