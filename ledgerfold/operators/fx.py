@@ -127,7 +127,7 @@ def mark_pending(df: DataFrame, rules: Rules) -> DataFrame:
 def resolve_pending_fx(df: DataFrame, late_rates: DataFrame) -> DataFrame:
     """Complete pending rows once their rate is known. `late_rates` has one rate per
     row_key. Amounts become EUR x rate, unrounded; other rows stay pending."""
-    late = late_rates.groupBy(F.col("row_key").alias("_key")).agg(F.max(F.col("rate").cast(RATE)).alias("_late"))
+    late = late_rates.groupBy(F.col("row_key").alias("_key")).agg(F.max(strip(F.col("rate").cast("string")).try_cast(RATE)).alias("_late"))
     df = join_unique(df, late, [(F.col("row_key"), "_key")], "left")
     done = F.col("pending_fx") & F.col("_late").isNotNull()
     for amount, eur in (("rs_amount", "rs_eur"), ("cpa_amount", "cpa_eur"),
@@ -136,3 +136,15 @@ def resolve_pending_fx(df: DataFrame, late_rates: DataFrame) -> DataFrame:
         df = df.withColumn(amount, F.when(done, value).otherwise(F.col(amount).cast(RAW)))
     return (df.withColumn("rate", F.when(done, F.col("_late")).otherwise(F.col("rate")))
               .withColumn("pending_fx", F.col("pending_fx") & ~done).drop("_late"))
+
+
+def completed_rows(stored: DataFrame, late_rates: DataFrame, keys: Sequence[str] = ("row_key", "month")) -> tuple[DataFrame, DataFrame]:
+    """(rows, found): `found` are the keys of stored rows that wait and have a late rate now, `rows` all stored rows
+    of these keys, completed, in the store's own types (amounts in cents). Rates that are no number complete nothing."""
+    known = late_rates.where(strip(F.col("rate").cast("string")).try_cast(RATE).isNotNull()).select(F.col("row_key").alias("_key")).distinct()
+    found = join_unique(stored.where("pending_fx"), known, [(F.col("row_key"), "_key")], "left_semi").select(*keys).distinct()
+    mine = found.select(*[F.col(k).alias(f"_k{k}") for k in keys])
+    rows = join_unique(stored, mine, [(F.col(k), f"_k{k}") for k in keys], "left_semi")
+    done = resolve_pending_fx(rows, late_rates)
+    return done.select(*[F.round(F.col(c), 2).cast(stored.schema[c].dataType).alias(c) if c in ("rs_amount", "cpa_amount", "total_amount")
+                         else F.col(c) for c in stored.columns]), found

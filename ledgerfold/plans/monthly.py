@@ -3,8 +3,8 @@
 Stored tables below the root: accounts, reference, rates, rate_feed, sheet_cells; landing_<shape> (folders
 of exports), scraped_tables_<shape> (account_id, headers, rows: pages of accounts that landed no export),
 shown_long and scraped_vendor (cells of pages read beside an export), extraction_log
-(account_id, ok); report_<shape>, outcomes_<shape>, unregistered_<shape>, rejected_<shape>, unified, load_counters,
-divergences, missing_rates, missing_accounts, published, run_log."""
+(account_id, ok), late_rates (row_key, rate); rate_feed_taken, report_<shape>, outcomes_<shape>, unregistered_<shape>, rejected_<shape>, unified, load_counters,
+divergences, missing_rates, missing_accounts, published, publish_changes, run_log, step_counters."""
 
 from __future__ import annotations
 
@@ -21,15 +21,19 @@ from ..contracts import HEADER_MAP, MEASURE_HEADERS, UNION_KEYS, Rules
 from ..functions import closed_month, norm_key, strip
 from ..operators.billing import published
 from ..operators.filters import ACTIVE, ACTIVE_MULTILINGUAL, only_month, select_accounts
-from ..operators.fx import refresh_rates
+from ..operators.fx import completed_rows, refresh_rates
 from ..operators.joins import join_unique
 from ..operators.quality import account_outcomes, filter_by_ids, load_counters, missing_accounts_report
 from ..operators.reference import refresh_reference
 from ..operators.standardize import landed_long, landed_multilingual, landed_vendor, landed_wide, scraped_table, zero_cells
-from ..sinks.publish import publish
+from ..session import settle
+from ..sinks.counters import Counters, append_counters
+from ..sinks.publish import publish_new, republish
 from ..sinks.run_log import append_run_log
-from ..sinks.tables import append_rates, read_partitioned, read_table, replace_table, table_exists, write_upsert
+from ..sinks.tables import (append_rates, append_rows, partition_text, read_partitioned, read_table, replace_table, table_exists,
+                            touched_values, write_upsert)
 from ..sources.exports import Reports, account_reports, no_landing, read_landing
+from ..sources.intake import file_paths, new_files
 from ..sources.tables import read_accounts, read_rate_feed, read_rates, read_reference
 from ..sources.worksheet import read_reference_sheet
 from .unified import build_unified
@@ -80,10 +84,16 @@ def chosen(df: DataFrame, params: MonthParams, accounts: DataFrame) -> DataFrame
     return filter_by_ids(named, accounts, params.ids).select(*df.columns)
 
 
-def rates_step(spark: SparkSession, p: MonthParams) -> None:
-    history = read_table(spark, p.table_path("rates"))
-    rows, _ = refresh_rates(read_rate_feed(spark, p.table_path("rate_feed")), history, p.currencies)
-    append_rates(spark, p.table_path("rates"), rows.withColumn("rate", F.col("rate").cast("string")))
+def rates_step(spark: SparkSession, p: MonthParams) -> dict[str, int]:
+    """Feed files that no earlier run took (for the same currencies) to the rate history."""
+    folder, ledger = p.table_path("rate_feed"), p.table_path("rate_feed_taken")
+    files = settle(new_files(spark, folder, ledger, ",".join(sorted(p.currencies))))
+    paths = file_paths(files)
+    if paths:
+        rows, _ = refresh_rates(read_rate_feed(spark, paths), None, p.currencies)
+        append_rates(spark, p.table_path("rates"), rows.withColumn("rate", F.col("rate").cast("string")))
+        append_rows(files, ledger)
+    return {"files": len(paths)}
 
 
 def side_table(spark: SparkSession, p: MonthParams, name: str, schema: str) -> DataFrame:
@@ -117,30 +127,34 @@ def landed_outcomes(spark: SparkSession, p: MonthParams, reports: Reports, accou
     return account_outcomes(accounts.select("account_id", "platform", "operator", "username"), reports.rows.select("account_id"), log)
 
 
-def landed_step(shape: str) -> Callable[[SparkSession, MonthParams], None]:
+def landed_step(shape: str) -> Callable[[SparkSession, MonthParams], dict[str, int] | None]:
     """Landed exports of the shape's active accounts to its stored report, with the outcome of every
     account, the files that belong to none and those that cannot be used."""
-    def run(spark: SparkSession, p: MonthParams) -> None:
+    def run(spark: SparkSession, p: MonthParams) -> dict[str, int] | None:
         folder = p.table_path(f"landing_{shape}")
         registry = read_accounts(spark, p.table_path("accounts"))
         accounts = select_accounts(registry, PLATFORMS[shape], p.operator, p.ids or None, ACTIVE_FLAGS.get(shape, ACTIVE))
         scraped = read_table(spark, p.table_path(f"scraped_tables_{shape}"))
         if not table_exists(spark, folder) and scraped is None:
-            return
+            return None
         landing = read_landing(spark, folder) if table_exists(spark, folder) else no_landing(spark)
-        reports = account_reports(landing, accounts, registry, *HEADERS[shape], REQUIRED.get(shape, ()), scraped)
+        counters = Counters()
+        reports = account_reports(landing, accounts, registry, *HEADERS[shape], REQUIRED.get(shape, ()), scraped, counters)
         replace_table(spark, p.table_path(f"unregistered_{shape}"), reports.unregistered)
         replace_table(spark, p.table_path(f"rejected_{shape}"), reports.rejected)
         rows = standardise_landed(spark, p, shape, reports, accounts)
         replace_table(spark, p.table_path(f"outcomes_{shape}"), landed_outcomes(spark, p, reports, accounts))
-        write_upsert(spark, p.table_path(f"report_{shape}"), rows, REPORT_KEYS[shape])
+        write_upsert(spark, p.table_path(f"report_{shape}"), rows, REPORT_KEYS[shape], counters=counters)
+        return counters.values()
     return run
 
 
-def report_step(shape: str, standardised: DataFrame) -> Callable[[SparkSession, MonthParams], None]:
-    def run(spark: SparkSession, p: MonthParams) -> None:
+def report_step(shape: str, standardised: DataFrame) -> Callable[[SparkSession, MonthParams], dict[str, int]]:
+    def run(spark: SparkSession, p: MonthParams) -> dict[str, int]:
+        counters = Counters()
         rows = chosen(standardised, p, read_accounts(spark, p.table_path("accounts")))
-        write_upsert(spark, p.table_path(f"report_{shape}"), rows, REPORT_KEYS[shape])
+        write_upsert(spark, p.table_path(f"report_{shape}"), rows, REPORT_KEYS[shape], counters=counters)
+        return counters.values()
     return run
 
 
@@ -152,21 +166,44 @@ def reference_step(spark: SparkSession, p: MonthParams) -> None:
     replace_table(spark, p.table_path("reference"), refresh_reference(sheet, reference, p.rules))
 
 
-def unified_step(spark: SparkSession, p: MonthParams) -> None:
+def unified_step(spark: SparkSession, p: MonthParams) -> dict[str, int]:
+    counters = Counters()
     stored = {shape: read_partitioned(spark, p.table_path(f"report_{shape}"), "month") for shape in REPORT_KEYS}
     reports = {k: only_month(v, p.month) for k, v in stored.items() if v is not None}
-    built = build_unified(reports, read_rates(spark, p.table_path("rates")),
+    built = build_unified(reports, read_rates(spark, p.table_path("rates"), [p.month]),
                           read_reference(spark, p.table_path("reference")), p.rules,
-                          read_accounts(spark, p.table_path("accounts")), p.ids)
+                          read_accounts(spark, p.table_path("accounts")), p.ids, counters=counters)
     replace_table(spark, p.table_path("divergences"), built.divergences)
     replace_table(spark, p.table_path("load_counters"), load_counters(built.enriched, "platform"))
     replace_table(spark, p.table_path("missing_rates"), built.missing_rates)
-    write_upsert(spark, p.table_path("unified"), built.unified, UNION_KEYS, built.processed_keys)
+    write_upsert(spark, p.table_path("unified"), built.unified, UNION_KEYS, built.processed_keys, counters=counters)
+    return counters.values()
+
+
+def late_rates_step(spark: SparkSession, p: MonthParams) -> dict[str, int]:
+    """Rates that came after a month was built (`late_rates`: row_key, rate) complete the rows that wait for them, in every stored
+    month, and their published form. Waiting rows are found by the files' statistics; only months
+    that hold one with a rate now are read whole and rewritten."""
+    stored = read_partitioned(spark, p.table_path("unified"), "month")
+    if stored is None:
+        return {"completed": 0}
+    rows, found = completed_rows(stored, read_table(spark, p.table_path("late_rates")))
+    months = touched_values("month", settle(found))
+    if not months:
+        return {"completed": 0}
+    counters = Counters()
+    here = stored.where(partition_text("month").isin(months))
+    rows = settle(counters.watch(completed_rows(here, read_table(spark, p.table_path("late_rates")))[0], completed=None))
+    write_upsert(spark, p.table_path("unified"), rows, ["row_key", "month"])
+    republish(spark, published(rows), p.table_path("published"))
+    return counters.values()
 
 
 def publish_step(spark: SparkSession, p: MonthParams) -> None:
+    """Rows not published yet; keys published in another form before are written to `publish_changes`."""
     rows = only_month(read_partitioned(spark, p.table_path("unified"), "month"), p.month)
-    publish(spark, published(rows), p.table_path("published"))
+    changed = publish_new(spark, published(rows), p.table_path("published"))
+    replace_table(spark, p.table_path("publish_changes"), changed)
 
 
 def run_month(spark: SparkSession, params: MonthParams,
@@ -182,20 +219,24 @@ def run_month(spark: SparkSession, params: MonthParams,
         steps += [(shape, landed_step(shape)) for shape in REPORT_KEYS if shape in params.shapes]
     else:
         steps += [(shape, report_step(shape, df)) for shape, df in standardised.items() if shape in params.shapes]
-    steps += [("reference", reference_step), ("unified", unified_step), ("publish", publish_step)]
+    steps += [("reference", reference_step), ("unified", unified_step)]
+    if table_exists(spark, params.table_path("late_rates")):
+        steps.append(("late_rates", late_rates_step))
+    steps.append(("publish", publish_step))
     skip = set(params.skip) | ({"publish"} if "unified" in params.skip else set())
-    log = []
+    log, counted = [], []
     run_at = dt.datetime.now().isoformat(timespec="seconds")
     for name, step in steps:
         if name in skip:
             continue
         start, code = time.monotonic(), 0
         try:
-            step(spark, params)
+            counted += [(run_at, params.month, name, counter, n) for counter, n in (step(spark, params) or {}).items()]
         except Exception as error:      # one failed step must not hide the others
             print(f"[{name}] failed: {error}")
             code = 1
             skip |= {"publish"} if name == "unified" else set()
         log.append((run_at, params.month, name, code, time.monotonic() - start))
     append_run_log(spark, params.table_path("run_log"), log)
+    append_counters(spark, params.table_path("step_counters"), counted)
     return log

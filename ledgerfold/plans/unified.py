@@ -55,22 +55,27 @@ def convert(union: DataFrame, rates: DataFrame, rules: Rules) -> DataFrame:
 
 def build_unified(reports: Mapping[str, DataFrame], rates: DataFrame, reference: DataFrame,
                   rules: Rules = Rules(), accounts: DataFrame | None = None, ids=None,
-                  store_lookups: bool = True, store_enriched: bool = True) -> UnifiedResult:
+                  store_lookups: bool = True, store_enriched: bool = True, counters=None) -> UnifiedResult:
     """Standard reports (keyed by shape: wide, vendor, long, multilingual) to the
     unified table and its side reports.
 
     With `store_lookups` the rates and the reference are written to the shared scratch
     folder first, so that the planner knows their size. The enriched rows feed three
     outputs; with `store_enriched` they are written there too instead of being computed
-    once per output."""
+    once per output, and `counters` count what passes: rows read, with a rate, converted to another
+    currency by a rebase rule, and removed for lack of a reference."""
     union = normalise_union(union_reports([ADAPTERS[k](df, rules) for k, df in reports.items()]), rules)
     if ids is not None:
         union = filter_union_by_ids(union, accounts, ids)
+    union = union.withColumn("reported_currency", F.col("currency"))
     month_rates = monthly_rates(rates)
     lookup = reference_lookup(reference)
     if store_lookups:
         month_rates, lookup = settle(month_rates), settle(lookup)
     enriched = enrich_reference(convert(union, month_rates, rules), lookup, rules)
+    if store_enriched and counters is not None:
+        enriched = counters.watch(enriched, read=None, with_rate=F.col("rate").isNotNull(), converted=F.col("currency") != F.col("reported_currency"),
+                                  removed=F.col("ref").isNull())
     if store_enriched:
         enriched = settle(enriched)
     return UnifiedResult(finish(enriched, rules), divergences(enriched),

@@ -60,8 +60,25 @@ def read_partitioned(spark: SparkSession, path: str, partition: str) -> DataFram
     return spark.read.schema(schema).parquet(path)
 
 
+def is_partitioned(spark: SparkSession, path: str, column: str) -> bool:
+    """Whether the table's folders are values of the column."""
+    fs, p = _fs(spark, path)
+    return fs.exists(p) and any(s.getPath().getName().startswith(f"{column}=") for s in fs.listStatus(p))
+
+
+def ensure_partitioned(spark: SparkSession, path: str, column: str) -> None:
+    """Rewrite a table that an earlier version wrote without partitions."""
+    if table_exists(spark, path) and not is_partitioned(spark, path, column):
+        replace_table(spark, path, spark.read.parquet(path), column)
+
+
+def append_partitioned(df: DataFrame, path: str, column: str) -> None:
+    """Append, each partition written by as many tasks as its size asks for."""
+    df.hint("rebalance", column).write.mode("append").partitionBy(column).parquet(path)
+
+
 def write_upsert(spark: SparkSession, path: str, new: DataFrame, keys: Sequence[str],
-                 purge_keys: DataFrame | None = None, partition: str = "month") -> list[str]:
+                 purge_keys: DataFrame | None = None, partition: str = "month", counters=None) -> list[str]:
     """Upsert into a table partitioned by `partition`, a text; returns the touched partitions.
 
     The batch is used several times, so it is first written to the shared scratch
@@ -70,10 +87,12 @@ def write_upsert(spark: SparkSession, path: str, new: DataFrame, keys: Sequence[
     few files; within a file they are sorted by key, so a reader of one account skips
     most of it. Dynamic overwrite leaves partitions without new rows alone, so those that
     end up empty are found before the write and removed after it. The partition column
-    must be one of the keys; null and '' are the same partition and are read back as null."""
+    must be one of the keys; null and '' are the same partition and are read back as null. `counters` (see
+    sinks.counters) count the batch as `new` and the rows of the touched partitions afterwards as `total`."""
     if partition not in keys:
         raise ValueError(f"{partition} must be one of the keys {list(keys)}")
-    new = settle(new.withColumn(partition, F.nullif(F.col(partition).cast("string"), F.lit(""))))
+    new = new.withColumn(partition, F.nullif(F.col(partition).cast("string"), F.lit("")))
+    new = settle(new if counters is None else counters.watch(new, new=None))
     old = read_partitioned(spark, path, partition)
     if old is not None and any(k not in old.columns for k in keys):
         replace_table(spark, path, new, partition)
@@ -88,6 +107,8 @@ def write_upsert(spark: SparkSession, path: str, new: DataFrame, keys: Sequence[
             kept = without_keys(old.where(partition_text(partition).isin(rest)), keys, new if purge_keys is None else purge_keys)
             emptied = sorted({*rest} - {*touched_values(partition, kept)})
     merged = upsert(old, new, keys, purge_keys)
+    if counters is not None:
+        merged = counters.watch(merged, total=None)
     (merged.hint("rebalance", partition)
            .sortWithinPartitions(partition, *[k for k in keys if k != partition])
            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -142,10 +163,16 @@ def recover_table(spark: SparkSession, path: str) -> None:
 
 
 def append_rates(spark: SparkSession, path: str, rows: DataFrame) -> None:
-    """Append the rate rows the history does not hold yet; nothing is written without any."""
-    new = unseen_rates(rows, read_table(spark, path))
+    """Append the rate rows the history does not hold yet; nothing is written without any. The
+    history is partitioned by month, which follows from the quote time: only the batch's months are read."""
+    ensure_partitioned(spark, path, "month")
+    rows = settle(rows)
+    history = read_partitioned(spark, path, "month")
+    if history is not None:
+        history = history.where(partition_text("month").isin(touched_values("month", rows)))
+    new = settle(unseen_rates(rows, history))
     if not new.isEmpty():
-        append_rows(new, path)
+        append_partitioned(new, path, "month")
 
 
 def append_rows(df: DataFrame, path: str) -> None:

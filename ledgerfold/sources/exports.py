@@ -117,7 +117,7 @@ def scraped_lines(tables: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def account_reports(landing: Landing, accounts: DataFrame, registry: DataFrame, headers: Mapping[str, str], merge: bool,
-                    required: Sequence[str] = (), scraped: DataFrame | None = None) -> Reports:
+                    required: Sequence[str] = (), scraped: DataFrame | None = None, counters=None) -> Reports:
     """The landed reports of the given accounts, all layouts in one frame. An account without a landed
     file takes its scraped table where there is one; a rejected file costs its own account only."""
     spark = landing.lines.sparkSession
@@ -142,6 +142,8 @@ def account_reports(landing: Landing, accounts: DataFrame, registry: DataFrame,
     if more is not None:
         paged = files.where(F.col("source") == SCRAPED).select(F.col("account_id").alias("_a")).distinct()
         lines = lines.unionByName(join_unique(more, paged, [(F.col("account_id"), "_a")], "left_semi").select(*lines.columns))
+    if counters is not None:
+        lines = counters.watch(lines, read=None)
     return Reports(settle(by_name(lines, plan, names)), files.drop("_file"), rejected.drop("_file"), unregistered_files(owned), plan, names)
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import dataclasses
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +11,8 @@ from pyspark.sql import types as T
 
 from ..contracts import (ACCOUNTS, RATE_FEED, RATE_HISTORY, REFERENCE, AccountRename,
                          MeasureOverride, PendingFx, Rebase, Rules, VendorKey)
-from ..sinks.tables import table_exists
+from ..functions import strip
+from ..sinks.tables import read_partitioned, table_exists
 
 
 def read_report(spark: SparkSession, path: str, schema: T.StructType,
@@ -38,8 +40,13 @@ def read_accounts(spark: SparkSession, path: str) -> DataFrame:
     return read_stored(spark, path, ACCOUNTS)
 
 
-def read_rates(spark: SparkSession, path: str) -> DataFrame:
-    return read_stored(spark, path, RATE_HISTORY)
+def read_rates(spark: SparkSession, path: str, months: Sequence[str] | None = None) -> DataFrame:
+    """The rate history, or that of the given months only: of a stored table no other partition is read."""
+    if table_exists(spark, path) and not path.lower().endswith(".csv"):
+        found = read_partitioned(spark, path, "month").withColumn("month", F.coalesce("month", F.lit(""))).select(*RATE_HISTORY.fieldNames())
+    else:
+        found = read_stored(spark, path, RATE_HISTORY)
+    return found if months is None else found.where(strip(F.col("month")).isin(list(months)))
 
 
 def with_file_order(df: DataFrame) -> DataFrame:
@@ -62,9 +69,9 @@ def read_reference(spark: SparkSession, path: str) -> DataFrame:
     return with_file_order(read_report(spark, path, REFERENCE))
 
 
-def read_rate_feed(spark: SparkSession, path: str) -> DataFrame:
-    """Landed feed objects, one JSON document per file."""
-    if not table_exists(spark, path):
+def read_rate_feed(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """Landed feed objects, one JSON document per file: of a folder, or of the given files."""
+    if not path or (isinstance(path, str) and not table_exists(spark, path)):
         return spark.createDataFrame([], RATE_FEED)
     return spark.read.schema(RATE_FEED).option("multiLine", True).json(path)
 

@@ -2,6 +2,8 @@
 
 from decimal import Decimal as D
 
+from pyspark.sql import functions as F
+
 from ledgerfold.contracts import (ACCOUNTS, RATE_FEED, REFERENCE, AccountRename, MeasureOverride, PendingFx, Rebase, Rules, VendorKey)
 from ledgerfold.operators import standardize as st
 from ledgerfold.plans.monthly import MonthParams, run_month
@@ -144,6 +146,10 @@ def test_from_landed_files_to_published_rows(spark, tmp_path, rows):
     assert sorted(got) == ["REF A", "REF B", "REF E", "REF I", "REF N", "REF S", "REF W"]
     assert got["REF A"] == ("10,50", "-2,25", "8,25") and got["REF B"][1] == "1300,10" and got["REF E"][2] == "0,00"
     assert rows(read("unregistered_wide")) == [("stranger",)]
+    counted = {(r.step, r.counter): r.value for r in read("step_counters").collect()}
+    assert {k: v for k, v in counted.items() if k[0] in ("rates", "wide", "long", "unified")} == {
+        ("rates", "files"): 1, ("wide", "read"): 4, ("wide", "new"): 3, ("wide", "total"): 3, ("long", "read"): 3, ("long", "new"): 5, ("long", "total"): 5,
+        ("unified", "read"): 8, ("unified", "with_rate"): 8, ("unified", "converted"): 0, ("unified", "removed"): 1, ("unified", "new"): 7, ("unified", "total"): 7}
     outcomes = {r.account_id: (r.outcome, r.n_rows) for shape in ("wide", "long", "vendor", "multilingual") for r in read(f"outcomes_{shape}").collect()}
     assert outcomes == {"1": ("data", 3), "2": ("data", 1), "3": ("data", 3), "4": ("no data", 0), "5": ("data", 2), "6": ("data", 1), "7": ("data", 2)}
     assert {r.platform: r.n_rows for r in read("load_counters").collect()} == {"Netrefer": 2, "Cellxpert": 2, "Raventrack": 3, "IncomeAccess": 1}
@@ -156,6 +162,112 @@ def test_from_landed_files_to_published_rows(spark, tmp_path, rows):
     assert read("published").count() == before
 
 
+def test_late_rates_and_a_second_run(spark, tmp_path, rows):
+    root = str(tmp_path)
+    prepare(spark, root)
+    read = lambda name: spark.read.parquet(f"{root}/{name}")
+    params = MonthParams(MONTH, root, rules=RULES)
+    put(tmp_path / "landing_vendor/f6.csv", "Currency,Vendor Name,RevShare Commission,CPA Commission\nEUR,V,3,4\n")
+    put(tmp_path / "landing_wide/f1.csv", "Month,Revenue Share Reward,CPA Reward,Reward Due\n2026-05,€10.50,€-2.25,€9\n")
+    put(tmp_path / "landing_long/f3.csv", "Commission,Amount\nCPA,40\n")
+    run_month(spark, params)
+    assert rows(read("published"), "ReferenciaFacturacion", "RS_Operador", "ValorMoneda_XE") == [("REF A", "10,50", "1,00000000"), ("REF W", "Esperar cambio", "")]
+    # A long report without its columns costs its account, not the shape.
+    assert rows(read("rejected_long"), "file_name", "reason") == [("f3", "lacks commission type")]
+    assert {r.account_id: r.outcome for r in read("outcomes_long").collect()} == {"3": "error", "4": "error"}
+
+    # Again: nothing is published twice and no rate file is read again. A later month does not touch this one.
+    run_month(spark, params)
+    assert read("published").count() == 2 and read("publish_changes").count() == 0
+    assert [r.value for r in read("step_counters").where("counter = 'files'").orderBy("run_at", "value").collect()] == [1, 0] or \
+        sorted(r.value for r in read("step_counters").where("counter = 'files'").collect()) == [0, 1]
+
+    # The late rate completes the stored month and its published form; other rows and months stay as they are.
+    key = next(r.row_key for r in read("unified").collect() if r.ref == "REF W")
+    replace_table(spark, f"{root}/late_rates", spark.createDataFrame([(key, "2.125"), ("other", "9"), ("bad", "x")], "row_key string, rate string"))
+    put(tmp_path / "rate_feed/rewritten.json", '{"time_last_update_utc": "Wed, 01 Jul 2026 00:00:01 +0000", "base_code": "EUR", "conversion_rates": {"USD": 1.5}}')
+    log = run_month(spark, MonthParams("2026-06", root, rules=RULES, shapes=(), skip=frozenset({"reference", "unified"})))
+    assert {(s, c) for _, _, s, c, _ in log} == {("rates", 0), ("late_rates", 0)}
+    done = {r.ref: r for r in read("unified").collect()}
+    assert (done["REF W"].pending_fx, done["REF W"].rate, done["REF W"].rs_amount, done["REF W"].cpa_amount, done["REF W"].total_amount) == (False, D("2.125"), D("6.38"), D("8.50"), D("14.88"))
+    assert done["REF A"].rs_amount == D("10.50") and len(done) == 2
+    assert rows(read("published"), "ReferenciaFacturacion", "RS_Operador", "TotalFacturacion_Operador") == [("REF A", "10,50", "8,25"), ("REF W", "6,38", "14,88")]
+    assert read("rates").count() == 4 and sorted(p.name for p in (tmp_path / "rates").iterdir() if p.is_dir()) == ["month=2026-05", "month=2026-06"]
+
+    # Changed rows are named and stay as published.
+    put(tmp_path / "landing_wide/f1.csv", "Month,Revenue Share Reward,CPA Reward,Reward Due\n2026-05,€11,€-2.25,€9\n")
+    run_month(spark, params)
+    assert rows(read("publish_changes"), "Index", "n_before", "n_rows") == [(done["REF A"].row_key, 1, 1)]
+    assert rows(read("published"), "ReferenciaFacturacion", "RS_Operador") == [("REF A", "10,50"), ("REF W", "6,38")]
+
+
+def test_converted_rows_are_counted(spark, tmp_path):
+    root = str(tmp_path)
+    prepare(spark, root)
+    put(tmp_path / "landing_long/f4.csv", "Commission Type,Amount\nCPA,8\n")
+    replace_table(spark, f"{root}/shown_long", spark.createDataFrame([("4", 1, "€8", False)], "account_id string, row_no int, text string, is_total boolean"))
+    run_month(spark, MonthParams(MONTH, root, rules=RULES, shapes=("long",), skip=frozenset({"reference"})))
+    (row,) = spark.read.parquet(f"{root}/unified").collect()
+    assert (row.currency, row.cpa_amount, row.cpa_eur) == ("BRL", D(40), D(8))
+    counted = {r.counter: r.value for r in spark.read.parquet(f"{root}/step_counters").where("step = 'unified'").collect()}
+    assert counted == {"read": 1, "with_rate": 1, "converted": 1, "removed": 0, "new": 1, "total": 1}
+
+
+def test_only_the_run_months_rates_are_read(spark, tmp_path):
+    from ledgerfold.contracts import RATE_HISTORY
+    from ledgerfold.sinks.tables import append_rates
+    from ledgerfold.sources.tables import read_rates
+    path = f"{tmp_path}/rates"
+    rate = lambda m, c: (m, f"{m}-01 00:00:01", "EUR", c, "5")
+    # A history that an earlier version wrote in one piece is partitioned first.
+    spark.createDataFrame([rate("2026-03", "USD"), rate("", "ODD")], RATE_HISTORY).write.parquet(path)
+    append_rates(spark, path, spark.createDataFrame([rate("2026-04", "USD"), rate("2026-03", "USD"), rate("", "ODD")], RATE_HISTORY))
+    assert sorted((r.month, r.currency) for r in read_rates(spark, path).collect()) == [("", "ODD"), ("2026-03", "USD"), ("2026-04", "USD")]
+    month = read_rates(spark, path, ["2026-04"])
+    assert month.count() == 1 and len(month.inputFiles()) == 1 or "PartitionFilters: [" in month._jdf.queryExecution().executedPlan().toString()
+    plan = month._jdf.queryExecution().executedPlan()
+    plan.execute().count()
+    assert "2026-04" in plan.toString().split("PartitionFilters")[1].split("PushedFilters")[0]
+
+
+def test_feed_files_are_taken_once(spark, tmp_path):
+    import os
+    from ledgerfold.sinks.tables import append_rows
+    from ledgerfold.sources.intake import LATENESS, file_paths, new_files
+    feed, ledger = tmp_path / "feed", f"{tmp_path}/taken"
+    now = 1_780_000_000
+    at = lambda name, seconds: os.utime(feed / name, (now + seconds,) * 2)
+    take = lambda choice="": new_files(spark, str(feed), ledger, choice)
+    names = lambda df: sorted(os.path.basename(p) for p in file_paths(df))
+    assert names(take()) == []
+    for name, seconds in (("a.json", 0), ("b [1].json", 10)):
+        put(feed / name, "{}")
+        at(name, seconds)
+    first = take("EUR")
+    assert names(first) == ["a.json", "b \\[1\\].json"]
+    append_rows(first, ledger)
+    assert names(take("EUR")) == [] and len(names(take())) == 2   # other currencies of the same files are new
+    append_rows(take(), ledger)
+    assert names(take("USD")) == []                                 # taken whole: for every choice
+    put(feed / "late.json", "{}")
+    at("late.json", -3600)
+    put(feed / "a.json", "{} ")
+    at("a.json", 0)
+    put(feed / "old.json", "{}")
+    at("old.json", -LATENESS.total_seconds() - 60)
+    assert names(take()) == ["a.json", "late.json"]                 # rewritten, and late within the rule
+    assert "modifiedafter" in str(take()._jdf.queryExecution().logical()).lower() or len(names(take())) == 2
+
+
+def test_counters_of_empty_frames(spark, tmp_path):
+    from ledgerfold.sinks.counters import Counters
+    counters = Counters()
+    counters.watch(spark.range(5).where("id < 0 and id > 0"), read=None, odd=F.col("id") > 1).write.parquet(f"{tmp_path}/a")
+    counters.watch(spark.range(5), read=None, odd=F.col("id") > 1).write.parquet(f"{tmp_path}/b")
+    counters.watch(spark.createDataFrame([], "id long").where("false"), gone=None).write.parquet(f"{tmp_path}/c")
+    assert counters.values() == {"read": 5, "odd": 3, "gone": 0}
+
+
 def test_empty_multilingual_export_gives_a_zero_row(spark, tmp_path):
     prepare(spark, str(tmp_path))
     put(tmp_path / "landing_multilingual/f7.csv", "RowID,Currency Symbol,% Commission,CPA Commission\n")
