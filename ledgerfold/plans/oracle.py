@@ -461,6 +461,23 @@ SELECT row_key, pending AND NOT done AS pending_fx, CAST(CASE WHEN done THEN 5.2
        CASE WHEN done THEN CAST((c + 200) * 525 AS DOUBLE) / 10000 WHEN NOT pending THEN {money('c + 500')} END AS total_amount
 FROM t"""
 
+ORACLE["late_rate_merge"] = f"""
+WITH t AS (SELECT {txt('o_orderkey')} AS row_key, strftime(o_orderdate, '%d') AS month, {whole('o_totalprice')} AS c, o_orderstatus = 'P' AS pending,
+                  o_orderstatus = 'P' AND o_orderpriority = '2-HIGH' AS done FROM orders)
+SELECT row_key, month, pending AND NOT done AS pending_fx, CAST(CASE WHEN done THEN 5.25 WHEN NOT pending THEN 1 END AS DOUBLE) AS rate,
+       CASE WHEN done THEN CAST((c * 525 + 50) // 100 AS DOUBLE) / 100 WHEN NOT pending THEN {money('c')} END AS rs_amount,
+       CAST(CASE WHEN done THEN 10.5 WHEN NOT pending THEN 5 END AS DOUBLE) AS cpa_amount,
+       CAST(CASE WHEN done THEN 15.75 WHEN NOT pending THEN 7 END AS DOUBLE) AS total_amount
+FROM t"""
+
+ORACLE["publish_ledger"] = f"""
+WITH new AS (SELECT {txt('o_custkey')} AS "Index", strftime(o_orderdate, '%Y-%m') AS "AnoMes", {cents_text('o_totalprice')} AS price, o_orderstatus AS status, o_custkey, o_orderpriority FROM orders),
+stored AS (SELECT "Index", "AnoMes", price, CASE WHEN o_orderpriority = '1-URGENT' THEN 'old' ELSE status END AS status FROM new WHERE o_custkey % 3 <> 0),
+a AS (SELECT "Index", "AnoMes", count(*) AS n, list_sort(list(price || '/' || status)) AS said FROM new GROUP BY ALL),
+b AS (SELECT "Index", "AnoMes", count(*) AS n, list_sort(list(price || '/' || status)) AS said FROM stored GROUP BY ALL)
+SELECT "Index", "AnoMes", price, status, CAST(NULL AS BIGINT) AS n_before, CAST(NULL AS BIGINT) AS n_rows FROM new WHERE o_custkey % 3 = 0
+UNION ALL SELECT "Index", "AnoMes", NULL, 'changed', b.n, a.n FROM a JOIN b USING ("Index", "AnoMes") WHERE a.said <> b.said"""
+
 ORACLE["row_keys"] = f"""
 WITH {ACCOUNTS}, {UNION_ROWS}
 SELECT o_orderkey, '2024-01' || account_id || platform || username AS row_key,

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..contracts import (HEADER_MAP, MONEY, AccountRename, MeasureOverride, PendingFx, Rebase, Rules, VendorKey)
+from ..contracts import (HEADER_MAP, MONEY, RATE, AccountRename, MeasureOverride, PendingFx, Rebase, Rules, VendorKey)
 from ..functions import (base_url, billing_total, canonical_operator, currency_default, decimal_comma,
                          detect_currency, duration_text, is_base_login, is_blank, is_month_label,
                          lenient_number, merchant_username, month_of, netting_default, norm_key,
@@ -18,7 +18,7 @@ from ..operators.adapters import (adapt_long, adapt_multilingual, adapt_vendor,
 from ..operators.billing import published
 from ..operators.filters import (brand_slice, detail_only, drop_totals, in_month, same_month,
                                  select_accounts)
-from ..operators.fx import (add_eur, mark_pending, missing_rates, monthly_rates, rebase,
+from ..operators.fx import (add_eur, completed_rows, mark_pending, missing_rates, monthly_rates, rebase,
                             refresh_rates, resolve_pending_fx, with_rate)
 from ..operators.layouts import (best_source, by_name, canonical_slots, clean_names, column_names, column_plan,
                                  header_mapping, layout_id, record_cells)
@@ -33,7 +33,7 @@ from ..operators.standardize import (canonical_headers, clean_headers, default_r
                                       sum_by_type, table_currency, tag_accounts,
                                       zero_rows)
 from ..operators.upsert import upsert
-from ..sinks.publish import as_text, comma_text
+from ..sinks.publish import as_text, comma_text, unpublished
 from ..sinks.run_log import render_steps, run_summary
 from ..sources.html_rows import html_rows
 from ..sources.worksheet import read_offset_header, read_reference_sheet
@@ -662,6 +662,37 @@ def pending_fx(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("row_key", "pending_fx", dbl("rate"), dbl("rs_amount"), dbl("cpa_amount"), dbl("total_amount"))
 
 
+@query
+def late_rate_merge(spark: SparkSession, sf: str) -> DataFrame:
+    """Late rates merged into stored months: only waiting keys with a rate are replaced, in cents."""
+    o = order_amounts(spark, sf)
+    stored = mark_pending(o.select(
+        text("o_orderkey").alias("row_key"), "month", F.lit("Vendors").alias("platform"), F.col("o_orderstatus").alias("username"),
+        F.col("amount").cast(MONEY).alias("rs_amount"), F.lit(5).cast(MONEY).alias("cpa_amount"), F.col("amount").cast(MONEY).alias("rs_eur"),
+        F.lit(2).cast(MONEY).alias("cpa_eur"), F.lit(7).cast(MONEY).alias("total_amount"), F.lit(3).cast(MONEY).alias("total_eur"), F.lit(1).cast(RATE).alias("rate")),
+        Rules(pending=(PendingFx("vendors", "P"),)))
+    late = table(spark, sf, "orders").where(F.col("o_orderpriority").isin("2-HIGH", "5-LOW")).select(
+        text("o_orderkey").alias("row_key"), pick(F.col("o_orderpriority"), {"2-HIGH": " 5.25"}, "n/a").alias("rate"))
+    rows, _ = completed_rows(stored, late)
+    out = upsert(stored, rows, ["row_key", "month"])
+    return out.select("row_key", "month", "pending_fx", dbl("rate"), dbl("rs_amount"), dbl("cpa_amount"), dbl("total_amount"))
+
+
+@query
+def publish_ledger(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of keys not published yet, and published keys whose rows are others now. Published here are two thirds of
+    the customers' orders by month, those of one priority with another status."""
+    o = table(spark, sf, "orders")
+    rows = o.select(text("o_custkey").alias("Index"), F.date_format("o_orderdate", "yyyy-MM").alias("AnoMes"), cents_text("o_totalprice").alias("price"),
+                    F.col("o_orderstatus").alias("status"), "o_custkey", "o_orderpriority")
+    stored = rows.where("o_custkey % 3 <> 0").withColumn("status", F.when(F.col("o_orderpriority") == "1-URGENT", "old").otherwise(F.col("status")))
+    keep = ["Index", "AnoMes", "price", "status"]
+    new, changed = unpublished(rows.select(*keep), stored.select(*keep))
+    none = F.lit(None).cast("long")
+    return (new.select("Index", "AnoMes", "price", "status", none.alias("n_before"), none.alias("n_rows"))
+            .unionByName(changed.withColumns({"price": F.lit(None).cast("string"), "status": F.lit("changed")})))
+
+
 @query
 def row_keys(spark: SparkSession, sf: str) -> DataFrame:
     """Row keys and origins of the rows."""
