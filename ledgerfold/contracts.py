@@ -8,8 +8,11 @@ from pyspark.sql import types as T
 
 # --- numeric types ---------------------------------------------------------
 RAW = T.DecimalType(38, 10)     # a parsed amount before rounding
-MONEY = T.DecimalType(20, 2)    # a rounded amount
-RATE = T.DecimalType(18, 8)     # an exchange rate, 1 EUR = rate
+MONEY = T.DecimalType(30, 2)    # a rounded amount
+RATE = T.DecimalType(28, 8)     # an exchange rate, 1 EUR = rate
+# Types of nearly all amounts and rates: their quotients and products keep more decimals.
+USUAL_MONEY = T.DecimalType(20, 2)
+USUAL_RATE = T.DecimalType(18, 8)
 
 # --- column sets -----------------------------------------------------------
 COMMON = ["platform", "operator", "brand", "username", "month", "currency"]

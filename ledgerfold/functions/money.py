@@ -7,11 +7,11 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..contracts import CURRENCY_MARKERS, MONEY, NETTING_NO, NETTING_YES, RAW
+from ..contracts import CURRENCY_MARKERS, MONEY, NETTING_NO, NETTING_YES, RATE, RAW, USUAL_MONEY, USUAL_RATE
 from .text import is_blank, norm_key, strip
 
-__all__ = ["parse_amount", "lenient_number", "detect_currency", "row_currency",
-           "round2", "to_eur", "decimal_comma", "currency_default",
+__all__ = ["parse_amount", "lenient_number", "amount_fault", "number_fault", "rate_fault", "detect_currency",
+           "row_currency", "round2", "to_eur", "times_rate", "decimal_comma", "currency_default",
            "netting_default", "billing_total"]
 
 
@@ -27,6 +27,28 @@ def lenient_number(c: Column) -> Column:
     return F.coalesce(strip(c).try_cast(RAW), F.lit(0).cast(RAW))
 
 
+def _too_large(number: Column, kind) -> Column:
+    """'too large' for a plain or exponent number that the type cannot hold."""
+    return F.when(number.rlike(r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$") & number.try_cast(kind).isNull(), "too large")
+
+
+def amount_fault(c: Column) -> Column:
+    """Why `parse_amount` cannot hold the amount in a money text; null where it can, and for a text without a number."""
+    return _too_large(F.regexp_replace(c, r"[^0-9.\-]", ""), RAW)
+
+
+def number_fault(c: Column) -> Column:
+    """The same for `lenient_number`."""
+    return _too_large(strip(c), RAW)
+
+
+def rate_fault(c: Column) -> Column:
+    """Why a rate cannot be used: it does not fit, or only its digits behind the eighth decimal are not zero."""
+    text = strip(c)
+    small = (text.try_cast(RATE) == 0) & F.rlike(F.regexp_replace(text, "[eE].*$", ""), F.lit("[1-9]"))
+    return F.coalesce(_too_large(text, RATE), F.when(small, "too small"))
+
+
 def detect_currency(c: Column) -> Column:
     """ISO code of the first marker, in marker order, found anywhere in the text."""
     found = F.lit(None).cast("string")
@@ -46,8 +68,16 @@ def round2(c: Column) -> Column:
 
 
 def to_eur(value: Column, rate: Column) -> Column:
-    """value / rate in cents; null without a rate or with a zero rate."""
-    return round2(F.try_divide(value, rate))
+    """value / rate in cents; null without a rate or with a zero rate. Only amounts and rates of unusual
+    length take the division that keeps six decimals."""
+    usual = F.try_divide(value.try_cast(USUAL_MONEY), rate.try_cast(USUAL_RATE))
+    return F.coalesce(round2(usual), F.round(F.try_divide(value, rate), 2).try_cast(MONEY))
+
+
+def times_rate(value: Column, rate: Column) -> Column:
+    """value x rate, not rounded to cents; null where either is null or the product has more than 28 digits."""
+    usual = value.try_cast(USUAL_MONEY) * rate.try_cast(USUAL_RATE)
+    return F.coalesce(usual.cast(RAW), F.try_multiply(value, rate).try_cast(RAW))
 
 
 def decimal_comma(c: Column) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..contracts import MONEY, RATE, RATE_COLUMNS, RAW, Rules
-from ..functions import feed_timestamp, norm_key, quote_month, round2, strip, to_eur
+from ..functions import feed_timestamp, norm_key, quote_month, rate_fault, round2, strip, times_rate, to_eur
 from .dedup import first_per_key, nulls_last
 from .filters import currency_choice
 from .joins import join_unique
@@ -53,8 +53,14 @@ def monthly_rates(history: DataFrame) -> DataFrame:
                             strip(F.col("quote_ts").cast("string")).try_cast("timestamp_ntz").alias("ts"),
                             F.col("rate").cast("string").alias("rate"))
     first = first_per_key(quotes, ["month", "currency"], nulls_last(F.col("ts")))
-    return (first.select("month", "currency", strip(F.col("rate")).try_cast(RATE).alias("rate"))
-                 .where(F.col("rate").isNotNull()))
+    usable = F.when(rate_fault(F.col("rate")).isNull(), strip(F.col("rate")).try_cast(RATE))
+    return first.select("month", "currency", usable.alias("rate")).where(F.col("rate").isNotNull())
+
+
+def rejected_rates(history: DataFrame) -> DataFrame:
+    """Quotes whose rate is a number that the rate type cannot hold, with the reason."""
+    reason = rate_fault(F.col("rate").cast("string"))
+    return history.select(*RATE_COLUMNS, reason.alias("reason")).where("reason IS NOT NULL")
 
 
 def with_rate(df: DataFrame, rates: DataFrame, name: str = "rate") -> DataFrame:
@@ -87,9 +93,9 @@ def rebase(df: DataFrame, rates: DataFrame, rules: Rules) -> DataFrame:
                & F.coalesce(F.col("_local") != 0, F.lit(False)))
         local = F.col("_local")
         df = df.select(*[
-            F.when(hit, round2(F.col("rs_eur") * local)).otherwise(F.col(c)).alias(c)
+            F.when(hit, round2(times_rate(F.col("rs_eur"), local))).otherwise(F.col(c)).alias(c)
             if c == "rs_amount" else
-            F.when(hit, round2(F.col("cpa_eur") * local)).otherwise(F.col(c)).alias(c)
+            F.when(hit, round2(times_rate(F.col("cpa_eur"), local))).otherwise(F.col(c)).alias(c)
             if c == "cpa_amount" else
             F.when(hit, F.lit(rule.restated)).otherwise(F.col(c)).alias(c)
             if c == "currency" else
@@ -132,7 +138,7 @@ def resolve_pending_fx(df: DataFrame, late_rates: DataFrame) -> DataFrame:
     done = F.col("pending_fx") & F.col("_late").isNotNull()
     for amount, eur in (("rs_amount", "rs_eur"), ("cpa_amount", "cpa_eur"),
                         ("total_amount", "total_eur")):
-        value = (F.col(eur) * F.col("_late")).cast(RAW)
+        value = times_rate(F.col(eur), F.col("_late"))
         df = df.withColumn(amount, F.when(done, value).otherwise(F.col(amount).cast(RAW)))
     return (df.withColumn("rate", F.when(done, F.col("_late")).otherwise(F.col("rate")))
               .withColumn("pending_fx", F.col("pending_fx") & ~done).drop("_late"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -128,3 +130,16 @@ def filter_by_ids(df: DataFrame, accounts: DataFrame, ids, require: bool = True)
         raise ValueError(f"none of the ids is in the account registry: {ids}")
     return join_unique(df, pairs, [(norm_key(F.col("operator")), "_op"), (norm_key(F.col("username")), "_un")],
                        "left_semi")
+
+
+def split_faults(df: DataFrame, faults: Mapping[str, Column], *keep: str) -> tuple[DataFrame, DataFrame]:
+    """(good, rejected): rows without a fault, and one row for each faulty value with the kept columns, `column`,
+    `value` and `reason`. `faults` has the reason of each column's value, null where there is none."""
+    if not faults:
+        none = df.select(*[F.col(f"`{c}`").cast("string") for c in keep], *[F.lit("").alias(n) for n in ("column", "value", "reason")])
+        return df, none.limit(0)
+    found = F.filter(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("string").alias("value"), fault.alias("reason")) for c, fault in faults.items()]),
+                     lambda x: x["reason"].isNotNull())
+    judged = df.withColumn("_faults", found)
+    bad = judged.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in keep], F.explode("_faults").alias("_fault"))
+    return judged.where(F.size("_faults") == 0).drop("_faults"), bad.select(*keep, "_fault.*")

@@ -4,7 +4,7 @@ Stored tables below the root: accounts, reference, rates, rate_feed, sheet_cells
 of exports), scraped_tables_<shape> (account_id, headers, rows: pages of accounts that landed no export),
 shown_long and scraped_vendor (cells of pages read beside an export), extraction_log
 (account_id, ok), late_rates (row_key, rate); rate_feed_taken, report_<shape>, outcomes_<shape>, unregistered_<shape>, rejected_<shape>, unified, load_counters,
-divergences, missing_rates, missing_accounts, published, publish_changes, run_log, step_counters."""
+divergences, rejected_amounts, rejected_amounts_long, rejected_rates, missing_rates, missing_accounts, published, publish_changes, run_log, step_counters."""
 
 from __future__ import annotations
 
@@ -18,12 +18,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..contracts import HEADER_MAP, MEASURE_HEADERS, UNION_KEYS, Rules
-from ..functions import closed_month, norm_key, strip
+from ..functions import closed_month, norm_key, number_fault, strip
 from ..operators.billing import published
 from ..operators.filters import ACTIVE, ACTIVE_MULTILINGUAL, only_month, select_accounts
-from ..operators.fx import completed_rows, refresh_rates
+from ..operators.fx import completed_rows, refresh_rates, rejected_rates
 from ..operators.joins import join_unique
-from ..operators.quality import account_outcomes, filter_by_ids, load_counters, missing_accounts_report
+from ..operators.quality import account_outcomes, filter_by_ids, load_counters, missing_accounts_report, split_faults
 from ..operators.reference import refresh_reference
 from ..operators.standardize import landed_long, landed_multilingual, landed_vendor, landed_wide, scraped_table, zero_cells
 from ..session import settle
@@ -110,8 +110,10 @@ def standardise_landed(spark: SparkSession, p: MonthParams, shape: str, reports:
         zeros = empty.select("account_id", "layout", zero_cells(F.col("header")).alias("cells"))
         return landed_multilingual(reports.with_lines(zeros), accounts, p.month)
     if shape == "long":
+        good, bad = split_faults(reports.rows, {"Amount": number_fault(F.col("Amount"))} if "Amount" in reports.columns else {}, "account_id")
+        replace_table(spark, p.table_path("rejected_amounts_long"), bad)
         shown = side_table(spark, p, "shown_long", "account_id string, row_no int, text string, is_total boolean")
-        return landed_long(reports.rows, shown, accounts, p.month, empty.select("account_id").distinct())
+        return landed_long(good, shown, accounts, p.month, empty.select("account_id").distinct())
     seen = side_table(spark, p, "scraped_vendor", "account_id string, row_no int, col_no int, text string")
     tables = side_table(spark, p, "scraped_tables_vendor", "account_id string, headers array<string>, rows array<array<string>>")
     cells = scraped_table(tables).select("account_id", "row_no", "col_no", "text").unionByName(seen)
@@ -170,10 +172,13 @@ def unified_step(spark: SparkSession, p: MonthParams) -> dict[str, int]:
     counters = Counters()
     stored = {shape: read_partitioned(spark, p.table_path(f"report_{shape}"), "month") for shape in REPORT_KEYS}
     reports = {k: only_month(v, p.month) for k, v in stored.items() if v is not None}
-    built = build_unified(reports, read_rates(spark, p.table_path("rates"), [p.month]),
+    rates = read_rates(spark, p.table_path("rates"), [p.month])
+    replace_table(spark, p.table_path("rejected_rates"), rejected_rates(rates))
+    built = build_unified(reports, rates,
                           read_reference(spark, p.table_path("reference")), p.rules,
                           read_accounts(spark, p.table_path("accounts")), p.ids, counters=counters)
     replace_table(spark, p.table_path("divergences"), built.divergences)
+    replace_table(spark, p.table_path("rejected_amounts"), built.rejected)
     replace_table(spark, p.table_path("load_counters"), load_counters(built.enriched, "platform"))
     replace_table(spark, p.table_path("missing_rates"), built.missing_rates)
     write_upsert(spark, p.table_path("unified"), built.unified, UNION_KEYS, built.processed_keys, counters=counters)

@@ -287,6 +287,16 @@ SELECT {txt('o_orderkey')} AS rowid, o_orderpriority AS currency,
        {cents_text('o_totalprice')} AS cpa_commission, {txt('o_custkey')} AS affiliate_id,
        o_orderstatus AS "Custom Field" FROM orders"""
 
+ORACLE["rejected_values"] = f"""
+WITH t AS (SELECT {txt('o_orderkey')} AS o_orderkey, o_custkey % 40 + 1 AS n, repeat('9', (o_custkey % 40 + 1)::INT) AS nines, o_custkey % 12 AS z, o_orderstatus = 'F' AS f, o_orderpriority = '5-LOW' AS low FROM orders),
+v AS (SELECT *, CASE WHEN f THEN '€-' ELSE 'R$' END || nines || '.50' AS money, CASE WHEN low THEN nines ELSE 'x9' END AS plain,
+             CASE WHEN f THEN '0.' || repeat('0', z::INT) || '1' ELSE ' ' || nines END AS rate,
+             CASE WHEN f AND z >= 8 THEN 'too small' WHEN NOT f AND n > 20 THEN 'too large' END AS rate_reason FROM t)
+SELECT o_orderkey, 'money' AS "column", money AS value, 'too large' AS reason FROM v WHERE n > 28
+UNION ALL SELECT o_orderkey, 'plain', plain, 'too large' FROM v WHERE low AND n > 28
+UNION ALL SELECT o_orderkey, 'rate', rate, rate_reason FROM v WHERE rate_reason IS NOT NULL
+UNION ALL SELECT o_orderkey, '', money, 'good' FROM v WHERE n <= 28 AND rate_reason IS NULL"""
+
 ORACLE["record_cells_split"] = f"""
 SELECT p_partkey, CAST(6 + p_partkey % 400 AS INTEGER) AS n_cells, {txt('p_partkey')} AS cell_0,
        p_name || ', "' || p_type || '"' || chr(10) AS cell_1, CAST(NULL AS VARCHAR) AS cell_2, CAST(NULL AS VARCHAR) AS cell_3, p_type AS last_cell FROM part"""

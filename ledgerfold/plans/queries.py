@@ -8,11 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..contracts import (HEADER_MAP, MONEY, RATE, AccountRename, MeasureOverride, PendingFx, Rebase, Rules, VendorKey)
-from ..functions import (base_url, billing_total, canonical_operator, currency_default, decimal_comma,
+from ..functions import (amount_fault, base_url, billing_total, canonical_operator, currency_default, decimal_comma,
                          detect_currency, duration_text, is_base_login, is_blank, is_month_label,
                          lenient_number, merchant_username, month_of, netting_default, norm_key,
-                         normalize_login, origin, parse_amount, platform_key, previous_month,
-                         round2, row_currency, row_key, safe_name, sanitize, step_status)
+                         normalize_login, number_fault, origin, parse_amount, platform_key, previous_month,
+                         rate_fault, round2, row_currency, row_key, safe_name, sanitize, step_status)
 from ..operators.adapters import (adapt_long, adapt_multilingual, adapt_vendor, adapt_wide,
                                   conditional_sums, union_reports)
 from ..operators.billing import published
@@ -23,7 +23,7 @@ from ..operators.fx import (add_eur, completed_rows, mark_pending, missing_rates
 from ..operators.layouts import (best_source, by_name, canonical_slots, clean_names, column_names, column_plan,
                                  header_mapping, layout_id, record_cells)
 from ..operators.quality import (account_outcomes, divergences, filter_by_ids, load_counters,
-                                 missing_accounts)
+                                 missing_accounts, split_faults)
 from ..operators.reference import (enrich_reference, preferred_rows, reference_lookup,
                                    refresh_reference)
 from ..operators.standardize import (canonical_headers, clean_headers, default_rows, pad_rows, row_cells,
@@ -76,6 +76,18 @@ def parse_money(spark: SparkSession, sf: str) -> DataFrame:
         lenient_number(F.replace("money_text", F.lit(","), F.lit(""))).cast("double").alias("plain"))
 
 
+@query
+def rejected_values(spark: SparkSession, sf: str) -> DataFrame:
+    """Money texts, plain numbers and rates too large or too small for their types, with the reason, and the rows left."""
+    o = table(spark, sf, "orders")
+    nines = F.repeat(F.lit("9"), F.col("o_custkey") % 40 + 1)
+    money = F.concat(F.when(F.col("o_orderstatus") == "F", "€-").otherwise("R$"), nines, F.lit(".50"))
+    rate = F.when(F.col("o_orderstatus") == "F", F.concat(F.lit("0."), F.repeat(F.lit("0"), F.col("o_custkey") % 12), F.lit("1"))).otherwise(F.concat(F.lit(" "), nines))
+    rows = o.select(text("o_orderkey").alias("o_orderkey"), money.alias("money"), F.when(F.col("o_orderpriority") == "5-LOW", nines).otherwise("x9").alias("plain"), rate.alias("rate"))
+    good, bad = split_faults(rows, {"money": amount_fault(F.col("money")), "plain": number_fault(F.col("plain")), "rate": rate_fault(F.col("rate"))}, "o_orderkey")
+    return bad.unionByName(good.select("o_orderkey", F.lit("").alias("column"), F.col("money").alias("value"), F.lit("good").alias("reason")))
+
+
 def symbol_cells(spark: SparkSession, sf: str) -> DataFrame:
     """Orders with two printed value cells."""
     o = table(spark, sf, "orders")

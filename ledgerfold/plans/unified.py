@@ -9,11 +9,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..contracts import UNION_KEYS, Rules
-from ..functions import canonical_operator, currency_default, round2
+from ..functions import amount_fault, canonical_operator, currency_default, round2
 from ..operators.adapters import ADAPTERS, union_reports
 from ..operators.billing import add_keys, add_totals
 from ..operators.fx import add_eur, mark_pending, missing_rates, monthly_rates, rebase, with_rate
-from ..operators.quality import divergences, filter_union_by_ids
+from ..operators.quality import divergences, filter_union_by_ids, split_faults
 from ..operators.reference import enrich_reference, reference_lookup, rename_accounts
 from ..session import settle
 
@@ -22,12 +22,18 @@ UNIFIED = ["row_key", "month", "brand", "platform", "automated", "ref", "origin"
            "cpa_eur", "total_amount", "total_eur", "pending_fx"]
 
 
+# Amount texts of the standard reports.
+AMOUNT_TEXTS = {"wide": ("rs_reward", "cpa_reward"), "long": (), "vendor": ("revshare_commission", "cpa_commission"),
+                "multilingual": ("pct_commission", "cpa_commission")}
+
+
 @dataclass
 class UnifiedResult:
     unified: DataFrame          # rows with a reference, ready to store
     divergences: DataFrame      # rows without one
     missing_rates: DataFrame    # (month, currency) without a rate
     processed_keys: DataFrame   # keys to purge from the store, removed rows included
+    rejected: DataFrame         # amounts that no number here can hold, with the reason; their rows count nowhere else
     enriched: DataFrame         # all rows, before those without a reference go
 
 
@@ -64,7 +70,13 @@ def build_unified(reports: Mapping[str, DataFrame], rates: DataFrame, reference:
     outputs; with `store_enriched` they are written there too instead of being computed
     once per output, and `counters` count what passes: rows read, with a rate, converted to another
     currency by a rebase rule, and removed for lack of a reference."""
-    union = normalise_union(union_reports([ADAPTERS[k](df, rules) for k, df in reports.items()]), rules)
+    good, rejected = {}, []
+    for shape, df in reports.items():
+        named = df if "username" in df.columns else df.withColumnRenamed("account_username", "username")
+        texts = [*AMOUNT_TEXTS[shape], *(r.cpa_column for r in rules.measure_overrides if shape == "wide")]
+        good[shape], bad = split_faults(named, {c: amount_fault(F.col(c)) for c in dict.fromkeys(texts) if c in df.columns}, *UNION_KEYS)
+        rejected.append(bad)
+    union = normalise_union(union_reports([ADAPTERS[k](df, rules) for k, df in good.items()]), rules)
     if ids is not None:
         union = filter_union_by_ids(union, accounts, ids)
     union = union.withColumn("reported_currency", F.col("currency"))
@@ -78,6 +90,9 @@ def build_unified(reports: Mapping[str, DataFrame], rates: DataFrame, reference:
                                   removed=F.col("ref").isNull())
     if store_enriched:
         enriched = settle(enriched)
+    lost = union_reports(rejected)
+    processed = enriched.select(*UNION_KEYS).unionByName(
+        lost.select(*UNION_KEYS).withColumn("operator", canonical_operator(F.col("operator"), rules.operator_aliases)))
     return UnifiedResult(finish(enriched, rules), divergences(enriched),
                          missing_rates(union, month_rates),
-                         enriched.select(*UNION_KEYS).distinct(), enriched)
+                         processed.distinct(), lost, enriched)

@@ -159,3 +159,29 @@ def test_hot_key_is_split(spark):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
+
+
+def test_long_numbers_are_rejected_not_lost(spark, rows):
+    from ledgerfold.functions import amount_fault, number_fault, rate_fault, round2, parse_amount, to_eur
+    big = "1" * 29
+    df = spark.createDataFrame([(f"€{big}", big, "0.000000001"), ("1" * 28, "1e40", "12000000000"), ("n/a", "1,5", "x"), (None, None, "0"), ("-.5", " 7 ", "1e-9")],
+                               "money string, plain string, rate string")
+    assert [tuple(r) for r in df.select(amount_fault(F.col("money")), number_fault(F.col("plain")), rate_fault(F.col("rate"))).collect()] == [
+        ("too large", "too large", "too small"), (None, "too large", None), (None, None, None), (None, None, None), (None, None, "too small")]
+    long = df.where("money = repeat('1', 28)").select(round2(parse_amount(F.col("money"))).alias("m"))
+    assert rows(long.select("m", to_eur(F.col("m"), F.lit("12000000000").cast("decimal(28,8)")))) == [(D("1" * 28 + ".00"), D("92592592592592592.59"))]
+    history = spark.createDataFrame([("2026-05", "t1", "EUR", "A", "0.000000001"), ("2026-05", "t1", "EUR", "B", "12000000000"), ("2026-05", "t1", "EUR", "C", "1" * 21)],
+                                    "month string, quote_ts string, base_code string, currency string, rate string")
+    assert rows(fx.monthly_rates(history)) == [("2026-05", "B", D("12000000000"))]
+    assert rows(fx.rejected_rates(history), "currency", "reason") == [("A", "too small"), ("C", "too large")]
+
+
+def test_rejected_amounts_leave_the_union(spark, rows):
+    from ledgerfold.plans.unified import build_unified
+    wide = spark.createDataFrame([("p", "o", "b", "u", "2026-05", "EUR", "2026-05", "1" * 30, "2"), ("p", "o", "b", "v", "2026-05", "EUR", "2026-05", "3", "4")],
+                                 "platform string, operator string, brand string, username string, month string, currency string, row_month string, rs_reward string, cpa_reward string")
+    rates = spark.createDataFrame([("2026-05", "2026-06-01 00:00:00", "EUR", "EUR", "1")], "month string, quote_ts string, base_code string, currency string, rate string")
+    reference = spark.createDataFrame([("o", "u", "b", "R", "No", 1), ("o", "v", "b", "R", "No", 2)], "operator string, username string, brand string, ref string, netting string, pos int")
+    built = build_unified({"wide": wide}, rates, reference)
+    assert rows(built.unified, "username", "total_eur") == [("v", D("7.00"))]
+    assert rows(built.rejected, "username", "column", "value", "reason") == [("u", "rs_reward", "1" * 30, "too large")]
