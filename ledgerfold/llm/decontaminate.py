@@ -126,28 +126,58 @@ def _scanner(tests, text: str, keep: list[str]):
     return scan
 
 
-def _cleaner(tests, text: str, drop: bool):
-    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _dropper(tests, text: str):
+    def drop(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chunks(batches, text):
+            words = split_words(batch.column(batch.schema.get_field_index(text)), SYMBOLS, LOWER)
+            hit, _ = _hits(words, tests.value)
+            yield batch.filter(pa.array(~np.isin(np.arange(batch.num_rows), words.row()[hit])))
+
+    return drop
+
+
+def _marker(tests, text: str, spans: str):
+    """Adds the slice's spans, pairs of words' numbers in one list, to those that are there."""
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chunks(batches, text):
+            words = split_words(batch.column(batch.schema.get_field_index(text)), SYMBOLS, LOWER)
+            hit, _ = _hits(words, tests.value)
+            found: list[list[int]] = [list(x or ()) for x in batch.column(batch.schema.get_field_index(spans)).to_pylist()]
+            for r, start, end in zip(*(x.tolist() for x in _ranges(words, hit)), strict=True):
+                found[r] += [start, end]
+            yield batch.set_column(batch.schema.get_field_index(spans), spans, pa.array(found, pa.list_(pa.int32())))
+
+    return mark
+
+
+def _cutter(text: str, spans: str):
+    """Cuts the words of all spans out of the text they were found in."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches, text):
             at = batch.schema.get_field_index(text)
             column = batch.column(at)
             words = split_words(column, SYMBOLS, LOWER)
-            hit, _ = _hits(words, tests.value)
-            rows, start, end = _ranges(words, hit)
-            if drop:
-                yield batch.filter(pa.array(~np.isin(np.arange(batch.num_rows), rows)))
-                continue
             texts = column.to_pylist()
-            for r in np.unique(rows).tolist():
+            for r, found in enumerate(batch.column(batch.schema.get_field_index(spans)).to_pylist()):
+                if not found:
+                    continue
+                runs: list[list[int]] = []  # spans that touch are one
+                for s, e in sorted(zip(found[::2], found[1::2], strict=True)):
+                    if runs and s <= runs[-1][1]:
+                        runs[-1][1] = max(e, runs[-1][1])
+                    else:
+                        runs.append([s, e])
                 raw, base, out, last = texts[r].encode(), words.offsets[r], [], 0
-                for s, e in zip(start[rows == r].tolist(), end[rows == r].tolist(), strict=True):
-                    a, b = words.first[r] + s, words.first[r] + e - 1
-                    out.append(raw[last : words.start[a] - base])
-                    last = words.end[b] - base
+                for s, e in runs:
+                    out.append(raw[last : words.start[words.first[r] + s] - base])
+                    last = words.end[words.first[r] + e - 1] - base
                 texts[r] = b"".join([*out, raw[last:]]).decode()
-            yield batch.set_column(at, batch.schema.field(at), pa.array(texts, column.type))
+            kept = [c for c in batch.schema.names if c != spans]
+            yield pa.RecordBatch.from_arrays([pa.array(texts, column.type) if c == text else batch.column(batch.schema.get_field_index(c)) for c in kept], names=kept)
 
-    return clean
+    return cut
 
 
 def _slices(benchmark: DataFrame, item_id: str, text: str, size: int, max_bytes: int):
@@ -193,10 +223,17 @@ def scan(docs: DataFrame, benchmark: DataFrame, *, keep: tuple[str, ...] = ("doc
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, *, drop: bool = True, text: str = "text", item_id: str = "item_id",
                   size: int = SIZE, max_bytes: int = MAX_BYTES) -> DataFrame:
-    """The documents without those that hold a test window (`drop`), or with the hit words cut out."""
+    """The documents without those that hold a test window (`drop`), or with the hit words cut out: spans of
+    all slices are found in the whole text and cut once."""
+    if drop:
+        for one in _slices(benchmark, item_id, "text", size, max_bytes):
+            docs = docs.mapInArrow(_dropper(one, text), docs.schema)
+        return docs
+    spans, = fresh(docs, "spans")
+    marked = docs.withColumn(spans, F.array().cast("array<int>"))
     for one in _slices(benchmark, item_id, "text", size, max_bytes):
-        docs = docs.mapInArrow(_cleaner(one, text, drop), docs.schema)
-    return docs
+        marked = marked.mapInArrow(_marker(one, text, spans), marked.schema)
+    return marked.mapInArrow(_cutter(text, spans), docs.schema)
 
 
 def digest(found: DataFrame) -> DataFrame:

@@ -11,7 +11,8 @@ hold several components are scanned by size. In the first rounds each class trie
 closest partners of other components, which joins what belongs together; tiles where that left
 partners over are scanned again, and the last round tries all. Bitmaps of one parity bit per hashed shingle bound the overlap from above
 (bits that differ are shingles that differ); pairs that pass go to exact intersection. Pairs
-inside a component need no look, as they cannot change it; no other pair is left out.
+inside a component need no look, as they cannot change it; no other pair is left out. Tiles carry bitmaps folded
+to a fixed width; pairs that pass there are held against the whole ones before texts are fetched.
 
 Defined cases: null or empty text has an empty set and links with nothing; equal rows are in
 one class; a row without id belongs to its class, but texts are fetched by id only, so a
@@ -31,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from ledgerfold.llm.components import components
-from ledgerfold.llm.store import stored
+from ledgerfold.llm.store import fresh, stored
 from ledgerfold.llm.words import LOWER, SPACES, Sums, Words, chunks, mix, split_words
 
 K = 5
@@ -41,6 +42,8 @@ CELL_BITS = 22
 ROUNDS = (3, 3, None)
 #: Bits of the filter that picks candidate documents before their texts are shuffled.
 FILTER_BITS = 23
+#: Bits of a bitmap that travel with every posting of an open tile; pairs that pass are held against their whole bitmaps.
+TILE_BITS = 1024
 SEEN = 1 << 20
 
 CLASSES = T.StructType([T.StructField("doc", T.LongType()), T.StructField("n", T.LongType()), T.StructField("cls", T.LongType()),
@@ -267,6 +270,13 @@ def _bounder(percent: int):
     return bound
 
 
+def _shorten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (cls, n, bits) with bitmaps folded to TILE_BITS."""
+    for batch in batches:
+        short = [folded(np.frombuffer(b, np.uint64)[None, :], TILE_BITS // 64)[0].tobytes() for b in batch.column(2).to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(short, pa.binary())], names=batch.schema.names)
+
+
 def _chooser(bits):
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -342,20 +352,21 @@ def similar_classes(docs: DataFrame, *, id: str = "doc_id", text: str = "text",
     shared = stored(postings.repartition("shingle").sortWithinPartitions("shingle", "band", "cls").mapInArrow(_runs, "shingle long, band int, cls long"))
     stars = shared.repartition("shingle").sortWithinPartitions("shingle", "band", "cls").mapInArrow(_stars, "a long, b long").distinct()
     side = lambda x: reps.select(F.col("cls").alias(x), F.col("n").alias(f"n_{x}"), F.col("bits").alias(f"bits_{x}"))
-    bounded = stars.join(side("a"), "a").join(side("b"), "b").select("a", "n_a", "bits_a", "b", "n_b", "bits_b").mapInArrow(_bounder(percent), "a long, b long")
-    tried = stored(bounded)
+    bounded = lambda pairs: stored(pairs.join(side("a"), "a").join(side("b"), "b").select("a", "n_a", "bits_a", "b", "n_b", "bits_b").mapInArrow(_bounder(percent), "a long, b long"))
+    tried = bounded(stars)
     links = stored(_linked(tried, reps, source, k, percent))
+    short = stored(reps.select("cls", "n", "bits").mapInArrow(_shorten, "cls long, n long, bits binary"))
     joined = lambda: stored(components(links).select(F.col("vertex").alias("cls"), "component"))
     member, tiles = joined(), shared.select("shingle", "cls")
     for limit in ROUNDS:
-        known = reps.select("cls", "n", "bits").join(member, "cls", "left").withColumn("component", F.coalesce("component", "cls"))
+        known = short.join(member, "cls", "left").withColumn("component", F.coalesce("component", "cls"))
         rows = _open_tiles(tiles, known)
         found = stored(rows.repartition("shingle").sortWithinPartitions("shingle", "n", "cls").mapInArrow(_tiles(percent, limit), "a long, b long, more long"))
         new = stored(found.where("more IS NULL").select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"))
         # What later rounds still have to look at: tiles with more partners than were tried.
         tiles = tiles.join(found.where("more IS NOT NULL").select(F.col("more").alias("shingle")).distinct(), "shingle", "left_semi")
         tried = tried.unionByName(new)
-        more = stored(_linked(new, reps, source, k, percent))
+        more = stored(_linked(bounded(new), reps, source, k, percent))
         if not more.isEmpty():
             links = links.unionByName(more)
             member = joined()
@@ -375,7 +386,32 @@ def similar_documents(docs: DataFrame, *, id: str = "doc_id", text: str = "text"
 
 
 def keep_one(docs: DataFrame, *, id: str = "doc_id", text: str = "text", k: int = K, percent: int = PERCENT) -> DataFrame:
-    """The documents without those that have a smaller one in their component."""
-    found = similar_documents(docs, id=id, text=text, k=k, percent=percent)
-    gone = found.where(f"component_id < `{id}`").select(id).distinct()
-    return docs.join(gone, id, "left_anti").select(*docs.columns)
+    """One document of each component, of the smallest id, and all that have no words.
+
+    Ids that occur once decide by themselves. Rows whose id is null or repeated are told apart by their class: a text that
+    is unlike anything stays, whatever other rows its id has, and of several rows with a component's smallest id one stays. A null
+    id counts as larger than all others."""
+    classes, linked = similar_classes(docs, id=id, text=text, k=k, percent=percent)
+    member = classes.where("n > 0").groupBy("cls").agg(F.min("doc").alias("low")).join(linked, "cls", "left").withColumn("component", F.coalesce("component", "cls"))
+    lowest = member.groupBy("component").agg(F.min("low").alias("least"))
+    placed = stored(member.join(lowest, "component").select(F.col("cls").alias("of_class"), "component", "least"))
+    odd = stored(classes.groupBy(F.col("doc").alias("odd")).agg(F.count(F.lit(1)).alias("n_rows")).where("n_rows > 1 OR odd IS NULL").select("odd"))
+    gone = classes.where("n > 0").join(placed, F.col("cls") == F.col("of_class")).where("least < doc").select(F.col("doc").alias("gone")).distinct()
+    number = F.col(f"`{id}`").cast("long")
+    if odd.isEmpty():
+        return docs.join(gone, number == F.col("gone"), "left_anti")
+    once = docs.join(odd, number.eqNullSafe(F.col("odd")), "left_anti").join(gone, number == F.col("gone"), "left_anti")
+    mine, = fresh(docs, "cls")
+    schema = T.StructType([*docs.schema, T.StructField(mine, T.LongType())])
+
+    def classed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chunks(batches, text):
+            words = split_words(batch.column(batch.schema.get_field_index(text)), SPACES, LOWER)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(class_hashes(*shingle_sets(words, k)))], names=schema.names)
+
+    several = stored(docs.join(odd, number.eqNullSafe(F.col("odd")), "left_semi").mapInArrow(classed, schema))
+    silent = several.where(F.col(mine) == 0).drop(mine)
+    spoken = several.join(placed, F.col(mine) == F.col("of_class")).where(number.eqNullSafe(F.col("least")))
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    one = spoken.groupBy("component").agg(F.min_by(row, F.struct(F.col(f"`{text}`"), F.col(mine))).alias("row")).select("row.*")
+    return once.unionByName(silent).unionByName(one)

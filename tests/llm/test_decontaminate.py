@@ -57,6 +57,16 @@ def test_documents_or_spans_go(spark):
     assert cut == {1: "Keep this.  of an item are here, and more.", 2: "clean", 3: None, 4: ""}
 
 
+def test_spans_of_several_slices_are_cut_once(spark):
+    words = [f"w{i}" for i in range(40)]
+    tests = spark.createDataFrame([("a", " ".join(words[5:17]), 0), ("b", " ".join(words[12:25]), 0), ("c", " ".join(words[25:36]), 0)], ITEMS)
+    docs = documents(spark, [(1, " ".join(words)), (2, ", ".join(words[3:20])), (3, "clean")])
+    want = {1: " ".join(words[:5]) + "  " + " ".join(words[36:]), 2: "w3, w4, , w17, w18, w19", 3: "clean"}
+    for max_bytes in (1 << 20, 150, 20):
+        cut = decontaminate(docs, tests, drop=False, max_bytes=max_bytes)
+        assert cut.columns == docs.columns and {r.doc_id: r.text for r in cut.collect()} == want
+
+
 def test_empty_tables(spark):
     docs, none = documents(spark, [(1, "a b")]), spark.createDataFrame([], ITEMS)
     assert [tuple(r) for r in scan(docs, none).collect()] == [(1, 2, [], [])]

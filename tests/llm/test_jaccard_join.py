@@ -70,6 +70,18 @@ def test_one_stays_of_each_group(spark):
     assert left.columns == docs.columns and sorted(repr(r.doc_id) for r in left.collect()) == want
 
 
+def test_rows_of_repeated_and_null_ids_are_told_apart_by_text(spark):
+    rng = random.Random(9)
+    a, b, c, d, e = (sentence(rng, 30) for _ in range(5))
+    rows = [(1, a), (1, a), (2, a), (2, b), (None, a), (None, a), (None, c), (None, c), (3, d), (3, d + " x"), (4, None), (4, ""), (None, None), (5, b), (6, e)]
+    left = keep_one(documents(spark, rows))
+    assert left.columns == documents(spark, []).columns
+    got = sorted(((r.doc_id, r.text) for r in left.collect()), key=repr)
+    assert [x for x in got if x[1] not in (d, d + " x")] == sorted([(1, a), (2, b), (None, c), (4, None), (4, ""), (None, None), (6, e)], key=repr)
+    assert len([x for x in got if x[1] in (d, d + " x")]) == 1
+    assert sorted((r.doc_id, r.text) for r in keep_one(documents(spark, [(1, a), (2, a), (3, b)])).collect()) == [(1, a), (3, b)]
+
+
 def test_empty_table(spark):
     assert similar_documents(documents(spark, [])).collect() == []
     assert similar_documents(documents(spark, [(1, None), (2, "")])).count() == 2
