@@ -3,7 +3,7 @@
 Stored tables below the root: accounts, reference, rates, rate_feed, sheet_cells; landing_<shape> (folders
 of exports), scraped_tables_<shape> (account_id, headers, rows: pages of accounts that landed no export),
 shown_long and scraped_vendor (cells of pages read beside an export), extraction_log
-(account_id, ok), late_rates (row_key, rate); rate_feed_taken, report_<shape>, outcomes_<shape>, unregistered_<shape>, rejected_<shape>, unified, load_counters,
+(account_id, ok), late_rates (row_key, rate), currency_rules (platform, operator, brand, default_currency); rate_feed_taken, report_<shape>, outcomes_<shape>, unregistered_<shape>, rejected_<shape>, unified, load_counters,
 divergences, rejected_amounts, rejected_amounts_long, rejected_rates, missing_rates, missing_accounts, published, publish_changes, run_log, step_counters."""
 
 from __future__ import annotations
@@ -176,7 +176,8 @@ def unified_step(spark: SparkSession, p: MonthParams) -> dict[str, int]:
     replace_table(spark, p.table_path("rejected_rates"), rejected_rates(rates))
     built = build_unified(reports, rates,
                           read_reference(spark, p.table_path("reference")), p.rules,
-                          read_accounts(spark, p.table_path("accounts")), p.ids, counters=counters)
+                          read_accounts(spark, p.table_path("accounts")), p.ids, counters=counters,
+                          currency_rules=read_table(spark, p.table_path("currency_rules")))
     replace_table(spark, p.table_path("divergences"), built.divergences)
     replace_table(spark, p.table_path("rejected_amounts"), built.rejected)
     replace_table(spark, p.table_path("load_counters"), load_counters(built.enriched, "platform"))

@@ -471,6 +471,14 @@ SELECT row_key, pending AND NOT done AS pending_fx, CAST(CASE WHEN done THEN 5.2
        CASE WHEN done THEN CAST((c + 200) * 525 AS DOUBLE) / 10000 WHEN NOT pending THEN {money('c + 500')} END AS total_amount
 FROM t"""
 
+ORACLE["rule_table"] = f"""
+WITH r AS (SELECT CASE WHEN s_suppkey % 3 > 0 THEN {txt('s_nationkey')} END AS nation, CASE WHEN s_suppkey % 4 > 0 THEN ['F', 'O', 'P'][s_nationkey % 3 + 1] END AS status,
+                  printf('%06d', s_suppkey) AS rule FROM supplier),
+b AS (SELECT nation, status, min(rule) AS rule, CASE WHEN nation IS NOT NULL AND status IS NOT NULL THEN 0 WHEN nation IS NOT NULL THEN 1 WHEN status IS NOT NULL THEN 2 ELSE 3 END AS rank FROM r GROUP BY ALL),
+o AS (SELECT o_orderkey, {txt('c_nationkey')} AS nation_key, o_orderstatus FROM orders JOIN customer ON o_custkey = c_custkey)
+SELECT o_orderkey, nation_key, o_orderstatus, min_by(rule, rank) AS rule
+FROM o LEFT JOIN b ON coalesce(nation = nation_key, true) AND coalesce(status = o_orderstatus, true) GROUP BY ALL"""
+
 ORACLE["late_rate_merge"] = f"""
 WITH t AS (SELECT {txt('o_orderkey')} AS row_key, strftime(o_orderdate, '%d') AS month, {whole('o_totalprice')} AS c, o_orderstatus = 'P' AS pending,
                   o_orderstatus = 'P' AND o_orderpriority = '2-HIGH' AS done FROM orders)

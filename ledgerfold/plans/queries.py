@@ -26,6 +26,7 @@ from ..operators.quality import (account_outcomes, divergences, filter_by_ids, l
                                  missing_accounts, split_faults)
 from ..operators.reference import (enrich_reference, preferred_rows, reference_lookup,
                                    refresh_reference)
+from ..operators.rule_table import most_specific
 from ..operators.standardize import (canonical_headers, clean_headers, default_rows, pad_rows, row_cells,
                                       shown_currency, standardize_long,
                                       standardize_multilingual,
@@ -674,6 +675,18 @@ def pending_fx(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("row_key", "pending_fx", dbl("rate"), dbl("rs_amount"), dbl("cpa_amount"), dbl("total_amount"))
 
 
+@query
+def rule_table(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders under rules with wildcards: the most specific rule that fits. The rules are suppliers' nations and account signs."""
+    s = table(spark, sf, "supplier")
+    rules = s.select(F.when(F.pmod("s_suppkey", F.lit(3)) > 0, F.concat(text("s_nationkey"), F.lit(" "))).alias("nation"),
+                     F.when(F.pmod("s_suppkey", F.lit(4)) > 0, pick(F.pmod("s_nationkey", F.lit(3)).cast("string"), {"0": "f", "1": "O"}, "p")).alias("status"),
+                     F.format_string("%06d", "s_suppkey").alias("rule"))
+    o = table(spark, sf, "orders").join(table(spark, sf, "customer").select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
+    return most_specific(o.select("o_orderkey", text("c_nationkey").alias("nation_key"), "o_orderstatus"), rules,
+                         {"nation": F.col("nation_key"), "status": F.col("o_orderstatus")}, ["rule"])
+
+
 @query
 def late_rate_merge(spark: SparkSession, sf: str) -> DataFrame:
     """Late rates merged into stored months: only waiting keys with a rate are replaced, in cents."""

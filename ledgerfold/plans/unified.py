@@ -9,12 +9,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..contracts import UNION_KEYS, Rules
-from ..functions import amount_fault, canonical_operator, currency_default, round2
+from ..functions import amount_fault, canonical_operator, currency_default, is_blank, round2
 from ..operators.adapters import ADAPTERS, union_reports
 from ..operators.billing import add_keys, add_totals
 from ..operators.fx import add_eur, mark_pending, missing_rates, monthly_rates, rebase, with_rate
 from ..operators.quality import divergences, filter_union_by_ids, split_faults
 from ..operators.reference import enrich_reference, reference_lookup, rename_accounts
+from ..operators.rule_table import most_specific
 from ..session import settle
 
 UNIFIED = ["row_key", "month", "brand", "platform", "automated", "ref", "origin", "operator",
@@ -37,8 +38,17 @@ class UnifiedResult:
     enriched: DataFrame         # all rows, before those without a reference go
 
 
-def normalise_union(union: DataFrame, rules: Rules) -> DataFrame:
-    """Operator aliases, cents, currency default, account renames."""
+#: Columns that a currency rule may name; null fits every row.
+CURRENCY_RULE_KEYS = ("platform", "operator", "brand")
+
+
+def normalise_union(union: DataFrame, rules: Rules, currency_rules: DataFrame | None = None) -> DataFrame:
+    """Operator aliases, cents, currency default, account renames. An empty currency is filled by the most specific of
+    the `currency_rules` (CURRENCY_RULE_KEYS, `default_currency`) first, where they are given."""
+    if currency_rules is not None:
+        union = most_specific(union, currency_rules, {k: F.col(k) for k in CURRENCY_RULE_KEYS}, ["default_currency"])
+        given = F.when(is_blank(F.col("currency"), ["0"]), F.coalesce("default_currency", "currency")).otherwise(F.col("currency"))
+        union = union.withColumn("currency", given).drop("default_currency")
     out = union.withColumns({
         "operator": canonical_operator(F.col("operator"), rules.operator_aliases),
         "rs_amount": round2(F.col("rs_amount")),
@@ -61,7 +71,8 @@ def convert(union: DataFrame, rates: DataFrame, rules: Rules) -> DataFrame:
 
 def build_unified(reports: Mapping[str, DataFrame], rates: DataFrame, reference: DataFrame,
                   rules: Rules = Rules(), accounts: DataFrame | None = None, ids=None,
-                  store_lookups: bool = True, store_enriched: bool = True, counters=None) -> UnifiedResult:
+                  store_lookups: bool = True, store_enriched: bool = True, counters=None,
+                  currency_rules: DataFrame | None = None) -> UnifiedResult:
     """Standard reports (keyed by shape: wide, vendor, long, multilingual) to the
     unified table and its side reports.
 
@@ -76,7 +87,7 @@ def build_unified(reports: Mapping[str, DataFrame], rates: DataFrame, reference:
         texts = [*AMOUNT_TEXTS[shape], *(r.cpa_column for r in rules.measure_overrides if shape == "wide")]
         good[shape], bad = split_faults(named, {c: amount_fault(F.col(c)) for c in dict.fromkeys(texts) if c in df.columns}, *UNION_KEYS)
         rejected.append(bad)
-    union = normalise_union(union_reports([ADAPTERS[k](df, rules) for k, df in good.items()]), rules)
+    union = normalise_union(union_reports([ADAPTERS[k](df, rules) for k, df in good.items()]), rules, currency_rules)
     if ids is not None:
         union = filter_union_by_ids(union, accounts, ids)
     union = union.withColumn("reported_currency", F.col("currency"))

@@ -185,3 +185,26 @@ def test_rejected_amounts_leave_the_union(spark, rows):
     built = build_unified({"wide": wide}, rates, reference)
     assert rows(built.unified, "username", "total_eur") == [("v", D("7.00"))]
     assert rows(built.rejected, "username", "column", "value", "reason") == [("u", "rs_reward", "1" * 30, "too large")]
+
+
+def test_the_most_specific_rule_counts(spark, rows):
+    from ledgerfold.operators.rule_table import most_specific
+    keys = "platform string, operator string, brand string, default_currency string"
+    rules = spark.createDataFrame([(None, None, None, "EUR"), ("p", None, None, "USD"), (None, "O ", "b", "BRL"), (None, "o", "b", "ZZZ"), ("P", None, "*", "GBP"), ("", None, None, "COP")], keys)
+    df = spark.createDataFrame([("p", "x", "y", 1), (" P", "o", "B", 2), ("q", "o", "b", 3), ("q", None, "b", 4), ("p", "x", "*", 5), (None, "x", "y", 6), ("p", "x", "y", 1)],
+                               "platform string, operator string, brand string, id int")
+    on = {k: F.col(k) for k in ("platform", "operator", "brand")}
+    out = most_specific(df, rules, on, ["default_currency"])
+    assert rows(out, "id", "default_currency") == [(1, "USD"), (1, "USD"), (2, "BRL"), (3, "BRL"), (4, "EUR"), (5, "GBP"), (6, "COP")]
+    assert rows(most_specific(df, rules.where("false"), on, ["default_currency"]), "default_currency") == [(None,)] * 7
+    many = spark.createDataFrame([("p", f"o{i}", None, "USD") for i in range(100)], keys)
+    plan = lambda r: most_specific(df, r, on, ["default_currency"])._jdf.queryExecution().optimizedPlan().toString()
+    assert len(plan(many).splitlines()) == len(plan(rules).splitlines())     # a hundred rules, the same plan
+
+
+def test_currency_rules_fill_empty_currencies(spark, rows):
+    from ledgerfold.plans.unified import normalise_union
+    union = spark.createDataFrame([("p", "o", "b", "u", "2026-05", None, "", 1, 1), ("p", "o", "c", "v", "2026-05", "0", "", 1, 1), ("p", "o", "b", "w", "2026-05", "GBP", "", 1, 1), ("q", "o", "b", "x", "2026-05", "", "", 1, 1)],
+                                  UNION + ", rs_amount int, cpa_amount int")
+    table = spark.createDataFrame([("p", None, None, "USD"), ("p", None, "b", "BRL")], "platform string, operator string, brand string, default_currency string")
+    assert rows(normalise_union(union, Rules(), table), "username", "currency") == [("u", "BRL"), ("v", "USD"), ("w", "GBP"), ("x", "EUR")]
