@@ -1,3 +1,4 @@
+import itertools
 import math
 from collections import Counter
 from itertools import pairwise
@@ -28,12 +29,14 @@ def segmentations(pieces, raw):
     return out
 
 
-def test_samples_have_the_chances_of_drawing_without_replacement(pieces):
-    every = segmentations(pieces, b" then")
+@pytest.mark.parametrize("text", ["then", "it is", "it is up"])  # one run, and several
+def test_samples_have_the_chances_of_drawing_without_replacement(pieces, text):
+    runs = [segmentations(pieces, b" " + run.encode()) for run in text.split(" ")]
+    every = [(sum((p for p, _ in parts), ()), sum(w for _, w in parts)) for parts in itertools.product(*runs)]
     total = sum(math.exp(w) for _, w in every)
     chance = {s: math.exp(w) / total for s, w in every}
     n = 6000
-    row, sample, log, value, inclusion, ids, first = sampled.sample_batch(pa.array(["then"] * n), np.arange(n) * 977 + 5, pieces, 3)
+    row, sample, log, value, inclusion, ids, first = sampled.sample_batch(pa.array([text] * n), np.arange(n) * 977 + 5, pieces, 3)
     drawn = [tuple(ids[a:b].tolist()) for a, b in pairwise(first.tolist())]
     assert len(row) == 3 * n and all(len(set(drawn[3 * k : 3 * k + 3])) == 3 for k in range(n))
     assert np.allclose(log, [math.log(chance[s]) for s in drawn]) and all(value[i] >= value[i + 1] for i in range(3 * n - 1) if row[i] == row[i + 1])
