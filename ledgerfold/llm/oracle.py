@@ -75,9 +75,9 @@ sized AS (SELECT *, split_part(body, chr(4), 2) AS value, CASE WHEN i = 1 THEN 0
 placed AS (SELECT *, sum(size + rest) OVER (PARTITION BY doc_id, kind ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)::BIGINT AS start FROM sized),
 found AS (SELECT doc_id, owner, kind, start, start + size AS stop, value FROM placed WHERE i > 1 AND length(value) >= least
     AND (kind < 3 OR (regexp_matches(value, '[0-9]') AND regexp_matches(value, '[a-z]') AND regexp_matches(value, '[A-Z]')))),
-owned AS (SELECT value, count(DISTINCT owner) AS n_owners FROM found GROUP BY 1),
+owned AS (SELECT value, count(DISTINCT owner) AS n_owners, count(DISTINCT coalesce(doc_id::VARCHAR, '')) AS n_repositories FROM found GROUP BY 1),
 base AS (SELECT * FROM found JOIN owned USING (value) WHERE kind < 3),
-live AS (SELECT f.* FROM found AS f JOIN owned USING (value) WHERE kind = 3 AND n_owners <= 1
+live AS (SELECT f.* FROM found AS f JOIN owned USING (value) WHERE kind = 3 AND n_owners <= 1 AND n_repositories <= 10
     AND NOT EXISTS (SELECT 1 FROM base AS b WHERE b.doc_id = f.doc_id AND b.start < f.stop AND f.start < b.stop)),
 spans AS (SELECT doc_id, kind, start, stop, n_owners FROM base UNION ALL SELECT doc_id, kind, start, stop, 1 FROM live),
 named AS (SELECT *, (['assign', 'access', 'hex', 'live'])[kind + 1] || ':' || start || ':' || stop AS line FROM spans),

@@ -4,8 +4,9 @@ Base kinds are found by pattern, leftmost and not overlapping within a kind, and
 reported. Generic candidates (long runs of token characters that mix lower case, upper
 case and digits) are reported as kind `live` only if ownership says so: the hash of
 each found value is counted by distinct repositories and distinct owners. A value that at
-most `max_owners` owners have looks like a credential in use; one of `example_owners` owners
-or more is a copied example; what lies between is shared. A generic candidate must not
+most `max_owners` owners have, in `max_repositories` repositories at most, looks like a credential
+in use; one of `example_owners` owners or more is a copied example; what lies between is shared,
+also a value that one owner repeats all over its repositories. A generic candidate must not
 overlap a base span of its text.
 
 Spans are kind:start:end in code points, end exclusive, and cover the whole match; the value
@@ -32,7 +33,7 @@ KINDS = (
     ("hex", r"()([0-9a-f]{16,})", 16),
 )
 GENERIC = r"()([A-Za-z0-9+/_=-]{24,})"
-MAX_OWNERS, EXAMPLE_OWNERS = 1, 3
+MAX_OWNERS, EXAMPLE_OWNERS, MAX_REPOSITORIES = 1, 3, 10
 #: Marks around matches. In a text they stand for nothing that a pattern matches, and are replaced by a third one first.
 BEGIN, END, PART, OTHER = "\x01", "\x02", "\x04", "\x05"
 
@@ -78,12 +79,12 @@ def ownership(candidates: DataFrame) -> DataFrame:
     return owners.join(repositories, "hash")
 
 
-def scan(docs: DataFrame, *, max_owners: int = MAX_OWNERS, example_owners: int = EXAMPLE_OWNERS, text: str = "text", id: str = "doc_id",
+def scan(docs: DataFrame, *, max_owners: int = MAX_OWNERS, example_owners: int = EXAMPLE_OWNERS, max_repositories: int = MAX_REPOSITORIES, text: str = "text", id: str = "doc_id",
          repository: str = "doc_id", owner: str = "source") -> DataFrame:
     """One row for each document: its id and `spans`, an array of kind, start, end, hash, n_owners, n_repositories, standing."""
     rows, candidates = find_candidates(docs, text=text, id=id, repository=repository, owner=owner)
     candidates = stored(candidates)
-    standing = F.when(F.col("n_owners") <= max_owners, "live").when(F.col("n_owners") >= example_owners, "example").otherwise("shared")
+    standing = F.when((F.col("n_owners") <= max_owners) & (F.col("n_repositories") <= max_repositories), "live").when(F.col("n_owners") >= example_owners, "example").otherwise("shared")
     counted = candidates.join(ownership(candidates), "hash").withColumn("standing", standing)
     span = F.struct("start", "kind", "end", "hash", "n_owners", "n_repositories", "standing")
     base, generic = F.col("kind") < len(KINDS), (F.col("kind") == len(KINDS)) & (F.col("standing") == "live")

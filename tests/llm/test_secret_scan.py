@@ -44,5 +44,15 @@ def test_spans_and_owners_against_brute_force(spark):
     assert {s.standing for r in found.collect() for s in r.spans} == {"live", "example"}
 
 
+def test_what_one_owner_repeats_in_many_repositories_is_not_live(spark):
+    rows = [(i, f"see {COPIED} or {LIVE if i < 11 else 'none'}", "hot", 0, "x", "y") for i in range(1, 13)]
+    rows += [(i, f"password: {COPIED[::-1]}", "hot", 0, "x", "y") for i in range(20, 32)]
+    found = {r.doc_id: r.spans for r in scan(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert {s.n_repositories for i in range(1, 13) for s in found[i]} == {10}      # LIVE, in ten of them; COPIED, in twelve, is not reported
+    assert {(s.kind, s.n_owners, s.n_repositories, s.standing) for i in range(20, 32) for s in found[i]} == {("assign", 1, 12, "shared")}
+    more = scan(spark.createDataFrame(rows, SCHEMA), max_repositories=12)
+    assert {s.n_repositories for r in more.collect() if r.doc_id < 13 for s in r.spans} == {10, 12}
+
+
 def test_empty_table(spark):
     assert scan(spark.createDataFrame([], SCHEMA)).collect() == []
