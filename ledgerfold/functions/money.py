@@ -33,8 +33,9 @@ def _too_large(number: Column, kind) -> Column:
 
 
 def amount_fault(c: Column) -> Column:
-    """Why `parse_amount` cannot hold the amount in a money text; null where it can, and for a text without a number."""
-    return _too_large(F.regexp_replace(c, r"[^0-9.\-]", ""), RAW)
+    """Why `parse_amount` cannot hold the amount in a money text; null where it can, and for a text without a number.
+    A text of up to 28 characters always fits."""
+    return F.when(F.length(c) > RAW.precision - RAW.scale, _too_large(F.regexp_replace(c, r"[^0-9.\-]", ""), RAW))
 
 
 def number_fault(c: Column) -> Column:

@@ -140,6 +140,9 @@ def split_faults(df: DataFrame, faults: Mapping[str, Column], *keep: str) -> tup
         return df, none.limit(0)
     found = F.filter(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("string").alias("value"), fault.alias("reason")) for c, fault in faults.items()]),
                      lambda x: x["reason"].isNotNull())
-    judged = df.withColumn("_faults", found)
+    good = F.lit(True)
+    for fault in faults.values():
+        good = good & fault.isNull()
+    judged = df.where(~good).withColumn("_faults", found)
     bad = judged.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in keep], F.explode("_faults").alias("_fault"))
-    return judged.where(F.size("_faults") == 0).drop("_faults"), bad.select(*keep, "_fault.*")
+    return df.where(good), bad.select(*keep, "_fault.*")
