@@ -16,16 +16,17 @@ samples depend neither on partitions nor on retries. `decode` gives back the tex
 
 Defined cases: null and empty text have one segmentation, without pieces; texts with fewer
 segmentations than asked give all of them, with inclusion 1; a null key counts as 0, and rows
-with equal keys and texts get equal samples; other columns are not read. Branches whose
-probability is below e**-40 of the lattice are not followed.
+with equal keys and texts get equal samples; other columns are not read. What branches off a
+path behind a prefix whose probability is below e**-40 is not followed; all segmentations with
+that prefix together have no more than that probability, 4e-18, which is below the step of
+the random numbers (2**-52).
 
 Scale: one pass without a shuffle. Pieces never cross a blank that follows something else,
-so lattices are built once for each distinct run of a chunk, and all runs of a chunk are walked
-together in arrays. The vocabulary (its size is fixed by the file) is broadcast."""
+so lattices are built once for each distinct run of a chunk, and all runs of a chunk are walked,
+and all its rows searched, together in arrays. The vocabulary (its size is fixed by the file) is broadcast."""
 
 from __future__ import annotations
 
-import heapq
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -39,10 +40,13 @@ from ledgerfold.llm.words import BYTE_VALUE, Sums, buffers, chunks, mix
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SAMPLES = 3
 ALPHA = 1.0
-CHUNK = 1 << 19
+CHUNK = 1 << 20
 MARK = "▁"
 _SLOTS = 20
 LEAST = -40.0
+PREFIX = 4
+#: Steps of all paths that are looked at together for branches.
+WINDOW = 64
 
 
 @dataclass
@@ -56,6 +60,7 @@ class Pieces:
     tables: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]
     short: dict[int, np.ndarray]  # pieces of one and two bytes by those bytes
     alone: np.ndarray  # bytes that no longer piece holds
+    reach: np.ndarray  # how long pieces get that begin with the same `PREFIX` bytes, by their hash
 
 
 def load_pieces(path: str = MODEL, alpha: float = ALPHA) -> Pieces:
@@ -81,6 +86,9 @@ def load_pieces(path: str = MODEL, alpha: float = ALPHA) -> Pieces:
     ids = np.array(whole)
     hashes = Sums(BYTE_VALUE[flat]).hashed(offsets[ids], offsets[ids + 1])
     length = offsets[ids + 1] - offsets[ids]
+    reach = np.zeros(1 << _SLOTS, np.int64)
+    long = length > PREFIX
+    np.maximum.at(reach, Sums(BYTE_VALUE[flat]).hashed(offsets[ids[long]], offsets[ids[long]] + PREFIX) >> np.uint64(64 - _SLOTS), length[long])
     tables = {}
     for n in np.unique(length).tolist():
         mine = length == n
@@ -96,7 +104,7 @@ def load_pieces(path: str = MODEL, alpha: float = ALPHA) -> Pieces:
     alone[0x20:] = False
     alone[np.concatenate([np.frombuffer(raw[i], np.uint8) for i in whole if len(raw[i]) > 1])] = False
     alone[0x7F] = not any(b"\x7f" in raw[i] for i in whole)
-    return Pieces(flat, offsets, weight, model.piece_to_id("<0x00>"), tables, short, alone)
+    return Pieces(flat, offsets, weight, model.piece_to_id("<0x00>"), tables, short, alone, reach)
 
 
 # -- runs and lattices -----------------------------------------------------------------------
@@ -123,6 +131,7 @@ class Lattice:
     first: np.ndarray  # each byte's first edge
     degree: np.ndarray  # edges that start where this one does
     run_end: np.ndarray  # for each byte, where its run ends
+    closes: np.ndarray  # edges that end their run
 
 
 def _matches(buf: np.ndarray, run_end: np.ndarray, pieces: Pieces) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -130,8 +139,17 @@ def _matches(buf: np.ndarray, run_end: np.ndarray, pieces: Pieces) -> tuple[np.n
     sums = Sums(BYTE_VALUE[buf])
     starts, sizes, ids = [], [], []
     room = np.arange(len(buf))  # places with enough bytes behind them
+    reach = None
     for n, (known, piece, near) in pieces.tables.items():
-        room = room[run_end[room] - room >= n]
+        enough = run_end[room] - room >= n
+        if n > PREFIX:
+            if reach is None:
+                room = room[enough]
+                reach = pieces.reach[sums.hashed(room, room + PREFIX) >> np.uint64(64 - _SLOTS)]
+                enough = np.ones(len(room), bool)
+            enough &= reach >= n
+            reach = reach[enough]
+        room = room[enough]
         if n <= 2:
             found = pieces.short[n][buf[room] if n == 1 else buf[room].astype(np.int64) << 8 | buf[room + 1]]
             at, found = room[found >= 0], found[found >= 0]
@@ -191,13 +209,13 @@ def _lattice(buf: np.ndarray, offsets: np.ndarray, pieces: Pieces) -> Lattice:
     start, end, piece = _matches(buf, run_end, pieces)
     value = _log_chances(start, end, pieces.weight[piece], run_end)
     chance = np.exp(value)
-    first = np.searchsorted(start, np.arange(len(buf) + 1))
+    first = np.concatenate([[0], np.cumsum(np.bincount(start, minlength=len(buf)))])
     group = np.flatnonzero(np.diff(start, prepend=-1))
     degree = np.repeat(np.diff(np.append(group, len(start))), np.diff(np.append(group, len(start))))
     running = np.cumsum(chance)
     upto = running - np.repeat(running[group] - chance[group], np.diff(np.append(group, len(start))))
     upto[np.append(group[1:], len(start))[: len(group)] - 1] = 2.0
-    return Lattice(start, end, piece, chance, value, upto, first, degree, run_end)
+    return Lattice(start, end, piece, chance, value, upto, first, degree, run_end, end == run_end[start])
 
 
 def _char_size(lead: np.ndarray) -> np.ndarray:
@@ -259,61 +277,107 @@ def _walk(lattice: Lattice, begin: np.ndarray, end: np.ndarray, key: np.ndarray,
     return out, first
 
 
-class _Search:
-    """The agenda of one text."""
+def _branches(lattice: Lattice, flat: np.ndarray, begin: np.ndarray, end: np.ndarray, gone: tuple[np.ndarray, np.ndarray], before: np.ndarray, value: np.ndarray,
+              seed: np.ndarray, samples: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """What branches off each path flat[begin:end]: its `samples` largest values (-inf where there are fewer), their steps behind
+    `begin`, and the log chances up to there. gone: chance and number of the edges that are gone already at the first step."""
+    n = len(begin)
+    best, where, ahead_of = np.full((n, samples), -np.inf), np.zeros((n, samples), np.int64), np.zeros((n, samples))
+    before, rows, offset, window = before.copy(), np.flatnonzero(begin < end), 0, WINDOW
+    while len(rows):
+        far = offset + np.arange(min(window, int((end - begin)[rows].max()) - offset))
+        step, stop = begin[rows, None] + far, end[rows, None]
+        edge = flat[np.minimum(step, stop - 1)]
+        log = np.where(step < stop, lattice.log_chance[edge], 0.0)
+        upto = before[rows, None] + np.cumsum(log, 1)
+        ahead, rest, left = upto - log, 1.0 - lattice.chance[edge], lattice.degree[edge] - 1
+        if offset == 0:
+            rest[:, 0] -= gone[0][rows]
+            left[:, 0] -= gone[1][rows]
+        r, c = np.nonzero((step < stop) & (left > 0) & (rest > 0) & (ahead > LEAST))
+        values = np.full(step.shape, -np.inf)
+        values[r, c] = _below(ahead[r, c] + np.log(rest[r, c]), value[rows[r]], _uniform(seed[rows[r]] + far[c].astype(np.uint64)))
+        both = np.concatenate([best[rows], values], 1)
+        top = np.argsort(-both, 1, kind="stable")[:, :samples]
+        for kept, found in ((best, values), (where, np.broadcast_to(far, step.shape)), (ahead_of, ahead)):
+            kept[rows] = np.take_along_axis(np.concatenate([kept[rows], found], 1), top, 1)
+        before[rows] = upto[:, -1]
+        offset, window = offset + window, 2 * window
+        rows = rows[(upto[:, -1] > LEAST) & (begin[rows] + offset < end[rows])]
+    return best, where, ahead_of
+
+
+def _branch(lattice: Lattice, node: int, taken: tuple[int, ...], seed: int) -> list[int]:
+    """A random path from the node to the end of its run, whose first edge is none of those taken."""
+    low, stop = int(lattice.first[node]), int(lattice.run_end[node])
+    free = [e for e in range(low, low + int(lattice.degree[low])) if e not in taken]
+    chances = lattice.chance[free].tolist()
+    left, edge = ((_seed(seed, 0) >> 12) + 0.5) / (1 << 52) * sum(chances), free[-1]
+    for e, chance in zip(free, chances, strict=True):
+        left -= chance
+        if left < 0:
+            edge = e
+            break
+    path = [edge]
+    while (node := int(lattice.end[edge])) != stop:
+        u = ((_seed(seed, len(path)) >> 12) + 0.5) / (1 << 52)
+        edge = int(lattice.first[node])
+        while lattice.upto[edge] <= u:
+            edge += 1
+        path.append(edge)
+    return path
 
-    def __init__(self, lattice: Lattice, key: int, samples: int):
-        self.lattice, self.key, self.samples = lattice, key, samples
-        self.agenda: list[tuple] = []
-        self.serial = 0
 
-    def split(self, path: np.ndarray, at: int, taken: tuple[int, ...], before: float, value: float) -> None:
-        """What branches off the path from step `at` on; there the edges `taken` are gone already."""
-        lattice, size = self.lattice, 256
-        while True:
-            part = path[at : at + size]
-            log_chance = lattice.log_chance[part]
-            ahead = before + np.cumsum(log_chance) - log_chance
-            if len(path) - at <= size or ahead[-1] < LEAST:
-                break
-            size *= 4
-        rest = 1.0 - lattice.chance[part]
-        if len(part):
-            rest[0] -= sum(lattice.chance[e] for e in taken)
-            left = lattice.degree[part] - 1
-            left[0] -= len(taken)
-            branch = np.flatnonzero((left > 0) & (rest > 0) & (ahead > LEAST)).astype(np.uint64)
-            if len(branch):
-                self.serial += 1
-                at_branch = branch.view(np.int64)
-                values = _below(ahead[at_branch] + np.log(rest[at_branch]), value, _uniform(branch + np.uint64(_seed(self.key, 1, self.serial))))
-                for i in np.argsort(-values)[: self.samples].tolist():
-                    step = int(at_branch[i])
-                    gone = (*taken, int(part[0])) if step == 0 else (int(part[step]),)
-                    heapq.heappush(self.agenda, (-float(values[i]), self.serial, step, path, at + step, gone, float(ahead[step])))
-
-    def pop(self, fresh: np.ndarray, fresh_first: np.ndarray) -> tuple[float, np.ndarray] | None:
-        """The region with the largest value, split around one of its paths. fresh: the runs' own random paths."""
-        if not self.agenda:
-            return None
-        value, serial, _, path, at, taken, before = heapq.heappop(self.agenda)
-        lattice = self.lattice
-        node = int(lattice.start[path[at]])
-        low = int(lattice.first[node])
-        free = [e for e in range(low, low + int(lattice.degree[low])) if e not in taken]
-        chances = lattice.chance[free]
-        u = _uniform(np.arange(1 + int(lattice.run_end[node]) - node, dtype=np.uint64) + np.uint64(_seed(self.key, 2, serial, at)))
-        edge = free[min(int(np.searchsorted(np.cumsum(chances), u[0] * chances.sum(), "right")), len(free) - 1)]
-        branch, stop = [edge], int(lattice.run_end[node])
-        while (node := int(lattice.end[edge])) != stop:
-            edge = int(lattice.first[node])
-            while lattice.upto[edge] <= u[len(branch)]:
-                edge += 1
-            branch.append(edge)
-        run = int(np.count_nonzero(lattice.end[path[:at]] == lattice.run_end[lattice.start[path[:at]]]))
-        new = np.concatenate([path[:at], branch, fresh[fresh_first[run + 1] - fresh_first[0] :]]).astype(np.int64)
-        self.split(new, at, taken, before, -value)
-        return -value, new
+@dataclass
+class _Round:
+    """One drawn path for each row, from where on it was split, and what branches off there."""
+
+    flat: np.ndarray
+    first: np.ndarray
+    begin: np.ndarray
+    taken: list[tuple[int, ...]]
+    step: np.ndarray
+    ahead: np.ndarray
+
+
+def _search(lattice: Lattice, fresh: list[np.ndarray], fresh_first: list[np.ndarray], first_run: np.ndarray, keys: np.ndarray, samples: int) -> tuple[list[dict[int, float]], list[_Round], np.ndarray]:
+    """The search of all rows at once, a sample a round: for each round the values of the rows that have one, the paths, and at
+    last the value on top of each row's agenda. fresh: every run's own random path for each sample."""
+    n = len(keys)
+    agenda = np.full((n, samples * samples), -np.inf)
+    rounds, values = [], []
+    for j in range(samples):
+        found, begin, before = {}, np.zeros(n, np.int64), np.zeros(n)
+        gone = np.zeros(n), np.zeros(n, np.int64)
+        if j == 0:
+            flat, first, taken = fresh[0], fresh_first[0][first_run], [()] * n
+            found = {r: -math.log(-math.log((_seed(int(keys[r]), 3) >> 12) / (1 << 52) + 2.0**-54)) for r in range(n)}
+        else:
+            spot = agenda.argmax(1)
+            drawn, taken, size = [], [()] * n, np.zeros(n, np.int64)
+            for r in np.flatnonzero(agenda[np.arange(n), spot] > -np.inf).tolist():
+                own, slot = rounds[spot[r] // samples], spot[r] % samples
+                path = own.flat[own.first[r] : own.first[r + 1]]
+                step = int(own.step[r, slot])
+                at = int(own.begin[r]) + step
+                taken[r] = (*own.taken[r], int(path[at])) if step == 0 else (int(path[at]),)
+                branch = _branch(lattice, int(lattice.start[path[at]]), taken[r], _seed(int(keys[r]), 2, j))
+                run = int(first_run[r]) + int(np.count_nonzero(lattice.closes[path[:at]])) + 1
+                drawn += [path[:at], branch, fresh[j][fresh_first[j][run] : fresh_first[j][first_run[r + 1]]]]
+                size[r] = sum(map(len, drawn[-3:]))
+                begin[r], before[r], found[r] = at, own.ahead[r, slot], float(agenda[r, spot[r]])
+                gone[0][r], gone[1][r] = sum(lattice.chance[e] for e in taken[r]), len(taken[r])
+                agenda[r, spot[r]] = -np.inf
+            flat = np.concatenate(drawn).astype(np.int64) if drawn else np.zeros(0, np.int64)
+            first = np.concatenate([[0], np.cumsum(size)])
+        value = np.array([found.get(r, -np.inf) for r in range(n)])
+        has = np.array([r in found for r in range(n)], bool)
+        start = first[:-1] + begin
+        best, step, ahead = _branches(lattice, flat, start, np.where(has, first[1:], start), gone, before, value, mix(mix(keys.astype(np.uint64)) + np.uint64(_seed(1, j))), samples)
+        agenda[:, j * samples : (j + 1) * samples] = best
+        rounds.append(_Round(flat, first, begin, taken, step, ahead))
+        values.append(found)
+    return values, rounds, agenda.max(1)
 
 
 def sample_batch(text: pa.Array, keys: np.ndarray, pieces: Pieces, samples: int) -> tuple[np.ndarray, ...]:
@@ -334,31 +398,22 @@ def sample_batch(text: pa.Array, keys: np.ndarray, pieces: Pieces, samples: int)
     row = np.repeat(np.arange(n_rows), np.diff(first_run))
     run_key = mix(mix(keys.astype(np.uint64))[row] + (np.arange(len(row)) - first_run[:-1][row]).astype(np.uint64))
     paths = [_walk(lattice, edges[:-1][same], edges[1:][same], run_key, j) for j in range(samples)]
+    values, rounds, limits = _search(lattice, [p for p, _ in paths], [f for _, f in paths], first_run, keys, samples)
+    logs = [lattice.log_chance[own.flat] for own in rounds]
     out_row, out_sample, out_log, out_value, out_incl, out_path = [], [], [], [], [], []
-    for r in range(n_rows):
-        a, b = int(first_run[r]), int(first_run[r + 1])
-        search = _Search(lattice, int(keys[r]), samples)
-        got = []
-        for j, (fresh, first) in enumerate(paths):
-            own = fresh[first[a] : first[b]]
-            if j == 0:
-                value = float(-math.log(-math.log((_seed(int(keys[r]), 3) >> 12) / (1 << 52) + 2.0**-54)))
-                got.append((value, own))
-                search.split(own, 0, (), 0.0, value)
-            elif (found := search.pop(own, first[a : b + 1])) is not None:
-                got.append(found)
-            else:
+    for r, limit in enumerate(limits.tolist()):
+        for j, own in enumerate(rounds):
+            if r not in values[j]:
                 break
-        limit = -search.agenda[0][0] if search.agenda else -math.inf
-        for j, (value, path) in enumerate(got):
-            log = float(lattice.log_chance[path].sum())
+            a, b = own.first[r], own.first[r + 1]
+            log = float(logs[j][a:b].sum())
             x = log - limit
             out_row.append(r)
             out_sample.append(j)
             out_log.append(log)
-            out_value.append(value)
+            out_value.append(values[j][r])
             out_incl.append(x if x < -30 else (0.0 if x > 5 else math.log(-math.expm1(-math.exp(x)))))
-            out_path.append(path)
+            out_path.append(own.flat[a:b])
     first = np.concatenate([[0], np.cumsum([len(p) for p in out_path])]).astype(np.int64)
     ids = lattice.piece[np.concatenate(out_path)] if out_path else np.zeros(0, np.int64)
     return np.array(out_row, np.int64), np.array(out_sample), np.array(out_log), np.array(out_value), np.array(out_incl), ids.astype(np.int32), first

@@ -82,3 +82,14 @@ def test_empty_tables_and_null_pieces(spark, pieces):
     assert sampled.encode(documents(spark, []), pieces).collect() == []
     null = spark.createDataFrame([(1, None), (2, [])], "doc_id long, ids array<int>")
     assert {r.doc_id: r.decoded for r in sampled.decode(null, pieces).collect()} == {1: None, 2: ""}
+
+
+def test_the_search_does_not_depend_on_windows_or_other_rows(pieces, monkeypatch):
+    texts = pa.array([t for _, t in odd_rows(4)])
+    keys = np.arange(len(texts)) * 31 + 7
+    whole = sampled.sample_batch(texts, keys, pieces, 4)
+    monkeypatch.setattr(sampled, "WINDOW", 2)
+    parts = [sampled.sample_batch(texts.slice(k, 1), keys[k : k + 1], pieces, 4) for k in range(len(texts))]
+    assert whole[5].tolist() == np.concatenate([p[5] for p in parts]).tolist()
+    for column in (2, 3, 4):
+        assert np.allclose(whole[column], np.concatenate([p[column] for p in parts]))
