@@ -28,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from ledgerfold.llm.store import beside
 from ledgerfold.llm.words import BYTE_VALUE, Sums, Words, chunks, split_bytes, split_words
 
 BREAK = 0x0A
@@ -139,8 +140,10 @@ def measure(column: pa.Array, rules: Rules) -> list[pa.Array]:
 
 
 def apply_rules(docs: DataFrame, rules: Rules = Rules(), *, keep: tuple[str, ...] = ("doc_id",), text: str = "text") -> DataFrame:
-    """The kept columns of every document with its counts, verdict and `kept_text` (null text stays null)."""
-    schema = T.StructType([*(docs.schema[c] for c in keep), *MEASURES])
+    """The kept columns of every document with its counts, verdict and `kept_text` (null text stays null). A kept column that is
+    named like one of these gets an underscore behind its name."""
+    names = beside(keep, MEASURES.names)
+    schema = T.StructType([*(T.StructField(n, docs.schema[c].dataType) for c, n in zip(keep, names, strict=True)), *MEASURES])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches, text):

@@ -8,7 +8,7 @@ that the grade is k or more, sigmoid(score - threshold k). From these come the e
 and the tail probability of the top grade, which selects.
 
 Grades: 0 for bad quality, 1 for good but toxic, 2 for good. The model is fitted to a bounded
-sample of rated rows (`max_rows`, those with the smallest hashes of id and rating) by
+sample of rated rows (`max_rows`, those with the smallest hashes of id and rating; rows that share a rated id count each) by
 maximum likelihood with FTRL-proximal steps; features of fewer than `min_rows` sampled rows are
 left out, and the L1 term leaves those without evidence at 0.
 
@@ -28,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from ledgerfold.llm.store import beside
 from ledgerfold.llm.words import BYTE_VALUE, LOWER, SYMBOLS, Sums, chunks, mix, split_words
 
 DIM_BITS = 18
@@ -157,7 +158,8 @@ def train(docs: DataFrame, ratings: DataFrame, *, id: str = "doc_id", text: str
     rated = ratings.select(F.col(id).alias("rated"), F.col(grade).cast("int").alias("grade")).where(f"rated IS NOT NULL AND grade BETWEEN 0 AND {grades - 1}")
     sample = rated.withColumn("rank", F.xxhash64("rated", "grade")).orderBy("rank", "rated", "grade").limit(max_rows)
     texts = docs.select(F.col(id).alias("doc"), F.col(text).alias("text")).join(F.broadcast(sample), F.col("doc") == F.col("rated"))
-    one = texts.repartition(1).sortWithinPartitions("rank", "rated", F.xxhash64("text")).select("text", "grade")
+    # Several documents may share a rated id: the bound holds for rows.
+    one = texts.orderBy("rank", "rated", "grade", F.xxhash64("text")).limit(max_rows).select("text", "grade").coalesce(1)
     row = one.mapInArrow(_trainer(grades), "weights binary, thresholds array<double>").first()
     if row is None:
         return None
@@ -176,10 +178,12 @@ GRADED = T.StructType([T.StructField("expected_grade", T.DoubleType()), T.Struct
 
 
 def grade(docs: DataFrame, model, *, keep: tuple[str, ...] = ("doc_id",), text: str = "text", min_tail: float = MIN_TAIL) -> DataFrame:
-    """The kept columns of every document with `expected_grade`, `tail_probability` and `kept`."""
+    """The kept columns of every document with `expected_grade`, `tail_probability` and `kept`. A kept column that
+    is named like one of these gets an underscore behind its name."""
+    names = beside(keep, GRADED.names)
     if model is None:
-        return docs.select(*keep, F.lit(None).cast("double").alias("expected_grade"), F.lit(1.0).alias("tail_probability"), F.lit(True).alias("kept"))
-    schema = T.StructType([*(docs.schema[c] for c in keep), *GRADED])
+        return docs.select(*(F.col(c).alias(n) for c, n in zip(keep, names, strict=True)), F.lit(None).cast("double").alias("expected_grade"), F.lit(1.0).alias("tail_probability"), F.lit(True).alias("kept"))
+    schema = T.StructType([*(T.StructField(n, docs.schema[c].dataType) for c, n in zip(keep, names, strict=True)), *GRADED])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches, text):

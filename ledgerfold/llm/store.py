@@ -43,3 +43,15 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
         taken.add(name.lower())
         out.append(name)
     return out
+
+
+def beside(keep: tuple[str, ...], added: list[str]) -> list[str]:
+    """Names for kept columns beside added ones: one that is taken, whatever the case, gets underscores behind it."""
+    taken = {c.lower() for c in added}
+    out = []
+    for name in keep:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out

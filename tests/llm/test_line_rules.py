@@ -1,6 +1,8 @@
 import re
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 from ledgerfold.llm.line_rules import Rules, apply_rules
 from tests.llm.cases import documents, odd_rows, sentence
 import random
@@ -56,3 +58,10 @@ def test_measures_and_verdicts_against_brute_force(spark):
 
 def test_empty_table(spark):
     assert apply_rules(documents(spark, [])).collect() == []
+
+
+def test_kept_columns_with_names_of_the_result(spark):
+    docs = documents(spark).withColumn("kept", F.lit("mine"))
+    out = apply_rules(docs, keep=("doc_id", "n_words", "kept"))
+    assert out.columns[:3] == ["doc_id", "n_words_", "kept_"] and len(set(out.columns)) == len(out.columns)
+    assert {r.kept_ for r in out.collect()} == {"mine"}

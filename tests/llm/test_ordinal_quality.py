@@ -63,3 +63,21 @@ def test_odd_documents_are_graded_once_each(spark):
     assert oq.grade(docs, model).count() == docs.count()
     assert oq.select(docs, model).columns == docs.columns
     assert oq.grade(documents(spark, []), model).collect() == []
+
+
+def test_the_bound_holds_for_rows_that_share_a_rated_id(spark, monkeypatch):
+    rows = [(1, f"good words {k} here") for k in range(60)] + [(2, f"bad*** w*** {k}") for k in range(60)] + [(None, "x y"), (3, None)]
+    learned = oq.train(documents(spark, rows), spark.createDataFrame([(1, 2), (2, 0), (3, 1), (None, 0)], "doc_id long, grade int"))
+    assert learned is not None and oq.grade(documents(spark, rows), learned).count() == len(rows)
+    limit = 70
+    sample = spark.createDataFrame([(1, 2), (2, 0)], "doc_id long, grade int")
+    monkeypatch.setattr(oq, "fit", lambda *a, **k: (np.full(1 << oq.DIM_BITS, float(len(a[3]))), np.array([0.0, 1.0])))
+    assert set(oq.train(documents(spark, rows), sample, max_rows=limit).value[0].tolist()) == {float(limit)}
+
+
+def test_kept_columns_with_names_of_the_result(spark):
+    docs = documents(spark).withColumn("kept", F.lit("mine"))
+    for model in (None, oq.train(docs, spark.createDataFrame([(i, i % 3) for i in range(1, 18)], "doc_id long, grade int"))):
+        graded = oq.grade(docs, model, keep=("doc_id", "kept"))
+        assert graded.columns == ["doc_id", "kept_", "expected_grade", "tail_probability", "kept"]
+        assert {r.kept_ for r in graded.collect()} == {"mine"}
