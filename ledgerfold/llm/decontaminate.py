@@ -11,8 +11,8 @@ window; an item without id still hits but is not listed; repeated items and rows
 they are; one row goes out for each row that comes in.
 
 Scale: documents are scanned once and not shuffled. Test items are broadcast in slices of
-at most `max_bytes` of text; more of them mean more scans, whose hits are merged by
-document."""
+about `max_bytes` of text, which take some 40 bytes a window and the text itself; more of them mean more scans, whose hits are merged by
+document. A kept column that is named like a column of the result gets an underscore behind its name."""
 
 from __future__ import annotations
 
@@ -24,11 +24,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from ledgerfold.llm.store import fresh
-from ledgerfold.llm.words import LOWER, SYMBOLS, Words, chunks, split_words
+from ledgerfold.llm.store import beside, fresh
+from ledgerfold.llm.words import LOWER, SYMBOLS, Words, chunks, joined, split_words
 
 SIZE = 10
-MAX_BYTES = 32 << 20
+MAX_BYTES = 8 << 20
 _SLOTS = 20  # bits of the first look at a hash
 HITS = T.StructType([
     T.StructField("n_words", T.LongType()),
@@ -42,13 +42,25 @@ _ARROW_HITS = [
 ]
 
 
+@dataclass
+class Distinct:
+    """The distinct windows of one length, sorted by hash, with a bitmap over the hashes' first bits."""
+
+    hashes: np.ndarray
+    bits: np.ndarray
+    start: np.ndarray  # where the words stand in the slice's text
+    end: np.ndarray
+    first: np.ndarray  # where each window's items begin
+    items: np.ndarray
+
+
 @dataclass
 class TestWindows:
-    """By length in words: sorted hashes, a bitmap over their first bits, and what each hash stands for."""
+    """The words of a slice's items, each with a blank behind it, and the windows by length in words: about 40 bytes a window."""
 
-    hashes: dict[int, np.ndarray]
-    bits: dict[int, np.ndarray]
-    known: dict[int, dict[bytes, list[str]]]
+    text: bytes
+    ids: list[str | None]
+    windows: dict[int, Distinct]
 
 
 def _joined(words: Words, at: int, size: int) -> bytes:
@@ -58,41 +70,48 @@ def _joined(words: Words, at: int, size: int) -> bytes:
 
 def test_windows(ids: list[str | None], texts: list[str | None], size: int) -> TestWindows:
     words = split_words(pa.array(texts, pa.string()), SYMBOLS, LOWER)
-    count, hashes = words.count, words.hashes()
-    found: dict[int, dict[bytes, set[str]]] = {}
-    keys: dict[int, list[np.ndarray]] = {}
+    count, hashes, row = words.count, words.hashes(), words.row()
+    flat, place = joined(words)
+    text = flat.tobytes()
+    windows = {}
     for length in np.unique(np.minimum(count[count > 0], size)).tolist():
         at, h = words.windows(length, hashes)
-        row = words.row()[at] if len(at) else at
-        mine = count[row] >= size if length == size else count[row] == length
-        keys[length] = [h[mine]]
-        for i, r in zip(at[mine].tolist(), row[mine].tolist(), strict=True):
-            found.setdefault(length, {}).setdefault(_joined(words, i, length), set()).update([ids[r]] if ids[r] is not None else [])
-    bits = {}
-    for length, h in keys.items():
-        bits[length] = np.zeros(1 << _SLOTS, bool)
-        bits[length][h[0] >> np.uint64(64 - _SLOTS)] = True
-    return TestWindows({k: np.unique(v[0]) for k, v in keys.items()}, bits, {k: {w: sorted(i) for w, i in v.items()} for k, v in found.items()})
+        mine = count[row[at]] >= size if length == size else count[row[at]] == length
+        order = np.argsort(h[mine], kind="stable")
+        at, h = at[mine][order], h[mine][order]
+        start, end = place[at], place[at + length] - 1
+        # Windows with equal words count as the first of them; the same hash of other words is another window.
+        same, seen = np.arange(len(h)), {}
+        for k in (np.flatnonzero(h[1:] == h[:-1]) + 1).tolist():
+            if k < 2 or h[k - 2] != h[k]:
+                seen = {text[start[k - 1] : end[k - 1]]: k - 1}
+            same[k] = seen.setdefault(text[start[k] : end[k]], k)
+        order = np.argsort(same, kind="stable")
+        one, first = np.unique(same[order], return_index=True)
+        bits = np.zeros(1 << _SLOTS, bool)
+        bits[h >> np.uint64(64 - _SLOTS)] = True
+        windows[length] = Distinct(h[one], bits, start[one], end[one], np.append(first, len(h)), row[at[order]].astype(np.int32))
+    return TestWindows(text, ids, windows)
 
 
 def _hits(words: Words, tests: TestWindows) -> tuple[np.ndarray, dict[int, set[str]]]:
     """Which words are hit, and the items found in each text."""
-    hashes, row = words.hashes(), None
+    hashes, row = words.hashes(), words.row()
     hit = np.zeros(len(words.start) + 1, np.int64)
-    items: dict[int, set[str]] = {}
-    for length, wanted in tests.hashes.items():
+    items: dict[int, set[int]] = {}
+    for length, known in tests.windows.items():
         at, h = words.windows(length, hashes)
-        near = np.flatnonzero(tests.bits[length][h >> np.uint64(64 - _SLOTS)])
-        place = np.searchsorted(wanted, h[near])
-        near = near[wanted[np.minimum(place, len(wanted) - 1)] == h[near]]
-        known = tests.known[length]
-        for i in at[near].tolist():
-            if (ids := known.get(_joined(words, i, length))) is not None:
-                row = words.row() if row is None else row
-                hit[i] += 1
-                hit[i + length] -= 1
-                items.setdefault(int(row[i]), set()).update(ids)
-    return np.cumsum(hit)[:-1] > 0, items
+        near = np.flatnonzero(known.bits[h >> np.uint64(64 - _SLOTS)])
+        low, high = np.searchsorted(known.hashes, h[near]), np.searchsorted(known.hashes, h[near], "right")
+        some = low < high
+        for i, a, b in zip(at[near[some]].tolist(), low[some].tolist(), high[some].tolist(), strict=True):
+            said = _joined(words, i, length)
+            for k in range(a, b):
+                if tests.text[known.start[k] : known.end[k]] == said:
+                    hit[i] += 1
+                    hit[i + length] -= 1
+                    items.setdefault(int(row[i]), set()).update(known.items[known.first[k] : known.first[k + 1]].tolist())
+    return np.cumsum(hit)[:-1] > 0, {r: {tests.ids[n] for n in found if tests.ids[n] is not None} for r, found in items.items()}
 
 
 def _ranges(words: Words, hit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -197,8 +216,11 @@ def scan(docs: DataFrame, benchmark: DataFrame, *, keep: tuple[str, ...] = ("doc
     """The kept columns of every document with `n_words`, hit `spans` (in words, end exclusive)
     and the sorted ids of the `items` whose windows occur."""
     slices = list(_slices(benchmark, item_id, "text", size, max_bytes))
-    source = docs.select(*keep, text)
-    schema = T.StructType([*(docs.schema[c] for c in keep), *HITS])
+    names = beside(keep, HITS.names)
+    kept = [F.col(c).alias(n) for c, n in zip(keep, names, strict=True)]
+    said, = fresh(docs.select(*kept), "text")
+    source, text, keep = docs.select(*kept, F.col(text).alias(said)), said, names
+    schema = T.StructType([*(source.schema[c] for c in keep), *HITS])
     if len(slices) == 1:
         return source.mapInArrow(_scanner(slices[0], text, list(keep)), schema)
     # Equal rows give equal hits in every slice: merge by content, then restore their number.

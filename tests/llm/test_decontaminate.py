@@ -1,8 +1,14 @@
+import random
 import re
 
+import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
+from ledgerfold.llm import decontaminate as module
 from ledgerfold.llm.decontaminate import decontaminate, digest, scan
+from ledgerfold.llm.words import LOWER, SYMBOLS, Words, split_words
 from tests.llm.cases import documents, odd_rows
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -71,3 +77,35 @@ def test_empty_tables(spark):
     docs, none = documents(spark, [(1, "a b")]), spark.createDataFrame([], ITEMS)
     assert [tuple(r) for r in scan(docs, none).collect()] == [(1, 2, [], [])]
     assert scan(documents(spark, []), none).collect() == [] and decontaminate(docs, none).count() == 1
+
+
+def test_windows_whose_hashes_meet_are_told_apart_by_their_words(monkeypatch):
+    rng = random.Random(2)
+    say = lambda n: " ".join(rng.choice("abcd") for _ in range(n))
+    tests = [(f"i{k}", say(rng.choice([2, 3, 12, 14]))) for k in range(40)]
+    rows = [(k, say(60)) for k in range(20)] + [(99, tests[3][1])]
+    whole = Words.windows
+
+    def few(self, length, hashes):
+        at, h = whole(self, length, hashes)
+        return at, h % np.uint64(5)
+
+    monkeypatch.setattr(Words, "windows", few)
+    known = module.test_windows([i for i, _ in tests], [t for _, t in tests], 10)
+    words = split_words(pa.array([t for _, t in rows]), SYMBOLS, LOWER)
+    hit, items = module._hits(words, known)
+    want = brute(rows, tests)
+    row = words.row()
+    got = [(i, len(t.split(" ")), (np.flatnonzero(hit & (row == k)) - words.first[k]).tolist(), sorted(items.get(k, ()))) for k, (i, t) in enumerate(rows)]
+    assert sorted(got, key=repr) == want and any(h for _, _, h, _ in want)
+    assert len(known.windows[2].hashes) == len({t for _, t in tests if len(t) == 3})
+
+
+@pytest.mark.parametrize("max_bytes", [1 << 20, 150])
+def test_kept_columns_with_names_of_the_result(spark, max_bytes):
+    rows = odd_rows()
+    docs = documents(spark, rows).withColumn("items", F.col("doc_id")).withColumn("ITEMS_", F.lit(1))
+    tests = spark.createDataFrame([(i, t, 0) for i, t in items(rows)], ITEMS)
+    found = scan(docs, tests, keep=("doc_id", "n_words", "items", "text"), max_bytes=max_bytes)
+    assert found.columns == ["doc_id", "n_words_", "items_", "text", "n_words", "spans", "items"]
+    assert sorted(((r.doc_id, r["items"]) for r in found.collect()), key=repr) == sorted(((i, got) for i, _, _, got in brute(rows, items(rows))), key=repr)
