@@ -4,8 +4,8 @@ A document's set holds its distinct `k`-word shingles (A-Z lower-cased; with few
 whole sequence). Two documents link when 100 * |A and B| >= percent * |A or B|.
 
 Documents with equal sets form one class. A class puts its rarest-first prefix, of which two
-linking classes must share a shingle, into tiles: a tile is one prefix shingle, sorted by
-size bands. First each class is held against the smallest class of its tile and band (a star, so
+linking classes must share a shingle, into tiles: a tile is one prefix shingle, or all those that the same
+classes share, sorted by size bands. First each class is held against the smallest class of its tile and band (a star, so
 a group of g costs g comparisons); links found join classes to components. Then tiles that still
 hold several components are scanned by size. In the first rounds each class tries its few
 closest partners of other components, which joins what belongs together; tiles where that left
@@ -45,6 +45,8 @@ FILTER_BITS = 23
 #: Bits of a bitmap that travel with every posting of an open tile; pairs that pass are held against their whole bitmaps.
 TILE_BITS = 1024
 SEEN = 1 << 20
+#: Rows of a shingle that a task gathers to see whether another shingle has the same classes.
+WHOLE = 1 << 20
 
 CLASSES = T.StructType([T.StructField("doc", T.LongType()), T.StructField("n", T.LongType()), T.StructField("cls", T.LongType()),
                         T.StructField("bits", T.BinaryType()), T.StructField("prefix", T.ArrayType(T.LongType()))])
@@ -150,50 +152,77 @@ def _classifier(k: int, percent: int, common):
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows (shingle, band, cls) sorted so: the distinct ones of shingles with several classes."""
-    held: list[np.ndarray] | None = None  # the last row, and whether its shingle has another class
+    """Of rows (shingle, band, cls) sorted by shingle: tiles (tile, band, cls) of shingles with several classes, a class once
+    in each. Shingles of the same classes get the same number; one of more than WHOLE rows is not gathered and has its own."""
+    held: list[np.ndarray] = [np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int64)]  # the last shingle's rows, unless they are too many
+    large: int | None = None
     for batch in batches:
         if not batch.num_rows:
             continue
-        now = [c.to_numpy() for c in batch.columns]
-        if held is not None:
-            now = [np.concatenate(x) for x in zip(held, now, strict=True)]
-        shingle, band, cls = now
-        distinct = np.ones(len(cls), bool)
-        distinct[1:] = (shingle[1:] != shingle[:-1]) | (cls[1:] != cls[:-1])
-        shingle, band, cls = shingle[distinct], band[distinct], cls[distinct]
-        same = shingle[1:] == shingle[:-1]
-        shared = np.append(same, False) | np.append(False, same)
-        if held is not None and held_shared and len(shared):
-            shared[0] = True
-        held, held_shared = [x[-1:] for x in (shingle, band, cls)], bool(shared[-1])
-        shared[-1] = False  # goes out with the next batch, when more is known
-        yield pa.RecordBatch.from_arrays([pa.array(x[shared]) for x in (shingle, band, cls)], names=["shingle", "band", "cls"])
-    if held is not None and held_shared:
-        yield pa.RecordBatch.from_arrays([pa.array(x) for x in held], names=["shingle", "band", "cls"])
+        shingle, band, cls = (np.concatenate([h, c.to_numpy()]) for h, c in zip(held, batch.columns, strict=True))
+        # A shingle that is not gathered goes out at once, here too.
+        over = int(np.searchsorted(shingle, large, "right")) if large is not None and shingle[0] == large else 0
+        out = [(shingle[:over], band[:over], cls[:over])]
+        last = max(over, int(np.searchsorted(shingle, shingle[-1])))
+        out.append(_tiled(shingle[over:last], band[over:last], cls[over:last]))
+        held = [shingle[last:], band[last:], cls[last:]]
+        if over == len(shingle):
+            pass
+        elif len(held[0]) > WHOLE and (held[2] != held[2][0]).any():
+            large = int(shingle[-1])
+            out.append(tuple(held))
+            held = [c[:0] for c in held]
+        else:
+            large = None
+        yield _rows(out)
+    yield _rows([_tiled(*held)])
+
+
+def _rows(parts: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*parts, strict=True)], names=["tile", "band", "cls"])
+
+
+def _tiled(shingle: np.ndarray, band: np.ndarray, cls: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Tile, band and cls of whole shingles, sorted: without those of one class, and once for all shingles of the same classes."""
+    several = np.zeros(len(shingle), bool)
+    several[1:] = shingle[1:] == shingle[:-1]
+    several[:-1] |= several[1:]
+    shingle, band, cls = shingle[several], band[several], cls[several]
+    order = np.lexsort((cls, shingle))
+    shingle, band, cls = shingle[order], band[order], cls[order]
+    distinct = np.ones(len(cls), bool)
+    distinct[1:] = (shingle[1:] != shingle[:-1]) | (cls[1:] != cls[:-1])
+    shingle, band, cls = shingle[distinct], band[distinct], cls[distinct]
+    first = np.append(np.flatnonzero(np.append(True, shingle[1:] != shingle[:-1])[: len(shingle)]), len(shingle))
+    size = np.diff(first)
+    tile = class_hashes(cls.view(np.uint64), first)
+    _, once = np.unique(tile, return_index=True)
+    picked = np.zeros(len(size), bool)
+    picked[once] = True
+    kept = np.repeat(picked & (size > 1), size)
+    return np.repeat(tile, size)[kept], band[kept], cls[kept]
 
 
 def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of shared rows sorted by shingle, band and cls: each class with the smallest one of its tile and band."""
+    """Of tiles sorted by tile, band and cls: their distinct rows (tile, cls, lead). The lead is the smallest class of tile and
+    band, null where that is the class itself."""
     last: tuple | None = None
-    done: set[tuple[int, int]] = set()
     for batch in batches:
         if not batch.num_rows:
             continue
-        shingle, band, cls = (c.to_numpy() for c in batch.columns)
+        tile, band, cls = (c.to_numpy() for c in batch.columns)
         new = np.ones(len(cls), bool)
-        new[1:] = (shingle[1:] != shingle[:-1]) | (band[1:] != band[:-1])
+        new[1:] = (tile[1:] != tile[:-1]) | (band[1:] != band[:-1])
+        distinct = new.copy()
+        distinct[1:] |= cls[1:] != cls[:-1]
         lead = cls[np.maximum.accumulate(np.where(new, np.arange(len(cls)), 0))]
-        if last is not None and (shingle[0], band[0]) == last[:2]:
+        if last is not None and (tile[0], band[0]) == last[:2]:
             stop = np.flatnonzero(new)[1] if new.sum() > 1 else len(cls)
             lead[:stop] = last[2]
-        last = (shingle[-1], band[-1], lead[-1])
-        pairs = set(zip(lead[lead != cls].tolist(), cls[lead != cls].tolist(), strict=True)) - done
-        if len(done) > SEEN:
-            done.clear()
-        done |= pairs
-        a, b = zip(*pairs, strict=True) if pairs else ((), ())
-        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+            distinct[0] = cls[0] != last[3]
+        last = (tile[-1], band[-1], lead[-1], cls[-1])
+        tile, cls, lead = tile[distinct], cls[distinct], lead[distinct]
+        yield pa.RecordBatch.from_arrays([pa.array(tile), pa.array(cls), pa.array(lead, mask=lead == cls)], names=["tile", "cls", "lead"])
 
 
 def _passes(n_a: np.ndarray, n_b: np.ndarray, differ: np.ndarray, percent: int) -> np.ndarray:
@@ -349,15 +378,17 @@ def similar_classes(docs: DataFrame, *, id: str = "doc_id", text: str = "text",
     reps = stored(classes.where("n > 0").groupBy("cls").agg(F.min("doc").alias("rep"), F.max("n").alias("n"), F.max("bits").alias("bits")))
     band = F.floor(F.log(F.col("n")) / F.log(F.lit(100 / percent))).cast("int")
     postings = classes.where("prefix IS NOT NULL").select(F.explode("prefix").alias("shingle"), band.alias("band"), "cls")
-    shared = stored(postings.repartition("shingle").sortWithinPartitions("shingle", "band", "cls").mapInArrow(_runs, "shingle long, band int, cls long"))
-    stars = shared.repartition("shingle").sortWithinPartitions("shingle", "band", "cls").mapInArrow(_stars, "a long, b long").distinct()
+    # Many shingles are shared by the same classes: those tiles are one.
+    runs = postings.repartition("shingle").sortWithinPartitions("shingle").mapInArrow(_runs, "tile long, band int, cls long")
+    shared = stored(runs.repartition("tile").sortWithinPartitions("tile", "band", "cls").mapInArrow(_stars, "tile long, cls long, lead long"))
+    stars = shared.where("lead IS NOT NULL").select(F.col("lead").alias("a"), F.col("cls").alias("b")).distinct()
     side = lambda x: reps.select(F.col("cls").alias(x), F.col("n").alias(f"n_{x}"), F.col("bits").alias(f"bits_{x}"))
     bounded = lambda pairs: stored(pairs.join(side("a"), "a").join(side("b"), "b").select("a", "n_a", "bits_a", "b", "n_b", "bits_b").mapInArrow(_bounder(percent), "a long, b long"))
     tried = bounded(stars)
     links = stored(_linked(tried, reps, source, k, percent))
     short = stored(reps.select("cls", "n", "bits").mapInArrow(_shorten, "cls long, n long, bits binary"))
     joined = lambda: stored(components(links).select(F.col("vertex").alias("cls"), "component"))
-    member, tiles = joined(), shared.select("shingle", "cls")
+    member, tiles = joined(), shared.select(F.col("tile").alias("shingle"), "cls")
     for limit in ROUNDS:
         known = short.join(member, "cls", "left").withColumn("component", F.coalesce("component", "cls"))
         rows = _open_tiles(tiles, known)

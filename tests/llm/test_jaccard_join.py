@@ -1,8 +1,11 @@
 import random
 import re
+from collections import defaultdict
 
+import pyarrow as pa
 import pytest
 
+from ledgerfold.llm import jaccard_join
 from ledgerfold.llm.jaccard_join import _open_tiles, keep_one, similar_documents
 from tests.llm.cases import documents, odd_rows, sentence
 
@@ -47,6 +50,28 @@ def near_copies(seed):
     return rows
 
 
+@pytest.mark.parametrize("whole", [3, 1 << 20])
+def test_shingles_of_the_same_classes_make_one_tile(monkeypatch, whole):
+    monkeypatch.setattr(jaccard_join, "WHOLE", whole)
+    rng = random.Random(4)
+    groups = [[11, 12], [11, 12, 13, 15, 16], [14], [12, 13], [17, 17], []]
+    rows = sorted((s, c % 2, c) for s in range(-40, 40) for c in groups[s % len(groups)] * rng.choice([1, 2]))
+    for size in (1, 3, 10, 1000):
+        batches = [pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows[a : a + size], strict=True), (pa.int64(), pa.int32(), pa.int64()), strict=True)], names=["shingle", "band", "cls"])
+                   for a in range(0, len(rows), size)]
+        tiles = sorted(tuple(r.values()) for out in jaccard_join._runs(iter(batches)) for r in out.to_pylist())
+        kept = [r for out in jaccard_join._stars(iter([pa.RecordBatch.from_pylist([dict(zip(("tile", "band", "cls"), r, strict=True)) for r in tiles[a : a + size]]) for a in range(0, len(tiles), size)])) for r in out.to_pylist()]
+        held = defaultdict(list)
+        for r in kept:
+            held[r["tile"]].append((r["cls"], r["lead"]))
+        got = sorted(sorted(x) for x in held.values())
+        large = [(11, None), (12, None), (13, 11), (15, 11), (16, 12)]
+        assert {repr(x) for x in got} == {repr([(11, None), (12, None)]), repr(large), repr([(12, None), (13, None)])}
+        if whole > 3:
+            assert len(got) == 3 and (size < 1000 or len(tiles) <= 14)
+    assert list(jaccard_join._runs(iter([])))[0].num_rows == 0 and not list(jaccard_join._stars(iter([])))
+
+
 def test_tiles_of_one_component_are_not_scanned(spark):
     tiles = spark.createDataFrame([(1, 10), (1, 11), (2, 10), (2, 12), (3, 12), (3, 13), (3, 10), (4, 13)], "shingle long, cls long")
     known = spark.createDataFrame([(10, 5, b"a", 10), (11, 5, b"b", 10), (12, 6, b"c", 12), (13, 6, b"d", 12)], "cls long, n long, bits binary, component long")
