@@ -28,9 +28,9 @@ def record_cells(record: Column, separator: str = ",") -> Column:
     stop = re.escape(separator)
     quoted = '"[^"]*+(?:""[^"]*+)*+"'
     cells = F.regexp_extract_all(F.concat(record, F.lit(separator)), F.lit(f"({quoted}|[^{stop}]*+){stop}"), 1)
-    plain = lambda c: F.when(c.rlike(f"(?s)^{quoted}$"),                                              # noqa: E731
-                             F.replace(F.substring(c, F.lit(2), F.length(c) - 2), F.lit('""'), F.lit('"'))).otherwise(c)
-    return F.transform(cells, lambda c: F.nullif(plain(c), F.lit("")))
+    whole = lambda c: F.startswith(c, F.lit('"')) & c.rlike(f"(?s)^{quoted}$")                       # noqa: E731
+    inner = lambda c: F.nullif(F.replace(F.substring(c, F.lit(2), F.length(c) - 2), F.lit('""'), F.lit('"')), F.lit(""))
+    return F.transform(cells, lambda c: F.when(whole(c), inner(c)).when(c != "", c))
 
 
 def clean_names(cells: Column) -> Column:
