@@ -38,6 +38,8 @@ MIN_TAIL = 0.5
 MIN_ROWS = 5
 SHAPE_SCALE = 4.0
 BEGINNINGS = (4, 6)
+#: Bytes of text whose features are made at once for fitting, where those of the whole sample are held besides.
+TRAIN_BYTES = 1 << 18
 
 #: Upper case, lower case (and non-ASCII), digits; symbols stand for themselves.
 SHAPE = np.arange(256, dtype=np.uint8)
@@ -128,17 +130,33 @@ def fit(first: np.ndarray, index: np.ndarray, value: np.ndarray, grade: np.ndarr
     return weights, thresholds
 
 
-def _frequent(size: np.ndarray, index: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Row starts, indexes and values without features of too few rows."""
-    row = np.repeat(np.arange(len(size)), size)
-    keep = np.bincount(index, minlength=1 << DIM_BITS)[index] >= MIN_ROWS
-    return np.concatenate([[0], np.cumsum(np.bincount(row[keep], minlength=len(size)))]), index[keep], value[keep]
+def _frequent(size: np.ndarray, index: list[np.ndarray], value: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row starts, indexes and values without features of too few rows. The given parts are emptied on the way, so that
+    all features are held once, and those of one part a second time."""
+    rows = np.zeros(1 << DIM_BITS, np.int64)
+    for part in index:
+        rows += np.bincount(part, minlength=len(rows))
+    keep = rows >= MIN_ROWS
+    n = int(rows[keep].sum())
+    kept_index, kept_value, left = np.empty(n, np.int32), np.empty(n, np.float32), np.zeros(len(size), np.int64)
+    at = row = 0
+    first = np.concatenate([[0], np.cumsum(size)])
+    while index:
+        part, values = index.pop(0), value.pop(0)
+        good = keep[part]
+        stop = at + int(good.sum())
+        kept_index[at:stop], kept_value[at:stop] = part[good], values[good]
+        below = np.concatenate([[0], np.cumsum(good)])
+        end = int(np.searchsorted(first, first[row] + len(part), "right")) - 1
+        left[row:end] = np.diff(below[first[row : end + 1] - first[row]])
+        at, row = stop, end
+    return np.concatenate([[0], np.cumsum(left)]), kept_index, kept_value
 
 
 def _trainer(grades: int):
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rated, index, value, size = [], [], [], []
-        for batch in chunks(batches):
+        for batch in chunks(batches, size=TRAIN_BYTES):
             found = features(batch.column(0))
             order = np.argsort(found.row, kind="stable")
             index.append(found.index[order])
@@ -146,7 +164,7 @@ def _trainer(grades: int):
             size.append(np.bincount(found.row, minlength=batch.num_rows))
             rated.append(batch.column(1).to_numpy())
         if rated and len(np.unique(grade := np.concatenate(rated))) > 1:
-            weights, thresholds = fit(*_frequent(np.concatenate(size), np.concatenate(index), np.concatenate(value)), grade, grades)
+            weights, thresholds = fit(*_frequent(np.concatenate(size), index, value), grade, grades)
             yield pa.RecordBatch.from_arrays([pa.array([weights.astype(np.float32).tobytes()], pa.binary()), pa.array([thresholds.tolist()])], names=["weights", "thresholds"])
 
     return train

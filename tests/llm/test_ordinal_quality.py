@@ -1,3 +1,5 @@
+import tracemalloc
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
@@ -49,6 +51,22 @@ def test_features_do_not_depend_on_neighbours():
         assert sorted(zip(one.index.tolist(), one.value.tolist(), strict=True)) == sorted(zip(whole.index[mine].tolist(), whole.value[mine].tolist(), strict=True))
 
 
+def test_rare_features_go_without_copies_of_all_features():
+    rng = np.random.default_rng(2)
+    size = [rng.integers(0, 400, 200) for _ in range(40)]
+    index = [(rng.zipf(1.2, s.sum()) % (1 << oq.DIM_BITS)).astype(np.int32) for s in size]
+    value = [rng.random(len(x), np.float32) for x in index]
+    every, values, sizes, n = np.concatenate(index), np.concatenate(value), np.concatenate(size), sum(map(len, index))
+    keep = np.bincount(every, minlength=1 << oq.DIM_BITS)[every] >= oq.MIN_ROWS
+    left = np.bincount(np.repeat(np.arange(len(sizes)), sizes)[keep], minlength=len(sizes))
+    tracemalloc.start()
+    first, kept, weight = oq._frequent(sizes, index, value)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert first.tolist() == [0, *np.cumsum(left).tolist()] and np.array_equal(kept, every[keep]) and np.array_equal(weight, values[keep])
+    assert not index and not value and 0 < keep.sum() < n and peak < 1.5 * 8 * n + (8 << 20)
+
+
 def test_nothing_to_learn_from(spark):
     docs = documents(spark)
     for ratings in ([], [(1, 2), (2, 2)], [(1, None), (None, 1)]):
