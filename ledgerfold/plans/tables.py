@@ -25,6 +25,11 @@ def text(name: str) -> Column:
     return F.col(name).cast("string")
 
 
+def day_label(name: str) -> Column:
+    """The day of a time in two digits, without a formatter's parts."""
+    return F.lpad(F.dayofmonth(name).cast("string"), 2, "0")
+
+
 def pick(key: Column, values: dict, default=None) -> Column:
     """CASE key WHEN ... over literal values."""
     out = F.lit(default)
@@ -56,7 +61,7 @@ def day_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as a rate history: the day is the month label, the event type the
     currency, the value the rate."""
     e = table(spark, sf_dir, "events")
-    return e.select(F.date_format("ts", "dd").alias("month"),
+    return e.select(day_label("ts").alias("month"),
                     F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("quote_ts"),
                     F.lit("EUR").alias("base_code"), F.col("event_type").alias("currency"),
                     cents_text("value").alias("rate"))
@@ -65,6 +70,6 @@ def day_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def order_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as union rows: month label is the day, currency by priority."""
     o = table(spark, sf_dir, "orders")
-    return o.select("o_orderkey", "o_custkey", F.date_format("o_orderdate", "dd").alias("month"),
+    return o.select("o_orderkey", "o_custkey", day_label("o_orderdate").alias("month"),
                     pick(F.col("o_orderpriority"), ORDER_CURRENCY, "none").alias("currency"),
                     "o_orderstatus", cents("o_totalprice").alias("amount"))
