@@ -40,7 +40,7 @@ from ledgerfold.llm.words import BYTE_VALUE, Sums, buffers, chunks, mix
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SAMPLES = 3
 ALPHA = 1.0
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 MARK = "▁"
 _SLOTS = 20
 LEAST = -40.0
@@ -446,15 +446,11 @@ def encode(docs: DataFrame, pieces: Pieces, *, samples: int = SAMPLES, key: str
             row, sample, log, value, incl, ids, first = sample_batch(texts, batch.column(1).to_numpy(), shared.value, samples)
             flat, edges = decode_batch(ids, first, shared.value)
             offsets, raw = buffers(texts)
-            size = np.diff(edges)
-            same = size == np.diff(offsets)[row]
-            want = raw[np.repeat(offsets[row] - edges[:-1], np.where(same, size, 0)) + np.flatnonzero(np.repeat(same, size))]
-            wrong = np.zeros(len(flat) + 1, np.int64)
-            wrong[1:][np.repeat(same, size)] = flat[np.repeat(same, size)] != want
-            wrong = np.cumsum(wrong)
+            said, want = flat.tobytes(), raw.tobytes()
+            same = [said[a:b] == want[c:d] for a, b, c, d in zip(edges[:-1].tolist(), edges[1:].tolist(), offsets[row].tolist(), offsets[row + 1].tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays([
                 batch.column(0).take(pa.array(row)), pa.array(sample, pa.int32()), pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(ids)), pa.array(np.diff(first)),
-                pa.array(log), pa.array(value), pa.array(incl), pa.array(same & (wrong[edges[1:]] == wrong[edges[:-1]]))], names=schema.names)
+                pa.array(log), pa.array(value), pa.array(incl), pa.array(same, pa.bool_())], names=schema.names)
 
     number = F.xxhash64(F.coalesce(F.col(key).cast("string"), F.lit("")), F.lit(seed))
     return docs.select(F.col(key).alias("key"), number.alias("number"), F.col(text).alias("text")).mapInArrow(run, schema)
