@@ -31,7 +31,9 @@ those lists hang on unique keys, so a hot line's join can be split."""
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import combinations
+from math import comb
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -47,6 +49,8 @@ LANES, LANE_WORDS = 0x0001000100010001, 0x3FFF
 FILTER_WORDS = 1 << 16
 #: Lines of a key that are compared in one group at most, on either side.
 BLOCK = 1024
+#: Keys of a line that are shuffled together; their shuffle leaves the disk before that of the next.
+KEYS_AT_ONCE = 6
 #: Min-hashes of a line, how many make a key, and the keys: three ways to deal the hashes out.
 HASHES, ROWS = 24, 4
 BANDS = [[ROWS * j + t for t in range(ROWS)] for j in range(HASHES // ROWS)] + [[HASHES // ROWS * t + (j + s * t) % (HASHES // ROWS) for t in range(ROWS)] for s in (0, 1) for j in range(HASHES // ROWS)]
@@ -80,13 +84,25 @@ def _lines(docs: DataFrame) -> DataFrame:
     return each.withColumn("k", F.xxhash64("doc", "digest", "line"))
 
 
+def _cut(line: str) -> Column:
+    """The parts of a line between blanks, empty ones too; by the pattern only where there are other blanks than spaces."""
+    odd = reduce(Column.__or__, (F.contains(F.col(line), F.lit(b)) for b in "\t\x0b\x0c\r"))
+    return F.when(odd, F.split(line, BLANKS)).otherwise(F.split(line, " "))
+
+
+def _trimmed(word: Column) -> Column:
+    """Most words have no punctuation at their ends and need no search for it."""
+    marked = reduce(Column.__or__, (F.endswith(word, F.lit(p)) | F.startswith(word, F.lit(p)) for p in PUNCTUATION))
+    return F.when(marked, F.btrim(word, F.lit(PUNCTUATION))).otherwise(word)
+
+
 def line_hashes(docs: DataFrame, min_words: int) -> DataFrame:
     """doc, digest, line, k, h (of the line in lower case) and sig (SimHash of its words) of all lines that
     take part.
 
     Lines longer than the lanes can count are cut into parts, whose SimHashes are counted in turn."""
     place = ["doc", "digest", "line", "h"]
-    split = _lines(docs).select("k", "doc", "digest", "line", F.xxhash64("said").alias("h"), F.split("said", BLANKS).alias("words"))
+    split = _lines(docs).select("k", "doc", "digest", "line", F.xxhash64("said").alias("h"), _cut("said").alias("words"))
     cut = F.transform(F.sequence(F.lit(0), F.floor((F.size("words") - 1) / LANE_WORDS).cast("int")), lambda i: F.slice("words", i * LANE_WORDS + 1, F.lit(LANE_WORDS)))
     parted = split.select("k", *place, F.posexplode(F.when(F.size("words") <= LANE_WORDS, F.array("words")).otherwise(cut)).alias("part", "words"))
     words = parted.select("k", "part", *place, F.explode("words").alias("word")).select("k", "part", *place, F.btrim("word", F.lit(PUNCTUATION)).alias("word")).where("word != ''")
@@ -111,8 +127,8 @@ def _level(v: Column) -> tuple[Column, Column]:
 def line_keys(docs: DataFrame, min_words: int) -> DataFrame:
     """doc, digest, line, k, h as in `line_hashes`, chars (of the normalised line) and keys of all lines that take part."""
     place = ["doc", "digest", "line", "h"]
-    split = _lines(docs).select("k", "doc", "digest", "line", F.xxhash64("said").alias("h"), F.explode(F.split("said", BLANKS)).alias("word"))
-    words = split.withColumn("word", F.btrim("word", F.lit(PUNCTUATION))).where("word != ''").select("k", *place, F.length("word").alias("size"), F.xxhash64("word").alias("v"))
+    split = _lines(docs).select("k", "doc", "digest", "line", F.xxhash64("said").alias("h"), F.explode(_cut("said")).alias("word"))
+    words = split.withColumn("word", _trimmed(F.col("word"))).where("word != ''").select("k", *place, F.length("word").alias("size"), F.xxhash64("word").alias("v"))
     at, bit = _level(F.col("v"))
     counted = words.select(at.alias("cell"), bit.alias("bit")).groupBy("cell", "bit").agg(F.count(F.lit(1)).alias("n"))
     level = F.when(F.col("n") == 1, ALONE).otherwise(F.least(F.floor(F.log2("n") / 2), F.lit(LEVELS - 1))).cast("long")
@@ -136,6 +152,19 @@ def _keys(sig: Column) -> Column:
     return F.array(*(F.shiftleft(F.lit(k).cast("long"), 2 * BLOCK_BITS).bitwiseOR(F.shiftleft(block[a], BLOCK_BITS)).bitwiseOR(block[b]) for k, (a, b) in enumerate(combinations(range(BLOCKS), BLOCKS - DISTANCE))))
 
 
+def _shared(classes: DataFrame, keys: Column, n: int) -> DataFrame:
+    """key, h, mark, lead (h and mark of the smallest line) of all keys that several lines have. Of the n keys of a line, `KEYS_AT_ONCE` are
+    shuffled together."""
+    parts = []
+    for at in range(0, n, KEYS_AT_ONCE):
+        keyed = classes.select(F.explode(F.slice(keys, at + 1, KEYS_AT_ONCE)).alias("key"), "h", "mark")
+        # Of plain numbers, so that no rows are sorted for it.
+        leads = keyed.groupBy("key").agg(F.min("h").alias("low"), F.min_by("mark", "h").alias("low_mark"), F.max("h").alias("last")).where("low < last")
+        lead = F.struct(F.col("low").alias("h"), F.col("low_mark").alias("mark")).alias("lead")
+        parts.append(stored(keyed.join(leads, "key").select("key", "h", "mark", lead)))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def _pairs(placed: DataFrame, close) -> DataFrame:
     """Of rows key, h, mark, component: all close pairs a, b under a key that holds several components, where these differ.
 
@@ -169,7 +198,8 @@ def _alike(pairs: DataFrame, docs: DataFrame, places: DataFrame, percent: int) -
     longer = F.greatest(F.length("said_a"), F.length("said_b"))
     allowed = F.floor(longer * (100 - percent) / 100).cast("int")
     both = both.withColumn("allowed", allowed).where(F.abs(F.length("said_a") - F.length("said_b")) <= F.col("allowed"))
-    return both.where("levenshtein(said_a, said_b, allowed) >= 0").select("a", "b")
+    # Most pairs differ by few edits, which a narrow band of the table shows; only the others need all of it.
+    return both.where("levenshtein(said_a, said_b, cast(allowed / 8 as int)) >= 0 or levenshtein(said_a, said_b, allowed) >= 0").select("a", "b")
 
 
 def _named(docs: DataFrame, id: str, text: str) -> DataFrame:
@@ -193,9 +223,7 @@ def lines_to_remove(docs: DataFrame, *, id: str = "doc_id", text: str = "text",
     one = [F.min("mark").alias("mark"), *([F.min("keys").alias("keys")] if distance is None else [])]
     classes = stored(lines.groupBy("h").agg(*one, F.min(place).alias("first"), F.max(place).alias("last")))
     places = classes.select("h", "first.*")
-    keyed = classes.select(F.explode(keys).alias("key"), "h", "mark")
-    leads = keyed.groupBy("key").agg(F.min(F.struct("h", "mark")).alias("lead"), F.max("h").alias("last")).where("lead.h < last").select("key", "lead")
-    shared = stored(keyed.join(leads, "key").select("key", "h", "mark", "lead"))
+    shared = _shared(classes, keys, len(BANDS) if distance is None else comb(BLOCKS, DISTANCE))
     stars = shared.where((F.col("h") != F.col("lead.h")) & close(F.col("mark"), F.col("lead.mark"))).select(F.col("lead.h").alias("a"), F.col("h").alias("b")).distinct()
     links = stored(_alike(stars, source, places, percent))
     member = stored(components(links))

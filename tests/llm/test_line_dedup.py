@@ -102,6 +102,36 @@ def test_a_key_is_compared_in_blocks(spark, monkeypatch):
         assert {tuple(r) for r in line_dedup._pairs(frame, lambda x, y: F.abs(x - y) <= 1).collect()} == want
 
 
+def test_keys_of_a_line_are_shuffled_in_parts(spark, monkeypatch):
+    rng = random.Random(4)
+    frame = spark.createDataFrame([(h, h % 5, [100 * i + rng.randrange(12) for i in range(7)]) for h in rng.sample(range(-500, 500), 30)], "h long, mark int, keys array<long>")
+    lines = defaultdict(list)
+    for r in frame.collect():
+        for key in r["keys"]:
+            lines[key].append((r.h, r.mark))
+    want = sorted((key, h, mark, min(own)) for key, own in lines.items() if len(own) > 1 for h, mark in own)
+    sizes, write = [], line_dedup.stored
+    monkeypatch.setattr(line_dedup, "stored", lambda df: sizes.append(df.count()) or write(df))
+    for at_once, writes in ((3, 3), (7, 1)):
+        monkeypatch.setattr(line_dedup, "KEYS_AT_ONCE", at_once)
+        sizes.clear()
+        assert sorted((r.key, r.h, r.mark, tuple(r.lead)) for r in line_dedup._shared(frame, F.col("keys"), 7).collect()) == want
+        assert len(sizes) == writes and sum(sizes) == len(want)
+
+
+def test_pairs_at_the_edge_of_both_bands(spark):
+    rng = random.Random(9)
+    said = (sentence(rng, 100)[:199] + "x").lower()
+    rows = [(0, said)] + [(n, said[:-n] + "#" * n) for n in (1, 4, 5, 6, 39, 40, 41, 60)]
+    docs = documents(spark, rows).select(F.col("doc_id").alias("doc"), F.xxhash64("text").alias("digest"), "text")
+    place = {r.doc: r for r in docs.select("*", F.xxhash64(F.lower("text")).alias("h")).collect()}
+    places = docs.select(F.xxhash64(F.lower("text")).alias("h"), "doc", "digest", F.lit(0).alias("line"))
+    pairs = spark.createDataFrame([(place[0].h, place[n].h) for n, _ in rows[1:]], "a long, b long")
+    text = {n: " ".join(worded(t.lower())) for n, t in rows}
+    want = {place[n].h for n, _ in rows[1:] if edits(text[0], text[n]) <= max(len(text[0]), len(text[n])) * 20 // 100}
+    assert 0 < len(want) < 8 and {r.b for r in line_dedup._alike(pairs, docs, places, 80).collect()} == want
+
+
 def test_no_window_over_a_key(spark, monkeypatch):
     plans, write = [], line_dedup.stored
     monkeypatch.setattr(line_dedup, "stored", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or write(df))
