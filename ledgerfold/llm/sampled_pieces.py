@@ -40,9 +40,9 @@ from ledgerfold.llm.words import BYTE_VALUE, Sums, buffers, chunks, mix
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SAMPLES = 3
 ALPHA = 1.0
-CHUNK = 1 << 19
+CHUNK = 1 << 17
 MARK = "▁"
-_SLOTS = 20
+_SLOTS = 17
 LEAST = -40.0
 PREFIX = 4
 #: Steps of all paths that are looked at together for branches.
@@ -86,7 +86,7 @@ def load_pieces(path: str = MODEL, alpha: float = ALPHA) -> Pieces:
     ids = np.array(whole)
     hashes = Sums(BYTE_VALUE[flat]).hashed(offsets[ids], offsets[ids + 1])
     length = offsets[ids + 1] - offsets[ids]
-    reach = np.zeros(1 << _SLOTS, np.int64)
+    reach = np.zeros(1 << _SLOTS, np.int32)
     long = length > PREFIX
     np.maximum.at(reach, Sums(BYTE_VALUE[flat]).hashed(offsets[ids[long]], offsets[ids[long]] + PREFIX) >> np.uint64(64 - _SLOTS), length[long])
     tables = {}

@@ -1,5 +1,7 @@
 import itertools
 import math
+import random
+import tracemalloc
 from collections import Counter
 from itertools import pairwise
 
@@ -9,7 +11,7 @@ import pytest
 import sentencepiece
 
 from ledgerfold.llm import sampled_pieces as sampled
-from tests.llm.cases import documents, odd_rows
+from tests.llm.cases import documents, odd_rows, sentence
 
 
 @pytest.fixture(scope="module")
@@ -93,3 +95,18 @@ def test_the_search_does_not_depend_on_windows_or_other_rows(pieces, monkeypatch
     assert whole[5].tolist() == np.concatenate([p[5] for p in parts]).tolist()
     for column in (2, 3, 4):
         assert np.allclose(whole[column], np.concatenate([p[column] for p in parts]))
+
+
+def test_a_process_holds_small_tables_and_little_work(pieces):
+    held = [pieces.flat, pieces.offsets, pieces.weight, pieces.reach, *pieces.short.values(), *(x for own in pieces.tables.values() for x in own)]
+    assert sum(x.nbytes for x in held) < 8e6
+    rng = random.Random(2)
+    texts = pa.array([sentence(rng, 300) for _ in range(400)])
+    batch = next(sampled.chunks(iter([pa.record_batch({"text": texts})]), "text", sampled.CHUNK))
+    assert 0 < batch.num_rows < 400
+    tracemalloc.start()
+    try:
+        sampled.sample_batch(batch.column(0), np.arange(batch.num_rows), pieces, 3)
+        assert tracemalloc.get_traced_memory()[1] < 48e6
+    finally:
+        tracemalloc.stop()
