@@ -60,6 +60,8 @@ LEVELS, ALONE = 16, 6
 PUNCTUATION = ".,;:!?\"'()"
 #: What stands between words, a carriage return before the end of a line too.
 BLANKS = r"[\x20\x09-\x0D]+"
+#: Similar lines are held against each other in pieces of so many characters, cut where so many stand in both, so far from where they are awaited at most.
+PIECE, ANCHOR, SHIFT = 32, 10, 24
 
 
 def _counted() -> list[Column]:
@@ -125,10 +127,10 @@ def _level(v: Column) -> tuple[Column, Column]:
 
 
 def line_keys(docs: DataFrame, min_words: int) -> DataFrame:
-    """doc, digest, line, k, h as in `line_hashes`, chars (of the normalised line) and keys of all lines that take part."""
+    """doc, digest, line, h as in `line_hashes`, chars (of the normalised line) and keys of all lines that take part."""
     place = ["doc", "digest", "line", "h"]
-    split = _lines(docs).select("k", "doc", "digest", "line", F.xxhash64("said").alias("h"), F.explode(_cut("said")).alias("word"))
-    words = split.withColumn("word", _trimmed(F.col("word"))).where("word != ''").select("k", *place, F.length("word").alias("size"), F.xxhash64("word").alias("v"))
+    split = _lines(docs).select("doc", "digest", "line", F.xxhash64("said").alias("h"), F.explode(_cut("said")).alias("word"))
+    words = split.withColumn("word", _trimmed(F.col("word"))).where("word != ''").select(*place, F.length("word").alias("size"), F.xxhash64("word").alias("v"))
     at, bit = _level(F.col("v"))
     counted = words.select(at.alias("cell"), bit.alias("bit")).groupBy("cell", "bit").agg(F.count(F.lit(1)).alias("n"))
     level = F.when(F.col("n") == 1, ALONE).otherwise(F.least(F.floor(F.log2("n") / 2), F.lit(LEVELS - 1))).cast("long")
@@ -136,9 +138,9 @@ def line_keys(docs: DataFrame, min_words: int) -> DataFrame:
     weighed = words.withColumn("level", F.call_function("shiftrightunsigned", F.get(levels.scalar(), at.cast("int")), bit).bitwiseAND(F.lit(LEVELS - 1).cast("long")).cast("int"))
     # 44 bits of a hash, made larger the less the word weighs.
     least = [F.min(F.call_function("shiftleft", F.shiftrightunsigned(F.xxhash64("v", F.lit(i)), 20), F.col("level"))).alias(f"m{i}") for i in range(HASHES)]
-    lines = weighed.groupBy("k", *place).agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("chars"), *least).where(F.col("n") >= min_words)
+    lines = weighed.groupBy(*place).agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("chars"), *least).where(F.col("n") >= min_words)
     keys = F.array(*(F.hash(*(f"m{i}" for i in band)) for band in BANDS))
-    return lines.select("doc", "digest", "line", "k", "h", (F.col("chars") + F.col("n") - 1).alias("chars"), keys.alias("keys"))
+    return lines.select(*place, (F.col("chars") + F.col("n") - 1).alias("chars"), keys.alias("keys"))
 
 
 def normalised(line: Column) -> Column:
@@ -179,13 +181,8 @@ def _pairs(placed: DataFrame, close) -> DataFrame:
     return both.select(F.least("x.h", "y.h").alias("a"), F.greatest("x.h", "y.h").alias("b")).distinct()
 
 
-def _alike(pairs: DataFrame, docs: DataFrame, places: DataFrame, percent: int) -> DataFrame:
-    """Those pairs of lines (their hashes a, b) whose normalised texts are similar. places: h and where
-    the line first stands (doc, digest, line)."""
-    pairs = stored(pairs)
-    if pairs.isEmpty():
-        return pairs
-    ends = pairs.select(F.col("a").alias("h")).unionByName(pairs.select(F.col("b").alias("h"))).distinct()
+def _texts(ends: DataFrame, docs: DataFrame, places: DataFrame) -> DataFrame:
+    """h and the normalised text (said) of the wanted lines. places: h and where the line first stands (doc, digest, line)."""
     wanted = stored(places.join(ends, "h", "left_semi").select("h", "doc", "digest", "line", F.xxhash64("doc", "digest", "line").alias("k")))
     # A bitmap of fixed size over the wanted places, as one value.
     cell, bit = F.shiftrightunsigned(F.pmod("k", F.lit(64 * FILTER_WORDS)), 6), F.pmod("k", F.lit(64)).cast("int")
@@ -193,13 +190,56 @@ def _alike(pairs: DataFrame, docs: DataFrame, places: DataFrame, percent: int) -
     bitmap = _dense(cells)
     near = _lines(docs).where(F.call_function("shiftrightunsigned", F.get(bitmap.scalar(), cell.cast("int")), bit).bitwiseAND(F.lit(1).cast("long")) == 1)
     same = near["doc"].eqNullSafe(wanted["doc"]) & (near["digest"] == wanted["digest"]) & (near["line"] == wanted["line"]) & (near["k"] == wanted["k"])
-    texts = stored(near.join(wanted, same).groupBy("h").agg(F.min("said").alias("said")).select("h", normalised(F.col("said")).alias("said")))
+    return stored(near.join(wanted, same).groupBy("h").agg(F.min("said").alias("said")).select("h", normalised(F.col("said")).alias("said")))
+
+
+def _left(a: Column, b: Column, allowed: Column) -> Column:
+    """The allowed edits less those of the pieces that both texts are cut into, negative if there are more: edits of pieces make up
+    edits of the whole, so no pair is let through wrongly, but some that are near enough can fail here."""
+    at = F.struct(F.lit(0).alias("a"), F.lit(0).alias("b"), allowed.alias("left"))
+
+    def less(now, to_a, to_b):
+        edits = F.call_function("levenshtein", F.substring(a, now.a + 1, to_a - now.a), F.substring(b, now.b + 1, to_b - now.b), now.left)
+        # Beyond what is left it is -1, which makes a large number here.
+        return F.when(now.left < 0, now.left).otherwise(now.left - F.pmod(edits, F.lit(1 << 30)))
+
+    def cut(now, to):
+        begin = now.b + to - now.a - SHIFT
+        found = F.instr(F.substring(b, begin + 1, F.lit(2 * SHIFT + ANCHOR)), F.substring(a, to + 1, F.lit(ANCHOR)))
+        moved = F.transform(F.array(found), lambda x: F.when(x > 0, F.struct(to.alias("a"), (begin + x - 1).alias("b"), less(now, to, begin + x - 1).alias("left"))))
+        return F.when(now.left < 0, now).otherwise(F.coalesce(F.get(moved, F.lit(0)), now))
+
+    steps = F.when(F.length(a) > PIECE + ANCHOR, F.sequence(F.lit(PIECE), F.length(a) - ANCHOR, F.lit(PIECE))).otherwise(F.array().cast("array<int>"))
+    return F.aggregate(steps, at, cut, lambda now: less(now, F.length(a), F.length(b)))
+
+
+def _similar(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """Those stored pairs of lines (their hashes a, b) whose normalised texts are similar."""
+    if pairs.isEmpty():
+        return pairs
     both = pairs.join(texts.select(F.col("h").alias("a"), F.col("said").alias("said_a")), "a").join(texts.select(F.col("h").alias("b"), F.col("said").alias("said_b")), "b")
     longer = F.greatest(F.length("said_a"), F.length("said_b"))
     allowed = F.floor(longer * (100 - percent) / 100).cast("int")
     both = both.withColumn("allowed", allowed).where(F.abs(F.length("said_a") - F.length("said_b")) <= F.col("allowed"))
-    # Most pairs differ by few edits, which a narrow band of the table shows; only the others need all of it.
-    return both.where("levenshtein(said_a, said_b, cast(allowed / 8 as int)) >= 0 or levenshtein(said_a, said_b, allowed) >= 0").select("a", "b")
+    # Most pairs are similar piece by piece, which costs time by their length, not its square; only the others need the whole table.
+    return both.where((_left(F.col("said_a"), F.col("said_b"), F.col("allowed")) >= 0) | F.expr("levenshtein(said_a, said_b, allowed) >= 0")).select("a", "b")
+
+
+def _alike(pairs: DataFrame, docs: DataFrame, places: DataFrame, percent: int) -> DataFrame:
+    """`_similar`, with the texts of these pairs alone."""
+    pairs = stored(pairs)
+    ends = pairs.select(F.col("a").alias("h")).unionByName(pairs.select(F.col("b").alias("h"))).distinct()
+    return _similar(pairs, _texts(ends, docs, places), percent)
+
+
+def _joined(member: DataFrame, more: DataFrame) -> DataFrame:
+    """h and component once links a, b join some of the components; as each is named by its smallest line, so is what they make."""
+    for end in ("a", "b"):
+        more = more.join(member.select(F.col("h").alias(end), "component"), end, "left").withColumn(end, F.coalesce("component", end)).drop("component")
+    larger = stored(components(more))
+    within = member.join(larger.withColumnRenamed("component", "whole"), F.col("component") == F.col("vertex"), "left").select("h", F.coalesce("whole", "component").alias("component"))
+    alone = larger.select(F.col("vertex").alias("h"), "component").join(member, "h", "left_anti")
+    return stored(within.unionByName(alone))
 
 
 def _named(docs: DataFrame, id: str, text: str) -> DataFrame:
@@ -225,15 +265,16 @@ def lines_to_remove(docs: DataFrame, *, id: str = "doc_id", text: str = "text",
     places = classes.select("h", "first.*")
     shared = _shared(classes, keys, len(BANDS) if distance is None else comb(BLOCKS, DISTANCE))
     stars = shared.where((F.col("h") != F.col("lead.h")) & close(F.col("mark"), F.col("lead.mark"))).select(F.col("lead.h").alias("a"), F.col("h").alias("b")).distinct()
-    links = stored(_alike(stars, source, places, percent))
-    member = stored(components(links))
+    # All lines that meet another one under a key: both steps take their texts from here.
+    texts = _texts(shared.select("h").distinct(), source, places)
+    links = stored(_similar(stored(stars), texts, percent))
+    member = stored(components(links).select(F.col("vertex").alias("h"), "component"))
     # Keys that hold several components: all close pairs that no path joins yet.
-    placed = shared.select("key", "h", "mark").join(member.select(F.col("vertex").alias("h"), "component"), "h", "left").withColumn("component", F.coalesce("component", "h"))
-    rest = _pairs(placed, close)
-    more = _alike(rest, source, places, percent)
-    member = components(stored(links.unionByName(more))).select(F.col("vertex").alias("h"), "component")
+    placed = shared.select("key", "h", "mark").join(member, "h", "left").withColumn("component", F.coalesce("component", "h"))
+    more = stored(_similar(stored(_pairs(placed, close)), texts, percent))
+    member = _joined(member, more)
     # The first place of every group; a group of one line in one place removes nothing.
-    groups = classes.join(member, "h", "left").withColumn("component", F.coalesce("component", "h"))
+    groups = classes.join(member, "h", "left").where("component is not null or first < last").select("h", "first", "last", F.coalesce("component", "h").alias("component"))
     first = groups.groupBy("component").agg(F.min("first").alias("first"), F.max("last").alias("last")).where("first < last").select("component", "first")
     keep = groups.select("h", "component").join(first, "component").select("h", "first")
     gone = lines.join(keep, "h").where(place != F.col("first"))

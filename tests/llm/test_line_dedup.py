@@ -165,3 +165,47 @@ def test_pairs_are_found_by_edit_similarity_alone(spark):
     gone = {r.doc_id for r in dedup_lines(documents(spark, rows), distance=None, removed="gone").where("size(gone) > 0").collect()}
     assert len(pairs) > 80 and sum(b in gone for _, b in pairs) >= 0.95 * len(pairs)
     assert gone <= {b for _, b in pairs} | {k + 1 for k in range(0, 240, 2) if text[k] == text[k + 1]}
+
+
+def test_pieces_bound_the_edits(spark):
+    rng = random.Random(12)
+    rows = []
+    for size in (0, 3, 30, 40, 90, 400, 1500):
+        for share in (0, 0.02, 0.08, 0.15, 0.3):
+            said = [rng.choice("abcdeé \U0001f600") for _ in range(size)]
+            copy = [rng.choice(["", "x", c + "y"]) if rng.random() < share else c for c in said]
+            rows.append(("".join(said), "".join(copy), size // 5))
+    rows += [("the same passage of words " * 40, "the same passage of words " * n, 250) for n in (1, 31, 39, 44)] + [("a" * 300, "b" * 300, 60), ("", "b" * 50, 10)]
+    frame = spark.createDataFrame(rows, "a string, b string, allowed int")
+    got = frame.select("*", line_dedup._left(F.col("a"), F.col("b"), F.col("allowed")).alias("left")).collect()
+    within = [r for r in got if edits(r.a, r.b) <= r.allowed]
+    assert all(r["left"] < 0 or r.allowed - r["left"] >= edits(r.a, r.b) for r in got)
+    assert 10 < len(within) < len(got) and sum(r["left"] >= 0 for r in within) >= 0.8 * len(within)
+
+
+def test_only_other_pairs_need_the_whole_table(spark, monkeypatch):
+    # Edits at the start and at the end, in lines too long for a table of all their characters.
+    rng = random.Random(13)
+    said = [sentence(rng, 1) + sentence(rng, 1) for _ in range(30000)]
+    other = said.copy()
+    other[0], other[-1], other[len(other) // 2] = "first", "last", "middle"
+    texts = spark.createDataFrame([(1, " ".join(said)), (2, " ".join(other))], "h long, said string")
+    pairs = line_dedup.stored(spark.createDataFrame([(1, 2)], "a long, b long"))
+    whole = F.expr
+    monkeypatch.setattr(F, "expr", lambda s: F.raise_error(F.lit(s)).cast("boolean") if s.startswith("levenshtein(said_a, said_b, allowed") else whole(s))
+    assert [tuple(r) for r in line_dedup._similar(pairs, texts, 80).collect()] == [(1, 2)]
+
+
+def test_later_links_join_components(spark):
+    rng = random.Random(14)
+    first = [(a, a + rng.randrange(1, 5)) for a in rng.sample(range(60), 25)]
+    more = [tuple(sorted(rng.sample(range(70), 2))) for _ in range(20)]
+    group = list(range(80))
+    for a, b in first + more:
+        low, high = sorted((group[a], group[b]))
+        group = [low if g == high else g for g in group]
+    frame = lambda rows: spark.createDataFrame(rows, "a long, b long")
+    member = line_dedup.components(frame(first)).select(F.col("vertex").alias("h"), "component")
+    got = {r.h: r.component for r in line_dedup._joined(member, frame(more)).collect()}
+    assert got == {h: group[h] for h in {h for pair in first + more for h in pair}}
+    assert line_dedup._joined(member, frame([])).count() == member.count()
