@@ -38,7 +38,7 @@ from math import comb
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerfold.llm.components import components
-from ledgerfold.llm.store import fresh, stored
+from ledgerfold.llm.store import fresh, spread, stored
 
 MIN_WORDS = 5
 DISTANCE = 2
@@ -267,11 +267,15 @@ def lines_to_remove(docs: DataFrame, *, id: str = "doc_id", text: str = "text",
     stars = shared.where((F.col("h") != F.col("lead.h")) & close(F.col("mark"), F.col("lead.mark"))).select(F.col("lead.h").alias("a"), F.col("h").alias("b")).distinct()
     # All lines that meet another one under a key: both steps take their texts from here.
     texts = _texts(shared.select("h").distinct(), source, places)
-    links = stored(_similar(stored(stars), texts, percent))
+    stars = stored(stars)
+    with spread(docs.sparkSession):
+        links = stored(_similar(stars, texts, percent))
     member = stored(components(links).select(F.col("vertex").alias("h"), "component"))
     # Keys that hold several components: all close pairs that no path joins yet.
     placed = shared.select("key", "h", "mark").join(member, "h", "left").withColumn("component", F.coalesce("component", "h"))
-    more = stored(_similar(stored(_pairs(placed, close)), texts, percent))
+    rest = stored(_pairs(placed, close))
+    with spread(docs.sparkSession):
+        more = stored(_similar(rest, texts, percent))
     member = _joined(member, more)
     # The first place of every group; a group of one line in one place removes nothing.
     groups = classes.join(member, "h", "left").where("component is not null or first < last").select("h", "first", "last", F.coalesce("component", "h").alias("component"))

@@ -1,6 +1,6 @@
 import time
 
-from ledgerfold.llm.store import CLEANUP, stored
+from ledgerfold.llm.store import CLEANUP, COALESCE, spread, stored
 
 
 def shuffled(spark):
@@ -24,3 +24,12 @@ def test_the_setting_of_the_session_stays(spark):
         spark.conf.set(CLEANUP, value)
         stored(spark.range(3))
         assert spark.conf.get(CLEANUP) == value
+
+
+def test_costly_rows_keep_their_partitions(spark):
+    rows = lambda: spark.range(400).groupBy("id").count()
+    files = lambda table: len(table.inputFiles())
+    before = spark.conf.get(COALESCE)
+    with spread(spark):
+        assert files(stored(rows())) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert spark.conf.get(COALESCE) == before
