@@ -273,7 +273,8 @@ def lines_to_remove(docs: DataFrame, *, id: str = "doc_id", text: str = "text",
     member = stored(components(links).select(F.col("vertex").alias("h"), "component"))
     # Keys that hold several components: all close pairs that no path joins yet.
     placed = shared.select("key", "h", "mark").join(member, "h", "left").withColumn("component", F.coalesce("component", "h"))
-    rest = stored(_pairs(placed, close))
+    # The first step has held some of them against each other already.
+    rest = stored(_pairs(placed, close).join(stars, ["a", "b"], "left_anti"))
     with spread(docs.sparkSession):
         more = stored(_similar(rest, texts, percent))
     member = _joined(member, more)

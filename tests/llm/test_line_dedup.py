@@ -209,3 +209,18 @@ def test_later_links_join_components(spark):
     got = {r.h: r.component for r in line_dedup._joined(member, frame(more)).collect()}
     assert got == {h: group[h] for h in {h for pair in first + more for h in pair}}
     assert line_dedup._joined(member, frame([])).count() == member.count()
+
+
+def test_a_pair_is_compared_once(spark, monkeypatch):
+    # Lines of the same rare words in another order meet under every key, and are not similar.
+    rng = random.Random(15)
+    rows = []
+    for k in range(12):
+        words = [sentence(rng, 1) + sentence(rng, 1) + sentence(rng, 1) for _ in range(30)]
+        rows += [(10 * k, " ".join(words)), (10 * k + 1, " ".join(words[:29] + ["other"])), (10 * k + 2, " ".join(reversed(words)))]
+    compared, similar = [], line_dedup._similar
+    monkeypatch.setattr(line_dedup, "_similar", lambda pairs, texts, percent: compared.append([tuple(r) for r in pairs.select("a", "b").collect()]) or similar(pairs, texts, percent))
+    gone = {r.doc_id for r in dedup_lines(documents(spark, rows), distance=None, removed="gone").where("size(gone) > 0").collect()}
+    first, second = map(set, compared)
+    assert len(first) > 12 and gone == {10 * k + 1 for k in range(12)}
+    assert not first & second
