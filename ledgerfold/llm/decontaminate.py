@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from ledgerfold.llm.store import beside, fresh
-from ledgerfold.llm.words import LOWER, SYMBOLS, Words, chunks, joined, split_words
+from ledgerfold.llm.words import LOWER, SMALL_CHUNK, SYMBOLS, Words, chunks, joined, split_words
 
 SIZE = 10
 MAX_BYTES = 8 << 20
@@ -147,7 +147,7 @@ def _scanner(tests, text: str, keep: list[str]):
 
 def _dropper(tests, text: str):
     def drop(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches, text):
+        for batch in chunks(batches, text, SMALL_CHUNK):
             words = split_words(batch.column(batch.schema.get_field_index(text)), SYMBOLS, LOWER)
             hit, _ = _hits(words, tests.value)
             yield batch.filter(pa.array(~np.isin(np.arange(batch.num_rows), words.row()[hit])))

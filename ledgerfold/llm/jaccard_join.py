@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from ledgerfold.llm.components import components
 from ledgerfold.llm.store import fresh, stored
-from ledgerfold.llm.words import LOWER, SPACES, Sums, Words, chunks, mix, split_words
+from ledgerfold.llm.words import LOWER, SMALL_CHUNK, SPACES, Sums, Words, chunks, mix, split_words
 
 K = 5
 PERCENT = 80
@@ -100,7 +100,7 @@ def folded(bits: np.ndarray, size: int) -> np.ndarray:
 
 
 def _sets(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[tuple]:
-    for batch in chunks(batches):
+    for batch in chunks(batches, size=SMALL_CHUNK):
         words = split_words(batch.column(1), SPACES, LOWER)
         hashes, first = shingle_sets(words, k)
         yield batch, hashes, first
@@ -111,7 +111,7 @@ def _counter(k: int):
         cells, seen = np.zeros(1 << CELL_BITS, np.int64), set()
         for _, hashes, first in _sets(batches, k):
             new = _unseen(class_hashes(hashes, first), seen)
-            cells += np.bincount((hashes[np.repeat(new, np.diff(first))] >> np.uint64(64 - CELL_BITS)).astype(np.int64), minlength=len(cells))
+            np.add.at(cells, (hashes[np.repeat(new, np.diff(first))] >> np.uint64(64 - CELL_BITS)).astype(np.int64), 1)
         full = np.flatnonzero(cells >= max(4, 2 * cells.mean()))
         yield pa.RecordBatch.from_arrays([pa.array(np.append(full, -1)), pa.array(np.append(cells[full], cells.sum()))], names=["cell", "n"])
 

@@ -21,6 +21,7 @@ the weights (a fixed number) go through the driver. Scoring is one pass without
 
 from __future__ import annotations
 
+import mmap
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -38,8 +39,8 @@ MIN_TAIL = 0.5
 MIN_ROWS = 5
 SHAPE_SCALE = 4.0
 BEGINNINGS = (4, 6)
-#: Bytes of text whose features are made at once for fitting, where those of the whole sample are held besides.
-TRAIN_BYTES = 1 << 18
+#: Bytes of text whose features are made at once; they take many times as much memory, in every task of an executor.
+PIECE_BYTES = 1 << 18
 
 #: Upper case, lower case (and non-ASCII), digits; symbols stand for themselves.
 SHAPE = np.arange(256, dtype=np.uint8)
@@ -153,14 +154,21 @@ def _frequent(size: np.ndarray, index: list[np.ndarray], value: list[np.ndarray]
     return np.concatenate([[0], np.cumsum(left)]), kept_index, kept_value
 
 
+def _apart(values: np.ndarray) -> np.ndarray:
+    """A copy in pages of its own, which the system gets back as soon as it goes; holes between other arrays stay with the process."""
+    out = np.frombuffer(mmap.mmap(-1, max(values.nbytes, 1)), values.dtype, len(values))
+    out[:] = values
+    return out
+
+
 def _trainer(grades: int):
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rated, index, value, size = [], [], [], []
-        for batch in chunks(batches, size=TRAIN_BYTES):
+        for batch in chunks(batches, size=PIECE_BYTES):
             found = features(batch.column(0))
             order = np.argsort(found.row, kind="stable")
-            index.append(found.index[order])
-            value.append(found.value[order])
+            index.append(_apart(found.index[order]))
+            value.append(_apart(found.value[order]))
             size.append(np.bincount(found.row, minlength=batch.num_rows))
             rated.append(batch.column(1).to_numpy())
         if rated and len(np.unique(grade := np.concatenate(rated))) > 1:
@@ -204,7 +212,7 @@ def grade(docs: DataFrame, model, *, keep: tuple[str, ...] = ("doc_id",), text:
     schema = T.StructType([*(T.StructField(n, docs.schema[c].dataType) for c, n in zip(keep, names, strict=True)), *GRADED])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches, text):
+        for batch in chunks(batches, text, PIECE_BYTES):
             get = {n: batch.column(i) for i, n in enumerate(batch.schema.names)}
             expected, tail = _graded(get[text], model)
             yield pa.RecordBatch.from_arrays([*(get[c] for c in keep), pa.array(np.round(expected, 4)), pa.array(np.round(tail, 4)), pa.array(tail >= min_tail)], names=schema.names)
@@ -218,7 +226,7 @@ def select(docs: DataFrame, model, *, text: str = "text", min_tail: float = MIN_
         return docs
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches, text):
+        for batch in chunks(batches, text, PIECE_BYTES):
             yield batch.filter(pa.array(_graded(batch.column(batch.schema.get_field_index(text)), model)[1] >= min_tail))
 
     return docs.mapInArrow(run, docs.schema)

@@ -14,6 +14,8 @@ import pyarrow as pa
 
 #: Bytes of text that are worked on at once; a longer single text is worked on alone.
 CHUNK_BYTES = 2 << 20
+#: The same where many arrays of words are held beside each other.
+SMALL_CHUNK = 1 << 19
 
 _RANDOM = np.random.Generator(np.random.PCG64(20240229))
 BYTE_VALUE = _RANDOM.integers(0, 2**64, 256, dtype=np.uint64)

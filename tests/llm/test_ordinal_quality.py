@@ -1,3 +1,5 @@
+import mmap
+import random
 import tracemalloc
 
 import numpy as np
@@ -5,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from ledgerfold.llm import ordinal_quality as oq
-from tests.llm.cases import documents, odd_rows
+from tests.llm.cases import documents, odd_rows, sentence
 
 SF = "/root/testdata/sf0.1"
 
@@ -99,3 +101,36 @@ def test_kept_columns_with_names_of_the_result(spark):
         graded = oq.grade(docs, model, keep=("doc_id", "kept"))
         assert graded.columns == ["doc_id", "kept_", "expected_grade", "tail_probability", "kept"]
         assert {r.kept_ for r in graded.collect()} == {"mine"}
+
+
+def test_features_are_made_of_small_pieces_of_a_batch(spark, monkeypatch):
+    rng = random.Random(3)
+    texts = [sentence(rng, 700) for _ in range(3 * oq.PIECE_BYTES // 1500)]
+    sizes, made = [], oq.features
+    monkeypatch.setattr(oq, "features", lambda text: sizes.append(text.nbytes) or made(text))
+
+    class Model:
+        value = (np.random.default_rng(1).normal(size=1 << oq.DIM_BITS).astype(np.float32), np.array([-1.0, 1.0]))
+
+    whole = oq._graded(pa.array(texts), Model)
+    batch, sizes[:] = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["doc_id", "text"]), []
+    frame = type("Docs", (), {"schema": None, "mapInArrow": lambda self, run, schema: list(run(iter([batch])))})()
+    kept = [i for part in oq.select(frame, Model) for i in part.column(0).to_pylist()]
+    assert kept == np.flatnonzero(whole[1] >= oq.MIN_TAIL).tolist() and 0 < len(kept) < len(texts)
+    assert sum(sizes) > 2 * oq.PIECE_BYTES and max(sizes) < 1.2 * oq.PIECE_BYTES
+
+
+def test_pages_of_features_go_back_to_the_system():
+    def resident():
+        with open("/proc/self/statm") as f:
+            return int(f.read().split()[1]) * mmap.PAGESIZE
+
+    # Between each two parts something stays, as when the parts of a sample are made.
+    before, parts, stays = resident(), [], []
+    for k in range(400):
+        parts.append(oq._apart(np.full(50_000, k, np.int32)))
+        stays.append(np.zeros(200, np.int32))
+    held = resident() - before
+    assert [int(p[-1]) for p in parts] == list(range(400)) and held > 60 << 20
+    parts.clear()
+    assert resident() - before < 20 << 20 and len(oq._apart(np.zeros(0, np.float32))) == 0
